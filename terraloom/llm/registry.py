@@ -6,16 +6,95 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from terraloom.llm.bpe import bpe_decode, bpe_encode
 from terraloom.llm.minhash import near_duplicates
+from terraloom.llm.mixing import mixed
+from terraloom.llm.pii import KINDS, joined, personal_data
+from terraloom.llm.quality import fit_crf, quality_rules
+from terraloom.llm.shared import fresh_path
+from terraloom.llm.token_files import read_token_files, write_token_files
+from terraloom.llm.warc import normalise, read_records, revisits, write_archives
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules(docs, fit_crf(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe_encode(table(spark, sf_dir, "documents"), TOKENIZER)
+    ids = F.array_join(F.col("token_ids").cast("array<string>"), " ")
+    return bpe_decode(encoded, TOKENIZER).select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "tokens")
+    write_token_files(table(spark, sf_dir, "documents"), TOKENIZER, path, end_id=1)
+    return read_token_files(spark, path)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixed(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = write_archives(revisits(table(spark, sf_dir, "pages")), fresh_path(spark, "warc-raw"))
+    return read_records(normalise(raw, fresh_path(spark, "warc")))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(table(spark, sf_dir, "documents"), fresh_path(spark, "pii"))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
+    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight FROM s),
+f AS (SELECT *, source_size * 2.0::DOUBLE AS cap, source_size * 2.0::DOUBLE / weight AS fill FROM w),
+l AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER (ORDER BY fill, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(weight) OVER (ORDER BY fill, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM f),
+t AS (SELECT source, source_size, least(cap, coalesce((SELECT arg_min(level, fill) FROM l WHERE level <= fill) * weight, cap)) AS target FROM l),
+r AS (SELECT doc_id, size, source_size, target, least(2.0, CASE WHEN source_size = 0 THEN 0 ELSE target / source_size END) AS rate
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, size * (floor(rate) + CASE WHEN
+  CAST(CAST('0x' || substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 8) AS UBIGINT) AS DOUBLE) / 4294967296 < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS taken
+FROM r
+"""
+
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first IS NOT NULL AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op10_minhash": op10_minhash}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality": op3_quality,
+    "op4_bpe": op4_bpe,
+    "op5_token_files": op5_token_files,
+    "op6_mixing": op6_mixing,
+    "op7_warc": op7_warc,
+    "op9_pii": op9_pii,
+    "op10_minhash": op10_minhash,
+}
+ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL, "op7_warc": OP7_SQL}
