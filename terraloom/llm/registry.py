@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from terraloom.llm.bpe import bpe_decode, bpe_encode
+from terraloom.llm.embeddings import near_vectors
 from terraloom.llm.minhash import near_duplicates
 from terraloom.llm.mixing import mixed
 from terraloom.llm.pii import KINDS, joined, personal_data
@@ -52,6 +53,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(normalise(raw, fresh_path(spark, "warc")))
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data(table(spark, sf_dir, "documents"), fresh_path(spark, "pii"))
     base = F.filter("spans", lambda s: s["base"])
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
+    "op8_embeddings": op8_embeddings,
     "op9_pii": op9_pii,
     "op10_minhash": op10_minhash,
 }
