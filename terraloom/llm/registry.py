@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from terraloom.llm.bpe import bpe_decode, bpe_encode
 from terraloom.llm.embeddings import near_vectors
+from terraloom.llm.line_dedup import line_dedup
 from terraloom.llm.minhash import near_duplicates
 from terraloom.llm.mixing import mixed
 from terraloom.llm.pii import KINDS, joined, personal_data
@@ -26,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs).select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules(docs, fit_crf(docs, table(spark, sf_dir, "labels")))
@@ -94,6 +100,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_quality": op3_quality,
     "op4_bpe": op4_bpe,
     "op5_token_files": op5_token_files,
