@@ -13,39 +13,66 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: A task's word cache is emptied beyond so many entries; the results do not depend on it.
-CACHE_WORDS = 200_000
-SLICE = 256  # documents encoded together
-_LATIN = re.compile("[!-~À-įı-ɏ]+")
-_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^a-z0-9ß-öø-ɏ]+")
+CACHE_WORDS = 250_000
+SLICE = 64  # documents encoded together
+# Latin letters that stay as they are under NFC, digits, ASCII and common punctuation, ASCII white space
+_LATIN = re.compile("[\x20\x09-\x0d!-~À-įı-ɏ‐-‧]*")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^\x20\x09-\x0da-z0-9ß-öø-ɏ]+")
 _SPLIT = re.compile("[\x20\x09-\x0d]+")
 
 
-class WordBpe:
-    """Encoder and decoder of a word-end BPE vocabulary file of the tokenizers library.
-
-    The file's normaliser and pre-tokeniser cut words (Latin words by an equal short way); the merges are ours:
-    the symbols of many words lie in one flat array, and each round finds every word's lowest-rank pair by binary
-    search in the sorted pair keys and merges all its occurrences.
-    """
+class Cutter:
+    """Cuts texts to the pre-tokens of a vocabulary file: by the file's normaliser and pre-tokeniser, or a pattern that cuts Latin text alike."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        model, vocab = spec["model"], spec["model"]["vocab"]
-        self.suffix = model["end_of_word_suffix"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.parts = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+            self.spec = json.load(f)
+        self.special = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
+        self.parts = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         full = Tokenizer.from_file(path)
         self.normalizer, self.pre = full.normalizer, full.pre_tokenizer
+        self.byte_of = {c: b for b, c in enumerate(byte_letters())}
+
+    def pieces(self, text: str | None) -> list[str]:
+        """Pre-tokens in turn, special tokens as their names (no pre-token is like them: it never mixes letters with signs)."""
+        if not text:
+            return []
+        if "<|" not in text and _LATIN.fullmatch(text):
+            return _PIECES.findall(text.lower())
+        # the file's pre-tokeniser parts words at white space, so each can be cut alone
+        return [p for word in _SPLIT.split(text) for p in self._word(word)]
+
+    def _word(self, word: str) -> list[str]:
+        if "<|" in word:
+            return [p for part in self.parts.split(word) for p in ([part] if part in self.special else self._plain(part))]
+        return self._plain(word)
+
+    def _plain(self, word: str) -> list[str]:
+        if _LATIN.fullmatch(word):
+            return _PIECES.findall(word.lower())
+        found = self.pre.pre_tokenize_str(self.normalizer.normalize_str(word))
+        return [bytes(self.byte_of[c] for c in piece).decode("utf-8", "surrogateescape") for piece, _ in found]
+
+
+class WordBpe(Cutter):
+    """Encoder and decoder of a word-end BPE vocabulary file of the tokenizers library.
+
+    The merges are ours: the symbols of many words lie in one flat array, and each round finds every word's lowest-rank pair by
+    binary search in the sorted pair keys and merges all its occurrences.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        model, vocab = self.spec["model"], self.spec["model"]["vocab"]
+        self.suffix = model["end_of_word_suffix"]
         self.names = [""] * (1 + max([*vocab.values(), *self.special.values()]))
         for name, i in [*vocab.items(), *self.special.items()]:
             self.names[i] = name
         letters = byte_letters()
         self.inner = np.array([vocab[letters[b]] for b in range(256)], np.int64)
         self.last = np.array([vocab[letters[b] + self.suffix] for b in range(256)], np.int64)
-        self.byte_of = {c: b for b, c in enumerate(letters)}
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         left, right = (np.array([vocab[p[i]] for p in pairs], np.int64) for i in (0, 1))
         made = np.array([vocab[a + b] for a, b in pairs], np.int64)
@@ -56,27 +83,10 @@ class WordBpe:
         born = np.full(len(self.names), -1)
         born[made] = np.arange(len(made))
         self.together = len(set(made.tolist())) == len(made) and bool((np.maximum(born[left], born[right]) < np.arange(len(made))).all())
-        self.pieces: dict[str, np.ndarray] = {}
         self.cache: dict[str, bytes] = {}
 
-    def cut(self, word: str) -> list[str | int]:
-        """Pre-tokens of a word in UTF-8 letters as text; special tokens as ids."""
-        if self.parts and "<|" in word:
-            out: list[str | int] = []
-            for part in self.parts.split(word):
-                out += [self.special[part]] if part in self.special else self.plain(part) if part else []
-            return out
-        return self.plain(word)
-
-    def plain(self, word: str) -> list[str]:
-        if _LATIN.fullmatch(word):
-            low = word.lower()
-            return [low] if low.isalpha() else _PIECES.findall(low)
-        found = self.pre.pre_tokenize_str(self.normalizer.normalize_str(word))
-        return [bytes(self.byte_of[c] for c in piece).decode("utf-8", "surrogateescape") for piece, _ in found]
-
-    def merge(self, words: list[str]) -> list[np.ndarray]:
-        """Token ids of each pre-token."""
+    def merge(self, words: list[str]) -> list[bytes]:
+        """Token ids of each pre-token, as little-endian 32-bit integers."""
         data = [w.encode("utf-8", "surrogateescape") for w in words]
         size = np.array([len(d) for d in data], np.int64)
         raw = np.frombuffer(b"".join(data), np.uint8)
@@ -118,27 +128,21 @@ class WordBpe:
         if not done:
             return []
         word, symbols = (np.concatenate([d[i] for d in done]) for i in (0, 1))
-        order = np.argsort(word, kind="stable")
-        count = np.bincount(word, minlength=len(words))
-        return np.split(symbols[order], np.cumsum(count)[:-1])
-
-    def learn(self, words: Iterable[str]) -> None:
-        """Puts the ids of new white-space words into the cache, as little-endian 32-bit integers."""
-        cuts = {w: self.cut(w) for w in words}
-        new = list({p for c in cuts.values() for p in c if isinstance(p, str) and p not in self.pieces})
-        self.pieces.update(zip(new, (ids.astype("<u4") for ids in self.merge(new)), strict=True))
-        for w, cut in cuts.items():
-            self.cache[w] = b"".join(self.pieces[p].tobytes() if isinstance(p, str) else p.to_bytes(4, "little") for p in cut)
+        flat = symbols[np.argsort(word, kind="stable")].astype("<u4").tobytes()
+        ends = np.cumsum(4 * np.bincount(word, minlength=len(words))).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def encode_bytes(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        split = [_SPLIT.split(t) if t else [] for t in texts]
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-            self.pieces.clear()
+        cut = [self.pieces(t) for t in texts]
         have = self.cache
-        self.learn({w for words in split for w in words if w not in have})
-        return [b"".join(map(have.__getitem__, words)) for words in split]
+        if len(have) > CACHE_WORDS:
+            have.clear()
+        if not have:
+            have.update((name, i.to_bytes(4, "little")) for name, i in self.special.items())
+        if new := list(set().union(*cut).difference(have)):
+            have.update(zip(new, self.merge(new), strict=True))
+        return [b"".join(map(have.__getitem__, pieces)) for pieces in cut]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         return [np.frombuffer(b, "<u4") for b in self.encode_bytes(texts)]
@@ -160,33 +164,43 @@ def codec(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
-    """Token ids of every whole text, as the tokenizers library encodes it without added special tokens.
+def _tokens(batches: Iterator[pa.RecordBatch], path: str, id_col: str, ids_col: str, decoded_col: str | None) -> Iterator[pa.RecordBatch]:
+    bpe = codec(path)
+    for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            part = batch.slice(at, SLICE)
+            data = bpe.encode_bytes(part.column(1).to_pylist())
+            ends = np.cumsum([0, *(len(d) // 4 for d in data)]).astype(np.int32)
+            flat = np.frombuffer(b"".join(data), "<i4")
+            out = {id_col: part.column(0), ids_col: pa.ListArray.from_arrays(ends, pa.array(flat, pa.int32()))}
+            if decoded_col:
+                out[decoded_col] = pa.array([bpe.decode(flat[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())
+            yield pa.record_batch(out)
 
-    Rows ``(doc_id, token_ids array<int>)``, one for each input row; a null or empty text has no ids. Ids may be null or
-    repeat; other columns are ignored; an empty table gives no rows. No shuffle: each task keeps a bounded word cache.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = codec(path)
-        for batch in batches:
-            for at in range(0, len(batch), SLICE):
-                part = batch.slice(at, SLICE)
-                data = bpe.encode_bytes(part.column(1).to_pylist())
-                ends = np.cumsum([0, *(len(d) // 4 for d in data)]).astype(np.int32)
-                flat = np.frombuffer(b"".join(data), "<i4")
-                yield pa.record_batch({id_col: part.column(0), ids_col: pa.ListArray.from_arrays(ends, pa.array(flat, pa.int32()))})
+def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", ids_col: str = "token_ids", decoded_col: str | None = None) -> DataFrame:
+    """Token ids of every whole text, as the tokenizers library encodes it without added special tokens.
 
+    Rows ``(doc_id, token_ids array<int>)``, one for each input row, and the text that the ids decode to where ``decoded_col`` names a
+    column for it. A null or empty text has no ids. Ids of documents may be null or repeat; other columns are ignored; an
+    empty table gives no rows. No shuffle: each task keeps a bounded word cache.
+    """
     one = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
-    return one.mapInArrow(run, f"`{id_col}` {one.schema[0].dataType.simpleString()}, `{ids_col}` array<int>")
+    more = f", `{decoded_col}` string" if decoded_col else ""
+    schema = f"`{id_col}` {one.schema[0].dataType.simpleString()}, `{ids_col}` array<int>{more}"
+    return one.mapInArrow(lambda batches: _tokens(batches, path, id_col, ids_col, decoded_col), schema)
 
 
 def bpe_decode(encoded: DataFrame, path: str, ids_col: str = "token_ids", text_col: str = "decoded") -> DataFrame:
     """The input rows with the decoded text of their ids beside them (null ids: empty)."""
 
-    @F.pandas_udf("string")
-    def decode(ids):  # noqa: ANN001, ANN202
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path)
-        return ids.map(lambda x: "" if x is None else bpe.decode(x.tolist()))
+        for batch in batches:
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
+                texts = [bpe.decode(x or []) for x in part.column(part.schema.get_field_index(ids_col)).to_pylist()]
+                yield part.append_column(text_col, pa.array(texts, pa.string()))
 
-    return encoded.withColumn(text_col, decode(F.col(ids_col)))
+    base = encoded.drop(text_col)
+    return base.mapInArrow(run, base.schema.add(text_col, "string"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from terraloom.llm.bpe import bpe_decode, bpe_encode
+from terraloom.llm.bpe import bpe_encode
 from terraloom.llm.embeddings import near_vectors
 from terraloom.llm.line_dedup import line_dedup
 from terraloom.llm.minhash import near_duplicates
@@ -38,9 +38,9 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe_encode(table(spark, sf_dir, "documents"), TOKENIZER)
+    encoded = bpe_encode(table(spark, sf_dir, "documents"), TOKENIZER, decoded_col="decoded")
     ids = F.array_join(F.col("token_ids").cast("array<string>"), " ")
-    return bpe_decode(encoded, TOKENIZER).select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return encoded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,11 +14,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from terraloom.llm.bpe import Cutter
+
 #: A task's word cache is emptied beyond so many entries; the results do not depend on it.
 CACHE_WORDS = 400_000
 SEGMENT_DOCS = 256
 RANK_BITS = 512  # one directory entry for so many bitmap bits
-_SPLIT = re.compile("[\x20\x09-\x0d]+")
 _HEAD = struct.Struct("<4sIIQ")
 
 
@@ -85,24 +86,26 @@ class Dac:
         return out
 
 
-def _library_ids(path: str, end_id: int):
-    """Encoder of texts to little-endian 32-bit ids by the tokenizers library, which sees each white-space word once: the
-    file's pre-tokeniser parts words at white space, so a text's ids are those of its words in turn."""
+@lru_cache(2)
+def library_encoder(path: str):
+    """Encoder of texts to little-endian 32-bit ids by the tokenizers library, to which each pre-token is handed once: a text's
+    ids are those of its pre-tokens in turn. The cache stays with the Python worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tok, have, end = Tokenizer.from_file(path), {}, end_id.to_bytes(4, "little")
+    cutter, tok, have = Cutter(path), Tokenizer.from_file(path), {}
     tok.no_truncation()
     tok.no_padding()
 
     def encode(texts: list[str | None]) -> list[bytes]:
-        split = [_SPLIT.split(t) if t else [] for t in texts]
+        cut = [cutter.pieces(t) for t in texts]
         if len(have) > CACHE_WORDS:
             have.clear()
-        new = list({w for words in split for w in words if w not in have})
-        for w, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            have[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(have.__getitem__, words)) + end for words in split]
+        new = list(set().union(*cut).difference(have))
+        plain = [p.encode("utf-8", "surrogateescape").decode("utf-8", "replace") for p in new]
+        for p, e in zip(new, tok.encode_batch_fast(plain, add_special_tokens=False), strict=True):
+            have[p] = np.array(e.ids, "<u4").tobytes()
+        return [b"".join(map(have.__getitem__, pieces)) for pieces in cut]
 
     return encode
 
@@ -117,11 +120,12 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, seq, before = _library_ids(tokenizer, end_id), TaskContext.get().partitionId(), 0, 0
+        encode, part, seq, before = library_encoder(tokenizer), TaskContext.get().partitionId(), 0, 0
+        end = end_id.to_bytes(4, "little")
         for batch in batches:
             for at in range(0, len(batch), SEGMENT_DOCS):
                 piece = batch.slice(at, SEGMENT_DOCS)
-                data = encode(piece.column(1).to_pylist())
+                data = [d + end for d in encode(piece.column(1).to_pylist())]
                 flat = np.frombuffer(b"".join(data), "<u4")
                 segment = Dac.of(flat, np.cumsum([len(d) // 4 for d in data])).dump()
                 ids = pa.ListArray.from_arrays(pa.array([0, len(piece)], pa.int32()), piece.column(0))
