@@ -173,6 +173,19 @@ def fit_crf(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS) -> Lin
     return LineCrf.fit([(np.frombuffer(r["x"], "<f4").reshape(-1, FEATURES).astype(np.float64), int(r["quality"])) for r in found])
 
 
+VERDICT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_share double, kept boolean"
+
+
+def _judged(texts: list[bytes], crf: LineCrf, least: float, hashes: WordHashes) -> dict[str, pa.Array]:
+    base = np.array([base_counts(t, hashes) for t in texts], np.int64).reshape(-1, 5)
+    lines = [lines_of(t) for t in texts]
+    paths = crf.labels([x for x, _ in lines])
+    share = np.array([float(n[p == 1].sum()) / max(1, int(n.sum())) for (_, n), p in zip(lines, paths, strict=True)])
+    failed = (base[:, 0] < 10) | (100 * base[:, 4] > 20 * base[:, 0])
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return {k: pa.array(base[:, i]) for i, k in enumerate(names)} | {"base_failed": pa.array(failed), "content_share": pa.array(share), "kept": pa.array(~failed & (share >= least))}
+
+
 def quality_rules(docs: DataFrame, crf: LineCrf, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts of the base rules, the content share by the CRF's line labels, and the verdict of every whole text.
 
@@ -188,15 +201,22 @@ def quality_rules(docs: DataFrame, crf: LineCrf, least: float = 0.5, id_col: str
             for at in range(0, len(batch), SLICE):
                 part = batch.slice(at, SLICE)
                 texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
-                base = np.array([base_counts(t, hashes) for t in texts], np.int64)
-                lines = [lines_of(t) for t in texts]
-                paths = crf.labels([x for x, _ in lines])
-                share = np.array([float(n[p == 1].sum()) / max(1, int(n.sum())) for (_, n), p in zip(lines, paths, strict=True)])
-                failed = (base[:, 0] < 10) | (100 * base[:, 4] > 20 * base[:, 0])
-                names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-                columns = {id_col: part.column(0)} | {k: pa.array(base[:, i]) for i, k in enumerate(names)}
-                yield pa.record_batch(columns | {"base_failed": pa.array(failed), "content_share": pa.array(share), "kept": pa.array(~failed & (share >= least))})
+                yield pa.record_batch({id_col: part.column(0)} | _judged(texts, crf, least, hashes))
 
     one = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
-    kind = one.schema[0].dataType.simpleString()
-    return one.mapInArrow(run, f"`{id_col}` {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_share double, kept boolean")
+    return one.mapInArrow(run, f"`{id_col}` {one.schema[0].dataType.simpleString()}, {VERDICT}")
+
+
+def good_documents(docs: DataFrame, crf: LineCrf, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The input rows, whole, whose text the quality rules keep."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            at_text = batch.schema.get_field_index(text_col)
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
+                texts = [t or b"" for t in part.column(at_text).cast(pa.binary()).to_pylist()]
+                yield part.filter(_judged(texts, crf, least, hashes)["kept"])
+
+    return docs.mapInArrow(run, docs.schema)

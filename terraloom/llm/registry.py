@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from terraloom.llm.bpe import bpe_encode
 from terraloom.llm.embeddings import near_vectors
+from terraloom.llm.licences import licences
 from terraloom.llm.line_dedup import line_dedup
 from terraloom.llm.minhash import near_duplicates
 from terraloom.llm.mixing import mixed
@@ -32,6 +34,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(docs).select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences(table(spark, sf_dir, "documents"))
+    names = F.array_join(F.array_sort(F.array_distinct("matches.licence")), ",")
+    return found.select("doc_id", F.size("matches").cast("long").alias("n_matches"), names.alias("licences"), F.array_max("matches.dice").alias("best_dice"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules(docs, fit_crf(docs, table(spark, sf_dir, "labels")))
@@ -99,8 +107,13 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_licences": op2_licences,
     "op3_quality": op3_quality,
     "op4_bpe": op4_bpe,
     "op5_token_files": op5_token_files,
@@ -109,5 +122,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embeddings": op8_embeddings,
     "op9_pii": op9_pii,
     "op10_minhash": op10_minhash,
+    "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL, "op7_warc": OP7_SQL}
