@@ -212,7 +212,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
 def _compared(one: DataFrame, group: DataFrame, k: int, percent: int) -> DataFrame:
     """Exact links within candidate groups, each group cut in blocks and every two blocks compared in a unit of their own."""
-    text = one.withColumnRenamed("doc_id", "rep").join(group, "rep").select("rep", "grp", "text")
+    # groups grow with the corpus: their texts come by a shuffle at every size, never by a broadcast that only small inputs allow
+    text = one.withColumnRenamed("doc_id", "rep").hint("merge").join(group, "rep").select("rep", "grp", "text")
     sets = saved(text.mapInArrow(_sets(k), "rep long, grp long, shingles binary"), "sets")
     blocks = group.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = sets.join(blocks, "grp").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
