@@ -10,3 +10,105 @@ def to_nanometres(spectra: DataFrame, key: str = "material_id", w: str = "w") ->
     """Wavelengths of a spectrum whose largest is below 100 are micrometres."""
     most = F.max(w).over(Window.partitionBy(key))
     return spectra.withColumn(w, F.when(most < 100, F.col(w) * 1000.0).otherwise(F.col(w)))
+
+
+def align_wavelengths(radiance: DataFrame, reference: DataFrame, by: str, value: str, fill: float | None = None, w: str = "w") -> DataFrame:
+    """Distinct (by, w) of the radiance with the reference interpolated there; out of range the fill, or null, which callers report.
+
+    An as-of join both ways over each series: the neighbours of a wavelength come from one ordered window.
+    """
+    want = radiance.select(by, w).distinct().withColumn("_want", F.lit(True))
+    both = want.join(reference.select(by, w, value), [by, w], "full_outer")
+    order = Window.partitionBy(by).orderBy(w)
+    known = F.when(F.col(value).isNotNull(), F.struct(F.col(w).alias("w"), F.col(value).alias("v")))
+    both = both.withColumn("_lo", F.last(known, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    both = both.withColumn("_hi", F.first(known, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing)))
+    lo, hi = F.col("_lo"), F.col("_hi")
+    line = lo["v"] + (F.col(w) - lo["w"]) * F.coalesce(F.try_divide(hi["v"] - lo["v"], hi["w"] - lo["w"]), F.lit(0.0))
+    inside = lo.isNotNull() & hi.isNotNull()
+    return both.where("_want").select(by, w, F.when(inside, line).otherwise(F.lit(fill).cast("double")).alias(value))
+
+
+#: Centres in nanometres of the four 10 m bands.
+BAND_CENTRES = [("b02", 490.0), ("b03", 560.0), ("b04", 665.0), ("b08", 842.0)]
+
+
+def interp_to_bands(spectra: DataFrame, key: str = "material_id", w: str = "w", value: str = "value") -> DataFrame:
+    """A row a material with its value at the band centres; a spectrum that does not span them is left out.
+
+    Wavelengths below 100 are micrometres. A spectrum of a single value (null wavelength) is the same in all bands.
+    """
+    s = to_nanometres(spectra, key, w)
+    order = Window.partitionBy(key).orderBy(w)
+    steps = s.where(F.col(w).isNotNull()).select(key, F.col(w).alias("lo"), F.col(value).alias("vlo"), F.lead(w).over(order).alias("hi"), F.lead(value).over(order).alias("vhi"))
+    bands = F.array(*(F.struct(F.lit(n).alias("band"), F.lit(c).alias("at")) for n, c in BAND_CENTRES))
+    at = steps.where("hi is not null").withColumn("b", F.explode(F.filter(bands, lambda b: (b["at"] >= F.col("lo")) & (b["at"] <= F.col("hi")))))
+    v = F.col("vlo") + (F.col("b.at") - F.col("lo")) * (F.col("vhi") - F.col("vlo")) / (F.col("hi") - F.col("lo"))
+    wide = at.groupBy(key).agg(*(F.max(F.when(F.col("b.band") == n, v)).alias(n) for n, _ in BAND_CENTRES))
+    wide = wide.where(" and ".join(f"{n} is not null" for n, _ in BAND_CENTRES))
+    flat = s.where(F.col(w).isNull()).select(key, *(F.col(value).alias(n) for n, _ in BAND_CENTRES))
+    return wide.unionByName(flat)
+
+
+def match_sam(clusters: DataFrame, library: DataFrame, max_degrees: float) -> DataFrame:
+    """Clusters (cluster, vector) with the library material (lib_pos, material_id, vector) of the smallest spectral angle.
+
+    Ties go to the first of the library; null beyond the limit. Clusters are a few a class; every one meets every material, in
+    parallel over the library, and the least is kept by an aggregate.
+    """
+    from terraloom.functions.projection import spectral_angle
+
+    few = clusters.select("cluster", F.col("vector").alias("_c"))
+    pairs = library.join(few).withColumn("angle", F.degrees(spectral_angle(F.col("_c"), F.col("vector"))))
+    best = pairs.where(~F.isnan("angle")).groupBy("cluster").agg(F.min(F.struct("angle", "lib_pos", "material_id")).alias("m"))
+    out = clusters.select("cluster").join(best, "cluster", "left")
+    near = F.col("m.angle") <= max_degrees
+    return out.select("cluster", F.when(near, F.col("m.material_id")).alias("material_id"), F.when(near, F.col("m.angle")).alias("angle"))
+
+
+def gaussian_srf(radiance: DataFrame, outputs: DataFrame, keys: list[str], value: str = "radiance", w: str = "w") -> DataFrame:
+    """Gaussian-weighted mean about each output wavelength (w_out, fwhm), weights times bin widths.
+
+    The normalised mean and the cut at 3 FWHM are our own definition. radiance: keys, w, bin_wmin, bin_wmax, value.
+    """
+    sigma = F.col("fwhm") / 2.3548200450309493
+    near = F.abs(F.col(w) - F.col("w_out")) <= 3 * F.col("fwhm")
+    j = radiance.join(F.broadcast(outputs), near)  # one row for each output band of a sensor
+    weight = F.exp(-0.5 * ((F.col(w) - F.col("w_out")) / sigma) ** 2) * (F.col("bin_wmax") - F.col("bin_wmin"))
+    return j.groupBy(*keys, "w_out").agg((F.sum(weight * F.col(value)) / F.sum(weight)).alias(value))
+
+
+def pick_channels(df: DataFrame, targets: list[float], keys: list[str], brightness: float = 1.0, value: str = "radiance", w: str = "w") -> DataFrame:
+    """Nearest wavelength to each target, scaled, clipped to 0..1, as 0..255; pixels without a value are white."""
+    axis = df.select(F.col(w).alias("_w")).distinct()
+    near = axis.agg(*(F.min(F.struct(F.abs(F.col("_w") - t), "_w"))["_w"].alias(f"_t{i}") for i, t in enumerate(targets)))
+    j = df.join(F.broadcast(near))  # one row
+    out = j.groupBy(*keys).agg(*(F.max(F.when(F.col(w) == F.col(f"_t{i}"), F.col(value))).alias(f"c{i}") for i in range(len(targets))))
+    byte = lambda c: F.coalesce(F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(c) * brightness)) * 255), F.lit(255)).cast("long")
+    return out.select(*keys, *(byte(f"c{i}").alias(f"c{i}") for i in range(len(targets))))
+
+
+def wavelength_grid(spark, first: float, last: float, step: float) -> DataFrame:  # noqa: ANN001
+    """Regular grid that keeps its end by half a step."""
+    n = int((last - first) / step + 0.5) + 1
+    return spark.range(n).select((F.lit(first) + F.col("id") * step).alias("w"))
+
+
+def check_spectra(spectra: DataFrame) -> DataFrame:
+    """Violations (material_id, rule) of value range, positive and rising wavelengths, and two points at least.
+
+    spectra: (material_id, pos, w, value).
+    """
+    order = Window.partitionBy("material_id").orderBy("pos")
+    s = spectra.withColumn("_before", F.lag("w").over(order))
+    rules = F.filter(
+        F.array(
+            F.when((F.col("value") < 0) | (F.col("value") > 1), "value outside 0..1"),
+            F.when(F.col("w") <= 0, "wavelength not positive"),
+            F.when(F.col("w") <= F.col("_before"), "wavelengths not rising"),
+        ),
+        lambda r: r.isNotNull(),
+    )
+    rows = s.select("material_id", F.explode(rules).alias("rule"))
+    short = spectra.groupBy("material_id").count().where("count < 2").select("material_id", F.lit("fewer than two points").alias("rule"))
+    return rows.unionByName(short).distinct()

@@ -188,16 +188,16 @@ def prj17(spark: SparkSession, d: str) -> DataFrame:
     "prj18_reflectance_factors",
     duckdb(
         "v_radiance",
-        then="SELECT sensor_id, w, x_index, y_index, round(radiance * pi() / (1.5 * cos(radians(30))), 6) AS brf, round(radiance * pi() / 1.5, 6) AS hdrf, round(radiance / 0.8, 6) AS bhr FROM v_radiance",
+        then="SELECT sensor_id, w, x_index, y_index, round(radiance * pi() / (1.5 * cos(radians(30))), 6) AS brf, round(radiance * pi() / 1.5, 6) AS hdrf, round(radiance / 0.83::DOUBLE, 6) AS bhr FROM v_radiance",
     ),
 )
 def prj18(spark: SparkSession, d: str) -> DataFrame:
     r, e = F.col("radiance"), F.lit(1.5)
-    return view(spark, d, "v_radiance").select("sensor_id", "w", "x_index", "y_index", *r6(brf=P.brf(r, e, F.lit(30.0)), hdrf=P.hdrf(r, e), bhr=P.bhr(r, F.lit(0.8))))
+    return view(spark, d, "v_radiance").select("sensor_id", "w", "x_index", "y_index", *r6(brf=P.brf(r, e, F.lit(30.0)), hdrf=P.hdrf(r, e), bhr=P.bhr(r, F.lit(0.83))))
 
 
 @query("prj22_instance_matrix", duckdb("v_points", then="""SELECT pid, round((cos(radians(x)) * cos(radians(5)) - sin(radians(x)) * cos(radians(y)) * sin(radians(5))) * 2, 6) AS m00, x AS m03,
-  round(-(cos(radians(x)) * sin(radians(y))) * 2, 6) AS m11, round(cos(radians(y)) * 2, 6) AS m21, round(-sin(radians(y)) * cos(radians(5)) * 2, 6) AS m22 FROM v_points"""))
+  round(-(cos(radians(x)) * sin(radians(y))) * 2, 6) + 0.0 AS m11, round(cos(radians(y)) * 2, 6) AS m21, round(-sin(radians(y)) * cos(radians(5)) * 2, 6) + 0.0 AS m22 FROM v_points"""))
 def prj22(spark: SparkSession, d: str) -> DataFrame:
     m = P.instance_matrix(F.col("x"), F.col("y"), F.col("value"), F.col("x"), F.lit(2.0), F.col("y"), F.lit(5.0))
     at = lambda i: F.get("m", F.lit(i))
@@ -210,10 +210,10 @@ def prj24(spark: SparkSession, d: str) -> DataFrame:
 
 
 _HEIGHT = """h AS (SELECT *, string_split(height, '+') AS parts FROM v_buildings),
-hh AS (SELECT *, list_filter(list_transform(parts, p -> CASE WHEN p LIKE 'HHT:%' THEN TRY_CAST(split_part(p, ':', 2) AS DOUBLE) END), v -> v IS NOT NULL)[1] AS a,
-  list_filter(list_transform(parts, p -> CASE WHEN p LIKE 'H:%' THEN TRY_CAST(split_part(p, ':', 2) AS DOUBLE) * 3 END), v -> v IS NOT NULL)[1] AS b,
-  list_filter(list_transform(parts, p -> CASE WHEN p LIKE 'HAPP:%' THEN TRY_CAST(split_part(p, ':', 2) AS DOUBLE) * 3 END), v -> v IS NOT NULL)[1] AS c,
-  list_filter(list_transform(parts, p -> CASE WHEN p LIKE 'HBET:%' THEN (TRY_CAST(split_part(split_part(p, ':', 2), '-', 1) AS DOUBLE) + TRY_CAST(split_part(split_part(p, ':', 2), '-', 2) AS DOUBLE)) / 2 * 3 END), v -> v IS NOT NULL)[1] AS e FROM h),
+hh AS (SELECT *, list_filter(list_transform(parts, lambda p: CASE WHEN p LIKE 'HHT:%' THEN TRY_CAST(split_part(p, ':', 2) AS DOUBLE) END), lambda v: v IS NOT NULL)[1] AS a,
+  list_filter(list_transform(parts, lambda p: CASE WHEN p LIKE 'H:%' THEN TRY_CAST(split_part(p, ':', 2) AS DOUBLE) * 3 END), lambda v: v IS NOT NULL)[1] AS b,
+  list_filter(list_transform(parts, lambda p: CASE WHEN p LIKE 'HAPP:%' THEN TRY_CAST(split_part(p, ':', 2) AS DOUBLE) * 3 END), lambda v: v IS NOT NULL)[1] AS c,
+  list_filter(list_transform(parts, lambda p: CASE WHEN p LIKE 'HBET:%' THEN (TRY_CAST(split_part(split_part(p, ':', 2), '-', 1) AS DOUBLE) + TRY_CAST(split_part(split_part(p, ':', 2), '-', 2) AS DOUBLE)) / 2 * 3 END), lambda v: v IS NOT NULL)[1] AS e FROM h),
 hm AS (SELECT *, coalesce(a, b, c, e, 3.0) AS height_m, coalesce(a, b, c, e) IS NOT NULL AS parsed FROM hh)"""
 
 
