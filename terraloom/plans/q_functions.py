@@ -113,12 +113,12 @@ def prj10(spark: SparkSession, d: str) -> DataFrame:
     return view(spark, d, "v_points").select("pid", *r6(reflectance=P.dn_to_reflectance(F.col("value") * 40)))
 
 
-_TEMP = "26 - 0.62 * 45.0 + (3.0 + 35.0 * (15.0 / 50.0)) * cos((355 - 172) * (2 * pi() / 365)) - 0.0095 * (elevation - 1900 + 1900 * 0.86)"
+_TEMP = "26 - 0.62 * 45.0 + (3.0 + 35.0 * (15.0 / 50.0)) * cos((355 - 172) * (2 * pi() / 365)) - 0.0095 * (elevation - 1900)"
 
 
 def _cold(spark: SparkSession, d: str) -> DataFrame:
     dem = view(spark, d, "v_dem")
-    return dem.withColumn("t", P.season_temperature(F.lit(45.0), F.col("elevation") - 1900 + 1900 * 0.86, P.MONTH_DAYS["December"]))
+    return dem.withColumn("t", P.season_temperature(F.lit(45.0), F.col("elevation") - 1900, P.MONTH_DAYS["December"]))
 
 
 @query("prj11_season_temperature", duckdb("v_dem", then=f"SELECT ix, iy, round({_TEMP}, 6) AS t FROM v_dem"))
