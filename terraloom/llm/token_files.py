@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from terraloom.llm.bpe import Cutter
 
 #: A task's word cache is emptied beyond so many entries; the results do not depend on it.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 SEGMENT_DOCS = 256
 RANK_BITS = 512  # one directory entry for so many bitmap bits
 _HEAD = struct.Struct("<4sIIQ")
@@ -97,14 +97,25 @@ def library_encoder(path: str):
     tok.no_truncation()
     tok.no_padding()
 
+    def learn(new: list[str]) -> None:
+        # one call for many: white space parts them again, and each token tells the pre-token that it is of
+        plain = [p.encode("utf-8", "surrogateescape").decode("utf-8", "replace") for p in new]
+        whole = tok.encode(" ".join(plain), add_special_tokens=False)
+        count = np.bincount(np.array(whole.word_ids, np.int64), minlength=len(new)) if whole.ids and None not in whole.word_ids else np.zeros(0)
+        if len(count) == len(new) and count.all():
+            flat, ends = np.array(whole.ids, "<u4").tobytes(), np.cumsum(4 * count).tolist()
+            have.update((p, flat[a:b]) for p, a, b in zip(new, [0, *ends], ends, strict=False))
+            return
+        for p, e in zip(new, tok.encode_batch_fast(plain, add_special_tokens=False), strict=True):
+            have[p] = np.array(e.ids, "<u4").tobytes()
+
     def encode(texts: list[str | None]) -> list[bytes]:
         cut = [cutter.pieces(t) for t in texts]
         if len(have) > CACHE_WORDS:
             have.clear()
         new = list(set().union(*cut).difference(have))
-        plain = [p.encode("utf-8", "surrogateescape").decode("utf-8", "replace") for p in new]
-        for p, e in zip(new, tok.encode_batch_fast(plain, add_special_tokens=False), strict=True):
-            have[p] = np.array(e.ids, "<u4").tobytes()
+        for at in range(0, len(new), 4096):
+            learn(new[at : at + 4096])
         return [b"".join(map(have.__getitem__, pieces)) for pieces in cut]
 
     return encode
