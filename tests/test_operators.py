@@ -159,7 +159,7 @@ def test_line_that_comes_back_falls_in_pieces(spark):
 
 
 def test_roads_end_flat(spark):
-    pts = spark.createDataFrame([(1, 5.0, 0.9), (2, 10.4, 0.0), (3, 11.2, 0.0), (4, 10.4, 1.3)], "pid long, x double, y double")
+    pts = spark.createDataFrame([(1, 5.0, 0.9), (2, 10.4, 0.0), (3, 11.2, 0.0), (4, 10.4, 1.2)], "pid long, x double, y double")
     seg = spark.createDataFrame([(0.0, 0.0, 10.0, 0.0, 2.0)], "x1 double, y1 double, x2 double, y2 double, width_m double")
     assert sorted(r.pid for r in J.exclude_roads(pts, seg, 0.5, 4.0).collect()) == [3]
     assert J.exclude_roads(pts, seg, 0.5, 4.0, enabled=False).count() == 4
