@@ -19,7 +19,7 @@ def words(text: Column) -> Column:
 def _levels(docs: DataFrame) -> DataFrame:
     """One row: for every hash bucket the logarithm of the count of its words over all texts, in eighths of a doubling."""
     spark = docs.sparkSession
-    seen = docs.select(F.explode(words(F.col("text"))).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("bucket")).count()
+    seen = docs.select(F.explode(F.split(F.translate("text", "\t\n\x0b\x0c\r", "     "), " ")).alias("w")).where("w != ''").groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("bucket")).count()
     all_ = spark.range(BUCKETS).withColumnRenamed("id", "bucket").join(seen, "bucket", "left")
     level = F.least(F.lit(126), F.floor(8 * F.log2(F.coalesce("count", F.lit(0)) + 1) / 4)).cast("tinyint")
     rows = all_.groupBy().agg(F.sort_array(F.collect_list(F.struct("bucket", level.alias("level")))).alias("rows"))
@@ -29,12 +29,11 @@ def _levels(docs: DataFrame) -> DataFrame:
 def _sets(line: Column, levels: Column) -> Column:
     """Sorted distinct token keys of a line: rarity level above, 56 bits of the word's hash below."""
 
-    def key(w: Column) -> Column:
-        h = F.xxhash64(w)
+    def key(h: Column) -> Column:
         level = F.get(levels, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long")
         return F.shiftleft(level, 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
 
-    return F.sort_array(F.array_distinct(F.transform(words(line), key)))
+    return F.sort_array(F.array_distinct(F.transform(F.transform(words(line), lambda w: F.xxhash64(w)), key)))
 
 
 def _need(n: Column, percent: int) -> Column:
@@ -77,18 +76,38 @@ def _candidates(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     return a.join(b, on).select("a.doc_id", "a.pos", F.col("b.doc_id").alias("doc_b"), F.col("b.pos").alias("pos_b"), differ.alias("differ"))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Distinct later lines (doc_id, pos) of the pairs whose sets reach the limit."""
-    pairs = saved(pairs.select("doc_id", "pos", "doc_b", "pos_b").distinct(), "pairs")
-    ends = pairs.select("doc_id", "pos").unionByName(pairs.select(F.col("doc_b").alias("doc_id"), F.col("pos_b").alias("pos"))).distinct()
-    wanted = ends.groupBy("doc_id").agg(F.collect_list("pos").alias("places"))  # at most the lines of one document
+def _word_sets(lines: DataFrame, docs: DataFrame) -> DataFrame:
+    """Word sets of lines (doc_id, pos) by 64-bit hashes, with size and 256 parity bits."""
+    wanted = lines.groupBy("doc_id").agg(F.collect_set("pos").alias("places"))  # at most the lines of one document
     # the texts meet their places by a shuffle at every size: what is wanted grows with the corpus
     text = docs.hint("merge").join(wanted, "doc_id").select("doc_id", F.explode("places").alias("pos"), F.split("text", "\n").alias("lines"))
-    sets = saved(text.select("doc_id", "pos", F.array_distinct(F.transform(words(F.get("lines", "pos")), lambda w: F.xxhash64(w))).alias("s")), "linesets")
-    a = pairs.join(sets.withColumnRenamed("s", "sa"), ["doc_id", "pos"])
-    both = a.join(sets.select(F.col("doc_id").alias("doc_b"), F.col("pos").alias("pos_b"), F.col("s").alias("sb")), ["doc_b", "pos_b"])
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("doc_id", "pos").distinct()
+    sets = text.select("doc_id", "pos", F.array_distinct(F.transform(words(F.get("lines", "pos")), lambda w: F.xxhash64(w))).alias("s"))
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
+    lane = lambda t: F.call_function("shiftrightunsigned", t, F.lit(62))
+
+    def parity(k: int) -> Column:
+        return F.aggregate("s", F.lit(0).cast("long"), lambda x, t: F.when(lane(t) == k, x.bitwiseXOR(bit(t))).otherwise(x)).alias(f"b{k}")
+
+    return saved(sets.select("doc_id", "pos", "s", F.size("s").alias("n"), *map(parity, range(4))), "linesets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct later lines (doc_id, pos) of the pairs whose sets reach the limit: first by parity bits, then exactly."""
+    bits = ["n", "b0", "b1", "b2", "b3"]
+
+    def joined(df: DataFrame, columns: list[str]) -> DataFrame:
+        a = sets.select("doc_id", "pos", *(F.col(c).alias(f"{c}_a") for c in columns))
+        b = sets.select(F.col("doc_id").alias("doc_b"), F.col("pos").alias("pos_b"), *(F.col(c).alias(f"{c}_b") for c in columns))
+        return df.join(a, ["doc_id", "pos"]).join(b, ["doc_b", "pos_b"])
+
+    both = F.col("n_a") + F.col("n_b")
+    least = F.ceil(both * percent / float(100 + percent) - 1e-9)
+    differ = sum((F.bit_count(F.col(f"b{k}_a").bitwiseXOR(F.col(f"b{k}_b"))) for k in range(1, 4)), F.bit_count(F.col("b0_a").bitwiseXOR(F.col("b0_b"))))
+    pairs = pairs.select("doc_id", "pos", "doc_b", "pos_b").distinct()
+    likely = saved(joined(pairs, bits).where(differ <= both - 2 * least).select("doc_id", "pos", "doc_b", "pos_b"), "pairs")
+    common = F.size(F.array_intersect("s_a", "s_b"))
+    exact = joined(likely, ["s"]).where(common * 100 >= (F.size("s_a") + F.size("s_b") - common) * percent)
+    return exact.select("doc_id", "pos").distinct()
 
 
 def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -107,39 +126,47 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     cells = sets.select(F.col("at.doc_id").alias("doc_id"), F.col("at.pos").alias("pos"), "n", "bits", F.posexplode("prefix").alias("i", "tok")).withColumn("i", F.col("i") + 1)
     cells = cells.repartition("tok")
     shared = cells.groupBy("tok").agg(F.count("*").alias("size"), F.min(F.struct("doc_id", "pos", "n", "bits", "i")).alias("head")).where("size > 1")
-    tokens = saved(cells.join(shared.select("tok", "size", "head"), "tok"), "tokens")
+    tokens = cells.join(shared.select("tok", "size", "head"), "tok")
+    # one shuffle by token serves counts, leaders and both sides of the join; hot rows leave in the same write
+    plain = ["doc_id", "pos", "doc_b", "pos_b", "differ"]
     small = tokens.where(f"size <= {SMALL}").drop("size", "head")
-    hot = tokens.where(f"size > {SMALL}")
+    hot_row = F.struct("tok", "doc_id", "pos", "n", "bits", "i", "head")
+    left_over = tokens.where(f"size > {SMALL}").select(*(F.lit(None).cast(t).alias(c) for c, t in zip(plain, ("long", "int", "long", "int", "int"), strict=True)), hot_row.alias("hot"))
+    close = _candidates(small, small, percent).distinct()
+    found = saved(close.withColumn("differ", F.col("differ").cast("int")).withColumn("hot", F.lit(None).cast(left_over.schema["hot"].dataType)).unionByName(left_over), "candidates")
+    near, hot = found.where("hot is null").drop("hot"), found.where("hot is not null").select("hot.*")
     heads = hot.groupBy("tok").agg(F.first("head").alias("head")).select("tok", "head.*")
-    near = saved(_candidates(small, small, percent).distinct(), "near")
-    stars = _candidates(hot.drop("size", "head"), heads, percent)
+    hot = hot.drop("head")
+    ends = near.select("doc_id", "pos").unionByName(near.select(F.col("doc_b").alias("doc_id"), F.col("pos_b").alias("pos"))).unionByName(hot.select("doc_id", "pos"))
+    words_of = _word_sets(ends.distinct(), one)
+    stars = _candidates(hot, heads, percent)
     best = near.unionByName(stars).groupBy("doc_id", "pos").agg(F.min(F.struct("differ", "doc_b", "pos_b")).alias("b")).select("doc_id", "pos", "b.doc_b", "b.pos_b")
-    done = saved(_verified(best, one, percent), "matched")
+    done = saved(_verified(best, words_of, percent), "matched")
     rest = near.join(done, ["doc_id", "pos"], "left_anti").drop("differ")
-    open_ = hot.drop("size", "head").join(done, ["doc_id", "pos"], "left_anti")
-    rest = rest.unionByName(_candidates(open_, hot.drop("size", "head"), percent).drop("differ"))
-    later = _verified(rest, one, percent)
+    open_ = hot.join(done, ["doc_id", "pos"], "left_anti")
+    rest = rest.unionByName(_candidates(open_, hot, percent).drop("differ"))
+    later = _verified(rest, words_of, percent)
     copies = rows.join(sets.where("size > 1").select("f1", "f2", "at"), ["f1", "f2"]).where("not (doc_id = at.doc_id and pos = at.pos)").select("doc_id", "pos")
     return copies.unionByName(done).unionByName(later).distinct()
 
 
 def line_dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The input rows with repeated lines taken out of ``text``, and ``n_lines`` (with words) and ``n_removed`` beside them.
+    """The input rows with repeated lines taken out of ``text``, and beside it ``n_lines`` (with words), ``n_removed`` and ``removed`` (their places).
 
     Lines without words never match and stay; a null text stays null with no lines, as does a row with a null id. Rows that repeat an id
     count as one document whose lines are those of any of them: of equal rows the lines match only what stands earlier.
-    Other columns pass through, those named ``n_lines`` and ``n_removed`` are replaced; an empty table gives no rows.
+    Other columns pass through, those named like the new ones are replaced; an empty table gives no rows.
     """
     gone = saved(repeated_lines(docs, percent), "removed").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list("pos").alias("_gone"))
-    base = docs.drop("n_lines", "n_removed")
+    counted = F.size(F.filter(F.split(F.col("text").cast("string"), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    base = docs.drop("n_lines", "n_removed", "removed").withColumn("n_lines", F.coalesce(counted, F.lit(0)).cast("long"))
     joined = base.join(gone, base["doc_id"].cast("long") == F.col("_doc"), "left")
     lines = F.split(F.col("text").cast("string"), "\n")
     left = F.filter(lines, lambda x, i: ~F.array_contains(F.coalesce("_gone", F.array().cast("array<int>")), i))
-    counted = F.size(F.filter(lines, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     return joined.withColumns(
         {
-            "n_lines": F.coalesce(counted, F.lit(0)).cast("long"),
             "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
+            "removed": F.coalesce(F.array_sort("_gone"), F.array().cast("array<int>")),
             "text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")),
         }
     ).drop("_doc", "_gone")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: Word caches of a task are emptied beyond so many entries; the results do not depend on it.
 CACHE_WORDS = 400_000
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,10 +32,19 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: cuts the lineage and survives lost executors."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written to the shared folder and read again: cuts the lineage and survives lost executors.
+
+    The shuffle files of the write go as soon as it has ended, by Spark's own setting: nothing reads them again.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 class WordHashes(dict):
