@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A task's word cache is emptied beyond so many entries; the results do not depend on it.
 CACHE_WORDS = 250_000
@@ -39,11 +40,20 @@ class Cutter:
         """Pre-tokens in turn, special tokens as their names (no pre-token is like them: it never mixes letters with signs)."""
         if not text:
             return []
-        if "<|" not in text and _LATIN.fullmatch(text):
+        if self.plain(text):
             return _PIECES.findall(text.lower())
         # the file's pre-tokeniser parts words at white space, so each can be cut alone
         return [p for word in _SPLIT.split(text) for p in self._word(word)]
 
+    @staticmethod
+    def plain(text: str) -> bool:
+        """Whether the pattern cuts the text as the file does."""
+        return "<|" not in text and _LATIN.fullmatch(text) is not None
+
+    @staticmethod
+    def words(text: str) -> list[str]:
+        return [w for w in _SPLIT.split(text) if w]
+
     def _word(self, word: str) -> list[str]:
         if "<|" in word:
             return [p for part in self.parts.split(word) for p in ([part] if part in self.special else self._plain(part))]
@@ -203,4 +213,4 @@ def bpe_decode(encoded: DataFrame, path: str, ids_col: str = "token_ids", text_c
                 yield part.append_column(text_col, pa.array(texts, pa.string()))
 
     base = encoded.drop(text_col)
-    return base.mapInArrow(run, base.schema.add(text_col, "string"))
+    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(text_col, T.StringType())]))

@@ -89,7 +89,7 @@ class Dac:
 @lru_cache(2)
 def library_encoder(path: str):
     """Encoder of texts to little-endian 32-bit ids by the tokenizers library, to which each pre-token is handed once: a text's
-    ids are those of its pre-tokens in turn. The cache stays with the Python worker."""
+    ids are those of its pre-tokens, or of its words, in turn. The cache stays with the Python worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -99,24 +99,26 @@ def library_encoder(path: str):
 
     def learn(new: list[str]) -> None:
         # one call for many: white space parts them again, and each token tells the pre-token that it is of
-        plain = [p.encode("utf-8", "surrogateescape").decode("utf-8", "replace") for p in new]
-        whole = tok.encode(" ".join(plain), add_special_tokens=False)
-        count = np.bincount(np.array(whole.word_ids, np.int64), minlength=len(new)) if whole.ids and None not in whole.word_ids else np.zeros(0)
-        if len(count) == len(new) and count.all():
-            flat, ends = np.array(whole.ids, "<u4").tobytes(), np.cumsum(4 * count).tolist()
-            have.update((p, flat[a:b]) for p, a, b in zip(new, [0, *ends], ends, strict=False))
-            return
-        for p, e in zip(new, tok.encode_batch_fast(plain, add_special_tokens=False), strict=True):
-            have[p] = np.array(e.ids, "<u4").tobytes()
+        whole = tok.encode(" ".join(new), add_special_tokens=False)
+        count = np.bincount(np.array(whole.word_ids, np.int64), minlength=len(new))
+        if len(count) != len(new) or not count.all():
+            raise ValueError("the library parts pre-tokens otherwise")
+        flat, ends = np.array(whole.ids, "<u4").tobytes(), np.cumsum(4 * count).tolist()
+        have.update((p, flat[a:b]) for p, a, b in zip(new, [0, *ends], ends, strict=False))
 
     def encode(texts: list[str | None]) -> list[bytes]:
-        cut = [cutter.pieces(t) for t in texts]
+        """Latin texts by pre-tokens; others by white-space words, which the library normalises and cuts itself."""
+        plain = [not t or cutter.plain(t) for t in texts]
+        cut = [(cutter.pieces(t) if p else cutter.words(t)) for t, p in zip(texts, plain, strict=True)]
         if len(have) > CACHE_WORDS:
             have.clear()
-        new = list(set().union(*cut).difference(have))
+        new = list(set().union(*(c for c, p in zip(cut, plain, strict=True) if p)).difference(have))
         for at in range(0, len(new), 4096):
             learn(new[at : at + 4096])
-        return [b"".join(map(have.__getitem__, pieces)) for pieces in cut]
+        new = list(set().union(*(c for c, p in zip(cut, plain, strict=True) if not p)).difference(have))
+        for w, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            have[w] = np.array(e.ids, "<u4").tobytes()
+        return [b"".join(map(have.__getitem__, units)) for units in cut]
 
     return encode
 
