@@ -124,12 +124,15 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     first = F.min(F.struct("doc_id", "pos")).alias("at")
     sets = rows.groupBy("f1", "f2").agg(first, F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"), F.count("*").alias("size"))
     cells = sets.select(F.col("at.doc_id").alias("doc_id"), F.col("at.pos").alias("pos"), "n", "bits", F.posexplode("prefix").alias("i", "tok")).withColumn("i", F.col("i") + 1)
-    cells = cells.repartition("tok")
+    # never null: else each use would push null checks of its own below the shuffle and so need another one
+    zero = {"doc_id": 0, "pos": 0, "n": 0, "bits": 0, "i": 0, "tok": 0}
+    cells = cells.select(*(F.coalesce(c, F.lit(v).cast(cells.schema[c].dataType)).alias(c) for c, v in zero.items())).repartition("tok")
     shared = cells.groupBy("tok").agg(F.count("*").alias("size"), F.min(F.struct("doc_id", "pos", "n", "bits", "i")).alias("head")).where("size > 1")
     tokens = cells.join(shared.select("tok", "size", "head"), "tok")
     # one shuffle by token serves counts, leaders and both sides of the join; hot rows leave in the same write
     plain = ["doc_id", "pos", "doc_b", "pos_b", "differ"]
-    small = tokens.where(f"size <= {SMALL}").drop("size", "head")
+    # that the head is asked for (it always holds) keeps this use of the counts, and so their shuffle, the same as that of the hot rows
+    small = tokens.where(f"size <= {SMALL} and head.i > 0").drop("size", "head")
     hot_row = F.struct("tok", "doc_id", "pos", "n", "bits", "i", "head")
     left_over = tokens.where(f"size > {SMALL}").select(*(F.lit(None).cast(t).alias(c) for c, t in zip(plain, ("long", "int", "long", "int", "int"), strict=True)), hot_row.alias("hot"))
     close = _candidates(small, small, percent).distinct()
