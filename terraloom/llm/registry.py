@@ -74,7 +74,8 @@ def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data(table(spark, sf_dir, "documents"), fresh_path(spark, "pii"))
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
+    counts = [F.size(F.array_compact(F.transform(base, lambda s: F.nullif(s["kind"] == F.lit(kind), F.lit(False))))) for kind in range(4)]
+    counts = [n.cast("long").alias(f"n_{KINDS[kind]}") for kind, n in enumerate(counts)]
     return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 

@@ -50,7 +50,7 @@ def test_equals_sql(spark, name):
         con.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{path}'")
     got, want = QUERIES[name](spark, FOLDER).toPandas(), con.execute(ORACLES[name]).df()
     columns = sorted(got.columns)
-    plain = lambda v: "~" if v is None or v != v or str(v) == "<NA>" else f"{float(v):.9g}" if isinstance(v, (int, float, np.number)) else str(v)
+    plain = lambda v: "~" if v is None or str(v) in ("<NA>", "nan", "None") else f"{float(v):.9g}" if isinstance(v, (int, float, np.number)) else str(v)
     table = lambda f: sorted(tuple(map(plain, r)) for r in f[columns].itertuples(index=False))
     assert columns == sorted(want.columns) and table(got) == table(want)
 
@@ -119,7 +119,9 @@ def test_mixing_comes_near_its_targets(spark):
     out = QUERIES["op6_mixing"](spark, "/root/testdata/sf0.1").toPandas()
     out["source"] = out.target.rank(method="dense")
     for _, g in out.groupby("source"):
-        assert abs(g.taken.sum() - g.target.iloc[0]) <= 0.15 * g.target.iloc[0]
+        rate = g.target.iloc[0] / g["size"].sum()
+        spread = float((g["size"] ** 2).sum() * (rate % 1) * (1 - rate % 1)) ** 0.5  # deviation of independent draws
+        assert abs(g.taken.sum() - g.target.iloc[0]) <= 4 * spread + 1
     assert (out.taken <= 2 * out["size"]).all()
     sources = out.drop_duplicates("source")
     assert sources.target.sum() == pytest.approx(1.5 * sources.source_size.sum())
