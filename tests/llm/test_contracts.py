@@ -117,13 +117,12 @@ def test_bpe_and_token_files(spark, docs):
 
 def test_mixing_comes_near_its_targets(spark):
     out = QUERIES["op6_mixing"](spark, "/root/testdata/sf0.1").toPandas()
-    out["source"] = out.target.rank(method="dense")
-    for _, g in out.groupby("source"):
+    for _, g in out.groupby("source_size"):
         rate = g.target.iloc[0] / g["size"].sum()
         spread = float((g["size"] ** 2).sum() * (rate % 1) * (1 - rate % 1)) ** 0.5  # deviation of independent draws
         assert abs(g.taken.sum() - g.target.iloc[0]) <= 4 * spread + 1
     assert (out.taken <= 2 * out["size"]).all()
-    sources = out.drop_duplicates("source")
+    sources = out.drop_duplicates("source_size")
     assert sources.target.sum() == pytest.approx(1.5 * sources.source_size.sum())
     assert (sources.target <= 2 * sources.source_size + 1e-6).all()
 
