@@ -20,7 +20,7 @@ def db():
 
 
 def plain(value):
-    if value is None or value != value or str(value) in ("NaT", "<NA>"):
+    if value is None or str(value) in ("nan", "NaN", "NaT", "<NA>"):
         return "~"
     if isinstance(value, bool) or str(value) in ("True", "False"):
         return str(bool(value))
