@@ -91,9 +91,15 @@ def _word_sets(lines: DataFrame, docs: DataFrame) -> DataFrame:
     return saved(sets.select("doc_id", "pos", "s", F.size("s").alias("n"), *map(parity, range(4))), "linesets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct later lines (doc_id, pos) of the pairs whose sets reach the limit: first by parity bits, then exactly."""
+def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Distinct later lines (doc_id, pos) of the pairs whose sets reach the limit: first by parity bits, then exactly.
+
+    Only lines of these pairs are fetched.
+    """
     bits = ["n", "b0", "b1", "b2", "b3"]
+    pairs = saved(pairs.select("doc_id", "pos", "doc_b", "pos_b").distinct(), "near")
+    ends = pairs.select("doc_id", "pos").unionByName(pairs.select(F.col("doc_b").alias("doc_id"), F.col("pos_b").alias("pos")))
+    sets = _word_sets(ends, docs)
 
     def joined(df: DataFrame, columns: list[str]) -> DataFrame:
         a = sets.select("doc_id", "pos", *(F.col(c).alias(f"{c}_a") for c in columns))
@@ -103,7 +109,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     both = F.col("n_a") + F.col("n_b")
     least = F.ceil(both * percent / float(100 + percent) - 1e-9)
     differ = sum((F.bit_count(F.col(f"b{k}_a").bitwiseXOR(F.col(f"b{k}_b"))) for k in range(1, 4)), F.bit_count(F.col("b0_a").bitwiseXOR(F.col("b0_b"))))
-    pairs = pairs.select("doc_id", "pos", "doc_b", "pos_b").distinct()
     likely = saved(joined(pairs, bits).where(differ <= both - 2 * least).select("doc_id", "pos", "doc_b", "pos_b"), "pairs")
     common = F.size(F.array_intersect("s_a", "s_b"))
     exact = joined(likely, ["s"]).where(common * 100 >= (F.size("s_a") + F.size("s_b") - common) * percent)
@@ -140,15 +145,13 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     near, hot = found.where("hot is null").drop("hot"), found.where("hot is not null").select("hot.*")
     heads = hot.groupBy("tok").agg(F.first("head").alias("head")).select("tok", "head.*")
     hot = hot.drop("head")
-    ends = near.select("doc_id", "pos").unionByName(near.select(F.col("doc_b").alias("doc_id"), F.col("pos_b").alias("pos"))).unionByName(hot.select("doc_id", "pos"))
-    words_of = _word_sets(ends.distinct(), one)
     stars = _candidates(hot, heads, percent)
     best = near.unionByName(stars).groupBy("doc_id", "pos").agg(F.min(F.struct("differ", "doc_b", "pos_b")).alias("b")).select("doc_id", "pos", "b.doc_b", "b.pos_b")
-    done = saved(_verified(best, words_of, percent), "matched")
+    done = saved(_verified(best, one, percent), "matched")
     rest = near.join(done, ["doc_id", "pos"], "left_anti").drop("differ")
     open_ = hot.join(done, ["doc_id", "pos"], "left_anti")
     rest = rest.unionByName(_candidates(open_, hot, percent).drop("differ"))
-    later = _verified(rest, words_of, percent)
+    later = _verified(rest, one, percent)
     copies = rows.join(sets.where("size > 1").select("f1", "f2", "at"), ["f1", "f2"]).where("not (doc_id = at.doc_id and pos = at.pos)").select("doc_id", "pos")
     return copies.unionByName(done).unionByName(later).distinct()
 
