@@ -109,12 +109,21 @@ def flt10(spark: SparkSession, d: str) -> DataFrame:
     return good.agg(F.count("*").alias("kept")).join(bad)
 
 
-@query("flt11_circular_fov", duckdb("v_radiance", then="SELECT sensor_id, w, x_index, y_index, CASE WHEN sqrt((x_index - 3.5) ** 2 + (y_index - 3.5) ** 2) <= 4 THEN radiance END AS radiance FROM v_radiance WHERE sensor_id <= 20"))
-def flt11(spark: SparkSession, d: str) -> DataFrame:
-    r = view(spark, d, "v_radiance").where("sensor_id <= 20").withColumn("film", F.lit(1))
+_FOV = "SELECT sensor_id, w, x_index, y_index, CASE WHEN sqrt((x_index - 3.5) ** 2 + (y_index - 3.5) ** 2) <= 4 THEN radiance END AS radiance FROM v_radiance WHERE sensor_id <= 20"
+
+
+@query("flt11_circular_fov", duckdb("v_radiance", then=_FOV))
+def flt11(spark: SparkSession, d: str, rows: str = "sensor_id <= 20") -> DataFrame:
+    r = view(spark, d, "v_radiance").where(rows).withColumn("film", F.lit(1))
     return O.circular_fov(r, ["film"]).select("sensor_id", "w", "x_index", "y_index", "radiance")
 
 
+@query("flt11_circular_fov_whole", duckdb("v_radiance", then=_FOV.replace(" WHERE sensor_id <= 20", "")))
+def flt11_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The films of every sensor."""
+    return flt11(spark, d, "true")
+
+
 @query("flt12_cover_filter", duckdb("v_landcover", then="SELECT ix, iy, class FROM v_landcover WHERE class IN (10, 30)"))
 def flt12(spark: SparkSession, d: str) -> DataFrame:
     return O.cover_filter(view(spark, d, "v_landcover"), [10, 30])

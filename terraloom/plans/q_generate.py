@@ -89,14 +89,23 @@ def gen7(spark: SparkSession, d: str) -> DataFrame:
     return out.select("way_id", "piece", "seg", *r6(**{c: F.col(c) for c in ("cx1", "cy1", "cx2", "cy2")}))
 
 
-@query("gen8_rasterize_roads", duckdb("v_ways", then="""WITH r AS (SELECT way_id % 5 AS layer, x1, y1, x2, y2, sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS n, 0.1501 AS h FROM v_ways WHERE way_id % 11 = 0),
+_ROADS = """WITH r AS (SELECT way_id % 5 AS layer, x1, y1, x2, y2, sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS n, 0.1501 AS h FROM v_ways WHERE way_id % 11 = 0),
 s AS (SELECT *, (x2 - x1) / n AS ux, (y2 - y1) / n AS uy, n / 2 AS l, (x1 + x2) / 2 AS mx, (y1 + y2) / 2 AS my FROM r), p AS (SELECT *, i + 0.5 - mx AS qx, j + 0.5 - my AS qy FROM s, range(64) a(i), range(64) b(j))
-SELECT i AS ix, j AS iy, max(layer) AS layer FROM p WHERE abs(qx * ux + qy * uy) <= l + 0.5 * (abs(ux) + abs(uy)) AND abs(qy * ux - qx * uy) <= h + 0.5 * (abs(ux) + abs(uy)) AND abs(qx) <= l * abs(ux) + h * abs(uy) + 0.5 AND abs(qy) <= l * abs(uy) + h * abs(ux) + 0.5 GROUP BY 1, 2"""))
-def gen8(spark: SparkSession, d: str) -> DataFrame:
-    w = view(spark, d, "v_ways").where("way_id % 11 = 0").select("x1", "y1", "x2", "y2", F.lit(0.3002).alias("width_m"), (F.col("way_id") % 5).alias("layer"))
+SELECT i AS ix, j AS iy, max(layer) AS layer FROM p WHERE abs(qx * ux + qy * uy) <= l + 0.5 * (abs(ux) + abs(uy)) AND abs(qy * ux - qx * uy) <= h + 0.5 * (abs(ux) + abs(uy)) AND abs(qx) <= l * abs(ux) + h * abs(uy) + 0.5 AND abs(qy) <= l * abs(uy) + h * abs(ux) + 0.5 GROUP BY 1, 2"""
+
+
+@query("gen8_rasterize_roads", duckdb("v_ways", then=_ROADS))
+def gen8(spark: SparkSession, d: str, rows: str = "way_id % 11 = 0") -> DataFrame:
+    w = view(spark, d, "v_ways").where(rows).select("x1", "y1", "x2", "y2", F.lit(0.3002).alias("width_m"), (F.col("way_id") % 5).alias("layer"))
     return T.rasterize_roads(w, 64, 64).select("ix", "iy", "layer")
 
 
+@query("gen8_rasterize_roads_whole", duckdb("v_ways", then=_ROADS.replace(" WHERE way_id % 11 = 0", "")))
+def gen8_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Every road."""
+    return gen8(spark, d, "true")
+
+
 @query("gen9_apply_regions", duckdb("v_landcover", then=f"SELECT ix, iy, CASE WHEN {_DIAMOND.format(x='(ix + 0.5)', y='(iy + 0.5)')} AND class IN (10, 30) THEN 'park' WHEN sqrt((ix + 0.5 - 10) ** 2 + (iy + 0.5 - 10) ** 2) <= 8.01 THEN 'pond' WHEN ix + 0.5 BETWEEN 5 AND 40 AND iy + 0.5 BETWEEN 5 AND 12 THEN 'field' END AS region FROM v_landcover"))
 def gen9(spark: SparkSession, d: str) -> DataFrame:
     ring = [{"x": x, "y": y} for x, y in DIAMOND]
@@ -129,17 +138,26 @@ def gen10(spark: SparkSession, d: str) -> DataFrame:
 _BOX = "b AS (SELECT cx - radius / 8 AS xmin, cy - radius / 8 AS ymin, cx + radius / 8 AS xmax, cy + radius / 8 AS ymax FROM v_zones WHERE zone_id % 10 = 0)"
 
 
-def refined(spark: SparkSession, d: str) -> DataFrame:
+_CELLS = f"""WITH {_BOX}, c AS (SELECT l, i, j, 64.0 / (1 << l) AS e FROM range(6) a(l), range(32) p(i), range(32) q(j) WHERE i < (1 << l) AND j < (1 << l)),
+h AS (SELECT l, i, j, EXISTS (SELECT 1 FROM b WHERE i * e <= xmax AND xmin <= (i + 1) * e AND j * e <= ymax AND ymin <= (j + 1) * e) AS hit FROM c)
+SELECT h.l AS level, h.i, h.j FROM h LEFT JOIN h p ON p.l = h.l - 1 AND p.i = h.i // 2 AND p.j = h.j // 2 WHERE coalesce(p.hit, true) AND (h.l = 5 OR NOT h.hit)"""
+
+
+def refined(spark: SparkSession, d: str, rows: str = "true") -> DataFrame:
     r = F.col("radius") / 8
-    zones = view(spark, d, "v_zones").where("zone_id % 10 = 0").select((F.col("cx") - r).alias("xmin"), (F.col("cy") - r).alias("ymin"), (F.col("cx") + r).alias("xmax"), (F.col("cy") + r).alias("ymax"))
+    zones = view(spark, d, "v_zones").where(rows).select((F.col("cx") - r).alias("xmin"), (F.col("cy") - r).alias("ymin"), (F.col("cx") + r).alias("xmax"), (F.col("cy") + r).alias("ymax"))
     root = spark.createDataFrame([(0, 0, 0)], "level long, i long, j long")
     return T.refine_cells(root, T.meeting_zones(64.0, zones, 4.0), 5)
 
 
-@query("gen11_refine_cells", duckdb("v_zones", then=f"""WITH {_BOX}, c AS (SELECT l, i, j, 64.0 / (1 << l) AS e FROM range(6) a(l), range(32) p(i), range(32) q(j) WHERE i < (1 << l) AND j < (1 << l)),
-h AS (SELECT l, i, j, EXISTS (SELECT 1 FROM b WHERE i * e <= xmax AND xmin <= (i + 1) * e AND j * e <= ymax AND ymin <= (j + 1) * e) AS hit FROM c)
-SELECT h.l AS level, h.i, h.j FROM h LEFT JOIN h p ON p.l = h.l - 1 AND p.i = h.i // 2 AND p.j = h.j // 2 WHERE coalesce(p.hit, true) AND (h.l = 5 OR NOT h.hit)"""))
+@query("gen11_refine_cells", duckdb("v_zones", then=_CELLS))
 def gen11(spark: SparkSession, d: str) -> DataFrame:
+    return refined(spark, d, "zone_id % 10 = 0").select("level", "i", "j")
+
+
+@query("gen11_refine_cells_whole", duckdb("v_zones", then=_CELLS.replace(" WHERE zone_id % 10 = 0", "")))
+def gen11_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Cells about every zone."""
     return refined(spark, d).select("level", "i", "j")
 
 
@@ -151,11 +169,11 @@ def gen12(spark: SparkSession, d: str) -> DataFrame:
 @query("gen13_vegetation")
 def gen13(spark: SparkSession, d: str) -> DataFrame:
     """On a grid of 20 m pixels scaled to the elevation grid's units."""
-    pixels = view(spark, d, "v_landcover").where("class in (10, 20)").withColumns({"x": F.col("ix") + 0.5, "y": F.col("iy") + 0.5})
+    pixels = view(spark, d, "v_landcover").withColumns({"x": F.col("ix") + 0.5, "y": F.col("iy") + 0.5})
     dense = species(spark).withColumn("density_per_hectare", F.col("density_per_hectare") * 50)
     r = F.col("radius")
     zones = view(spark, d, "v_zones").select(F.lit("circle").alias("kind"), "cx", "cy", r.alias("r"), r.alias("w"), r.alias("h"), F.lit(None).cast("array<struct<x:double,y:double>>").alias("ring")).where(r > 0)
-    segments = view(spark, d, "v_ways").where("way_id % 20 = 0").select("x1", "y1", "x2", "y2", F.lit(0.2).alias("width_m"))
+    segments = view(spark, d, "v_ways").select("x1", "y1", "x2", "y2", F.lit(0.2).alias("width_m"))
     return V.vegetation(pixels, dem_at(spark, d), dense, zones, segments, 1.0, 0.3, 5, [("a.xml", 1.0), ("b.xml", 1.0)]).select("pid", "species", "asset", "x", "y", "z", "rotation", "scale")
 
 
@@ -166,15 +184,24 @@ u AS (SELECT *, sqrt((x - x1 - t * (x2 - x1)) ** 2 + (y - y1 - t * (y2 - y1)) **
 o AS (SELECT pid, list({'a': CASE WHEN dist <= 0.2501 THEN 1.0 ELSE 1 - (dist - 0.2501) / 0.5 END, 'z': z1 + t * (z2 - z1)} ORDER BY pos) AS ops FROM u WHERE dist <= 0.7501 GROUP BY pid)"""
 
 
-@query("prj25_flatten_under_roads", duckdb("v_points", "v_ways", "v_dem", then=f"""WITH {_OPS} SELECT pid, round(CASE WHEN ops IS NULL THEN z ELSE list_reduce(list_prepend({{'a': 1.0::DOUBLE, 'z': z}}, ops), lambda s, o: {{'a': 1.0::DOUBLE, 'z': o.a * o.z + (1 - o.a) * s.z}}).z END, 6) AS z FROM p LEFT JOIN o USING (pid)"""))
-def prj25(spark: SparkSession, d: str) -> DataFrame:
+_FLAT = f"""WITH {_OPS} SELECT pid, round(CASE WHEN ops IS NULL THEN z ELSE list_reduce(list_prepend({{'a': 1.0::DOUBLE, 'z': z}}, ops), lambda s, o: {{'a': 1.0::DOUBLE, 'z': o.a * o.z + (1 - o.a) * s.z}}).z END, 6) AS z FROM p LEFT JOIN o USING (pid)"""
+
+
+@query("prj25_flatten_under_roads", duckdb("v_points", "v_ways", "v_dem", then=_FLAT))
+def prj25(spark: SparkSession, d: str, rows: str = "way_id % 9 = 0") -> DataFrame:
     k = F.col("way_id")
-    roads = view(spark, d, "v_ways").where("way_id % 9 = 0").select(k.alias("pos"), "x1", "y1", "x2", "y2", (100.0 + k % 50).alias("z1"), (120.0 - k % 30).alias("z2"))
+    roads = view(spark, d, "v_ways").where(rows).select(k.alias("pos"), "x1", "y1", "x2", "y2", (100.0 + k % 50).alias("z1"), (120.0 - k % 30).alias("z2"))
     pts = view(spark, d, "v_points").withColumns({"ix": F.floor("x"), "iy": F.floor("y")}).join(dem_at(spark, d), ["ix", "iy"]).select("pid", "x", "y", F.col("elevation").alias("z"))
     out = T.flatten_under_roads(pts, roads, F.lit(0.2501), 0.5, F.col("z1") + F.col("t") * (F.col("z2") - F.col("z1")), 2.0)
     return out.select("pid", *r6(z=F.col("z")))
 
 
+@query("prj25_flatten_under_roads_whole", duckdb("v_points", "v_ways", "v_dem", then=_FLAT.replace(" WHERE way_id % 9 = 0", "")))
+def prj25_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Under every road."""
+    return prj25(spark, d, "true")
+
+
 # sources and sinks: what is written is read again
 
 

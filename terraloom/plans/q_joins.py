@@ -112,15 +112,24 @@ def jon9(spark: SparkSession, d: str) -> DataFrame:
     return J.nearest_by(obs, series, "t", "value", ["user_id"], "nearest").select("event_id", "nearest")
 
 
-@query("jon10_nearest_cell", duckdb("v_points", "v_dem", then="""WITH a AS (SELECT DISTINCT ix FROM v_dem WHERE ix % 4 = 0), b AS (SELECT DISTINCT iy FROM v_dem WHERE iy % 4 = 0),
-p AS (SELECT pid, (SELECT arg_min(ix, (abs(ix - x), ix)) FROM a) AS cx, (SELECT arg_min(iy, (abs(iy - y), iy)) FROM b) AS cy FROM v_points) SELECT pid, cx, cy, elevation FROM p JOIN v_dem ON ix = cx AND iy = cy"""))
-def jon10(spark: SparkSession, d: str) -> DataFrame:
-    p, grid = view(spark, d, "v_points").select("pid", "x", "y"), dem_at(spark, d).where("ix % 4 = 0 and iy % 4 = 0")
+_NEAREST = """WITH a AS (SELECT DISTINCT ix FROM v_dem WHERE ix % 4 = 0), b AS (SELECT DISTINCT iy FROM v_dem WHERE iy % 4 = 0),
+p AS (SELECT pid, (SELECT arg_min(ix, (abs(ix - x), ix)) FROM a) AS cx, (SELECT arg_min(iy, (abs(iy - y), iy)) FROM b) AS cy FROM v_points) SELECT pid, cx, cy, elevation FROM p JOIN v_dem ON ix = cx AND iy = cy"""
+
+
+@query("jon10_nearest_cell", duckdb("v_points", "v_dem", then=_NEAREST))
+def jon10(spark: SparkSession, d: str, rows: str = "ix % 4 = 0 and iy % 4 = 0") -> DataFrame:
+    p, grid = view(spark, d, "v_points").select("pid", "x", "y"), dem_at(spark, d).where(rows)
     near = p.join(J.nearest_axis(p, grid, "x", "ix"), "x").join(J.nearest_axis(p, grid, "y", "iy"), "y")
     g = grid.select(F.col("ix").alias("x_cell"), F.col("iy").alias("y_cell"), "elevation")
     return near.join(g, ["x_cell", "y_cell"]).select("pid", F.col("x_cell").alias("cx"), F.col("y_cell").alias("cy"), "elevation")
 
 
+@query("jon10_nearest_cell_whole", duckdb("v_points", "v_dem", then=_NEAREST.replace(" WHERE ix % 4 = 0", "").replace(" WHERE iy % 4 = 0", "")))
+def jon10_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Over every cell of the grid."""
+    return jon10(spark, d, "true")
+
+
 def regions(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(410.0, 430.0, 5.0), (430.0, 450.0, 8.0)], "wmin double, wmax double, fwhm double")
 
