@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from importlib.resources import files
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,6 +40,15 @@ def bigrams(text: str) -> frozenset[tuple[str, str]]:
     return frozenset(zip(words, words[1:])) if len(words) > 1 else frozenset((w, "") for w in words)
 
 
+def full_texts() -> dict[str, tuple[str, ...]]:
+    """Licence bodies and file headers by SPDX identifier, from the package's ``licence_texts``."""
+    texts: dict[str, tuple[str, ...]] = {}
+    for f in sorted(files("terraloom.llm").joinpath("licence_texts").iterdir(), key=lambda f: f.name):
+        name = f.name.removesuffix(".txt").removesuffix("-header")
+        texts[name] = (*texts.get(name, ()), f.read_text(encoding="utf-8"))
+    return texts
+
+
 class Templates:
     def __init__(self, templates: dict[str, tuple[str, ...]], least: float):
         self.sets = [(name, bigrams(t)) for name, texts in sorted(templates.items()) for t in texts]
@@ -50,6 +60,7 @@ class Templates:
         # Dice of at least t allows sizes that differ by (2 - t) / t at most
         self.ratio = (2 - least) / least
         self.low, self.high = min(sizes, default=1) / self.ratio, max(sizes, default=0) * self.ratio
+        self.single = any(not g[1] for g in self.holders)
 
     def best(self, text: str) -> tuple[float, str] | None:
         """The likest template within the size bounds, if it reaches the limit; of equals, the first by name."""
@@ -61,27 +72,115 @@ class Templates:
         found = [(2 * k / (n + len(self.sets[i][1])), self.sets[i][0]) for i, k in shared.items() if n <= self.ratio * len(self.sets[i][1]) and len(self.sets[i][1]) <= self.ratio * n]
         return min(((-d, name) for d, name in found if d >= self.least), default=None)
 
+    def likely(self, words: list[str]) -> list[int]:
+        """Templates of which the text holds so many distinct bigrams that some part of it may reach the limit."""
+        grams = set(zip(words, words[1:]))
+        if self.single:
+            grams |= {(w, "") for w in words}
+        shared = Counter(i for g in grams & self.holders.keys() for i in self.holders[g])
+        return [i for i, k in shared.items() if k * self.ratio >= len(self.sets[i][1]) - 1e-9]
+
+    def windows(self, pairs: list[tuple[str, str]], i: int) -> Iterator[tuple[int, int, int, float]]:
+        """Runs of bigrams (first, last, shared, dice) that reach the limit, anywhere in the text and of any length.
+
+        A run of n distinct bigrams sharing k with a template of m has Dice t where 2 k - t n = t m, so a distinct shared bigram weighs 2 - t and
+        another one -t: the heaviest runs are found in one pass, then both ends are set anew.
+        """
+        t, grams = self.least, self.sets[i][1]
+        m = len(grams)
+
+        def heaviest(order: range) -> tuple[float, int, int, int]:
+            seen, total, top = set(), 0.0, (0.0, order[0], 0, 0)
+            k = 0
+            for p in order:
+                if pairs[p] not in seen:
+                    seen.add(pairs[p])
+                    hit = pairs[p] in grams
+                    k += hit
+                    total += 2 - t if hit else -t
+                    if hit and total > top[0]:
+                        top = (total, p, k, len(seen))
+            return top
+
+        start = 0
+        while start < len(pairs):
+            seen, total, top, first, last, p = set(), 0.0, 0.0, -1, -1, start
+            while p < len(pairs):
+                g = pairs[p]
+                if g not in seen:
+                    if g in grams:
+                        first = p if first < 0 else first
+                        seen.add(g)
+                        total += 2 - t
+                        if total > top:
+                            top, last = total, p
+                    elif first >= 0:
+                        seen.add(g)
+                        total -= t
+                        if total < 0:
+                            break
+                if top >= t * m - 1e-9 and p - last > 2 * m:
+                    break
+                p += 1
+            if first < 0:
+                return
+            low = heaviest(range(last, first - 1, -1))[1]
+            _, end, k, n = heaviest(range(low, min(p + 1, len(pairs))))
+            if k and 2 * k / (n + m) >= t:
+                yield low, end, k, 2 * k / (n + m)
+                start = max(end, last) + 1
+            else:
+                start = p + 1
+
     def scan(self, text: str) -> list[dict]:
-        """Licences of the whole text, of its lines and of the sentences of lines that are none themselves."""
-        most = int(self.high) + 2
-        out = []
-        if text.count(" ") + text.count("\n") <= 2 * most and (hit := self.best(text)):
-            out.append({"line": -1, "licence": hit[1], "dice": -hit[0]})
+        """Licences of the whole text, of its lines, of the sentences of lines that are none themselves, and of runs of words elsewhere."""
+        words = _WORD.findall(text.lower())
+        likely = self.likely(words)
+        if not likely:
+            return []
+        out, line_of = [], []
+        size = [0] * len(words)  # of the largest match over each word
+
+        def take(line: int, name: str, dice: float, a: int, b: int) -> None:
+            out.append({"line": line, "licence": name, "dice": dice})
+            size[a:b] = [max(n, b - a) for n in size[a:b]]
+
+        if hit := self.best(text):
+            take(-1, hit[1], -hit[0], 0, len(words))
         for i, line in enumerate(text.split("\n")):
-            hit = self.best(line) if line.count(" ") <= 2 * most else None
-            hits = [hit] if hit else [h for s in _SENTENCE.split(line) if s.count(" ") <= 2 * most and (h := self.best(s))] if any(c in line for c in ".!?;") else []
-            out += [{"line": i, "licence": name, "dice": -d} for d, name in hits]
-        return out
+            at = len(line_of)
+            line_of += [i] * len(_WORD.findall(line.lower()))
+            if hit := self.best(line):
+                take(i, hit[1], -hit[0], at, len(line_of))
+            elif any(c in line for c in ".!?;"):
+                for s in _SENTENCE.split(line):
+                    n = len(_WORD.findall(s.lower()))
+                    if hit := self.best(s):
+                        take(i, hit[1], -hit[0], at, at + n)
+                    at += n
+        pairs = list(zip(words, words[1:]))
+        found = sorted((-k, -d, self.sets[i][0], a, b + 2) for i in likely for a, b, k, d in self.windows(pairs, i))
+        for _, d, name, a, b in found:
+            # what a part of like or larger size covers already is told
+            if max(size[a:b]) * self.ratio < b - a:
+                take(line_of[a], name, -d, a, b)
+        return sorted(out, key=lambda m: m["line"])
 
 
 def licences(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Licence notices in every whole text: ``(doc_id, matches array<struct<line, licence, dice>>)``, one row for each input row.
 
     A segment (the whole text: line -1; a line; a sentence of a line that is none itself) matches the template of the highest Dice coefficient
-    over word bigrams if that is at least ``least``; size bounds prune templates and segments before any is compared.
+    over word bigrams if that is at least ``least``. Any other run of words that reaches the limit (full texts in longer ones, notices wrapped over
+    lines or inside a line) counts with its first line, unless a match of like or larger size overlaps it; templates of a single word match
+    segments alone. Texts are passed over if they hold too few distinct bigrams of every template. The default templates are ``NOTICES`` and the
+    bodies and headers in ``licence_texts``.
     Null or empty texts match nothing; ids may be null or repeat; other columns are ignored; an empty table gives no rows. No shuffle.
     """
-    known = NOTICES if templates is None else templates
+    if templates is None:
+        full = full_texts()
+        templates = {k: NOTICES.get(k, ()) + full.get(k, ()) for k in NOTICES.keys() | full.keys()}
+    known = templates
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = Templates(known, least)
