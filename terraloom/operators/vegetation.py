@@ -123,13 +123,38 @@ def min_spacing(points: DataFrame, spacing: float, seed: int | str, key: str = "
     return points if gone is None else points.join(gone, F.col(key) == F.col("_g"), "left_anti")
 
 
-def vegetation(pixels: DataFrame, dem: DataFrame, species: DataFrame, zones: DataFrame, segments: DataFrame, resolution: float, spacing: float, seed: int | str, assets: list[tuple[str, float]]) -> DataFrame:
-    """Counts, places, elevation, spacing, attributes and exclusion of zones and roads, in that order; grid units are metres."""
+def spilled(pixels: DataFrame, species: DataFrame, spill: dict[str, dict[int, float]], resolution: float, spacing: float, max_m: float, most: int, seed: int | str, assets: list[tuple[str, float]]) -> DataFrame:
+    """Plants of each species that ``spill`` names in compatible classes near its own: counts, then places, as in their own pixels.
+
+    ``pid`` names the class a plant spills from, and each class and species draws by seeds of its own.
+    """
+    at = pixels.select("ix", "iy", "x", "y")
+    out = None
+    for r in species.where(F.col("species").isin(*spill)).orderBy("class", "species").collect():  # a configuration: a row a class and species
+        if not any(v > 0 for v in spill[r.species].values()):
+            continue
+        own = f"{seed}s{r['class']}"
+        counts = spillover(pixels, r["class"], spill[r.species], r.density_per_hectare, resolution, max_m, most, f"{own}:{r.species}")
+        counts = counts.select("ix", "iy", "n").join(at, ["ix", "iy"]).withColumn("species", F.lit(r.species))
+        part = place_in_pixel(counts, resolution, spacing, own, assets)
+        part = part.withColumn("pid", F.concat_ws("_", F.lit("spill"), F.lit(r["class"]), "ix", "iy", "species", "k"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def vegetation(
+    pixels: DataFrame, dem: DataFrame, species: DataFrame, zones: DataFrame, segments: DataFrame, resolution: float, spacing: float, seed: int | str, assets: list[tuple[str, float]], spill: dict[str, dict[int, float]] | None = None, spill_m: float = 30.0, most: int = 50
+) -> DataFrame:
+    """Counts, places, spillover, elevation, spacing, attributes and exclusion of zones and roads, in that order; grid units are metres.
+
+    ``spill``: compatible classes and their scores by species (classes within ``spill_m``, at most ``most`` plants a pixel); others do not spill.
+    """
     from terraloom.operators.joins import exclude_roads, exclude_zones
 
     counts = plants_per_pixel(pixels, species, resolution, spacing, 0.3, seed)
-    placed = place_in_pixel(counts, resolution, spacing, seed, assets)
-    placed = cut(placed.withColumn("pid", F.concat_ws("_", "ix", "iy", "species", "k")), "plants")
+    placed = place_in_pixel(counts, resolution, spacing, seed, assets).withColumn("pid", F.concat_ws("_", "ix", "iy", "species", "k"))
+    over = spilled(pixels, species, spill, resolution, spacing, spill_m, most, seed, assets) if spill else None
+    placed = cut(placed if over is None else placed.unionByName(over), "plants")
     kept = min_spacing(sample_bilinear(placed, dem), spacing, seed)
     full = instance_attributes(kept, seed, "pid")
     return exclude_roads(exclude_zones(full, zones, resolution), segments, 0.0, resolution)

@@ -17,6 +17,7 @@ from terraloom.session import shared_path
 from terraloom.sources import tables as S
 
 SPECIES = [(10, "oak", 400.0), (10, "pine", 250.0), (30, "grass", 900.0), (20, "juniper", 120.0)]
+SPILL = {20: 0.8, 30: 0.7, 40: 0.3, 90: 0.4, 60: 0.1}  # the reference's scores by class
 _SPECIES = "m(class, species, dens) AS (VALUES (10, 'oak', 400.0::DOUBLE), (10, 'pine', 250.0), (30, 'grass', 900.0), (20, 'juniper', 120.0))"
 
 
@@ -168,13 +169,13 @@ def gen12(spark: SparkSession, d: str) -> DataFrame:
 
 @query("gen13_vegetation")
 def gen13(spark: SparkSession, d: str) -> DataFrame:
-    """On a grid of 20 m pixels scaled to the elevation grid's units."""
+    """On a grid of 20 m pixels scaled to the elevation grid's units; every species spills 30 m into compatible classes."""
     pixels = view(spark, d, "v_landcover").withColumns({"x": F.col("ix") + 0.5, "y": F.col("iy") + 0.5})
     dense = species(spark).withColumn("density_per_hectare", F.col("density_per_hectare") * 50)
     r = F.col("radius")
     zones = view(spark, d, "v_zones").select(F.lit("circle").alias("kind"), "cx", "cy", r.alias("r"), r.alias("w"), r.alias("h"), F.lit(None).cast("array<struct<x:double,y:double>>").alias("ring")).where(r > 0)
     segments = view(spark, d, "v_ways").select("x1", "y1", "x2", "y2", F.lit(0.2).alias("width_m"))
-    return V.vegetation(pixels, dem_at(spark, d), dense, zones, segments, 1.0, 0.3, 5, [("a.xml", 1.0), ("b.xml", 1.0)]).select("pid", "species", "asset", "x", "y", "z", "rotation", "scale")
+    return V.vegetation(pixels, dem_at(spark, d), dense, zones, segments, 1.0, 0.3, 5, [("a.xml", 1.0), ("b.xml", 1.0)], {k: SPILL for _, k, _ in SPECIES}, 1.5).select("pid", "species", "asset", "x", "y", "z", "rotation", "scale")
 
 
 _OPS = """r AS (SELECT way_id AS pos, x1, y1, x2, y2, 100.0 + way_id % 50 AS z1, 120.0 - way_id % 30 AS z2 FROM v_ways WHERE way_id % 9 = 0),
