@@ -92,6 +92,24 @@ def utm_epsg(lat: Column, lon: Column) -> Column:
     return (F.when(lat >= 0, 32600).otherwise(32700) + zone).cast("long")
 
 
+def utm_forward(lat: Column, lon: Column, epsg: int) -> tuple[Column, Column]:
+    """Easting and northing in a UTM zone (326zz north, 327zz south), WGS84, by Krueger's series to the fourth order."""
+    f = 1 / 298.257223563
+    n = f / (2 - f)
+    scale = 0.9996 * A / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    alpha = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180, 13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440, 61 * n**3 / 240 - 103 * n**4 / 140, 49561 * n**4 / 161280)
+    c = 2 * math.sqrt(n) / (1 + n)
+    s = F.sin(_rad(lat))
+    t = F.sinh(F.atanh(s) - F.atanh(s * c) * c)
+    turn = _rad(lon - float((epsg % 100) * 6 - 183))
+    xi, eta = F.atan2(t, F.cos(turn)), F.atanh(F.sin(turn) / F.sqrt(1 + t * t))
+    east, north = eta, xi
+    for j, a in enumerate(alpha, 1):
+        east = east + F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)) * a
+        north = north + F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)) * a
+    return east * scale + 500_000.0, north * scale + (10_000_000.0 if epsg // 100 == 327 else 0.0)
+
+
 def pixel_size(size_km: Column, pixels: Column) -> Column:
     return size_km * 1000.0 / pixels
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terraloom.operators.geometry import bounds_overlap
+
 
 def mosaic_tiles(tiles: DataFrame, keys: list[str], value: str, fill: float) -> tuple[DataFrame, DataFrame]:
     """Pixels of overlapping tiles merged, nulls filled; and the keys where tiles disagree, which callers treat as an error."""
@@ -49,9 +51,11 @@ def closest_composite(daily: DataFrame, pixels: DataFrame, day: str, anchor: Col
     return pixels.join(best, keys, "left")
 
 
-def catalog_search(catalog: DataFrame, anchor: Column, days: int, cloud_below: float, n: int = 100) -> DataFrame:
-    """Scenes of a date window with cloud cover strictly below the limit; the first n by id."""
+def catalog_search(catalog: DataFrame, anchor: Column, days: int, cloud_below: float, n: int = 100, aoi: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """Scenes of a date window with cloud cover strictly below the limit whose box (xmin, ymin, xmax, ymax) meets ``aoi``; the first n by id."""
     window = F.col("acq_date").between(F.date_sub(anchor, days), F.date_add(anchor, days))
+    if aoi is not None:
+        window &= bounds_overlap(tuple(F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")), tuple(F.lit(v) for v in aoi))
     return catalog.where(window & (F.col("cloud_cover") < cloud_below)).orderBy("scene_id").limit(n)
 
 

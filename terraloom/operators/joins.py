@@ -113,6 +113,30 @@ def nearest_axis(values: DataFrame, axis: DataFrame, value: str, at: str) -> Dat
     return pairs.groupBy(value).agg(F.min(F.struct(F.abs(F.col("_axis") - F.col(value)), "_axis"))["_axis"].alias(f"{value}_cell"))
 
 
+def nearest_cell(obs: DataFrame, grid: DataFrame, at: str = "ts") -> DataFrame:
+    """Observations (x, y, time) with the nearest grid cell's row of their calendar month, nulls where the grid lacks it.
+
+    grid: (ix, iy, month, values); the cell comes back as x_cell, y_cell.
+    """
+    near = obs.join(nearest_axis(obs, grid, "x", "ix"), "x", "left").join(nearest_axis(obs, grid, "y", "iy"), "y", "left")
+    g = grid.withColumnsRenamed({"ix": "x_cell", "iy": "y_cell"})
+    return near.withColumn("month", F.month(at)).join(g.withColumn("month", F.col("month").cast("int")), ["x_cell", "y_cell", "month"], "left")
+
+
+def reflectance_inputs(measures: DataFrame, radiance: DataFrame, irradiance: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Radiance rows of each measurement with the irradiance of their wavelength, and the measurements skipped with the reason.
+
+    measures: (measure_id, sensor_id, irradiance_id); skipped are those without ids, radiance, irradiance, or a common wavelength.
+    """
+    r, i = radiance.where("radiance is not null"), irradiance.where("irradiance is not null")
+    found = measures.join(r, "sensor_id").join(i, ["irradiance_id", "w"])
+    common = measures.join(r.select("sensor_id", "w").distinct(), "sensor_id").join(i.select("irradiance_id", "w"), ["irradiance_id", "w"], "left_semi")
+    lost = measures.join(common.select("measure_id").distinct(), "measure_id", "left_anti")
+    lost = lost.join(r.select("sensor_id", F.lit(True).alias("_r")).distinct(), "sensor_id", "left").join(i.select("irradiance_id", F.lit(True).alias("_i")).distinct(), "irradiance_id", "left")
+    reason = F.when(F.col("sensor_id").isNull() | F.col("irradiance_id").isNull(), "ids").when(F.col("_r").isNull(), "radiance").when(F.col("_i").isNull(), "irradiance").otherwise("wavelengths")
+    return found, lost.select("measure_id", reason.alias("reason"))
+
+
 def fwhm_for(df: DataFrame, regions: DataFrame, w: str = "w") -> DataFrame:
     """Rows with the FWHM of the region (wmin <= w < wmax); below all of them the first one's, else the last one's."""
     ends = regions.agg(F.min(F.struct("wmin", "fwhm")).alias("_first"), F.max(F.struct("wmin", "fwhm")).alias("_last"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terraloom.functions.projection import SceneProjection, utm_forward
+
 
 def corner_table(grid: DataFrame, value: str = "elevation") -> DataFrame:
     """For each grid cell its four corner values, where all four exist."""
@@ -61,6 +63,18 @@ def regrid(grid: DataFrame, cells: DataFrame, method: str, value: str, fill: flo
     return found.withColumn(value, F.coalesce(value, F.lit(fill)))
 
 
+def reproject_bilinear(composite: DataFrame, cells: DataFrame, projection: SceneProjection, epsg: int, origin: tuple[float, float], step: float, value: str = "value") -> DataFrame:
+    """``cells`` (with scene metres x, y) with the bilinear value of a UTM composite (ix, iy, value); null where a corner is missing or NaN.
+
+    origin: easting and northing of the centre of pixel (0, 0); iy grows northward.
+    """
+    lat, lon = projection.inverse(F.col("x"), F.col("y"))
+    east, north = utm_forward(F.col("_lat"), F.col("_lon"), epsg)
+    at = cells.withColumns({"_lat": lat, "_lon": lon}).withColumns({"_fx": (east - origin[0]) / step, "_fy": (north - origin[1]) / step})
+    clean = composite.withColumn(value, F.when(~F.isnan(F.col(value).cast("double")), F.col(value)))
+    return bilinear(at, clean, F.col("_fx"), F.col("_fy"), value, value).drop("_lat", "_lon", "_fx", "_fy")
+
+
 def upsample_nearest(grid: DataFrame, scale: int) -> DataFrame:
     """Each pixel as scale x scale children."""
     k = F.sequence(F.lit(0), F.lit(scale - 1))

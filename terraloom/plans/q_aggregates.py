@@ -197,6 +197,14 @@ def src9(spark: SparkSession, d: str) -> DataFrame:
     return C.catalog_search(scenes(spark, d), F.lit(ANCHOR).cast("date"), 10, 30.0).select("scene_id", "acq_date")
 
 
+@query("src9_catalog_search_aoi", duckdb("v_scenes", then=f"SELECT scene_id, acq_date FROM v_scenes WHERE acq_date BETWEEN DATE '{ANCHOR}' - 10 AND DATE '{ANCHOR}' + 10 AND cloud_cover < 30 AND tile_id % 64 <= 40 AND tile_id % 64 + 4 >= 20 AND tile_id * 7 % 64 <= 30 AND tile_id * 7 % 64 + 4 >= 10 ORDER BY scene_id LIMIT 100"))
+def src9_aoi(spark: SparkSession, d: str) -> DataFrame:
+    """Scenes whose tile's box meets an area."""
+    x, y = F.col("tile_id") % 64, F.col("tile_id") * 7 % 64
+    boxed = scenes(spark, d).withColumns({"xmin": x, "ymin": y, "xmax": x + 4, "ymax": y + 4})
+    return C.catalog_search(boxed, F.lit(ANCHOR).cast("date"), 10, 30.0, aoi=(20.0, 10.0, 40.0, 30.0)).select("scene_id", "acq_date")
+
+
 @query("top3_argmin", duckdb("v_points", "v_zones", then="SELECT floor(y)::BIGINT AS row_id, arg_min(pid, (x, pid)) AS pid FROM v_points GROUP BY 1"))
 def top3(spark: SparkSession, d: str) -> DataFrame:
     return view(spark, d, "v_points").groupBy(F.floor("y").alias("row_id")).agg(F.min_by("pid", F.struct("x", "pid")).alias("pid"))

@@ -88,8 +88,22 @@ def jon6(spark: SparkSession, d: str) -> DataFrame:
 
 @query("jon7_reflectance_inputs", duckdb("v_radiance", "v_irradiance", then="SELECT sensor_id, r.w, x_index, y_index, radiance, irradiance FROM v_radiance r JOIN v_irradiance i ON irradiance_id = sensor_id % 7 + 1 AND i.w = r.w"))
 def jon7(spark: SparkSession, d: str) -> DataFrame:
-    r = view(spark, d, "v_radiance").withColumn("irradiance_id", F.col("sensor_id") % 7 + 1)
-    return r.join(view(spark, d, "v_irradiance"), ["irradiance_id", "w"]).select("sensor_id", "w", "x_index", "y_index", "radiance", "irradiance")
+    r = view(spark, d, "v_radiance")
+    k = F.col("sensor_id")
+    measures = r.select(k.alias("measure_id"), k, (k % 7 + 1).alias("irradiance_id")).distinct()
+    return J.reflectance_inputs(measures, r, view(spark, d, "v_irradiance"))[0].select("sensor_id", "w", "x_index", "y_index", "radiance", "irradiance")
+
+
+@query("jon7_reflectance_skipped", duckdb("v_zones", "v_radiance", "v_irradiance", then="""WITH m AS (SELECT zone_id AS measure_id, CASE zone_id % 4 WHEN 2 THEN zone_id + 1000000 ELSE zone_id END AS s, CASE zone_id % 4 WHEN 0 THEN NULL WHEN 1 THEN zone_id + 1000000 ELSE zone_id % 7 + 1 END AS i FROM v_zones)
+SELECT measure_id, CASE WHEN s IS NULL OR i IS NULL THEN 'ids' WHEN NOT EXISTS (SELECT 1 FROM v_radiance WHERE sensor_id = s) THEN 'radiance' WHEN NOT EXISTS (SELECT 1 FROM v_irradiance WHERE irradiance_id = i) THEN 'irradiance' ELSE 'wavelengths' END AS reason
+FROM m WHERE NOT EXISTS (SELECT 1 FROM v_radiance r JOIN v_irradiance e ON e.w = r.w WHERE r.sensor_id = s AND e.irradiance_id = i)"""))
+def jon7_skipped(spark: SparkSession, d: str) -> DataFrame:
+    """Measurements that lack an id, radiance or irradiance."""
+    k = F.col("zone_id")
+    sensor = F.when(k % 4 == 2, k + 1_000_000).otherwise(k)
+    reference = F.when(k % 4 == 1, k + 1_000_000).when(k % 4 != 0, k % 7 + 1)
+    measures = view(spark, d, "v_zones").select(k.alias("measure_id"), sensor.alias("sensor_id"), reference.alias("irradiance_id"))
+    return J.reflectance_inputs(measures, view(spark, d, "v_radiance"), view(spark, d, "v_irradiance"))[1]
 
 
 @query("jon8_align_wavelengths", duckdb("v_radiance", "v_irradiance", then="""WITH q AS (SELECT DISTINCT sensor_id, w FROM v_radiance)
@@ -130,6 +144,15 @@ def jon10_whole(spark: SparkSession, d: str) -> DataFrame:
     return jon10(spark, d, "true")
 
 
+@query("jon10_nearest_cell_month", duckdb("v_points", "v_dem", then="""WITH a AS (SELECT DISTINCT ix FROM v_dem), b AS (SELECT DISTINCT iy FROM v_dem),
+p AS (SELECT pid, month(ts) AS m, (SELECT arg_min(ix, (abs(ix - x), ix)) FROM a) AS cx, (SELECT arg_min(iy, (abs(iy - y), iy)) FROM b) AS cy FROM v_points JOIN events ON event_id = pid) SELECT pid, cx, cy, m AS month, round(elevation + m, 6) AS elevation FROM p LEFT JOIN v_dem ON ix = cx AND iy = cy"""))
+def jon10_month(spark: SparkSession, d: str) -> DataFrame:
+    """A monthly climatology over every cell of the grid."""
+    obs = view(spark, d, "v_points").join(table(spark, d, "events").select(F.col("event_id").alias("pid"), "ts"), "pid").select("pid", "x", "y", "ts")
+    grid = dem_at(spark, d).withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12)))).withColumn("elevation", F.col("elevation") + F.col("month"))
+    return J.nearest_cell(obs, grid).select("pid", F.col("x_cell").alias("cx"), F.col("y_cell").alias("cy"), F.col("month").cast("long").alias("month"), *r6(elevation=F.col("elevation")))
+
+
 def regions(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(410.0, 430.0, 5.0), (430.0, 450.0, 8.0)], "wmin double, wmax double, fwhm double")
 
