@@ -85,15 +85,18 @@ def instances_metadata(instances: DataFrame) -> DataFrame:
 
 
 def write_roads(segments: DataFrame, path: str) -> None:
-    """A JSON line a material with its segments, under a version."""
-    seg = F.struct("road_id", "seg", "x1", "y1", "x2", "y2", "width")
-    segments.groupBy("material").agg(F.sort_array(F.collect_list(seg)).alias("segments")).withColumn("version", F.lit(VERSION)).write.mode("overwrite").json(path)
+    """A JSON line a segment under a version, in folders by material (``layer``): no row or task grows with a material."""
+    columns = ["road_id", "seg", "x1", "y1", "x2", "y2", "width", "material"]
+    segments.select(*columns, F.lit(VERSION).alias("version"), F.col("material").alias("layer")).write.mode("overwrite").partitionBy("layer").json(path)
 
 
 def read_roads(spark: SparkSession, path: str) -> DataFrame:
-    """Segments again; another version gives no rows."""
-    schema = "material string, version int, segments array<struct<road_id:bigint, seg:int, x1:double, y1:double, x2:double, y2:double, width:double>>"
-    return spark.read.schema(schema).json(path).where(F.col("version") == VERSION).select("material", F.explode("segments").alias("s")).select("s.*", "material")
+    """Segments again; another version gives no rows. Files of a JSON line a material with its nested segments are read as well."""
+    one = "road_id bigint, seg int, x1 double, y1 double, x2 double, y2 double, width double"
+    nested = f"segments array<struct<{one.replace(' ', ':').replace(',:', ', ')}>>"
+    rows = spark.read.schema(f"material string, version int, {one}, {nested}").json(path).where(F.col("version") == VERSION)
+    own = F.array(F.struct("road_id", "seg", "x1", "y1", "x2", "y2", "width"))
+    return rows.select("material", F.explode(F.coalesce("segments", own)).alias("s")).select("s.*", "material")
 
 
 def write_matches(matches: DataFrame, path: str) -> None:
