@@ -251,10 +251,9 @@ def src7(spark: SparkSession, d: str) -> DataFrame:
     path = shared_path(spark, "ways")
     node = lambda x, y: F.struct(F.col(y).alias("lat"), F.col(x).alias("lon"))
     w = view(spark, d, "v_ways")
-    e = F.struct(F.lit("way").alias("type"), F.col("way_id").alias("id"), F.create_map(F.lit("highway"), F.col("highway")).alias("tags"), F.array(node("x1", "y1"), node("x2", "y2")).alias("geometry"))
-    w.select(F.array(e).alias("elements")).write.json(path)
-    dump = spark.read.schema("elements array<struct<type:string, id:bigint, tags:map<string,string>, geometry:array<struct<lat:double,lon:double>>>>").json(path)
-    return dump.select(F.explode("elements").alias("e")).select(F.col("e.id").alias("way_id"), F.try_element_at("e.tags", F.lit("highway")).alias("highway"), F.size("e.geometry").cast("long").alias("nodes"))
+    way = [F.lit("way").alias("type"), F.col("way_id").alias("id"), F.create_map(F.lit("highway"), F.col("highway")).alias("tags"), F.array(node("x1", "y1"), node("x2", "y2")).alias("geometry")]
+    w.select(*way).write.json(path)
+    return S.ways_scan(spark, path, lines=True).select("way_id", F.try_element_at("tags", F.lit("highway")).alias("highway"), F.size("geometry").cast("long").alias("nodes"))
 
 
 @query("src8_footprints_scan", duckdb("v_buildings", then="SELECT building_id FROM v_buildings WHERE x <= 40 AND x + 1 >= 20 AND y <= 30 AND y + 1 >= 10"))

@@ -43,11 +43,18 @@ def material_library_scan(spark: SparkSession, path: str) -> tuple[DataFrame, Da
     return materials, mapping
 
 
-def ways_scan(spark: SparkSession, path: str) -> DataFrame:
-    """(way_id, tags, geometry) of a road dump's ``elements``; what is malformed gives no rows."""
-    schema = "elements array<struct<type:string, id:bigint, tags:map<string,string>, geometry:array<struct<lat:double,lon:double>>>>"
-    dump = spark.read.schema(schema).json(path, multiLine=True, mode="PERMISSIVE")
-    return dump.select(F.explode("elements").alias("e")).where("e.type = 'way'").select(F.col("e.id").alias("way_id"), "e.tags", "e.geometry")
+def ways_scan(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """(way_id, tags, geometry) of a road dump's ``elements``; what is malformed gives no rows.
+
+    A dump is one JSON object and is parsed by one task a file; with ``lines`` each line is an element, and Spark splits the files.
+    """
+    element = "type string, id bigint, tags map<string,string>, geometry array<struct<lat:double,lon:double>>"
+    if lines:
+        e = spark.read.schema(element).json(path, mode="PERMISSIVE")
+    else:
+        schema = "elements array<struct<type:string, id:bigint, tags:map<string,string>, geometry:array<struct<lat:double,lon:double>>>>"
+        e = spark.read.schema(schema).json(path, multiLine=True, mode="PERMISSIVE").select(F.explode("elements").alias("e")).select("e.*")
+    return e.where("type = 'way'").select(F.col("id").alias("way_id"), "tags", "geometry")
 
 
 def footprints_scan(spark: SparkSession, paths: list[str], box: tuple[float, float, float, float]) -> DataFrame:

@@ -3,6 +3,7 @@
 import glob
 import json
 
+from terraloom.plans import QUERIES
 from terraloom.sources import tables as S
 
 
@@ -22,3 +23,16 @@ def test_files_of_a_row_a_material_are_still_read(spark, tmp_path):
     seg = {"road_id": 1, "seg": 0, "x1": 1.0, "y1": 2.0, "x2": 3.0, "y2": 4.0, "width": 5.0}
     (tmp_path / "old.json").write_text(json.dumps({"material": "a", "version": 1, "segments": [seg, seg | {"seg": 1}]}))
     assert sorted((r.road_id, r.seg, r.width, r.material) for r in S.read_roads(spark, f"file://{tmp_path}/old.json").collect()) == [(1, 0, 5.0, "a"), (1, 1, 5.0, "a")]
+
+
+def test_ways_scan_reads_elements_by_line(spark, tmp_path):
+    way = {"type": "way", "id": 7, "tags": {"highway": "path"}, "geometry": [{"lat": 1, "lon": 2}]}
+    (tmp_path / "ways.json").write_text("\n".join([json.dumps(way), json.dumps(way | {"type": "node", "id": 8}), "{not json", json.dumps(way | {"id": 9})]))
+    assert sorted(r.way_id for r in S.ways_scan(spark, f"file://{tmp_path}/ways.json", lines=True).collect()) == [7, 9]
+
+
+def test_src7_reads_through_the_operator(spark, monkeypatch):
+    calls, scan = [], S.ways_scan
+    monkeypatch.setattr(S, "ways_scan", lambda *a, **k: calls.append(k) or scan(*a, **k))
+    QUERIES["src7_ways_scan"](spark, "/root/testdata/sf0.001")
+    assert calls == [{"lines": True}]
