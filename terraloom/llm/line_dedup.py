@@ -2,117 +2,133 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraloom.llm.shared import saved
+from terraloom.llm.shared import drop, saved
 
-BUCKETS = 1 << 17  # of the word counts that order tokens; a table of fixed size, one byte each
-SMALL = 64  # prefix tokens of more lines are hot: their lines are first compared with the earliest one alone
+BUCKETS = 1 << 18  # of the word counts that order tokens; a table of fixed size, one byte each
+COMMON = 18  # rarity level from which a prefix token is too common to be a key alone: some 512 words in its bucket
+LEAST = 4  # sets of fewer words reach 0.8 with no other set
 
 
-def words(text: Column) -> Column:
-    """Words between ASCII white space."""
-    return F.array_remove(F.split(F.translate(text, "\t\n\x0b\x0c\r", "     "), " "), "")
+def _spaced(text: Column, marks: str = "\t\x0b\x0c\r") -> Column:
+    """The text with blanks for other ASCII white space."""
+    return reduce(lambda x, mark: F.replace(x, F.lit(mark), F.lit(" ")), marks, text)
 
 
-def _levels(docs: DataFrame) -> DataFrame:
-    """One row: for every hash bucket the logarithm of the count of its words over all texts, in eighths of a doubling."""
-    spark = docs.sparkSession
-    seen = docs.select(F.explode(F.split(F.translate("text", "\t\n\x0b\x0c\r", "     "), " ")).alias("w")).where("w != ''").groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("bucket")).count()
-    all_ = spark.range(BUCKETS).withColumnRenamed("id", "bucket").join(seen, "bucket", "left")
-    level = F.least(F.lit(126), F.floor(8 * F.log2(F.coalesce("count", F.lit(0)) + 1) / 4)).cast("tinyint")
-    rows = all_.groupBy().agg(F.sort_array(F.collect_list(F.struct("bucket", level.alias("level")))).alias("rows"))
-    return rows.select(F.lit(0).alias("k"), F.col("rows.level").alias("levels"))
+def _levels(docs: DataFrame) -> Column:
+    """A constant array: for every hash bucket the logarithm of the count of its words over all texts, in halves of a doubling."""
+    word = F.explode(F.split(_spaced(F.col("text"), "\t\n\x0b\x0c\r"), " ")).alias("w")
+    seen = docs.select(word).groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("bucket")).count()
+    level = F.least(F.lit(126), F.floor(2 * F.log2(F.col("count") + 1))).cast("tinyint")
+    rows = seen.groupBy().agg(F.sort_array(F.collect_list(F.struct("bucket", level.alias("level")))).alias("rows")).select("rows.bucket", "rows.level").first()
+    table = [0] * BUCKETS  # of fixed size, whatever the corpus
+    for bucket, value in zip(rows["bucket"], rows["level"], strict=True):
+        table[bucket] = value
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<tinyint>")  # folded to a constant before it runs
 
 
-def _sets(line: Column, levels: Column) -> Column:
-    """Sorted distinct token keys of a line: rarity level above, 56 bits of the word's hash below."""
+def _need(n: Column, percent: int) -> Column:
+    """Least overlap that a set of n tokens needs with any set that reaches the limit."""
+    return F.floor((n * percent + 99) / 100).cast("int")
 
-    def key(h: Column) -> Column:
-        level = F.get(levels, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long")
-        return F.shiftleft(level, 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
 
-    return F.sort_array(F.array_distinct(F.transform(F.transform(words(line), lambda w: F.xxhash64(w)), key)))
+def _words(line: Column) -> Column:
+    """Hashes of the words of a line whose white space is blanks."""
+    return F.array_remove(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
 
 
-def _need(n: Column, percent: int) -> Column:
-    """Least overlap that a set of n tokens needs with any set that reaches the limit."""
-    return F.floor((n * percent + 99) / 100).cast("int")
+def _bit(t: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
 
 
-def _lines(docs: DataFrame, levels: DataFrame, percent: int) -> DataFrame:
-    """A row for each line with words: place, fingerprint of its set, size, parity bits and prefix tokens."""
-    text = docs.where("text is not null").withColumn("k", F.pmod(F.length("text"), F.lit(1)))
-    placed = text.join(F.broadcast(levels), "k")  # one row of fixed size
+def _lines(docs: DataFrame, levels: Column, percent: int) -> DataFrame:
+    """A row for each line with words: place, fingerprint of its set, size, parity bits, and prefix tokens with one more.
 
-    def shape(line: Column, pos: Column) -> Column:
-        return F.struct(pos.alias("pos"), _sets(line, F.col("levels")).alias("s"))
+    A token's key has its rarity level above and 56 bits of the word's hash below; the prefix holds the least keys.
+    """
+    def key(h: Column) -> Column:
+        level = F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long")
+        return F.shiftleft(level, 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
 
-    each = placed.select("doc_id", F.explode(F.transform(F.split("text", "\n"), shape)).alias("line")).select("doc_id", "line.pos", "line.s").where(F.size("s") > 0)
+    each = docs.select("doc_id", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("pos", "line")).where("trim(line) != ''")
+    sets = each.select("doc_id", "pos", F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), key))).alias("s"))
     n = F.size("s")
-    return each.select(
+    return sets.select(
         "doc_id",
         "pos",
         F.xxhash64("s").alias("f1"),
         F.xxhash64(F.lit(1), "s").alias("f2"),
         n.alias("n"),
-        F.aggregate("s", F.lit(0).cast("long"), lambda x, t: x.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int")))).alias("bits"),
-        F.transform(F.slice("s", F.lit(1), n - _need(n, percent) + 1), lambda t: t.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("prefix"),
+        F.aggregate("s", F.lit(0).cast("long"), lambda x, t: x.bitwiseXOR(_bit(t))).alias("bits"),
+        F.when(n >= LEAST, F.slice("s", F.lit(1), n - _need(n, percent) + 2)).alias("prefix"),
     )
 
 
-def _candidates(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """Pairs (later, earlier) that share a prefix token and pass the length, positional and parity filters."""
-    a, b = left.alias("a"), right.alias("b")
-    na, nb = F.col("a.n"), F.col("b.n")
+def _alike(a: str, b: str, percent: int, shared: Column | None = None) -> Column:
+    """Whether lines ``a`` and ``b`` may reach the limit, ``b`` being the earlier: by length, parity bits and the places of a shared token."""
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     # Jaccard of p/100 needs an overlap of p / (100 + p) of both sizes
     least = F.ceil((na + nb) * percent / float(100 + percent) - 1e-9)
-    most = F.least("a.i", "b.i") + F.least(na - F.col("a.i"), nb - F.col("b.i"))  # i tokens lie up to and with the shared one
     length = (na * 100 >= nb * percent) & (nb * 100 >= na * percent)
-    differ = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits")))  # never more than the tokens that one side lacks
-    order = (F.col("b.doc_id") < F.col("a.doc_id")) | ((F.col("b.doc_id") == F.col("a.doc_id")) & (F.col("b.pos") < F.col("a.pos")))
-    on = (F.col("a.tok") == F.col("b.tok")) & order & length & (most >= least) & (differ <= na + nb - 2 * least)
-    return a.join(b, on).select("a.doc_id", "a.pos", F.col("b.doc_id").alias("doc_b"), F.col("b.pos").alias("pos_b"), differ.alias("differ"))
+    differ = F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits")))  # never more than the tokens that one side lacks
+    order = (F.col(f"{b}.doc_id") < F.col(f"{a}.doc_id")) | ((F.col(f"{b}.doc_id") == F.col(f"{a}.doc_id")) & (F.col(f"{b}.pos") < F.col(f"{a}.pos")))
+    fits = order & length & (differ <= na + nb - 2 * least)
+    return fits if shared is None else fits & (shared >= least)
 
 
-def _word_sets(lines: DataFrame, docs: DataFrame) -> DataFrame:
-    """Word sets of lines (doc_id, pos) by 64-bit hashes, with size and 256 parity bits."""
-    wanted = lines.groupBy("doc_id").agg(F.collect_set("pos").alias("places"))  # at most the lines of one document
-    # the texts meet their places by a shuffle at every size: what is wanted grows with the corpus
-    text = docs.hint("merge").join(wanted, "doc_id").select("doc_id", F.explode("places").alias("pos"), F.split("text", "\n").alias("lines"))
-    sets = text.select("doc_id", "pos", F.array_distinct(F.transform(words(F.get("lines", "pos")), lambda w: F.xxhash64(w))).alias("s"))
-    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
-    lane = lambda t: F.call_function("shiftrightunsigned", t, F.lit(62))
+def _pair() -> list[Column]:
+    return [F.col("a.doc_id"), F.col("a.pos"), F.col("b.doc_id").alias("doc_b"), F.col("b.pos").alias("pos_b")]
 
-    def parity(k: int) -> Column:
-        return F.aggregate("s", F.lit(0).cast("long"), lambda x, t: F.when(lane(t) == k, x.bitwiseXOR(bit(t))).otherwise(x)).alias(f"b{k}")
 
-    return saved(sets.select("doc_id", "pos", "s", F.size("s").alias("n"), *map(parity, range(4))), "linesets")
+def _firsts(sets: DataFrame, percent: int) -> DataFrame:
+    """For each line the likeliest match: of the earliest lines that share two of its three rarest tokens."""
+    t = [F.get("prefix", F.lit(i)) for i in range(3)]
+    keys = F.array(*(F.when(x.isNotNull() & y.isNotNull(), F.xxhash64(x, y)) for x, y in ((t[0], t[1]), (t[0], t[2]), (t[1], t[2]))))
+    cells = sets.where("prefix is not null").select("doc_id", "pos", "n", "bits", F.explode(keys).alias("key")).where("key is not null")
+    # all by the least id in one hash aggregate; of one document's lines any serves
+    heads = cells.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("doc_id"), *(F.min_by(c, "doc_id").alias(c) for c in ("pos", "n", "bits"))).where("size > 1")
+    pairs = cells.alias("a").join(heads.alias("b"), (F.col("a.key") == F.col("b.key")) & _alike("a", "b", percent)).select(*_pair(), F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))).alias("differ"))
+    return pairs.groupBy("doc_id", "pos").agg(F.min(F.struct("differ", "doc_b", "pos_b")).alias("b")).select("doc_id", "pos", "b.doc_b", "b.pos_b")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Distinct later lines (doc_id, pos) of the pairs whose sets reach the limit: first by parity bits, then exactly.
+def _candidates(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (later, earlier) with a shared prefix key, for lines that are still ``open``.
 
-    Only lines of these pairs are fetched.
+    A rare prefix token is a key. With a common one as the first token that two lines share, the second that they
+    share lies in the prefix with one more token: so the key is the common token and any later one.
     """
-    bits = ["n", "b0", "b1", "b2", "b3"]
-    pairs = saved(pairs.select("doc_id", "pos", "doc_b", "pos_b").distinct(), "near")
-    ends = pairs.select("doc_id", "pos").unionByName(pairs.select(F.col("doc_b").alias("doc_id"), F.col("pos_b").alias("pos")))
-    sets = _word_sets(ends, docs)
+    size = F.size("prefix")
+    tokens = sets.where("prefix is not null").select("doc_id", "pos", "n", "bits", "open", "prefix", F.posexplode(F.slice("prefix", F.lit(1), size - 1)).alias("i", "tok"))
+    common = F.call_function("shiftrightunsigned", F.col("tok"), F.lit(56)) >= COMMON
+    rest = F.when(common, F.slice("prefix", F.col("i") + 2, size)).otherwise(F.array(F.lit(0).cast("long")))
+    cells = tokens.select("doc_id", "pos", "n", "bits", "open", "i", "tok", F.explode(rest).alias("next"))
+    # none is ever null, else each use would push null checks of its own below the shuffle and so need another one
+    cells = cells.select(F.xxhash64("tok", "next").alias("key"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.coalesce("bits", F.lit(0).cast("long")).alias("bits"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce(F.col("i") + 1, F.lit(0)).alias("i"), F.coalesce("open", F.lit(0)).alias("open"))
+    cells = cells.repartition("key")
+    a, b = cells.alias("a"), cells.alias("b")
+    most = F.least("a.i", "b.i") + F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i"))  # i tokens lie up to and with the shared one
+    on = (F.col("a.key") == F.col("b.key")) & (F.col("a.open") * F.col("b.n") > 0) & _alike("a", "b", percent, most)
+    return a.join(b, on).select(*_pair()).distinct()
 
-    def joined(df: DataFrame, columns: list[str]) -> DataFrame:
-        a = sets.select("doc_id", "pos", *(F.col(c).alias(f"{c}_a") for c in columns))
-        b = sets.select(F.col("doc_id").alias("doc_b"), F.col("pos").alias("pos_b"), *(F.col(c).alias(f"{c}_b") for c in columns))
-        return df.join(a, ["doc_id", "pos"]).join(b, ["doc_b", "pos_b"])
 
-    both = F.col("n_a") + F.col("n_b")
-    least = F.ceil(both * percent / float(100 + percent) - 1e-9)
-    differ = sum((F.bit_count(F.col(f"b{k}_a").bitwiseXOR(F.col(f"b{k}_b"))) for k in range(1, 4)), F.bit_count(F.col("b0_a").bitwiseXOR(F.col("b0_b"))))
-    likely = saved(joined(pairs, bits).where(differ <= both - 2 * least).select("doc_id", "pos", "doc_b", "pos_b"), "pairs")
+def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Distinct later lines (doc_id, pos) of saved ``pairs`` whose sets reach the limit. Only lines of these pairs are fetched."""
+    ends = pairs.select("doc_id", "pos").unionByName(pairs.select(F.col("doc_b").alias("doc_id"), F.col("pos_b").alias("pos")))
+    wanted = ends.groupBy("doc_id").agg(F.collect_set("pos").alias("places"))  # at most the lines of one document
+    # the texts meet their places by a shuffle at every size: what is wanted grows with the corpus
+    text = docs.hint("merge").join(wanted, "doc_id").select("doc_id", F.explode("places").alias("pos"), F.split("text", "\n").alias("lines"))
+    sets = saved(text.select("doc_id", "pos", F.array_distinct(_words(_spaced(F.get("lines", "pos")))).alias("s")), "linesets")
+    first = pairs.join(sets.withColumnRenamed("s", "s_a"), ["doc_id", "pos"])
+    both = first.join(sets.select(F.col("doc_id").alias("doc_b"), F.col("pos").alias("pos_b"), F.col("s").alias("s_b")), ["doc_b", "pos_b"])
     common = F.size(F.array_intersect("s_a", "s_b"))
-    exact = joined(likely, ["s"]).where(common * 100 >= (F.size("s_a") + F.size("s_b") - common) * percent)
-    return exact.select("doc_id", "pos").distinct()
+    found = saved(both.where(common * 100 >= (F.size("s_a") + F.size("s_b") - common) * percent).select("doc_id", "pos").distinct(), "matched")
+    drop(sets)
+    return found
 
 
 def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -120,40 +136,29 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     Earlier is by document id, then by place in the text. Lines of equal sets fall to the first of them at once. For the others the
     set-similarity join orders tokens by rarity (counts over all texts in a table of fixed size, ties by hash) and
-    joins prefixes under length, positional and parity filters, which lose no match. A line needs only one match: its likeliest
-    candidate is verified first, and all others only for lines that it does not settle. In tokens of more than 64 lines, lines
-    meet the earliest one first, and only those left unmatched meet the rest.
+    joins prefixes under length, positional and parity filters, which lose no match. A line needs only one match: first it
+    meets the earliest lines that share two of its rarest tokens, and only those that this leaves unmatched meet all others.
     """
     one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    rows = saved(_lines(one, saved(_levels(one), "levels"), percent), "lines")
-    first = F.min(F.struct("doc_id", "pos")).alias("at")
-    sets = rows.groupBy("f1", "f2").agg(first, F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"), F.count("*").alias("size"))
-    cells = sets.select(F.col("at.doc_id").alias("doc_id"), F.col("at.pos").alias("pos"), "n", "bits", F.posexplode("prefix").alias("i", "tok")).withColumn("i", F.col("i") + 1)
-    # never null: else each use would push null checks of its own below the shuffle and so need another one
-    zero = {"doc_id": 0, "pos": 0, "n": 0, "bits": 0, "i": 0, "tok": 0}
-    cells = cells.select(*(F.coalesce(c, F.lit(v).cast(cells.schema[c].dataType)).alias(c) for c, v in zero.items())).repartition("tok")
-    shared = cells.groupBy("tok").agg(F.count("*").alias("size"), F.min(F.struct("doc_id", "pos", "n", "bits", "i")).alias("head")).where("size > 1")
-    tokens = cells.join(shared.select("tok", "size", "head"), "tok")
-    # one shuffle by token serves counts, leaders and both sides of the join; hot rows leave in the same write
-    plain = ["doc_id", "pos", "doc_b", "pos_b", "differ"]
-    # that the head is asked for (it always holds) keeps this use of the counts, and so their shuffle, the same as that of the hot rows
-    small = tokens.where(f"size <= {SMALL} and head.i > 0").drop("size", "head")
-    hot_row = F.struct("tok", "doc_id", "pos", "n", "bits", "i", "head")
-    left_over = tokens.where(f"size > {SMALL}").select(*(F.lit(None).cast(t).alias(c) for c, t in zip(plain, ("long", "int", "long", "int", "int"), strict=True)), hot_row.alias("hot"))
-    close = _candidates(small, small, percent).distinct()
-    found = saved(close.withColumn("differ", F.col("differ").cast("int")).withColumn("hot", F.lit(None).cast(left_over.schema["hot"].dataType)).unionByName(left_over), "candidates")
-    near, hot = found.where("hot is null").drop("hot"), found.where("hot is not null").select("hot.*")
-    heads = hot.groupBy("tok").agg(F.first("head").alias("head")).select("tok", "head.*")
-    hot = hot.drop("head")
-    stars = _candidates(hot, heads, percent)
-    best = near.unionByName(stars).groupBy("doc_id", "pos").agg(F.min(F.struct("differ", "doc_b", "pos_b")).alias("b")).select("doc_id", "pos", "b.doc_b", "b.pos_b")
-    done = saved(_verified(best, one, percent), "matched")
-    rest = near.join(done, ["doc_id", "pos"], "left_anti").drop("differ")
-    open_ = hot.join(done, ["doc_id", "pos"], "left_anti")
-    rest = rest.unionByName(_candidates(open_, hot, percent).drop("differ"))
-    later = _verified(rest, one, percent)
-    copies = rows.join(sets.where("size > 1").select("f1", "f2", "at"), ["f1", "f2"]).where("not (doc_id = at.doc_id and pos = at.pos)").select("doc_id", "pos")
-    return copies.unionByName(done).unionByName(later).distinct()
+    rows = saved(_lines(one, _levels(one), percent), "lines")
+    at = F.min(F.struct("doc_id", "pos")).alias("at")
+    classes = rows.groupBy("f1", "f2").agg(at, F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"), F.count("*").alias("size"))
+    sets = saved(classes.select("f1", "f2", "at.doc_id", "at.pos", "n", "bits", "prefix", "size"), "sets")
+    firsts = sets.where("size > 1").select("f1", "f2", F.col("doc_id").alias("doc_1"), F.col("pos").alias("pos_1"))
+    copies = saved(rows.select("doc_id", "pos", "f1", "f2").join(firsts, ["f1", "f2"]).where("not (doc_id = doc_1 and pos = pos_1)").select("doc_id", "pos"), "copies")
+    drop(rows)
+    sets = sets.select("doc_id", "pos", "n", "bits", "prefix")
+    near = saved(_firsts(sets, percent), "near")
+    done = _verified(near, one, percent)
+    settled = done.withColumn("open", F.lit(0))
+    left = sets.join(settled, ["doc_id", "pos"], "left").withColumn("open", F.coalesce("open", F.lit(1)))
+    pairs = saved(_candidates(left, percent), "pairs")
+    drop(near, sets)
+    later = _verified(pairs, one, percent)
+    drop(pairs)
+    removed = saved(copies.unionByName(done).unionByName(later), "removed")  # each line once: copies are no firsts, later ones were open
+    drop(copies, done, later)
+    return removed
 
 
 def line_dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -163,16 +168,17 @@ def line_dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
     count as one document whose lines are those of any of them: of equal rows the lines match only what stands earlier.
     Other columns pass through, those named like the new ones are replaced; an empty table gives no rows.
     """
-    gone = saved(repeated_lines(docs, percent), "removed").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list("pos").alias("_gone"))
+    doc, gone = f"doc_{uuid.uuid4().hex}", f"gone_{uuid.uuid4().hex}"  # names that no column of the input has
+    lost = repeated_lines(docs, percent).groupBy(F.col("doc_id").alias(doc)).agg(F.array_sort(F.collect_set("pos")).alias(gone))
     counted = F.size(F.filter(F.split(F.col("text").cast("string"), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     base = docs.drop("n_lines", "n_removed", "removed").withColumn("n_lines", F.coalesce(counted, F.lit(0)).cast("long"))
-    joined = base.join(gone, base["doc_id"].cast("long") == F.col("_doc"), "left")
+    joined = base.join(lost, base["doc_id"].cast("long") == F.col(doc), "left")
     lines = F.split(F.col("text").cast("string"), "\n")
-    left = F.filter(lines, lambda x, i: ~F.array_contains(F.coalesce("_gone", F.array().cast("array<int>")), i))
+    left = F.filter(lines, lambda x, i: ~F.array_contains(F.col(gone), i))
     return joined.withColumns(
         {
-            "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
-            "removed": F.coalesce(F.array_sort("_gone"), F.array().cast("array<int>")),
-            "text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")),
+            "n_removed": F.coalesce(F.size(gone), F.lit(0)).cast("long"),
+            "removed": F.coalesce(F.col(gone), F.array().cast("array<int>")),
+            "text": F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(left, "\n")),
         }
-    ).drop("_doc", "_gone")
+    ).drop(doc, gone)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 
 #: Word caches of a task are emptied beyond so many entries; the results do not depend on it.
 CACHE_WORDS = 400_000
+WORKSPACE = "terraloom.workspace"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -27,8 +31,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder, or in the workspace that is open, that no other run uses."""
+    return f"{spark.conf.get(WORKSPACE, None) or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -47,6 +51,35 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(*tables: DataFrame) -> None:
+    """Deletes saved tables that nothing reads any more: those of ``saved`` alone, in the shared folder."""
+    for table in tables:
+        spark = table.sparkSession
+        root = f"{shared_dir(spark).removeprefix('file://')}/"
+        for folder in {name.rpartition("/")[0] for name in table.inputFiles()}:
+            if root in folder and re.search(r"/[a-z-]+-[0-9a-f]{32}$", folder):
+                remove(spark, folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a path of any file system that Spark knows."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[None]:
+    """What is saved within goes to a folder of its own, which is deleted at the end."""
+    before = spark.conf.get(WORKSPACE, None)
+    path = fresh_path(spark, "workspace")
+    spark.conf.set(WORKSPACE, path)
+    try:
+        yield
+    finally:
+        spark.conf.unset(WORKSPACE) if before is None else spark.conf.set(WORKSPACE, before)
+        remove(spark, path)
+
+
 class WordHashes(dict):
     """64-bit hash by word (bytes), filled as words come."""
 
