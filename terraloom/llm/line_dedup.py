@@ -107,12 +107,14 @@ def _candidates(sets: DataFrame, percent: int) -> DataFrame:
     common = F.call_function("shiftrightunsigned", F.col("tok"), F.lit(56)) >= COMMON
     rest = F.when(common, F.slice("prefix", F.col("i") + 2, size)).otherwise(F.array(F.lit(0).cast("long")))
     cells = tokens.select("doc_id", "pos", "n", "bits", "open", "i", "tok", F.explode(rest).alias("next"))
-    # none is ever null, else each use would push null checks of its own below the shuffle and so need another one
-    cells = cells.select(F.xxhash64("tok", "next").alias("key"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.coalesce("bits", F.lit(0).cast("long")).alias("bits"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce(F.col("i") + 1, F.lit(0)).alias("i"), F.coalesce("open", F.lit(0)).alias("open"))
-    cells = cells.repartition("key")
-    a, b = cells.alias("a"), cells.alias("b")
+    # what both sides of the join read is the same (the state rides in the size) and never null: so one shuffle serves both
+    size = F.shiftleft(F.col("n").cast("long"), 1).bitwiseOR(F.col("open").cast("long"))
+    zero = F.lit(0).cast("long")
+    cells = cells.select(F.xxhash64("tok", "next").alias("key"), F.coalesce("doc_id", zero).alias("doc_id"), F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("bits", zero).alias("bits"), F.coalesce(size, zero).alias("size"), (F.col("i") + 1).alias("i")).repartition("key")
+    wide = cells.withColumn("n", F.shiftright("size", 1))
+    a, b = wide.alias("a"), wide.alias("b")
     most = F.least("a.i", "b.i") + F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i"))  # i tokens lie up to and with the shared one
-    on = (F.col("a.key") == F.col("b.key")) & (F.col("a.open") * F.col("b.n") > 0) & _alike("a", "b", percent, most)
+    on = (F.col("a.key") == F.col("b.key")) & ((F.col("a.size") % 2) * F.col("b.size") > 0) & _alike("a", "b", percent, most)
     return a.join(b, on).select(*_pair()).distinct()
 
 
