@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,18 +13,20 @@ from terraloom.llm.shared import drop, saved
 
 BUCKETS = 1 << 18  # of the word counts that order tokens; a table of fixed size, one byte each
 COMMON = 18  # rarity level from which a prefix token is too common to be a key alone: some 512 words in its bucket
+LONG = 64  # sets of more words have 128 parity bits instead of 64
 LEAST = 4  # sets of fewer words reach 0.8 with no other set
 
 
 def _spaced(text: Column, marks: str = "\t\x0b\x0c\r") -> Column:
-    """The text with blanks for other ASCII white space."""
-    return reduce(lambda x, mark: F.replace(x, F.lit(mark), F.lit(" ")), marks, text)
+    """The text with blanks for other ASCII white space. Few texts have any, and looking for it costs less than replacing."""
+    some = reduce(lambda x, y: x | y, (text.contains(mark) for mark in marks))
+    return F.when(some, reduce(lambda x, mark: F.replace(x, F.lit(mark), F.lit(" ")), marks, text)).otherwise(text)
 
 
 def _levels(docs: DataFrame) -> Column:
     """A constant array: for every hash bucket the logarithm of the count of its words over all texts, in halves of a doubling."""
-    word = F.explode(F.split(_spaced(F.col("text"), "\t\n\x0b\x0c\r"), " ")).alias("w")
-    seen = docs.select(word).groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("bucket")).count()
+    line = docs.select(F.explode(F.split(_spaced(F.col("text")), "\n")).alias("line"))
+    seen = line.select(F.explode(F.split("line", " ")).alias("w")).groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("bucket")).count()
     level = F.least(F.lit(126), F.floor(2 * F.log2(F.col("count") + 1))).cast("tinyint")
     rows = seen.groupBy().agg(F.sort_array(F.collect_list(F.struct("bucket", level.alias("level")))).alias("rows")).select("rows.bucket", "rows.level").first()
     table = [0] * BUCKETS  # of fixed size, whatever the corpus
@@ -42,8 +45,9 @@ def _words(line: Column) -> Column:
     return F.array_remove(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
 
 
-def _bit(t: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
+def _parity(s: Column, one: Callable[[Column], Column]) -> Column:
+    """Parities by 64 hash cells of the tokens for which ``one`` is 1."""
+    return F.aggregate(s, F.lit(0).cast("long"), lambda x, t: x.bitwiseXOR(F.call_function("shiftleft", one(t), t.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def _lines(docs: DataFrame, levels: Column, percent: int) -> DataFrame:
@@ -64,21 +68,26 @@ def _lines(docs: DataFrame, levels: Column, percent: int) -> DataFrame:
         F.xxhash64("s").alias("f1"),
         F.xxhash64(F.lit(1), "s").alias("f2"),
         n.alias("n"),
-        F.aggregate("s", F.lit(0).cast("long"), lambda x, t: x.bitwiseXOR(_bit(t))).alias("bits"),
+        _parity(F.col("s"), lambda t: F.lit(1).cast("long")).alias("bits"),
+        F.when(n > LONG, _parity(F.col("s"), lambda t: F.shiftright(t, 6).bitwiseAND(F.lit(1).cast("long")))).otherwise(F.lit(0).cast("long")).alias("half"),
         F.when(n >= LEAST, F.slice("s", F.lit(1), n - _need(n, percent) + 2)).alias("prefix"),
     )
 
 
-def _alike(a: str, b: str, percent: int, shared: Column | None = None) -> Column:
-    """Whether lines ``a`` and ``b`` may reach the limit, ``b`` being the earlier: by length, parity bits and the places of a shared token."""
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    # Jaccard of p/100 needs an overlap of p / (100 + p) of both sizes
-    least = F.ceil((na + nb) * percent / float(100 + percent) - 1e-9)
-    length = (na * 100 >= nb * percent) & (nb * 100 >= na * percent)
-    differ = F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits")))  # never more than the tokens that one side lacks
-    order = (F.col(f"{b}.doc_id") < F.col(f"{a}.doc_id")) | ((F.col(f"{b}.doc_id") == F.col(f"{a}.doc_id")) & (F.col(f"{b}.pos") < F.col(f"{a}.pos")))
-    fits = order & length & (differ <= na + nb - 2 * least)
-    return fits if shared is None else fits & (shared >= least)
+def _differ(na: Column, nb: Column) -> Column:
+    """Parity bits in which lines a and b differ: never more than the words that one of them lacks. 128 bits count where both have them."""
+    all_, half = (F.col(f"a.{x}").bitwiseXOR(F.col(f"b.{x}")) for x in ("bits", "half"))
+    return F.when((na > LONG) & (nb > LONG), F.bit_count(half) + F.bit_count(all_.bitwiseXOR(half))).otherwise(F.bit_count(all_))
+
+
+def _alike(na: Column, nb: Column, percent: int, shared: Column | None = None) -> Column:
+    """Whether lines a and b of such sizes may reach the limit, b being the earlier: by parity bits, length and the places of a shared token."""
+    # a Jaccard similarity of p/100 needs an overlap of p / (100 + p) of both sizes
+    fits = _differ(na, nb) * (100 + percent) <= (na + nb) * (100 - percent)
+    fits = fits & (na * 100 >= nb * percent) & (nb * 100 >= na * percent)
+    if shared is not None:
+        fits = fits & (shared * (100 + percent) >= (na + nb) * percent)
+    return fits & ((F.col("b.doc_id") < F.col("a.doc_id")) | ((F.col("b.doc_id") == F.col("a.doc_id")) & (F.col("b.pos") < F.col("a.pos"))))
 
 
 def _pair() -> list[Column]:
@@ -86,13 +95,14 @@ def _pair() -> list[Column]:
 
 
 def _firsts(sets: DataFrame, percent: int) -> DataFrame:
-    """For each line the likeliest match: of the earliest lines that share two of its three rarest tokens."""
+    """For each line the likeliest match: of the earliest lines that share its first two rarest tokens or the second and third."""
     t = [F.get("prefix", F.lit(i)) for i in range(3)]
-    keys = F.array(*(F.when(x.isNotNull() & y.isNotNull(), F.xxhash64(x, y)) for x, y in ((t[0], t[1]), (t[0], t[2]), (t[1], t[2]))))
-    cells = sets.where("prefix is not null").select("doc_id", "pos", "n", "bits", F.explode(keys).alias("key")).where("key is not null")
+    keys = F.array(*(F.when(x.isNotNull() & y.isNotNull(), F.xxhash64(x, y)) for x, y in ((t[0], t[1]), (t[1], t[2]))))
+    cells = sets.where("prefix is not null").select("doc_id", "pos", "n", "bits", "half", F.explode(keys).alias("key")).where("key is not null")
     # all by the least id in one hash aggregate; of one document's lines any serves
-    heads = cells.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("doc_id"), *(F.min_by(c, "doc_id").alias(c) for c in ("pos", "n", "bits"))).where("size > 1")
-    pairs = cells.alias("a").join(heads.alias("b"), (F.col("a.key") == F.col("b.key")) & _alike("a", "b", percent)).select(*_pair(), F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))).alias("differ"))
+    heads = cells.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("doc_id"), *(F.min_by(c, "doc_id").alias(c) for c in ("pos", "n", "bits", "half"))).where("size > 1")
+    sizes = F.col("a.n"), F.col("b.n")
+    pairs = cells.alias("a").join(heads.alias("b"), (F.col("a.key") == F.col("b.key")) & _alike(*sizes, percent)).select(*_pair(), _differ(*sizes).alias("differ"))
     return pairs.groupBy("doc_id", "pos").agg(F.min(F.struct("differ", "doc_b", "pos_b")).alias("b")).select("doc_id", "pos", "b.doc_b", "b.pos_b")
 
 
@@ -103,18 +113,18 @@ def _candidates(sets: DataFrame, percent: int) -> DataFrame:
     share lies in the prefix with one more token: so the key is the common token and any later one.
     """
     size = F.size("prefix")
-    tokens = sets.where("prefix is not null").select("doc_id", "pos", "n", "bits", "open", "prefix", F.posexplode(F.slice("prefix", F.lit(1), size - 1)).alias("i", "tok"))
+    tokens = sets.where("prefix is not null").select("doc_id", "pos", "n", "bits", "half", "open", "prefix", F.posexplode(F.slice("prefix", F.lit(1), size - 1)).alias("i", "tok"))
     common = F.call_function("shiftrightunsigned", F.col("tok"), F.lit(56)) >= COMMON
     rest = F.when(common, F.slice("prefix", F.col("i") + 2, size)).otherwise(F.array(F.lit(0).cast("long")))
-    cells = tokens.select("doc_id", "pos", "n", "bits", "open", "i", "tok", F.explode(rest).alias("next"))
+    cells = tokens.select("doc_id", "pos", "n", "bits", "half", "open", "i", "tok", F.explode(rest).alias("next"))
     # what both sides of the join read is the same (the state rides in the size) and never null: so one shuffle serves both
     size = F.shiftleft(F.col("n").cast("long"), 1).bitwiseOR(F.col("open").cast("long"))
     zero = F.lit(0).cast("long")
-    cells = cells.select(F.xxhash64("tok", "next").alias("key"), F.coalesce("doc_id", zero).alias("doc_id"), F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("bits", zero).alias("bits"), F.coalesce(size, zero).alias("size"), (F.col("i") + 1).alias("i")).repartition("key")
-    wide = cells.withColumn("n", F.shiftright("size", 1))
-    a, b = wide.alias("a"), wide.alias("b")
-    most = F.least("a.i", "b.i") + F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i"))  # i tokens lie up to and with the shared one
-    on = (F.col("a.key") == F.col("b.key")) & ((F.col("a.size") % 2) * F.col("b.size") > 0) & _alike("a", "b", percent, most)
+    cells = cells.select(F.xxhash64("tok", "next").alias("key"), F.coalesce("doc_id", zero).alias("doc_id"), F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("bits", zero).alias("bits"), F.coalesce("half", zero).alias("half"), F.coalesce(size, zero).alias("size"), (F.col("i") + 1).alias("i"))
+    a, b = cells.alias("a"), cells.alias("b")
+    na, nb = (F.shiftright(f"{x}.size", 1) for x in "ab")
+    most = F.least("a.i", "b.i") + F.least(na - F.col("a.i"), nb - F.col("b.i"))  # i tokens lie up to and with the shared one
+    on = (F.col("a.key") == F.col("b.key")) & ((F.col("a.size") % 2) * F.col("b.size") > 0) & _alike(na, nb, percent, most)
     return a.join(b, on).select(*_pair()).distinct()
 
 
@@ -123,8 +133,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     ends = pairs.select("doc_id", "pos").unionByName(pairs.select(F.col("doc_b").alias("doc_id"), F.col("pos_b").alias("pos")))
     wanted = ends.groupBy("doc_id").agg(F.collect_set("pos").alias("places"))  # at most the lines of one document
     # the texts meet their places by a shuffle at every size: what is wanted grows with the corpus
-    text = docs.hint("merge").join(wanted, "doc_id").select("doc_id", F.explode("places").alias("pos"), F.split("text", "\n").alias("lines"))
-    sets = saved(text.select("doc_id", "pos", F.array_distinct(_words(_spaced(F.get("lines", "pos")))).alias("s")), "linesets")
+    text = docs.hint("merge").join(wanted, "doc_id").select("doc_id", "places", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("pos", "line")).where("array_contains(places, pos)")
+    sets = saved(text.select("doc_id", "pos", F.array_distinct(_words(F.col("line"))).alias("s")), "linesets")
     first = pairs.join(sets.withColumnRenamed("s", "s_a"), ["doc_id", "pos"])
     both = first.join(sets.select(F.col("doc_id").alias("doc_b"), F.col("pos").alias("pos_b"), F.col("s").alias("s_b")), ["doc_b", "pos_b"])
     common = F.size(F.array_intersect("s_a", "s_b"))
@@ -144,12 +154,12 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
     rows = saved(_lines(one, _levels(one), percent), "lines")
     at = F.min(F.struct("doc_id", "pos")).alias("at")
-    classes = rows.groupBy("f1", "f2").agg(at, F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"), F.count("*").alias("size"))
-    sets = saved(classes.select("f1", "f2", "at.doc_id", "at.pos", "n", "bits", "prefix", "size"), "sets")
+    classes = rows.groupBy("f1", "f2").agg(at, F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("half").alias("half"), F.first("prefix").alias("prefix"), F.count("*").alias("size"))
+    sets = saved(classes.select("f1", "f2", "at.doc_id", "at.pos", "n", "bits", "half", "prefix", "size"), "sets")
     firsts = sets.where("size > 1").select("f1", "f2", F.col("doc_id").alias("doc_1"), F.col("pos").alias("pos_1"))
     copies = saved(rows.select("doc_id", "pos", "f1", "f2").join(firsts, ["f1", "f2"]).where("not (doc_id = doc_1 and pos = pos_1)").select("doc_id", "pos"), "copies")
     drop(rows)
-    sets = sets.select("doc_id", "pos", "n", "bits", "prefix")
+    sets = sets.select("doc_id", "pos", "n", "bits", "half", "prefix")
     near = saved(_firsts(sets, percent), "near")
     done = _verified(near, one, percent)
     settled = done.withColumn("open", F.lit(0))
