@@ -13,7 +13,7 @@ from terraloom.llm.shared import drop, saved
 
 BUCKETS = 1 << 18  # of the word counts that order tokens; a table of fixed size, one byte each
 COMMON = 18  # rarity level from which a prefix token is too common to be a key alone: some 512 words in its bucket
-LONG = 64  # sets of more words have 128 parity bits instead of 64
+LONG = 32  # sets of more words have 128 parity bits instead of 64
 LEAST = 4  # sets of fewer words reach 0.8 with no other set
 
 
@@ -95,10 +95,12 @@ def _pair() -> list[Column]:
 
 
 def _firsts(sets: DataFrame, percent: int) -> DataFrame:
-    """For each line the likeliest match: of the earliest lines that share its first two rarest tokens or the second and third."""
-    t = [F.get("prefix", F.lit(i)) for i in range(3)]
-    keys = F.array(*(F.when(x.isNotNull() & y.isNotNull(), F.xxhash64(x, y)) for x, y in ((t[0], t[1]), (t[1], t[2]))))
-    cells = sets.where("prefix is not null").select("doc_id", "pos", "n", "bits", "half", F.explode(keys).alias("key")).where("key is not null")
+    """For each line the likeliest match: of the earliest lines that share two neighbours in the rarity order of their prefixes.
+
+    Half of the pairs of neighbours serve, chosen by their hash, so that like lines choose alike wherever the pairs stand.
+    """
+    neighbours = sets.where("prefix is not null").select("doc_id", "pos", "n", "bits", "half", "prefix", F.posexplode(F.slice("prefix", F.lit(1), F.size("prefix") - 1)).alias("i", "tok"))
+    cells = neighbours.select("doc_id", "pos", "n", "bits", "half", F.xxhash64("tok", F.get("prefix", F.col("i") + 1)).alias("key")).where("key % 2 = 0")
     # all by the least id in one hash aggregate; of one document's lines any serves
     heads = cells.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("doc_id"), *(F.min_by(c, "doc_id").alias(c) for c in ("pos", "n", "bits", "half"))).where("size > 1")
     sizes = F.col("a.n"), F.col("b.n")
@@ -116,15 +118,20 @@ def _candidates(sets: DataFrame, percent: int) -> DataFrame:
     tokens = sets.where("prefix is not null").select("doc_id", "pos", "n", "bits", "half", "open", "prefix", F.posexplode(F.slice("prefix", F.lit(1), size - 1)).alias("i", "tok"))
     common = F.call_function("shiftrightunsigned", F.col("tok"), F.lit(56)) >= COMMON
     rest = F.when(common, F.slice("prefix", F.col("i") + 2, size)).otherwise(F.array(F.lit(0).cast("long")))
-    cells = tokens.select("doc_id", "pos", "n", "bits", "half", "open", "i", "tok", F.explode(rest).alias("next"))
+    cells = tokens.select("doc_id", "pos", "n", "bits", "half", "open", "prefix", "i", "tok", F.posexplode(rest).alias("j", "next"))
+    before = F.when(F.col("i") > 0, F.get("prefix", F.col("i") - 1))
+    between = F.when(F.col("j") > 0, F.get("prefix", F.col("i") + F.col("j")))
     # what both sides of the join read is the same (the state rides in the size) and never null: so one shuffle serves both
     size = F.shiftleft(F.col("n").cast("long"), 1).bitwiseOR(F.col("open").cast("long"))
     zero = F.lit(0).cast("long")
-    cells = cells.select(F.xxhash64("tok", "next").alias("key"), F.coalesce("doc_id", zero).alias("doc_id"), F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("bits", zero).alias("bits"), F.coalesce("half", zero).alias("half"), F.coalesce(size, zero).alias("size"), (F.col("i") + 1).alias("i"))
+    cells = cells.select(F.xxhash64("tok", "next").alias("key"), F.coalesce("doc_id", zero).alias("doc_id"), F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("bits", zero).alias("bits"), F.coalesce("half", zero).alias("half"), F.coalesce(size, zero).alias("size"), (F.col("i") + 1).alias("i"), F.coalesce(before, zero).alias("before"), F.coalesce(between, zero).alias("between"))
     a, b = cells.alias("a"), cells.alias("b")
     na, nb = (F.shiftright(f"{x}.size", 1) for x in "ab")
     most = F.least("a.i", "b.i") + F.least(na - F.col("a.i"), nb - F.col("b.i"))  # i tokens lie up to and with the shared one
     on = (F.col("a.key") == F.col("b.key")) & ((F.col("a.size") % 2) * F.col("b.size") > 0) & _alike(na, nb, percent, most)
+    # lines that share the token before as well meet by that one; so a pair shows up a few times, not once a shared key
+    for c in ("before", "between"):
+        on = on & ((F.col(f"a.{c}") != F.col(f"b.{c}")) | (F.col(f"a.{c}") == 0))
     return a.join(b, on).select(*_pair()).distinct()
 
 

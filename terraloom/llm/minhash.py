@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraloom.llm.shared import WordHashes, connected, mix, saved, windows
+from terraloom.llm.shared import WordHashes, connected, drop, mix, saved, windows
 
 BANDS, ROWS = 32, 5  # 160 signature values: at similarity 0.8 a pair misses all bands with probability 3e-6
 PERMUTATIONS = BANDS * ROWS // 2  # each gives its minimum and its maximum
@@ -199,7 +199,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     near = small.select("key", "rep", "sketch").repartition("key").sortWithinPartitions("key").mapInArrow(_bucket_links(limit), "a long, b long")
     stars = member.where(f"size > {SMALL_BUCKET} and rep != first").select(F.col("rep").alias("a"), F.col("first").alias("b"))
     group = connected(near.unionByName(stars)).withColumnsRenamed({"node": "rep", "component": "grp"})
-    links = saved(_compared(one, saved(group, "groups"), k, percent), "links")
+    group = saved(group, "groups")
+    drop(member, reps)
+    # groups grow with the corpus: their texts come by a shuffle at every size, never by a broadcast that only small inputs allow
+    text = one.withColumnRenamed("doc_id", "rep").hint("merge").join(group, "rep").select("rep", "grp", "text")
+    sets = saved(text.mapInArrow(_sets(k), "rep long, grp long, shingles binary"), "sets")
+    links = saved(_compared(sets, group, percent), "links")
+    drop(sets, group)
     labels = connected(links).withColumnsRenamed({"node": "rep", "component": "component_id"})
     return (
         sig.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("f1")).alias("f1"), F.when(F.col("n") > 0, F.col("f2")).alias("f2"))
@@ -210,11 +216,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     )
 
 
-def _compared(one: DataFrame, group: DataFrame, k: int, percent: int) -> DataFrame:
+def _compared(sets: DataFrame, group: DataFrame, percent: int) -> DataFrame:
     """Exact links within candidate groups, each group cut in blocks and every two blocks compared in a unit of their own."""
-    # groups grow with the corpus: their texts come by a shuffle at every size, never by a broadcast that only small inputs allow
-    text = one.withColumnRenamed("doc_id", "rep").hint("merge").join(group, "rep").select("rep", "grp", "text")
-    sets = saved(text.mapInArrow(_sets(k), "rep long, grp long, shingles binary"), "sets")
     blocks = group.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = sets.join(blocks, "grp").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
     # block x meets every other block y in unit (min, max); the pairs within x are taken in the unit (x, x)

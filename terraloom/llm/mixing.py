@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,11 +49,12 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float
     """
     sized = docs.withColumn("size", word_count(F.col("text").cast("string")))
     per = sized.groupBy(F.col("source").cast("string").alias("source")).agg(F.sum("size").alias("source_size"))
-    targets = saved(source_targets(per, weights, share, most).withColumnRenamed("source", "_source"), "targets")
+    name = f"source_{uuid.uuid4().hex}"  # that no column of the input has
+    targets = saved(source_targets(per, weights, share, most).withColumnRenamed("source", name), "targets")
     if targets.count() <= BROADCAST_SOURCES:  # a checked size; more sources are joined by shuffle
         targets = F.broadcast(targets)
     base = sized.drop("source_size", "target", "rate", "copies")
-    joined = base.join(targets, base["source"].cast("string").eqNullSafe(F.col("_source"))).drop("_source")
+    joined = base.join(targets, base["source"].cast("string").eqNullSafe(F.col(name))).drop(name)
     text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     draw = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / float(1 << 32)
     rate = F.least(F.lit(float(most)), F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(0.0)))
@@ -61,4 +64,5 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float
 
 def emitted(mix: DataFrame, columns: list[str]) -> DataFrame:
     """Each document of a mix as many times as it is taken."""
-    return mix.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*columns)
+    turn = f"copy_{uuid.uuid4().hex}"  # that no column of the input has
+    return mix.where("copies > 0").withColumn(turn, F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*columns)

@@ -35,13 +35,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{spark.conf.get(WORKSPACE, None) or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: cuts the lineage and survives lost executors.
+def saved(df: DataFrame, name: str = "table", at: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder (or to the path ``at``) and read again: cuts the lineage and survives lost executors.
 
     The shuffle files of the write go as soon as it has ended, by Spark's own setting: nothing reads them again.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, name)
+    path = at or fresh_path(spark, name)
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
@@ -134,6 +134,7 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         small = large.join(lowest(large), "u")
         small = small.select(F.inline(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))))
-        e = saved(small.where("u != v").distinct(), "edges")
+        before, e = e, saved(small.where("u != v").distinct(), "edges")
+        drop(before)
     roots = e.groupBy(F.col("v").alias("node")).agg(F.min("v").alias("component"))
     return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(roots)
