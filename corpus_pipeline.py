@@ -2,11 +2,12 @@
 
 Each stage takes what its predecessor wrote, decides on all of it, and returns the columns of ``documents``; the last returns
 token ids. Null texts and texts without ten words go in the first stage; documents of which line dedup leaves no words go in the second; rows
-that repeat an id count as one document from the third on.
+that repeat an id with the same text count as one document from the third on.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -18,7 +19,7 @@ from terraloom.llm.line_dedup import line_dedup
 from terraloom.llm.minhash import near_duplicates
 from terraloom.llm.mixing import emitted, mixed
 from terraloom.llm.quality import fit_crf, good_documents
-from terraloom.llm.shared import saved
+from terraloom.llm.shared import drop, fresh_path, saved, workspace
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,11 +35,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, Jaccard of 0.8 or more), and one row of an id."""
-    kept = saved(near_duplicates(docs, k=5, percent=80), "near").where("kept and doc_id is not null").select("doc_id").distinct()
+    """One document of each group of near copies (five-word shingles, Jaccard of 0.8 or more), and equal rows of an id once.
+
+    An id that stands for several different texts is left alone: each of its texts stays, once.
+    """
+    found = saved(near_duplicates(docs, k=5, percent=80), "near")
+    print_ = F.xxhash64(F.col("text"))
+    several = docs.select("doc_id", print_.alias("print")).groupBy("doc_id").agg(F.min("print").alias("low"), F.max("print").alias("high")).where("low != high")
+    kept = found.where("kept").select("doc_id").unionByName(several.select("doc_id")).where("doc_id is not null").distinct()
     left = docs.join(kept.hint("merge"), "doc_id", "left_semi")
-    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns)))
-    one = left.withColumn("_turn", turn).where("_turn = 1").select(*docs.columns)
+    by_text = Window.partitionBy("doc_id").orderBy("text")
+    again = (F.row_number().over(by_text) > 1) & F.lag("text").over(by_text).eqNullSafe(F.col("text"))
+    name = f"again_{uuid.uuid4().hex}"  # that no column of the input has
+    one = left.withColumn(name, again).where(f"not `{name}`").select(*docs.columns)
     return one.unionByName(docs.where("doc_id is null"))
 
 
@@ -66,7 +75,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages in turn. What a stage wrote on its way goes when its result is written, its input with the next result."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        at = fresh_path(spark, f"stage-{name.replace(' ', '-')}")
+        with workspace(spark):
+            docs = saved(stage(spark, docs, sf_dir), at=at)
+        if last is not None:
+            drop(last)
+        last = docs
     return docs
