@@ -76,8 +76,11 @@ GREY = 128
 
 
 def parse_height(value: Column, story: float = 3.0, default: float = 3.0) -> tuple[Column, Column]:
-    """Metres and whether the text told them: HHT metres, else H or HAPP stories, else the middle of HBET's range of stories."""
-    parts = F.split(value, r"\+")
+    """Metres and whether the value told them. A number above 0 is metres; of a text HHT metres, else H or HAPP stories, else
+    the middle of HBET's range of stories. Numbers in a text column are texts: they tell nothing."""
+    metres = value.try_cast("double")
+    number = F.when(F.typeof(value).isin("string", "boolean"), None).when((metres > 0) & (metres < float("inf")), metres)  # NaN is above all numbers
+    parts = F.split(value.cast("string"), r"\+")
 
     def first(prefix: str) -> Column:
         numbers = F.transform(parts, lambda p: F.when(p.startswith(prefix), F.split(p, ":")[1].try_cast("double")))
@@ -88,7 +91,7 @@ def parse_height(value: Column, story: float = 3.0, default: float = 3.0) -> tup
         return F.when(p.startswith("HBET:") & (F.size(ends) == 2), (F.get(ends, F.lit(0)).try_cast("double") + F.get(ends, F.lit(1)).try_cast("double")) / 2.0)
 
     between = F.get(F.filter(F.transform(parts, middle), lambda x: x.isNotNull()), F.lit(0))
-    found = F.coalesce(first("HHT:"), first("H:") * story, first("HAPP:") * story, between * story)
+    found = F.coalesce(number, first("HHT:"), first("H:") * story, first("HAPP:") * story, between * story)
     return F.coalesce(found, F.lit(default)), found.isNotNull()
 
 

@@ -38,6 +38,27 @@ def in_polygon(px: Column, py: Column, ring: Column) -> Column:
     return odd | on
 
 
+def rings_cross(one: Column, other: Column) -> Column:
+    """Whether an edge of one ring meets an edge of the other, at their ends too; open or closed rings."""
+
+    def edges(ring: Column) -> Column:
+        return F.transform(ring, lambda p, i: F.struct(p.alias("a"), F.get(ring, F.pmod(i + 1, F.size(ring))).alias("b")))
+
+    def side(a: Column, b: Column, p: Column) -> Column:
+        return F.signum((b["x"] - a["x"]) * (p["y"] - a["y"]) - (b["y"] - a["y"]) * (p["x"] - a["x"]))
+
+    def boxed(e: Column, f: Column) -> Column:
+        low = lambda g, k: F.least(g["a"][k], g["b"][k])
+        high = lambda g, k: F.greatest(g["a"][k], g["b"][k])
+        return bounds_overlap((low(e, "x"), low(e, "y"), high(e, "x"), high(e, "y")), (low(f, "x"), low(f, "y"), high(f, "x"), high(f, "y")))
+
+    def meet(e: Column, f: Column) -> Column:
+        parted = (side(e["a"], e["b"], f["a"]) * side(e["a"], e["b"], f["b"]) <= 0) & (side(f["a"], f["b"], e["a"]) * side(f["a"], f["b"], e["b"]) <= 0)
+        return boxed(e, f) & parted  # edges on one line meet where their boxes do
+
+    return F.exists(edges(one), lambda e: F.exists(edges(other), lambda f: meet(e, f)))
+
+
 def ring_bounds(ring: Column) -> tuple[Column, Column, Column, Column]:
     xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
     return F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)

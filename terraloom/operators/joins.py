@@ -7,15 +7,21 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraloom.operators.geometry import along_segment, bounds_overlap, covering_cells, in_polygon, ring_bounds, same_cell, segment_distance, with_cell
+from terraloom.operators.geometry import along_segment, bounds_overlap, covering_cells, in_polygon, ring_bounds, rings_cross, same_cell, segment_distance, with_cell
 
 
-def select_tiles(index: DataFrame, aoi: Column, ring: str = "ring") -> DataFrame:
-    """Distinct paths of tiles whose footprint meets the area of interest (a ring): bounds first, then corners and edges."""
+def select_tiles(index: DataFrame, aoi: Column, ring: str = "ring", must_hit: bool = False) -> DataFrame:
+    """Distinct paths of tiles whose footprint meets the area of interest (a ring): bounds first, then corners and edges.
+
+    With ``must_hit`` an area that no tile meets raises a ValueError; to know that, the search runs once when called.
+    """
     area = aoi
     close = bounds_overlap(ring_bounds(F.col(ring)), ring_bounds(area))
     holds = F.exists(F.col(ring), lambda p: in_polygon(p["x"], p["y"], area)) | F.exists(area, lambda p: in_polygon(p["x"], p["y"], F.col(ring)))
-    return index.where(close & holds).select("path").distinct()
+    found = index.where(close & (holds | rings_cross(F.col(ring), area))).select("path").distinct()
+    if must_hit and found.isEmpty():
+        raise ValueError("no tile meets the area of interest")
+    return found
 
 
 def quadkey(x: Column, y: Column, zoom: int) -> Column:

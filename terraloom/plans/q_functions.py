@@ -223,6 +223,16 @@ def scl1(spark: SparkSession, d: str) -> DataFrame:
     return view(spark, d, "v_buildings").select("building_id", metres.alias("height_m"), parsed.alias("parsed"))
 
 
+@query("scl1_parse_height_numbers", duckdb("v_buildings", then="""SELECT building_id, CASE WHEN given > 0 THEN given ELSE 3.0 END AS height_m, coalesce(given > 0, false) AS parsed
+  FROM (SELECT building_id, CASE WHEN building_id % 4 > 0 THEN area_m2 * (building_id % 4 - 2) / 100 END AS given FROM v_buildings)"""))
+def scl1_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """Heights of a numeric column: above, at and below 0, and null."""
+    k = F.col("building_id") % 4
+    given = view(spark, d, "v_buildings").select("building_id", F.when(k > 0, F.col("area_m2") * (k - 2) / 100).alias("given"))
+    metres, parsed = S.parse_height(F.col("given"))
+    return given.select("building_id", metres.alias("height_m"), parsed.alias("parsed"))
+
+
 @query("scl2_parse_width", duckdb("v_ways", then="SELECT way_id, TRY_CAST(regexp_replace(lower(trim(width)), '\\s*m$', '') AS DOUBLE) AS width_m FROM v_ways"))
 def scl2(spark: SparkSession, d: str) -> DataFrame:
     return view(spark, d, "v_ways").select("way_id", S.parse_width(F.col("width")).alias("width_m"))

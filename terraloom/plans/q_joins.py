@@ -25,7 +25,20 @@ def jon1(spark: SparkSession, d: str) -> DataFrame:
     return J.select_tiles(index, G.polygon(*DIAMOND))
 
 
-_TILE = "CAST(floor((({lon}) / 360.0 + 0.5) * 4096) AS BIGINT)", "CAST(floor((0.5 - 0.25 * ln((1 + sin(radians({lat}))) / (1 - sin(radians({lat})))) / pi()) * 4096) AS BIGINT)"
+@query("jon1_select_tiles_crossing", duckdb("v_zones", then="""SELECT DISTINCT 'bar_' || zone_id || '.tif' AS path FROM v_zones WHERE
+  CASE WHEN zone_id % 2 = 0 THEN cy + radius >= 31 AND cy - radius <= 33 ELSE cx + radius >= 10 AND cx - radius <= 54 END"""))
+def jon1_crossing(spark: SparkSession, d: str) -> DataFrame:
+    """Bars across a flat area, no corner of either within the other: rows lie across, the others stand."""
+    even = F.col("zone_id") % 2 == 0
+    at = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    x0, x1 = F.when(even, 0.0).otherwise(F.col("cx") - F.col("radius")), F.when(even, 64.0).otherwise(F.col("cx") + F.col("radius"))
+    y0, y1 = F.when(even, F.col("cy") - F.col("radius")).otherwise(0.0), F.when(even, F.col("cy") + F.col("radius")).otherwise(64.0)
+    bars = view(spark, d, "v_zones").withColumn("ring", F.array(at(x0, y0), at(x1, y0), at(x1, y1), at(x0, y1)))
+    bars = bars.withColumn("path", F.concat(F.lit("bar_"), "zone_id", F.lit(".tif")))
+    return J.select_tiles(bars, G.polygon((10, 31), (54, 31), (54, 33), (10, 33)), must_hit=True)
+
+
+_TILE = "CAST(floor(((({lon}) / 360.0 + 0.5) * 4096) AS BIGINT)", "CAST(floor((0.5 - 0.25 * ln((1 + sin(radians({lat}))) / (1 - sin(radians({lat})))) / pi()) * 4096) AS BIGINT)"
 _KEY = " || ".join(f"CAST((({{x}} >> {i}) & 1) + (({{y}} >> {i}) & 1) * 2 AS VARCHAR)" for i in range(11, -1, -1))
 
 

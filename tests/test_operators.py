@@ -218,3 +218,26 @@ def test_stream_of_scenes(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("daily").outputMode("append").option("checkpointLocation", f"file://{tmp_path}/c").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert [(str(r.acq_date), r.v) for r in spark.table("daily").collect()] == [("2024-01-01", 5.0)]
+
+
+def test_crossing_tiles_and_no_hit(spark):
+    select_tiles = J.select_tiles
+    at = lambda x, y: {"x": float(x), "y": float(y)}
+    bar = [at(0, 4), at(10, 4), at(10, 6), at(0, 6)]
+    far = [at(20, 20), at(21, 20), at(21, 21), at(20, 21)]
+    touching = [at(6, 9), at(8, 9), at(8, 11), at(6, 11)]
+    index = spark.createDataFrame([("bar", bar), ("far", far), ("touching", touching)], "path string, ring array<struct<x:double,y:double>>")
+    upright = G.polygon((4, 0), (6, 0), (6, 10), (4, 10))
+    assert {r.path for r in select_tiles(index, upright, must_hit=True).collect()} == {"bar", "touching"}
+    away = G.polygon((-9, -9), (-8, -9), (-8, -8))
+    assert select_tiles(index, away).isEmpty()
+    with pytest.raises(ValueError):
+        select_tiles(index, away, must_hit=True)
+
+
+def test_numeric_heights(spark):
+    m, ok = S.parse_height(F.col("h"))
+    for kind, values in (("double", [12.5, 0.0, -3.0, None, float("nan"), float("inf")]), ("int", [7, 0, None]), ("string", ["12.5", "H:2", "nan"])):
+        got = {r.h if r.h == r.h else "nan": (r.m, r.ok) for r in spark.createDataFrame([(v,) for v in values], f"h {kind}").select("h", m.alias("m"), ok.alias("ok")).collect()}
+        told = {"double": {12.5: 12.5}, "int": {7: 7.0}, "string": {"H:2": 6.0}}[kind]
+        assert got == {(v if v == v else "nan"): (told.get(v, 3.0), v in told) for v in values}
