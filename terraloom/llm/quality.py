@@ -14,6 +14,7 @@ from terraloom.llm.shared import WordHashes, windows
 SYMBOLS = b"#*$%&|<>"
 FEATURES = 12
 TRAIN_DOCS = 2_000  # bound of the labelled sample that the CRF is fitted on
+TRAIN_LINES = 2_000  # of a labelled document, evenly spaced ones beyond that; bounds what the fit brings to the driver
 PIECE = 40  # lines of one training sequence; longer documents give several
 SLICE = 256  # documents handled together
 _SPACE = b" \t\n\x0b\x0c\r"
@@ -154,7 +155,8 @@ class LineCrf:
 
 
 def fit_crf(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS) -> LineCrf:
-    """A CRF from labelled documents: at most ``sample`` of them, those of smallest hash; their features alone reach the driver."""
+    """A CRF from labelled documents: at most ``sample`` of them, those of smallest hash, one text an id, at most TRAIN_LINES
+    lines of each; their features alone reach the driver."""
     good = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     # rare bad documents get half of the sample
     picked = None
@@ -162,10 +164,12 @@ def fit_crf(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS) -> Lin
         part = good.where(f"quality = {value}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2)
         picked = part if picked is None else picked.unionByName(part)
     text = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null").join(F.broadcast(picked), "doc_id")
+    text = text.groupBy("doc_id").agg(F.max("text").alias("text"), F.first("quality").alias("quality"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [lines_of(t)[0] for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            rows = [r[np.linspace(0, len(r) - 1, TRAIN_LINES).astype(int)] if len(r) > TRAIN_LINES else r for r in rows]
             yield pa.record_batch({"doc_id": batch.column(0), "quality": batch.column(2), "x": pa.array([r.astype("<f4").tobytes() for r in rows], pa.binary())})
 
     found = text.select(F.col("doc_id").cast("long"), "text", F.col("quality").cast("long")).mapInArrow(run, "doc_id long, quality long, x binary")

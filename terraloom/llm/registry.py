@@ -76,7 +76,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["base"])
     counts = [F.size(F.array_compact(F.transform(base, lambda s: F.nullif(s["kind"] == F.lit(kind), F.lit(False))))) for kind in range(4)]
     counts = [n.cast("long").alias(f"n_{KINDS[kind]}") for kind, n in enumerate(counts)]
-    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    secret = F.size(F.filter("spans", lambda s: s["kind"] == 4)).cast("long").alias("n_secret")
+    return found.select("doc_id", *counts, secret, F.size("spans").cast("long").alias("n_spans"), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
 OP6_SQL = r"""

@@ -15,18 +15,18 @@ from pyspark.sql import functions as F
 
 #: Word caches of a task are emptied beyond so many entries; the results do not depend on it.
 CACHE_WORDS = 400_000
-WORKSPACE = "terraloom.workspace"
+OWN_DIR, WORKSPACE = "terraloom.shared", "terraloom.workspace"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share (spark.checkpoint.dir); one of our own only where none is set, as in tests."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(OWN_DIR, None)
     if not path:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        spark.conf.set(OWN_DIR, path)
     return path.rstrip("/")
 
 
@@ -55,9 +55,9 @@ def drop(*tables: DataFrame) -> None:
     """Deletes saved tables that nothing reads any more: those of ``saved`` alone, in the shared folder."""
     for table in tables:
         spark = table.sparkSession
-        root = f"{shared_dir(spark).removeprefix('file://')}/"
+        roots = [f"{x.removeprefix('file://')}/" for x in (shared_dir(spark), spark.conf.get(WORKSPACE, None)) if x]
         for folder in {name.rpartition("/")[0] for name in table.inputFiles()}:
-            if root in folder and re.search(r"/[a-z-]+-[0-9a-f]{32}$", folder):
+            if any(root in folder for root in roots) and re.search(r"/[a-z-]+-[0-9a-f]{32}$", folder):
                 remove(spark, folder)
 
 

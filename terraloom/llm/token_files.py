@@ -18,7 +18,7 @@ from terraloom.llm.bpe import Cutter
 
 #: A task's word cache is emptied beyond so many entries; the results do not depend on it.
 CACHE_WORDS = 1_000_000
-SEGMENT_DOCS = 256
+SEGMENT_DOCS, SEGMENT_IDS = 256, 1 << 20  # a segment ends with so many documents, or beyond so many ids
 RANK_BITS = 512  # one directory entry for so many bitmap bits
 _HEAD = struct.Struct("<4sIIQ")
 
@@ -123,10 +123,23 @@ def library_encoder(path: str):
     return encode
 
 
+SEGMENT = "part int, seq long, before long, n_ids long, docs array<long>, segment binary"
+
+
+def _cuts(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Runs of documents that end beyond SEGMENT_IDS ids."""
+    low, total = 0, 0
+    for at, size in enumerate(sizes):
+        total += size
+        if total > SEGMENT_IDS or at == len(sizes) - 1:
+            yield low, at + 1
+            low, total = at + 1, 0
+
+
 def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Writes the ids of every whole text, an end id after each document, in ascending document order.
 
-    The table at ``path`` holds one row a segment of up to 256 documents: ``part`` and ``seq`` (its place), ``before`` (ids of
+    The table at ``path`` holds one row a segment of up to 256 documents, which ends beyond a million ids: ``part`` and ``seq`` (its place), ``before`` (ids of
     the part before it), ``n_ids``, ``docs`` (document ids) and ``segment`` (a self-contained DAC1 block). Parts are ranges
     of ids; equal ids stay together, in no set order; null ids come first; null texts are empty. Other columns are ignored; an
     empty table gives an empty one.
@@ -139,15 +152,47 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
             for at in range(0, len(batch), SEGMENT_DOCS):
                 piece = batch.slice(at, SEGMENT_DOCS)
                 data = [d + end for d in encode(piece.column(1).to_pylist())]
-                flat = np.frombuffer(b"".join(data), "<u4")
-                segment = Dac.of(flat, np.cumsum([len(d) // 4 for d in data])).dump()
-                ids = pa.ListArray.from_arrays(pa.array([0, len(piece)], pa.int32()), piece.column(0))
-                yield pa.record_batch([pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([before], pa.int64()), pa.array([len(flat)], pa.int64()), ids, pa.array([segment], pa.binary())], names=["part", "seq", "before", "n_ids", "docs", "segment"])
-                seq, before = seq + 1, before + len(flat)
+                for low, high in _cuts([len(d) // 4 for d in data]):
+                    flat = np.frombuffer(b"".join(data[low:high]), "<u4")
+                    segment = Dac.of(flat, np.cumsum([len(d) // 4 for d in data[low:high]])).dump()
+                    ids = pa.ListArray.from_arrays(pa.array([0, high - low], pa.int32()), piece.column(0).slice(low, high - low))
+                    yield pa.record_batch([pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([before], pa.int64()), pa.array([len(flat)], pa.int64()), ids, pa.array([segment], pa.binary())], names=["part", "seq", "before", "n_ids", "docs", "segment"])
+                    seq, before = seq + 1, before + len(flat)
 
     one = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ordered = one.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInArrow(run, "part int, seq long, before long, n_ids long, docs array<long>, segment binary").write.option("compression", "zstd").parquet(path)
+    # not compressed: an id is reached in a segment as it lies in the file
+    ordered.mapInArrow(run, SEGMENT).write.option("compression", "uncompressed").parquet(path)
+
+
+def _bases(table: DataFrame) -> DataFrame:
+    """Ids before each part, and its own: a row a part."""
+    sizes = table.groupBy("part").agg(F.sum("n_ids").alias("ids"))
+    return sizes.select("part", "ids", (F.sum("ids").over(Window.orderBy("part")) - F.col("ids")).alias("base"))
+
+
+def tokens_at(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
+    """Ids at places among all ids of a token table: ``(position, token_id)`` for the distinct ``position`` of the input that exist.
+
+    The place tells part and segment, and the segment's codes give the id by a rank a level: no other id is decoded. Null
+    places and those outside give no rows.
+    """
+    table = spark.read.schema(SEGMENT).parquet(path)
+    asked = positions.select(F.col("position").cast("long").alias("position")).where("position >= 0").distinct()
+    inside = asked.join(F.broadcast(_bases(table)), F.expr("position >= base and position < base + ids")).select("part", (F.col("position") - F.col("base")).alias("at"), "base", F.lit(None).cast("long").alias("seq"))
+    starts = table.select("part", F.col("before").alias("at"), F.lit(None).cast("long").alias("base"), "seq")
+    # the last segment that begins at or before the place, part by part
+    found = F.last("seq", ignorenulls=True).over(Window.partitionBy("part").orderBy("at", F.col("seq").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
+    placed = inside.unionByName(starts).withColumn("seq", found).where("base is not null")
+    wanted = placed.groupBy("part", "seq").agg(F.collect_list(F.struct("at", "base")).alias("wanted"))  # at most a segment's ids
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for before, want, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                dac = Dac.load(data.as_py())
+                yield pa.record_batch({"position": pa.array([w["base"] + w["at"] for w in want], pa.int64()), "token_id": pa.array([dac[w["at"] - before] for w in want], pa.int64())})
+
+    return table.join(wanted, ["part", "seq"]).select("before", "wanted", "segment").mapInArrow(run, "position long, token_id long")
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -156,9 +201,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     Each segment is decoded where it is read. Only the parts' sizes are brought together: a row for each part that the
     writer's shuffle had, which is what the broadcast is bounded by.
     """
-    table = spark.read.schema("part int, seq long, before long, n_ids long, docs array<long>, segment binary").parquet(path)
-    sizes = table.groupBy("part").agg(F.sum("n_ids").alias("ids"))
-    base = sizes.select("part", (F.sum("ids").over(Window.orderBy("part")) - F.col("ids")).alias("base"))
+    table = spark.read.schema(SEGMENT).parquet(path)
+    base = _bases(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -115,6 +115,78 @@ def test_bpe_and_token_files(spark, docs):
         start += len(ids) + 1
 
 
+def test_tokens_at_equals_the_stream(spark, docs, tmp_path, monkeypatch):
+    import terraloom.llm.token_files as files
+
+    monkeypatch.setattr(files, "SEGMENT_IDS", 3_000)  # several segments a part
+    path = f"file://{tmp_path}/tokens"
+    files.write_token_files(spark.read.parquet(f"{FOLDER}/documents.parquet").repartition(5), public_tokenizers.path("word_bpe_49k.json"), path)
+    stream = [t for i in sorted(docs) for t in [*TOKENIZER.encode(docs[i] or "", add_special_tokens=False).ids, 1]]
+    asked = [*range(0, len(stream), 97), len(stream) - 1]
+    frame = spark.createDataFrame([(p,) for p in [*asked, 0, -1, len(stream), None]], "position long")
+    got = files.tokens_at(spark, path, frame).collect()
+    assert sorted((r.position, r.token_id) for r in got) == sorted({(p, stream[p]) for p in asked})
+
+
+def test_own_tables_go(spark, tmp_path):
+    from terraloom.llm.line_dedup import line_dedup
+    from terraloom.llm.shared import WORKSPACE, saved, workspace
+
+    text = spark.createDataFrame([(1, "a b c d e f\nx y z u v w"), (2, "a b c d e f g\nother words stand here now")], "doc_id long, text string")
+    spark.conf.set(WORKSPACE, f"file://{tmp_path}")
+    try:
+        kept = {r.doc_id: (r.n_lines, r.removed) for r in line_dedup(text).collect()}
+        assert kept == {1: (2, []), 2: (2, [0])}
+        assert [x.split("-")[0] for x in os.listdir(tmp_path)] == ["removed"]  # what the result reads
+        with workspace(spark):
+            saved(text, "table")
+            assert any(x.startswith("workspace") for x in os.listdir(tmp_path))
+        assert [x.split("-")[0] for x in os.listdir(tmp_path)] == ["removed"]
+    finally:
+        spark.conf.unset(WORKSPACE)
+
+
+def test_names_of_their_own(spark):
+    import corpus_pipeline
+    from terraloom.llm.line_dedup import line_dedup
+    from terraloom.llm.mixing import emitted, mixed
+
+    columns = "doc_id long, text string, source string, _doc int, _gone int, _source string, _copy int, _turn int"
+    rows_ = [(1, "one two three four five six", "a", 7, 7, "s", 7, 7), (2, "one two three four five six", "b", 7, 7, "s", 7, 7), (3, "other words that stand alone here", None, 7, 7, None, 7, 7)]
+    frame = spark.createDataFrame(rows_, columns)
+    assert {r.doc_id: (r.n_removed, r._doc, r._gone) for r in line_dedup(frame).collect()} == {1: (0, 7, 7), 2: (1, 7, 7), 3: (0, 7, 7)}
+    assert {(r._copy, r._source) for r in emitted(mixed(frame), frame.columns).collect()} <= {(7, "s"), (7, None)}
+    twice = frame.unionByName(spark.createDataFrame([(1, "a wholly different text under one id", "a", 7, 7, "s", 7, 7), rows_[0]], columns))
+    left = sorted((r.doc_id, r.text, r._turn) for r in corpus_pipeline.near(spark, twice, FOLDER).collect())
+    assert left == [(1, "a wholly different text under one id", 7), (1, rows_[0][1], 7), (3, rows_[2][1], 7)]
+
+
+def test_lines_against_brute_force(spark):
+    """Common and rare words, near copies of near copies, short and long lines, more than 64 in a group."""
+    from terraloom.llm.line_dedup import repeated_lines
+
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(400)]
+    base = [list(rng.choice(words, n)) for n in (3, 4, 5, 8, 12, 30, 40, 90, 200)]
+    lines = []
+    for _ in range(120):
+        for b in base:
+            line = list(b)
+            for k in rng.choice(len(line), rng.integers(0, max(1, len(line) // 4) + 1), replace=False):
+                line[k] = str(rng.choice(words)) if rng.random() < 0.7 else f"new{rng.integers(1e6)}"
+            lines.append(" ".join(line))
+    docs_ = [(i, "\n".join(lines[4 * i : 4 * i + 4])) for i in range(len(lines) // 4)]
+    seen, want = [], set()
+    for i, text in docs_:
+        for p, line in enumerate(text.split("\n")):
+            s = set(line.split())
+            if any(100 * len(s & o) >= 80 * len(s | o) for o in seen):
+                want.add((i, p))
+            seen.append(s)
+    got = [(r.doc_id, r.pos) for r in repeated_lines(spark.createDataFrame(docs_, "doc_id long, text string")).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 300
+
+
 def test_mixing_comes_near_its_targets(spark):
     out = QUERIES["op6_mixing"](spark, "/root/testdata/sf0.1").toPandas()
     for _, g in out.groupby("source_size"):
