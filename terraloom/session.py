@@ -25,12 +25,12 @@ def local_session(cpus: int = 8, partitions: int | None = None) -> SparkSession:
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path that no other run uses, in the folder of spark.checkpoint.dir; a folder of our own only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("terraloom.shared", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.conf.set("terraloom.shared", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
