@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraloom.operators.geometry import along_segment, bounds_overlap, covering_cells, in_polygon, ring_bounds, rings_cross, same_cell, segment_distance, with_cell
+from terraloom.operators.sampling import in_brackets
 
 
 def select_tiles(index: DataFrame, aoi: Column, ring: str = "ring", must_hit: bool = False) -> DataFrame:
@@ -114,9 +115,11 @@ def nearest_by(left: DataFrame, right: DataFrame, at: str, value: str, by: list[
 
 
 def nearest_axis(values: DataFrame, axis: DataFrame, value: str, at: str) -> DataFrame:
-    """Distinct values with the nearest point of an axis (the smaller on ties); the axis is a lookup of a grid's coordinates."""
-    pairs = values.select(value).distinct().join(F.broadcast(axis.select(F.col(at).alias("_axis")).distinct()))
-    return pairs.groupBy(value).agg(F.min(F.struct(F.abs(F.col("_axis") - F.col(value)), "_axis"))["_axis"].alias(f"{value}_cell"))
+    """Distinct values with the nearest point of an axis (the smaller on ties)."""
+    points = axis.where(F.col(at).isNotNull()).select(F.col(at).alias("_axis")).distinct().withColumn("_point", F.col("_axis"))
+    held = in_brackets(values.where(F.col(value).isNotNull()).select(value).distinct(), points, F.col(value), "_axis", "_point")
+    near = F.when(F.col("lo").isNull(), F.col("_first._point")).when(F.col("_x") - F.col("lo") <= F.col("hi") - F.col("_x"), F.col("vlo")).otherwise(F.col("vhi"))
+    return held.select(value, near.alias(f"{value}_cell"))
 
 
 def nearest_cell(obs: DataFrame, grid: DataFrame, at: str = "ts") -> DataFrame:

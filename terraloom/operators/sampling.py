@@ -89,14 +89,27 @@ def brackets(profile: DataFrame, at: str, value: str, by: list[str] | None = Non
     return nxt.where("hi is not null")
 
 
-def interp_profile(rows: DataFrame, profile: DataFrame, x: Column, at: str, value: str, out: str) -> DataFrame:
-    """Linear interpolation of a small profile (a lookup of levels), end values held outside."""
-    ends = profile.agg(F.min(F.struct(at, value)).alias("_first"), F.max(F.struct(at, value)).alias("_last"))
-    steps = F.broadcast(brackets(profile, at, value))
-    r = rows.withColumn("_x", x).join(F.broadcast(ends))
+def in_brackets(rows: DataFrame, profile: DataFrame, x: Column, at: str, value: str) -> DataFrame:
+    """Rows with ``_x`` (``x`` held within the profile), its ``_first`` and ``_last`` row, and the interval about it: lo, hi, vlo, vhi.
+
+    An equi join on bins as wide as the mean interval: an interval stands in each bin that it touches, some two a level,
+    and a row looks into one. The profile is put in order in one task, a row a level.
+    """
+    ends = profile.agg(F.min(F.struct(at, value)).alias("_first"), F.max(F.struct(at, value)).alias("_last"), F.count("*").alias("_levels"))
+    ends = F.broadcast(ends.withColumn("_step", (F.col(f"_last.{at}") - F.col(f"_first.{at}")).cast("double") / F.greatest("_levels", F.lit(1))))  # one row
+    bin_of = lambda v: F.coalesce(F.floor(F.try_divide((v - F.col(f"_first.{at}")).cast("double"), F.col("_step"))), F.lit(0))
+    steps = brackets(profile, at, value).join(ends)
+    steps = steps.select("lo", "hi", "vlo", "vhi", F.explode(F.sequence(bin_of(F.col("lo")), bin_of(F.col("hi")))).alias("_bin"))
+    r = rows.withColumn("_x", x).join(ends)
     r = r.withColumn("_x", F.greatest(F.col(f"_first.{at}"), F.least(F.col("_x"), F.col(f"_last.{at}"))))
+    r = r.withColumn("_at_bin", bin_of(F.col("_x")))
     hit = (F.col("_x") >= F.col("lo")) & ((F.col("_x") < F.col("hi")) | ((F.col("_x") == F.col("hi")) & (F.col("hi") == F.col(f"_last.{at}"))))
-    j = r.join(steps, hit, "left")
+    return r.join(steps, (F.col("_at_bin") == F.col("_bin")) & hit, "left").drop("_bin", "_at_bin", "_levels", "_step")
+
+
+def interp_profile(rows: DataFrame, profile: DataFrame, x: Column, at: str, value: str, out: str) -> DataFrame:
+    """Linear interpolation of a profile (a lookup of levels), end values held outside."""
+    j = in_brackets(rows, profile, x, at, value)
     v = F.col("vlo") + (F.col("_x") - F.col("lo")) * F.try_divide(F.col("vhi") - F.col("vlo"), F.col("hi") - F.col("lo"))
     return j.withColumn(out, F.coalesce(v, F.col(f"_first.{value}"))).drop("_x", "_first", "_last", "lo", "hi", "vlo", "vhi")
 

@@ -69,11 +69,15 @@ def match_sam(clusters: DataFrame, library: DataFrame, max_degrees: float) -> Da
 def gaussian_srf(radiance: DataFrame, outputs: DataFrame, keys: list[str], value: str = "radiance", w: str = "w") -> DataFrame:
     """Gaussian-weighted mean about each output wavelength (w_out, fwhm), weights times bin widths.
 
-    The normalised mean and the cut at 3 FWHM are our own definition. radiance: keys, w, bin_wmin, bin_wmax, value.
+    The normalised mean and the cut at 3 FWHM are our own definition. radiance: keys, w, bin_wmin, bin_wmax, value. An equi join
+    on bins as wide as the widest response: an output stands in each bin that it reaches, two at most.
     """
     sigma = F.col("fwhm") / 2.3548200450309493
     near = F.abs(F.col(w) - F.col("w_out")) <= 3 * F.col("fwhm")
-    j = radiance.join(F.broadcast(outputs), near)  # one row for each output band of a sensor
+    widest = F.broadcast(outputs.agg(F.greatest(6 * F.max("fwhm"), F.lit(1e-6)).alias("_wide")))  # one row
+    bin_of = lambda v: F.floor(v / F.col("_wide"))
+    reach = outputs.join(widest).withColumn("_bin", F.explode(F.sequence(bin_of(F.col("w_out") - 3 * F.col("fwhm")), bin_of(F.col("w_out") + 3 * F.col("fwhm"))))).drop("_wide")
+    j = radiance.join(widest).withColumn("_bin", bin_of(F.col(w))).join(reach, "_bin").where(near)
     weight = F.exp(-0.5 * ((F.col(w) - F.col("w_out")) / sigma) ** 2) * (F.col("bin_wmax") - F.col("bin_wmin"))
     return j.groupBy(*keys, "w_out").agg((F.sum(weight * F.col(value)) / F.sum(weight)).alias(value))
 
