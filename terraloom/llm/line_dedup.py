@@ -170,9 +170,10 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     near = saved(_firsts(sets, percent), "near")
     done = _verified(near, one, percent)
     settled = done.withColumn("open", F.lit(0))
-    left = sets.join(settled, ["doc_id", "pos"], "left").withColumn("open", F.coalesce("open", F.lit(1)))
-    pairs = saved(_candidates(left, percent), "pairs")
+    left = saved(sets.join(settled, ["doc_id", "pos"], "left").withColumn("open", F.coalesce("open", F.lit(1))), "open")
     drop(near, sets)
+    pairs = saved(_candidates(left, percent), "pairs")
+    drop(left)
     later = _verified(pairs, one, percent)
     drop(pairs)
     removed = saved(copies.unionByName(done).unionByName(later), "removed")  # each line once: copies are no firsts, later ones were open
