@@ -14,7 +14,6 @@ from terraloom.llm.shared import drop, saved
 BUCKETS = 1 << 18  # of the word counts that order tokens; a table of fixed size, one byte each
 COMMON = 18  # rarity level from which a prefix token is too common to be a key alone: some 512 words in its bucket
 LONG = 32  # sets of more words have 128 parity bits instead of 64
-LEAST = 4  # sets of fewer words reach 0.8 with no other set
 
 
 def _spaced(text: Column, marks: str = "\t\x0b\x0c\r") -> Column:
@@ -55,6 +54,8 @@ def _lines(docs: DataFrame, levels: Column, percent: int) -> DataFrame:
 
     A token's key has its rarity level above and 56 bits of the word's hash below; the prefix holds the least keys.
     """
+    least = -(-percent // (100 - percent)) if percent < 100 else 1 << 31  # smaller sets reach the limit with no other set
+
     def key(h: Column) -> Column:
         level = F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long")
         return F.shiftleft(level, 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
@@ -70,7 +71,7 @@ def _lines(docs: DataFrame, levels: Column, percent: int) -> DataFrame:
         n.alias("n"),
         _parity(F.col("s"), lambda t: F.lit(1).cast("long")).alias("bits"),
         F.when(n > LONG, _parity(F.col("s"), lambda t: F.shiftright(t, 6).bitwiseAND(F.lit(1).cast("long")))).otherwise(F.lit(0).cast("long")).alias("half"),
-        F.when(n >= LEAST, F.slice("s", F.lit(1), n - _need(n, percent) + 2)).alias("prefix"),
+        F.when(n >= least, F.slice("s", F.lit(1), n - _need(n, percent) + 2)).alias("prefix"),
     )
 
 
@@ -157,7 +158,10 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     set-similarity join orders tokens by rarity (counts over all texts in a table of fixed size, ties by hash) and
     joins prefixes under length, positional and parity filters, which lose no match. A line needs only one match: first it
     meets the earliest lines that share two of its rarest tokens, and only those that this leaves unmatched meet all others.
+    ``percent`` lies above 50, where two different sets that reach it share two words at least.
     """
+    if not 50 < percent <= 100:
+        raise ValueError("percent must be above 50 and at most 100")
     one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
     rows = saved(_lines(one, _levels(one), percent), "lines")
     at = F.min(F.struct("doc_id", "pos")).alias("at")

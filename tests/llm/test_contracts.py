@@ -161,7 +161,8 @@ def test_names_of_their_own(spark):
     assert left == [(1, "a wholly different text under one id", 7), (1, rows_[0][1], 7), (3, rows_[2][1], 7)]
 
 
-def test_lines_against_brute_force(spark):
+@pytest.mark.parametrize("percent", [80, 60])
+def test_lines_against_brute_force(spark, percent):
     """Common and rare words, near copies of near copies, short and long lines, more than 64 in a group."""
     from terraloom.llm.line_dedup import repeated_lines
 
@@ -180,10 +181,10 @@ def test_lines_against_brute_force(spark):
     for i, text in docs_:
         for p, line in enumerate(text.split("\n")):
             s = set(line.split())
-            if any(100 * len(s & o) >= 80 * len(s | o) for o in seen):
+            if any(100 * len(s & o) >= percent * len(s | o) for o in seen):
                 want.add((i, p))
             seen.append(s)
-    got = [(r.doc_id, r.pos) for r in repeated_lines(spark.createDataFrame(docs_, "doc_id long, text string")).collect()]
+    got = [(r.doc_id, r.pos) for r in repeated_lines(spark.createDataFrame(docs_, "doc_id long, text string"), percent).collect()]
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 300
 
 
