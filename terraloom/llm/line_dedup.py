@@ -194,7 +194,7 @@ def line_dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
     """
     doc, gone = f"doc_{uuid.uuid4().hex}", f"gone_{uuid.uuid4().hex}"  # names that no column of the input has
     lost = repeated_lines(docs, percent).groupBy(F.col("doc_id").alias(doc)).agg(F.array_sort(F.collect_set("pos")).alias(gone))
-    counted = F.size(F.filter(F.split(F.col("text").cast("string"), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    counted = F.size(F.filter(F.split(F.col("text").cast("string"), "\n"), lambda x: F.ltrim(x, F.lit(" \t\x0b\x0c\r")) != ""))
     base = docs.drop("n_lines", "n_removed", "removed").withColumn("n_lines", F.coalesce(counted, F.lit(0)).cast("long"))
     joined = base.join(lost, base["doc_id"].cast("long") == F.col(doc), "left")
     lines = F.split(F.col("text").cast("string"), "\n")
