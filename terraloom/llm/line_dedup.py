@@ -57,7 +57,7 @@ def _lines(docs: DataFrame, levels: Column, percent: int) -> DataFrame:
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 31  # smaller sets reach the limit with no other set
 
     def key(h: Column) -> Column:
-        level = F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long")
+        level = F.coalesce(F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long"), F.lit(0))  # never null: so keys sort as primitives
         return F.shiftleft(level, 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
 
     each = docs.select("doc_id", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("pos", "line")).where("trim(line) != ''")
