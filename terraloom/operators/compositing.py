@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraloom.operators.geometry import bounds_overlap
+from terraloom.session import cut
 
 
 def mosaic_tiles(tiles: DataFrame, keys: list[str], value: str, fill: float) -> tuple[DataFrame, DataFrame]:
@@ -51,6 +52,18 @@ def closest_composite(daily: DataFrame, pixels: DataFrame, day: str, anchor: Col
     return pixels.join(best, keys, "left")
 
 
+def checked_composite(composite: DataFrame, value: str, least: float = 0.99) -> tuple[DataFrame, float, bool]:
+    """A composite, written once; the share of its pixels that have a value; and whether that falls short of ``least``.
+
+    Falling short is for the caller to report; a composite without any value (no date, or nothing but gaps) is an error.
+    """
+    kept = cut(composite, "composite")
+    covered = kept.agg(F.avg(F.col(value).isNotNull().cast("double"))).first()[0]
+    if not covered:
+        raise ValueError("no date covers any pixel")
+    return kept, covered, covered < least
+
+
 def catalog_search(catalog: DataFrame, anchor: Column, days: int, cloud_below: float, n: int = 100, aoi: tuple[float, float, float, float] | None = None) -> DataFrame:
     """Scenes of a date window with cloud cover strictly below the limit whose box (xmin, ymin, xmax, ymax) meets ``aoi``; the first n by id."""
     window = F.col("acq_date").between(F.date_sub(anchor, days), F.date_add(anchor, days))

@@ -16,20 +16,20 @@ def corner_table(grid: DataFrame, value: str = "elevation") -> DataFrame:
     return c.agg(*(F.max(F.when(F.col("k") == k, F.col("v"))).alias(f"v{k}") for k in range(4))).where("v0 is not null and v1 is not null and v2 is not null and v3 is not null")
 
 
-def bilinear(points: DataFrame, grid: DataFrame, x: Column, y: Column, out: str = "z", value: str = "elevation") -> DataFrame:
+def bilinear(points: DataFrame, grid: DataFrame, x: Column, y: Column, out: str = "z", value: str = "elevation", beyond: bool = False) -> DataFrame:
     """Points with the bilinear value at fractional grid indices x and y; null where a corner is missing.
 
     One aggregate over the grid and one equi join on the cell: no point is compared with more than its own cell. On the far edge
-    the last cell serves.
+    the last cell serves. Outside the grid the value is null or, if ``beyond``, that of the edge cell's plane carried on.
     """
     size = F.broadcast(grid.agg(F.max("ix").alias("_mx"), F.max("iy").alias("_my")))  # one row
     p = points.withColumn("_x", x).withColumn("_y", y).join(size)
-    p = p.withColumn("_ix", F.least(F.floor("_x"), F.col("_mx") - 1)).withColumn("_iy", F.least(F.floor("_y"), F.col("_my") - 1))
+    p = p.withColumn("_ix", F.greatest(F.lit(0), F.least(F.floor("_x"), F.col("_mx") - 1))).withColumn("_iy", F.greatest(F.lit(0), F.least(F.floor("_y"), F.col("_my") - 1)))
     c = corner_table(grid, value).withColumnsRenamed({"ix": "_ix", "iy": "_iy"})
     u, v = F.col("_x") - F.col("_ix"), F.col("_y") - F.col("_iy")
     z = (F.col("v0") * (1 - u) + F.col("v1") * u) * (1 - v) + (F.col("v2") * (1 - u) + F.col("v3") * u) * v
     inside = (F.col("_x") >= 0) & (F.col("_y") >= 0) & (F.col("_x") <= F.col("_mx")) & (F.col("_y") <= F.col("_my"))
-    return p.join(c, ["_ix", "_iy"], "left").withColumn(out, F.when(inside, z)).drop("_x", "_y", "_ix", "_iy", "_mx", "_my", "v0", "v1", "v2", "v3")
+    return p.join(c, ["_ix", "_iy"], "left").withColumn(out, z if beyond else F.when(inside, z)).drop("_x", "_y", "_ix", "_iy", "_mx", "_my", "v0", "v1", "v2", "v3")
 
 
 def sample_bilinear(points: DataFrame, grid: DataFrame, outside: str = "drop", out: str = "z", value: str = "elevation") -> DataFrame:

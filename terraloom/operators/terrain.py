@@ -117,6 +117,12 @@ def meeting_zones(size: float, zones: DataFrame, cell: float):  # noqa: ANN201
     return rule
 
 
+def exceeding(pyramid: DataFrame, tolerance: float):  # noqa: ANN201
+    """A split rule: cells whose error in a pyramid (level, i, j, error) is above the tolerance. Levels of cells and pyramid are the same."""
+    worse = pyramid.where(F.col("error") > tolerance).select("level", "i", "j")
+    return lambda cells: cells.join(worse, ["level", "i", "j"], "left_semi")
+
+
 def balance_cells(leaves: DataFrame) -> DataFrame:
     """Splits leaves until neighbours differ by at most one level.
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +11,7 @@ from terraloom.functions.keyed import draw
 from terraloom.operators import aggregates as A
 from terraloom.operators import compositing as C
 from terraloom.operators.generate import scene_grid
+from terraloom.operators.scene import cap_per_pixel, combine_series
 from terraloom.plans.q_filters import dem_at, r6
 from terraloom.plans.q_functions import _U
 from terraloom.plans.registry import query
@@ -155,8 +154,7 @@ def win3(spark: SparkSession, d: str) -> DataFrame:
 
 @query("win4_cap_per_pixel", duckdb("v_points", then=f"SELECT pid FROM (SELECT pid, row_number() OVER (PARTITION BY floor(x), floor(y) ORDER BY {_U.format(seed=5, key='pid')}, pid) AS r FROM v_points) WHERE r <= 2"))
 def win4(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy(F.floor("x"), F.floor("y")).orderBy(draw(5, "pid"), "pid")
-    return view(spark, d, "v_points").withColumn("_r", F.row_number().over(w)).where("_r <= 2").select("pid")
+    return cap_per_pixel(view(spark, d, "v_points"), [F.floor("x"), F.floor("y")], 2, draw(5, "pid"), "pid").select("pid")
 
 
 @query("win5_paint", duckdb("v_landcover", "v_dem", then="SELECT ix, iy, CASE WHEN (ix + iy) % 9 = 0 THEN 'asphalt' WHEN ix BETWEEN 10 AND 20 THEN 'region' WHEN elevation < 200 THEN 'snow' ELSE 'class_' || class END AS material FROM v_landcover LEFT JOIN v_dem USING (ix, iy)"))
@@ -236,7 +234,7 @@ def set4(spark: SparkSession, d: str, residues: tuple[int, ...] = (1, 2)) -> Dat
     r = view(spark, d, "v_radiance").withColumnRenamed("sensor_id", "series")
     parts = [A.spatial_mean(r.where(f"series % 3 = {k}"), ["series", "w"], "radiance") for k in residues]
     ref = view(spark, d, "v_zones").select(F.col("zone_id").alias("series"), F.col("cx").alias("zenith"))
-    return reduce(DataFrame.unionByName, parts).join(ref, "series").select("series", "w", F.round("radiance", 5).alias("radiance"), "zenith")
+    return combine_series(parts, ref)[0].select("series", "w", F.round("radiance", 5).alias("radiance"), "zenith")
 
 
 @query("set4_combine_series_whole", duckdb("v_radiance", "v_zones", then=_SERIES.replace(" WHERE sensor_id % 3 <> 0", "")))

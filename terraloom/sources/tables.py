@@ -122,7 +122,19 @@ def read_matches(spark: SparkSession, path: str) -> DataFrame:
     return m.select(F.explode("materials").alias("cluster", "material"), "indices").select("cluster", "material", F.try_element_at("indices", F.col("cluster")).alias("idx"))
 
 
-def write_result(df: DataFrame, path: str, result_id: str, kind: str, meta: dict[str, str]) -> None:
-    """A result with its id and type in every row, and its metadata as a table beside it."""
+def write_result(df: DataFrame, path: str, result_id: str, kind: str, meta: dict[str, str], sensors: DataFrame | None = None, measurements: DataFrame | None = None) -> None:
+    """A result with its id and type in every row, and its metadata (result_id, key, value) as a table beside it.
+
+    Metadata are the given ones, ``created_at`` where they lack it and, of tables with a column ``type``, the number of sensors and
+    measurements and their types, a row each.
+    """
+    spark = df.sparkSession
     df.withColumns({"result_id": F.lit(result_id), "result_type": F.lit(kind)}).write.mode("overwrite").partitionBy("result_type").parquet(f"{path}/data")
-    df.sparkSession.createDataFrame([(result_id, k, str(v)) for k, v in meta.items()], "result_id string, key string, value string").write.mode("overwrite").parquet(f"{path}/meta")
+    rows = spark.createDataFrame([(k, str(v)) for k, v in meta.items()], "key string, value string")
+    if "created_at" not in meta:
+        rows = rows.unionByName(spark.range(1).select(F.lit("created_at").alias("key"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("value")))
+    for name, one in (("sensor", sensors), ("measurement", measurements)):
+        if one is not None:
+            rows = rows.unionByName(one.agg(F.count("*").cast("string").alias("value")).select(F.lit(f"num_{name}s").alias("key"), "value"))
+            rows = rows.unionByName(one.select(F.lit(f"{name}_types").alias("key"), F.col("type").cast("string").alias("value")))
+    rows.select(F.lit(result_id).alias("result_id"), "key", "value").write.mode("overwrite").parquet(f"{path}/meta")
