@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +16,9 @@ KINDS = ("email", "ip", "card", "phone", "secret")
 #: Words that stand before credentials, and before contact data.
 SECRET_WORDS = ("password", "passwd", "pwd", "token", "secret", "apikey", "api_key", "access_key", "credential")
 CONTACT_WORDS = ("mail", "call", "phone", "tel", "fax", "contact", "card", "visa", "account", "address", "host", "server")
+#: First digits of payment cards, and country calling codes of one and two digits.
+ISSUERS = ("2", "3", "4", "5", "6")
+CALLING = tuple("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 CONTEXT = 24  # characters before a span that the context labeler reads
 SHAPES = 4  # buckets of each shape feature
 LABELERS = 4
@@ -25,6 +30,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SECRET = re.compile(r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*+[0-9])(?=[0-9_/+-]*+[A-Za-z])[A-Za-z0-9_/+-]{12,}+")
 _NOT_DIGIT = re.compile("[^0-9]+")
+_DIGITS = re.compile("[0-9]+")
 _SPANS = "array<struct<kind:int,start:int,end:int,base:boolean,code:int>>"
 
 
@@ -46,6 +52,38 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, last))
 
 
+def inner_phone(text: str, start: int, end: int) -> tuple[int, int] | None:
+    """A number at the head of a match of too many digits: the fewest whole runs of digits that make 10 of them, if at most 15."""
+    total = 0
+    for m in _DIGITS.finditer(text, start, end):
+        total += m.end() - m.start()
+        if total >= 10:
+            return (start, m.end()) if total <= 15 else None
+    return None
+
+
+def covers(spans: list[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Whether a span overlaps any of ``spans``, by binary search."""
+    starts, ends = [a for a, _ in sorted(spans)], list(accumulate((b for _, b in sorted(spans)), max))
+    return lambda a, b: bool(i := bisect_left(starts, b)) and ends[i - 1] > a
+
+
+def inner_cards(text: str, start: int, end: int, taken: Callable[[int, int], bool]) -> Iterator[tuple[int, int]]:
+    """Numbers within a failing match: leftmost, longest whole runs of digits that make 14 to 19 and pass Luhn, off the spans ``taken``."""
+    runs = [m.span() for m in _DIGITS.finditer(text, start, end) if not taken(*m.span())]
+    i = 0
+    while i < len(runs):
+        digits, j, last = "", i, -1
+        while j < len(runs) and len(digits) + runs[j][1] - runs[j][0] <= 19 and (j == i or runs[j][0] == runs[j - 1][1] + 1):
+            digits += text[runs[j][0] : runs[j][1]]
+            if len(digits) >= 14 and luhn(digits):
+                last = j
+            j += 1
+        if last >= 0:
+            yield runs[i][0], runs[last][1]
+        i = max(i, last) + 1
+
+
 def raw_matches(text: str) -> list[tuple[int, int, int, bool]]:
     """(kind, start, end, passes) of the base patterns, failing matches too, and of credential-like words."""
     found = [(0, a, b, True) for a, b in emails(text)] if "@" in text else []
@@ -64,13 +102,24 @@ def raw_matches(text: str) -> list[tuple[int, int, int, bool]]:
     return found
 
 
+def inner_matches(text: str, found: list[tuple[int, int, int, bool]]) -> list[tuple[int, int, int]]:
+    """(kind, start, end) of phone and card numbers inside failing matches, where the base rule tries no second time."""
+    phones = [x for k, a, b, ok in found if k == 3 and not ok and (x := inner_phone(text, a, b))]
+    taken = covers(phones)
+    cards = [x for k, a, b, ok in found if k == 2 and not ok for x in inner_cards(text, a, b, taken)]
+    return [(3, *x) for x in phones] + [(2, *x) for x in cards]
+
+
 def votes(text: str, kind: int, start: int, end: int, passes: bool) -> tuple[int, ...]:
-    """Labelers' votes: 0 against, 1 for, 2 abstains."""
+    """Labelers' votes: 0 against, 1 for, 2 abstains. The gazetteers are words before the span, card issuers and calling codes;
+    the context labeler reads what stands at either end."""
     span, before = text[start:end], text[max(0, start - CONTEXT) : start].lower()
     words = SECRET_WORDS if kind == 4 else CONTACT_WORDS
     pattern = int(passes) if kind < 4 else int(re.fullmatch("[0-9a-f]{16,64}|[A-Za-z0-9_/+-]{20,}", span) is not None)
-    gazetteer = 1 if any(w in before for w in words) else 0 if kind == 4 else 2
-    context = 1 if before.rstrip().endswith(("=", ":", '="', "='", ':"', '= "', "= '", ': "', '"')) else 0 if kind == 4 else 2
+    listed = span.startswith(ISSUERS) if kind == 2 else span[1:].startswith(CALLING) if kind == 3 else False
+    gazetteer = 1 if listed or any(w in before for w in words) else 0 if kind in (2, 4) else 2
+    joint = kind < 4 and (text[start - 1 : start].isalnum() or text[end : end + 1].isalnum())
+    context = 0 if joint else 1 if before.rstrip().endswith(("=", ":", '="', "='", ':"', '= "', "= '", ': "', '"')) else 0 if kind == 4 else 2
     digits = sum(c.isdigit() for c in span) / len(span)
     spread = len(set(span)) / min(len(span), 16)
     shape = int(spread >= 0.5 and digits >= 0.2) if kind == 4 else 1 if spread >= 0.25 else 0
@@ -107,11 +156,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             rows = []
             for text in batch.column(1).to_pylist():
                 found = raw_matches(text) if text else []
-                base = [(a, b) for k, a, b, ok in found if ok]
+                covered = covers([(a, b) for k, a, b, ok in found if ok])
                 spans = []
                 for k, a, b, ok in sorted(found, key=lambda x: (x[1], x[0])):
-                    if ok or not any(a < e and s < b for s, e in base):  # what a base span covers is no other candidate
+                    if ok or not covered(a, b):  # what a base span covers is no other candidate
                         spans.append({"kind": k, "start": a, "end": b, "base": ok, "code": code_of(text, k, a, b, ok)})
+                for k, a, b in inner_matches(text, found):
+                    if not covered(a, b):
+                        spans.append({"kind": k, "start": a, "end": b, "base": False, "code": code_of(text, k, a, b, True)})
+                spans.sort(key=lambda x: (x["start"], x["kind"]))
                 rows.append(spans)
             kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_()), ("code", pa.int32())]))
             yield pa.record_batch({id_col: batch.column(0), "spans": pa.array(rows, kind)})
@@ -161,30 +214,26 @@ def train_classifier(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: i
 
 
 def accepted_codes(candidates: DataFrame, threshold: float = 0.9) -> list[int]:
-    """Codes of credential candidates that the trained span classifier takes for personal data.
+    """Codes of candidates that the trained span classifiers, one for credentials and one for contact data, take for personal data.
 
     Every candidate is counted; what reaches the driver is a row a code, and the codes are at most 5 * 3^4 * 4 * 4.
     """
     seen = candidates.select(F.explode("spans").alias("s")).groupBy("s.code").count().collect()
-    if not seen:
-        return []
     seen = sorted((int(r["code"]), int(r["count"])) for r in seen)
-    count = np.array([n for _, n in seen], float)
-    parts = [unpack(c) for c, _ in seen]
-    secret = np.array([p[0] == 4 for p in parts])
-    post = np.zeros(len(parts))
-    for mine in (secret, ~secret):  # credentials and contact data have labelers of their own
-        if mine.any():
-            post[mine], _ = reliabilities(np.array([p[1] for p, m in zip(parts, mine, strict=True) if m]), count[mine])
-    if not secret.any():
-        return []
-    x = np.array([span_features(*p) for p in parts])[secret]
-    w = train_classifier(x, post[secret], count[secret])
-    score = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-    # a credential must be named as one or assigned: shape alone marks clean words too
-    named = np.array([p[1][1] == 1 or p[1][2] == 1 for p in parts])[secret]
-    codes = np.array([c for c, _ in seen])[secret]
-    return codes[(score >= threshold) & named].tolist()
+    good = []
+    for secret in (True, False):  # they have labelers of their own
+        mine = [(c, n, unpack(c)) for c, n in seen if (unpack(c)[0] == 4) == secret]
+        if not mine:
+            continue
+        count = np.array([n for _, n, _ in mine], float)
+        post, _ = reliabilities(np.array([p[1] for _, _, p in mine]), count)
+        x = np.array([span_features(*p) for _, _, p in mine])
+        score = 1 / (1 + np.exp(-np.clip(x @ train_classifier(x, post, count), -30, 30)))
+        for (code, _, (_, vote, _, _)), p in zip(mine, score, strict=True):
+            # a credential must be named as one or assigned, as shape alone marks clean words too; contact data must pass the check of its kind
+            if p >= threshold and (vote[1] == 1 or vote[2] == 1 if secret else vote[0] == 1):
+                good.append(code)
+    return good
 
 
 def joined(spans: Column) -> Column:
@@ -195,8 +244,9 @@ def joined(spans: Column) -> Column:
 def personal_data(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Spans of personal data in every whole text: ``(doc_id, spans array<struct<kind, start, end, base>>)``, a row for each input row.
 
-    Base patterns (e-mail, IP, card, phone) always stand. Credentials are added where the classifier, trained on labels that
-    expectation-maximisation draws from the votes of pattern, gazetteer, context and shape labelers, takes them. Offsets are code points.
+    Base patterns (e-mail, IP, card, phone) always stand. Credentials, and phone and card numbers inside failing base matches (a phone
+    number that a card number follows), are added where the classifier, trained on labels that expectation-maximisation draws
+    from the votes of pattern, gazetteer, context and shape labelers, takes them. Offsets are code points.
     Null or empty texts have no spans. Ids may be null or repeat; other columns are ignored; an empty table gives no rows.
     ``path``: where the scanned candidates are written, in a folder that all executors share.
     """

@@ -3,6 +3,8 @@
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 import corpus_pipeline
 from terraloom.llm import embeddings, licences, line_dedup, minhash, mixing, pii, quality, token_files, warc
@@ -268,3 +270,53 @@ def test_stages(spark, docs, nothing, labels, tmp_path):
         corpus_pipeline.STAGES[-1][1](spark, frame, f"file://{tmp_path}").collect()
     kept = corpus_pipeline.near(spark, docs.select(*columns), "").collect()
     assert sorted(r.doc_id or 0 for r in kept) == [0, 1, 2, 3, 4, 6, 7]
+
+
+def test_numbers_inside_failing_matches(spark):
+    text = "call +1 (269) 555-3296 4524132264652876 now"
+    found = pii.raw_matches(text)
+    assert {k for k, _, _, ok in found if ok} == set()  # both base matches run on over the other number and fail
+    inner = {(k, text[a:b]) for k, a, b in pii.inner_matches(text, found)}
+    assert inner == {(3, "+1 (269) 555-3296"), (2, "4524132264652876")}
+    assert pii.inner_phone("+123 4567890123456789", 0, 21) is None  # no whole run ends between 10 and 15 digits
+    digits = "7 " * 3000 + "1" * 5000
+    assert all(14 <= len(digits[a:b].replace(" ", "")) <= 19 for _, a, b in pii.inner_matches(digits, pii.raw_matches(digits)))
+
+
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(1, 9)), max_size=8), st.integers(0, 45), st.integers(1, 9))
+def test_covers(spans, start, length):
+    spans = [(a, a + n) for a, n in spans]
+    assert pii.covers(spans)(start, start + length) == any(a < start + length and start < b for a, b in spans)
+
+
+def test_inner_numbers_are_added(spark):
+    rows = [(i, f"mail a{i}@b.org, call +1 (269) 555-{3000 + i} or pay 4524132264652876 or 10.0.0.{i}") for i in range(60)]
+    rows += [(90, "x +1 (269) 555-3296 4524132264652876 y"), (91, "1234 5678 9012 3456 7890 1234 a")]
+    found = {r.doc_id: r.spans for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string"), fresh_path(spark, "pii")).collect()}
+    assert [(s.kind, s.start, s.end, s.base) for s in found[90]] == [(3, 2, 19, False), (2, 20, 36, False)]
+    assert all(s.base for i in range(60) for s in found[i])
+
+
+def test_reliabilities_against_a_plain_em():
+    votes = [(a, b, c) for a in (0, 1) for b in (0, 1, 2) for c in (0, 1)]
+    count = [(7 * i) % 11 + 1 for i in range(len(votes))]
+    post = [sum(v for v in row if v != 2) / sum(v != 2 for v in row) for row in votes]
+    for _ in range(60):
+        prior = min(0.99, max(0.01, sum(p * n for p, n in zip(post, count)) / sum(count)))
+        like = []
+        for row in votes:
+            both = []
+            for truth, start in ((0, 1 - prior), (1, prior)):
+                value = start
+                for j, v in enumerate(row):
+                    if v == 2:
+                        continue
+                    weight = [(p if truth else 1 - p) * n for p, n in zip(post, count)]
+                    total = sum(w for w, r in zip(weight, votes) if r[j] != 2)
+                    rate = min(0.99, max(0.01, (sum(w for w, r in zip(weight, votes) if r[j] == 1) + 1) / (total + 2)))
+                    value *= rate if v == 1 else 1 - rate
+                both.append(value)
+            like.append(both[1] / sum(both))
+        post = like
+    got, _ = pii.reliabilities(np.array(votes), np.array(count, float))
+    assert np.allclose(got, post, atol=1e-9)
