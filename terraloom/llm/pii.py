@@ -16,7 +16,8 @@ KINDS = ("email", "ip", "card", "phone", "secret")
 #: Words that stand before credentials, and before contact data.
 SECRET_WORDS = ("password", "passwd", "pwd", "token", "secret", "apikey", "api_key", "access_key", "credential")
 CONTACT_WORDS = ("mail", "call", "phone", "tel", "fax", "contact", "card", "visa", "account", "address", "host", "server")
-#: First digits of payment cards, and country calling codes of one and two digits.
+#: Heads of well-known credential formats, first digits of payment cards, and country calling codes of one and two digits.
+CREDENTIALS = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "npm_", "pypi-", "sk_live_", "rk_live_", "xoxb-", "xoxp-", "eyJ")
 ISSUERS = ("2", "3", "4", "5", "6")
 CALLING = tuple("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 CONTEXT = 24  # characters before a span that the context labeler reads
@@ -111,18 +112,21 @@ def inner_matches(text: str, found: list[tuple[int, int, int, bool]]) -> list[tu
 
 
 def votes(text: str, kind: int, start: int, end: int, passes: bool) -> tuple[int, ...]:
-    """Labelers' votes: 0 against, 1 for, 2 abstains. The gazetteers are words before the span, card issuers and calling codes;
-    the context labeler reads what stands at either end."""
+    """Labelers' votes: 0 against, 1 for, 2 abstains. The gazetteers are words before the span, heads of credential formats,
+    card issuers and calling codes; the context labeler reads what stands at either end."""
     span, before = text[start:end], text[max(0, start - CONTEXT) : start].lower()
     words = SECRET_WORDS if kind == 4 else CONTACT_WORDS
     pattern = int(passes) if kind < 4 else int(re.fullmatch("[0-9a-f]{16,64}|[A-Za-z0-9_/+-]{20,}", span) is not None)
-    listed = span.startswith(ISSUERS) if kind == 2 else span[1:].startswith(CALLING) if kind == 3 else False
+    listed = span.startswith(ISSUERS) if kind == 2 else span[1:].startswith(CALLING) if kind == 3 else kind == 4 and span.startswith(CREDENTIALS)
     gazetteer = 1 if listed or any(w in before for w in words) else 0 if kind in (2, 4) else 2
     joint = kind < 4 and (text[start - 1 : start].isalnum() or text[end : end + 1].isalnum())
-    context = 0 if joint else 1 if before.rstrip().endswith(("=", ":", '="', "='", ':"', '= "', "= '", ': "', '"')) else 0 if kind == 4 else 2
+    assigned = before.rstrip().endswith(("=", ":", '="', "='", ':"', '= "', "= '", ': "', '"'))
+    # for a credential of a known format neither a missing assignment nor its shape says anything
+    unsaid = 0 if kind == 4 and not listed else 2
+    context = 0 if joint else 1 if assigned else unsaid
     digits = sum(c.isdigit() for c in span) / len(span)
     spread = len(set(span)) / min(len(span), 16)
-    shape = int(spread >= 0.5 and digits >= 0.2) if kind == 4 else 1 if spread >= 0.25 else 0
+    shape = (1 if spread >= 0.5 and digits >= 0.2 else unsaid) if kind == 4 else 1 if spread >= 0.25 else 0
     return pattern, gazetteer, context, shape
 
 
