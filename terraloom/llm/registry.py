@@ -14,10 +14,13 @@ from terraloom.llm.bpe import bpe_encode
 from terraloom.llm.embeddings import near_vectors
 from terraloom.llm.licences import licences
 from terraloom.llm.line_dedup import line_dedup
+from terraloom.llm.merkle import folded, leaf_digest, merkle_manifest, siblings
 from terraloom.llm.minhash import near_duplicates
 from terraloom.llm.mixing import mixed
+from terraloom.llm.neighbours import fit_votes, vote_scores
 from terraloom.llm.pii import KINDS, joined, personal_data
 from terraloom.llm.quality import fit_crf, quality_rules
+from terraloom.llm.runs import highest, looped, periodic_runs
 from terraloom.llm.shared import fresh_path
 from terraloom.llm.token_files import read_token_files, write_token_files
 from terraloom.llm.warc import normalise, read_records, revisits, write_archives
@@ -109,6 +112,40 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(looped(table(spark, sf_dir, "documents").select("doc_id", "text"))).withColumn("top", highest(F.col("runs")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    runs = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(runs.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, leaf_digest(*fields, lower))
+    leaves = docs.select("doc_id", "source", leaf_digest(*fields, F.col("text")).alias("leaf"), changed.alias("changed"))
+    found = merkle_manifest(leaves, leaf="leaf", tree="source", order="doc_id").withColumn("folded_root", folded(F.coalesce("changed", "leaf"), F.col("witness")))
+    proof = F.sha2(siblings(F.col("witness")).cast("binary"), 256).alias("proof_sha256")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    scores = vote_scores(docs, fit_votes(docs, labels.where(~out)))
+    return scores.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -124,6 +161,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embeddings": op8_embeddings,
     "op9_pii": op9_pii,
     "op10_minhash": op10_minhash,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_merkle": op12_merkle,
+    "op13_quality_votes": op13_quality_votes,
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL, "op7_warc": OP7_SQL}
