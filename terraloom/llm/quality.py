@@ -12,15 +12,20 @@ from pyspark.sql import functions as F
 from terraloom.llm.shared import WordHashes, windows
 
 SYMBOLS = b"#*$%&|<>"
-FEATURES = 12
+FEATURES = 13
 TRAIN_DOCS = 2_000  # bound of the labelled sample that the CRF is fitted on
-TRAIN_LINES = 2_000  # of a labelled document, evenly spaced ones beyond that; bounds what the fit brings to the driver
+TRAIN_LINES = 2_000  # of one of these documents, evenly spaced ones beyond that; with TRAIN_DOCS it bounds what the fit brings to the driver
 PIECE = 40  # lines of one training sequence; longer documents give several
 SLICE = 256  # documents handled together
 _SPACE = b" \t\n\x0b\x0c\r"
 _UPPER, _CUT = bytes(range(65, 91)), bytes(range(48, 58))
 
 
+def _some(share: float) -> float:
+    """A share that may exceed 1, levelled off, so that half and all of a line's words weigh nearly alike."""
+    return share / (share + 0.2)
+
+
 def line_features(line: bytes, words: list[bytes], seen: bool) -> list[float]:
     """Constant, and shares of a line that tell running text from boilerplate."""
     n = max(1, len(words))
@@ -30,11 +35,12 @@ def line_features(line: bytes, words: list[bytes], seen: bool) -> list[float]:
         1.0,
         min(n, 60) / 20.0,
         float(n < 5),
-        sum(map(line.count, (b"#", b"*", b"$", b"%", b"&", b"<", b">"))) / n,
-        line.count(b"!") / n,
-        line.count(b"|") / n,
+        _some(sum(map(line.count, (b"#", b"*", b"$", b"%", b"&", b"<", b">"))) / n),
+        _some(line.count(b"!") / n),
+        _some(line.count(b"|") / n),
         (letters - len(line.translate(None, _UPPER)) + n) / letters,
         most / n,
+        _some(sum(map(bytes.__eq__, words, words[1:])) / n),
         line.count(b".") / n,
         line.count(b",") / n,
         (len(line) - len(line.translate(None, _CUT))) / letters,
@@ -80,6 +86,59 @@ def base_counts(text: bytes, hashes: WordHashes, window: int = 5) -> tuple[int,
     return len(words), chars, symbols, repeated, covered
 
 
+class _Chains:
+    """Sequences of lines laid out for forward-backward passes of all at once: longest first, so step k holds the first ``live[k]``."""
+
+    def __init__(self, pieces: list[np.ndarray], weight: np.ndarray):
+        size = np.array([len(p) for p in pieces])
+        self.order = np.argsort(-size, kind="stable")
+        self.size, self.weight = size[self.order], weight[self.order]
+        self.steps = int(self.size[0])
+        self.live = np.searchsorted(-self.size, -np.arange(self.steps), "left")
+        self.x = np.zeros((self.steps, len(pieces), FEATURES))
+        for at, i in enumerate(self.order):
+            self.x[: self.size[at], at] = pieces[i]
+        self.mask = np.arange(self.steps)[:, None] < self.size
+
+    def expect(self, score: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Node marginals (step, chain, state), weighted sum of edge marginals, weighted sum of log partitions."""
+        top = score.max(2, keepdims=True)
+        psi, hop = np.exp(score - top), np.exp(move - move.max())
+        ahead, back = np.zeros_like(psi), np.ones_like(psi)
+        norm = np.ones(psi.shape[:2])
+        for k in range(self.steps):
+            n = self.live[k]
+            now = psi[k, :n] * (ahead[k - 1, :n] @ hop if k else 1.0)
+            norm[k, :n] = now.sum(1)
+            ahead[k, :n] = now / norm[k, :n, None]
+        edges = np.zeros((2, 2))
+        for k in range(self.steps - 1, 0, -1):
+            n = self.live[k]
+            on = psi[k, :n] * back[k, :n] / norm[k, :n, None]
+            back[k - 1, :n] = on @ hop.T
+            edges += np.einsum("n,ni,nj->ij", self.weight[:n], ahead[k - 1, :n], on) * hop
+        total = (self.weight * (np.log(norm) + (top[..., 0] * self.mask) + move.max() * (self.mask & (np.arange(self.steps)[:, None] > 0))).sum(0)).sum()
+        return ahead * back * self.mask[..., None], edges, float(total)
+
+
+def _held(chains: _Chains, score: np.ndarray, move: np.ndarray, owner: np.ndarray, bad: np.ndarray, words: np.ndarray, least: float, trust: float) -> tuple[np.ndarray, np.ndarray]:
+    """Expected states of lines given their document's label: node and edge expectations.
+
+    Every line of a good document is content with log odds ``trust`` beforehand. The lines of a bad one are boilerplate with log odds of as
+    little as brings their expected share of its words to ``least``, found by bisection document by document (pieces of one count together).
+    """
+    low, high = np.zeros(len(bad)), np.full(len(bad), 16.0)
+    all_words = np.maximum(np.bincount(owner, (words * chains.mask).sum(0), len(bad)), 1)
+    lean = np.zeros_like(score)
+    for _ in range(9):
+        odds = (low + high) / 2
+        lean[..., 0], lean[..., 1] = np.where(bad, odds, 0.0)[owner], np.where(bad, 0.0, trust)[owner]
+        node, edges, _ = chains.expect(score + lean, move)
+        share = np.bincount(owner, (node[..., 0] * words).sum(0), len(bad)) / all_words
+        low, high = np.where(share < least, odds, low), np.where(share < least, high, odds)
+    return node, edges
+
+
 class LineCrf:
     """Two-state chain: 1 content, 0 boilerplate. State scores are linear in the features; transitions are free."""
 
@@ -87,44 +146,47 @@ class LineCrf:
         self.state, self.move = state, move
 
     @classmethod
-    def fit(cls, sequences: list[tuple[np.ndarray, int]], rounds: int = 200, rate: float = 0.1, decay: float = 1e-3) -> LineCrf:
-        """Maximum likelihood by Adam; every line of a sequence takes the label of its document."""
-        pieces = [(x[i : i + PIECE], y) for x, y in sequences for i in range(0, len(x), PIECE)]
+    def fit(cls, sequences: list[tuple[np.ndarray, np.ndarray, int]], turns: int = 8, apart: int = 6, rounds: int = 30, rate: float = 0.1, decay: float = 1e-4, least: float = 0.6, trust: float = 4.0) -> LineCrf:
+        """Expectation-maximisation over latent line states, from documents (line features, words a line, quality label).
+
+        Labels are of documents, so line states are latent. They start as the label of their document; then each of ``turns`` turns fits the chain to the
+        expected states by ``rounds`` steps of Adam and expects them anew (in the first ``apart`` turns without transitions, each line for itself), given that a good document's lines are mostly content and that
+        at least a share ``least`` of a bad one's words is boilerplate. Lines of a bad document that look like content elsewhere so become
+        content, and a chain sees changes of state. Documents are cut into pieces of PIECE lines to bound the padding.
+        """
         w, m = np.zeros((FEATURES, 2)), np.zeros((2, 2))
-        if not pieces or len({y for _, y in pieces}) < 2:
+        sequences = [s for s in sequences if len(s[0])]
+        if len({y for _, _, y in sequences}) < 2:
             w[0, 1] = 1.0  # nothing to learn from: all lines are content
             return cls(w, m)
-        n, t = len(pieces), max(len(x) for x, _ in pieces)
-        x, mask, gold = np.zeros((n, t, FEATURES)), np.zeros((n, t)), np.zeros((n, t, 2))
-        for i, (rows, y) in enumerate(pieces):
-            x[i, : len(rows)], mask[i, : len(rows)], gold[i, : len(rows), y] = rows, 1, 1
+        pieces = [(d, i) for d, (x, _, _) in enumerate(sequences) for i in range(0, len(x), PIECE)]
+        owner = np.array([d for d, _ in pieces])
+        bad = np.array([y == 0 for _, _, y in sequences])
         # both labels weigh alike, however often each occurs
-        good = gold[:, 0, 1]
-        weight = np.where(good == 1, 0.5 / max(1, good.sum()), 0.5 / max(1, (1 - good).sum()))
-        pairs = mask[:, 1:] * mask[:, :-1]
-        seen_w = np.einsum("n,ntf,nts->fs", weight, x, gold)
-        seen_m = np.einsum("n,nti,ntj,nt->ij", weight, gold[:, :-1], gold[:, 1:], pairs)
-        params, first, second = np.r_[w.ravel(), m.ravel()], 0.0, 0.0
-        for step in range(1, rounds + 1):
-            w, m = params[: w.size].reshape(w.shape), params[w.size :].reshape(2, 2)
-            score = x @ w
-            ahead, back = np.zeros((n, t, 2)), np.zeros((n, t, 2))
-            ahead[:, 0] = score[:, 0]
-            for k in range(1, t):
-                on = np.logaddexp(ahead[:, k - 1, :1] + m[0], ahead[:, k - 1, 1:] + m[1]) + score[:, k]
-                ahead[:, k] = np.where(mask[:, k, None] > 0, on, ahead[:, k - 1])
-            for k in range(t - 2, -1, -1):
-                z = score[:, k + 1] + back[:, k + 1]
-                back[:, k] = np.where(mask[:, k + 1, None] > 0, np.logaddexp(m[:, 0] + z[:, :1], m[:, 1] + z[:, 1:]), 0.0)
-            total = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
-            node = np.exp(ahead + back - total[:, None, None]) * mask[:, :, None]
-            edge = np.exp(ahead[:, :-1, :, None] + m + (score + back)[:, 1:, None, :] - total[:, None, None, None]) * pairs[:, :, None, None]
-            gap_w = seen_w - np.einsum("n,ntf,nts->fs", weight, x, node) - decay * w
-            gap_m = seen_m - np.einsum("n,ntij->ij", weight, edge) - decay * m
-            gap = np.r_[gap_w.ravel(), gap_m.ravel()]
-            first, second = 0.9 * first + 0.1 * gap, 0.999 * second + 0.001 * gap**2
-            params = params + rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
-        return cls(params[: w.size].reshape(w.shape), params[w.size :].reshape(2, 2))
+        weight = np.where(bad[owner], 0.5 / bad[owner].sum(), 0.5 / (~bad[owner]).sum())
+        chains = _Chains([sequences[d][0][i : i + PIECE] for d, i in pieces], weight)
+        owner = owner[chains.order]
+        words = np.zeros(chains.mask.shape)
+        for at, i in enumerate(chains.order):
+            d, first = pieces[i]
+            words[: chains.size[at], at] = sequences[d][1][first : first + PIECE]
+        node = np.zeros((*chains.mask.shape, 2))
+        node[..., 0], node[..., 1] = chains.mask & bad[owner], chains.mask & ~bad[owner]
+        edges = np.zeros((2, 2))
+        for turn in range(turns):
+            seen = np.einsum("n,tnf,tns->fs", chains.weight, chains.x, node)
+            first = second = np.zeros(w.size + m.size)
+            for step in range(1, rounds + 1):
+                _, gap_w, gap_m = likelihood(chains, w, m, seen, edges, decay)
+                gap = np.r_[gap_w.ravel(), gap_m.ravel()]
+                if turn < apart:
+                    gap[w.size :] = 0
+                first, second = 0.9 * first + 0.1 * gap, 0.999 * second + 0.001 * gap**2
+                move = rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
+                w, m = w + move[: w.size].reshape(w.shape), m + move[w.size :].reshape(2, 2)
+            if turn + 1 < turns:
+                node, edges = _held(chains, chains.x @ w, m, owner, bad, words, least, trust)
+        return cls(w, m)
 
     def labels(self, rows: list[np.ndarray]) -> list[np.ndarray]:
         """Viterbi paths of many documents at once; ties go to content."""
@@ -154,9 +216,17 @@ class LineCrf:
         return out
 
 
-def fit_crf(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS) -> LineCrf:
-    """A CRF from labelled documents: at most ``sample`` of them, those of smallest hash, one text an id, at most TRAIN_LINES
-    lines of each; their features alone reach the driver."""
+def likelihood(chains: _Chains, w: np.ndarray, m: np.ndarray, seen: np.ndarray, edges: np.ndarray, decay: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """Penalised expected log likelihood of the chain for expected features by state and expected moves, and its gradients."""
+    node, held, total = chains.expect(chains.x @ w, m)
+    value = (seen * w).sum() + (edges * m).sum() - total - decay / 2 * ((w**2).sum() + (m**2).sum())
+    return float(value), seen - np.einsum("n,tnf,tns->fs", chains.weight, chains.x, node) - decay * w, edges - held - decay * m
+
+
+def fit_crf(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS, most_lines: int = TRAIN_LINES) -> LineCrf:
+    """A CRF from labelled documents: at most ``sample`` of them, those of smallest hash, one text an id, and of each at most
+    ``most_lines`` lines, evenly spaced; their features alone reach the driver. Both bounds concern the fit alone: every line of every document is labelled.
+    Ids may be of any type."""
     good = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     # rare bad documents get half of the sample
     picked = None
@@ -168,13 +238,14 @@ def fit_crf(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS) -> Lin
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [lines_of(t)[0] for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            rows = [r[np.linspace(0, len(r) - 1, TRAIN_LINES).astype(int)] if len(r) > TRAIN_LINES else r for r in rows]
-            yield pa.record_batch({"doc_id": batch.column(0), "quality": batch.column(2), "x": pa.array([r.astype("<f4").tobytes() for r in rows], pa.binary())})
+            rows = [lines_of(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            rows = [(x[at], n[at]) if len(x) > most_lines and (at := np.linspace(0, len(x) - 1, most_lines).astype(int)) is not None else (x, n) for x, n in rows]
+            x, n = (pa.array([r[i].astype(kind).tobytes() for r in rows], pa.binary()) for i, kind in enumerate(("<f4", "<i4")))
+            yield pa.record_batch({"place": batch.column(0), "quality": batch.column(2), "x": x, "n": n})
 
-    found = text.select(F.col("doc_id").cast("long"), "text", F.col("quality").cast("long")).mapInArrow(run, "doc_id long, quality long, x binary")
-    found = sorted(found.collect(), key=lambda r: (r["doc_id"], bytes(r["x"])))
-    return LineCrf.fit([(np.frombuffer(r["x"], "<f4").reshape(-1, FEATURES).astype(np.float64), int(r["quality"])) for r in found])
+    found = text.select(F.xxhash64("doc_id").alias("place"), "text", F.col("quality").cast("long")).mapInArrow(run, "place long, quality long, x binary, n binary")
+    found = sorted(found.collect(), key=lambda r: (r["place"], bytes(r["x"])))
+    return LineCrf.fit([(np.frombuffer(r["x"], "<f4").reshape(-1, FEATURES).astype(np.float64), np.frombuffer(r["n"], "<i4"), int(r["quality"])) for r in found])
 
 
 VERDICT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_share double, kept boolean"
@@ -224,3 +295,20 @@ def good_documents(docs: DataFrame, crf: LineCrf, least: float = 0.5, text_col:
                 yield part.filter(_judged(texts, crf, least, hashes)["kept"])
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def labelled_lines(docs: DataFrame, crf: LineCrf, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows ``(doc_id, content)``, one for each input row: for every line with words of its text, in order, whether it is content.
+
+    Null and empty texts have an empty list. Ids may be null or repeat; other columns are ignored; an empty table gives no rows. No shuffle.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
+                paths = crf.labels([lines_of(t or b"")[0] for t in part.column(1).cast(pa.binary()).to_pylist()])
+                yield pa.record_batch({id_col: part.column(0), "content": pa.array([[bool(y) for y in path] for path in paths], pa.list_(pa.bool_()))})
+
+    one = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
+    return one.mapInArrow(run, f"`{id_col}` {one.schema[0].dataType.simpleString()}, content array<boolean>")
