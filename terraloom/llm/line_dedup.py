@@ -9,10 +9,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraloom.llm.shared import drop, saved
+from terraloom.llm.shared import drop, saved, text_print, texts_by_id
 
 BUCKETS = 1 << 18  # of the word counts that order tokens; a table of fixed size, one byte each
 COMMON = 18  # rarity level from which a prefix token is too common to be a key alone: some 512 words in its bucket
+LAST = (1 << 63) - 1  # stands for a null id: such documents come after all others
+PLACE = 32  # bits of a line's number that count the lines of one text; those above count the texts of one id
 LONG = 32  # sets of more words have 128 parity bits instead of 64
 
 
@@ -60,8 +62,8 @@ def _lines(docs: DataFrame, levels: Column, percent: int) -> DataFrame:
         level = F.coalesce(F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long"), F.lit(0))  # never null: so keys sort as primitives
         return F.shiftleft(level, 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
 
-    each = docs.select("doc_id", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("pos", "line")).where("trim(line) != ''")
-    sets = each.select("doc_id", "pos", F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), key))).alias("s"))
+    each = docs.select("doc_id", "nth", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("at", "line")).where("trim(line) != ''")
+    sets = each.select("doc_id", _pos(F.col("nth"), F.col("at")).alias("pos"), F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), key))).alias("s"))
     n = F.size("s")
     return sets.select(
         "doc_id",
@@ -75,6 +77,42 @@ def _lines(docs: DataFrame, levels: Column, percent: int) -> DataFrame:
     )
 
 
+def _pos(nth: Column, at: Column) -> Column:
+    """The number of a line among all of its id: ascends by text, then by place."""
+    return F.shiftleft(nth.cast("long"), PLACE).bitwiseOR(at.cast("long"))
+
+
+def _place(pos: Column) -> Column:
+    return pos.bitwiseAND(F.lit((1 << PLACE) - 1)).cast("int")
+
+
+def _picked(items: Column, places: Column) -> Column:
+    """The items of an array at the given places. The array is bound to a variable first, or it would be made anew for each place."""
+    return F.transform(F.array(items), lambda x: F.transform(places, lambda i: F.get(x, i)))[0]
+
+
+def _numbered(docs: DataFrame, doc: str, nth: str) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with a document number ``doc`` (the id, LAST for null) and ``nth``, which numbers the different texts of one id from 0; and the
+    documents themselves (doc_id, nth, text) without null texts.
+
+    Rows of one id and text are one document. Only ids that repeat are joined in; where none does, nothing is.
+    """
+    id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+    several = texts_by_id(docs.where("text is not null"), id_, F.col("text"))
+
+    def documents(rows: DataFrame) -> DataFrame:
+        return rows.where("text is not null").select(F.col(doc).alias("doc_id"), F.col(nth).alias("nth"), F.col("text").cast("string").alias("text"))
+
+    if several is None:
+        all_ = docs.withColumns({doc: id_, nth: F.lit(0).cast("long")})
+        return all_, documents(all_)
+    ranks = several.select(F.col("id").alias(doc), F.col("print").alias("_print"), F.col("rank").alias(nth))
+    left = docs.withColumn(doc, id_)
+    found = left.join(ranks, (left[doc] == ranks[doc]) & (text_print(left["text"]) == ranks["_print"]), "left")
+    all_ = found.select(*(left[c] for c in left.columns), F.coalesce(ranks[nth], F.lit(0).cast("long")).alias(nth))
+    return all_, documents(all_).dropDuplicates(["doc_id", "nth"])
+
+
 def _differ(na: Column, nb: Column) -> Column:
     """Parity bits in which lines a and b differ: never more than the words that one of them lacks. 128 bits count where both have them."""
     all_, half = (F.col(f"a.{x}").bitwiseXOR(F.col(f"b.{x}")) for x in ("bits", "half"))
@@ -125,7 +163,7 @@ def _candidates(sets: DataFrame, percent: int) -> DataFrame:
     # what both sides of the join read is the same (the state rides in the size) and never null: so one shuffle serves both
     size = F.shiftleft(F.col("n").cast("long"), 1).bitwiseOR(F.col("open").cast("long"))
     zero = F.lit(0).cast("long")
-    cells = cells.select(F.xxhash64("tok", "next").alias("key"), F.coalesce("doc_id", zero).alias("doc_id"), F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("bits", zero).alias("bits"), F.coalesce("half", zero).alias("half"), F.coalesce(size, zero).alias("size"), (F.col("i") + 1).alias("i"), F.coalesce(before, zero).alias("before"), F.coalesce(between, zero).alias("between"))
+    cells = cells.select(F.xxhash64("tok", "next").alias("key"), F.coalesce("doc_id", zero).alias("doc_id"), F.coalesce("pos", zero).alias("pos"), F.coalesce("bits", zero).alias("bits"), F.coalesce("half", zero).alias("half"), F.coalesce(size, zero).alias("size"), (F.col("i") + 1).alias("i"), F.coalesce(before, zero).alias("before"), F.coalesce(between, zero).alias("between"))
     a, b = cells.alias("a"), cells.alias("b")
     na, nb = (F.shiftright(f"{x}.size", 1) for x in "ab")
     most = F.least("a.i", "b.i") + F.least(na - F.col("a.i"), nb - F.col("b.i"))  # i tokens lie up to and with the shared one
@@ -139,10 +177,12 @@ def _candidates(sets: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Distinct later lines (doc_id, pos) of saved ``pairs`` whose sets reach the limit. Only lines of these pairs are fetched."""
     ends = pairs.select("doc_id", "pos").unionByName(pairs.select(F.col("doc_b").alias("doc_id"), F.col("pos_b").alias("pos")))
-    wanted = ends.groupBy("doc_id").agg(F.collect_set("pos").alias("places"))  # at most the lines of one document
+    wanted = ends.groupBy("doc_id", F.shiftright("pos", PLACE).alias("nth")).agg(F.collect_set(_place(F.col("pos"))).alias("places"))  # at most the lines of one document
     # the texts meet their places by a shuffle at every size: what is wanted grows with the corpus
-    text = docs.hint("merge").join(wanted, "doc_id").select("doc_id", "places", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("pos", "line")).where("array_contains(places, pos)")
-    sets = saved(text.select("doc_id", "pos", F.array_distinct(_words(F.col("line"))).alias("s")), "linesets")
+    text = docs.hint("merge").join(wanted, ["doc_id", "nth"])
+    lines = F.arrays_zip(F.col("places").alias("at"), _picked(F.split(_spaced(F.col("text")), "\n"), F.col("places")).alias("line"))
+    found = text.select("doc_id", "nth", F.explode(lines).alias("l")).select("doc_id", _pos(F.col("nth"), F.col("l.at")).alias("pos"), "l.line")
+    sets = saved(found.select("doc_id", "pos", F.array_distinct(_words(F.col("line"))).alias("s")), "linesets")
     first = pairs.join(sets.withColumnRenamed("s", "s_a"), ["doc_id", "pos"])
     both = first.join(sets.select(F.col("doc_id").alias("doc_b"), F.col("pos").alias("pos_b"), F.col("s").alias("s_b")), ["doc_b", "pos_b"])
     common = F.size(F.array_intersect("s_a", "s_b"))
@@ -152,9 +192,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """Lines ``(doc_id, pos)`` that an earlier line matches: Jaccard of their word sets of at least ``percent``/100.
+    """Lines ``(doc_id, nth, pos)`` that an earlier line matches: Jaccard of their word sets of at least ``percent``/100.
 
-    Earlier is by document id, then by place in the text. Lines of equal sets fall to the first of them at once. For the others the
+    Earlier is by document id (whole numbers; null after all others), for several texts of one id by their hash, then by place in the text; ``nth`` numbers
+    these texts from 0. Lines of equal sets fall to the first of them at once. For the others the
     set-similarity join orders tokens by rarity (counts over all texts in a table of fixed size, ties by hash) and
     joins prefixes under length, positional and parity filters, which lose no match. A line needs only one match: first it
     meets the earliest lines that share two of its rarest tokens, and only those that this leaves unmatched meet all others.
@@ -162,7 +203,12 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     """
     if not 50 < percent <= 100:
         raise ValueError("percent must be above 50 and at most 100")
-    one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
+    found = _repeated(_numbered(docs.select("doc_id", "text"), "doc", "nth")[1], percent)
+    return found.select(F.when(F.col("doc_id") != LAST, F.col("doc_id")).alias("doc_id"), F.shiftright("pos", PLACE).alias("nth"), _place(F.col("pos")).alias("pos"))
+
+
+def _repeated(one: DataFrame, percent: int) -> DataFrame:
+    """Repeated lines ``(doc_id, pos)`` of numbered documents."""
     rows = saved(_lines(one, _levels(one), percent), "lines")
     at = F.min(F.struct("doc_id", "pos")).alias("at")
     classes = rows.groupBy("f1", "f2").agg(at, F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("half").alias("half"), F.first("prefix").alias("prefix"), F.count("*").alias("size"))
@@ -188,21 +234,26 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
 def line_dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The input rows with repeated lines taken out of ``text``, and beside it ``n_lines`` (with words), ``n_removed`` and ``removed`` (their places).
 
-    Lines without words never match and stay; a null text stays null with no lines, as does a row with a null id. Rows that repeat an id
-    count as one document whose lines are those of any of them: of equal rows the lines match only what stands earlier.
-    Other columns pass through, those named like the new ones are replaced; an empty table gives no rows.
+    Lines without words never match and stay; a null text stays null with no lines. Ids are whole numbers or null. Rows that repeat an id with the same text
+    count as one document: they match only what stands earlier, not each other. Different texts of one id are documents of their own, one after the other by
+    their hash, as are those of null ids, which come after all others. Other columns pass through, those named like the new ones are
+    replaced; an empty table gives no rows.
     """
-    doc, gone = f"doc_{uuid.uuid4().hex}", f"gone_{uuid.uuid4().hex}"  # names that no column of the input has
-    lost = repeated_lines(docs, percent).groupBy(F.col("doc_id").alias(doc)).agg(F.array_sort(F.collect_set("pos")).alias(gone))
+    if not 50 < percent <= 100:
+        raise ValueError("percent must be above 50 and at most 100")
+    doc, nth, gone = (f"{x}_{uuid.uuid4().hex}" for x in ("doc", "nth", "gone"))  # names that no column of the input has
+    numbered, one = _numbered(docs.drop("n_lines", "n_removed", "removed"), doc, nth)
+    found = _repeated(one, percent)
+    lost = found.groupBy(F.col("doc_id").alias(doc), F.shiftright("pos", PLACE).alias(nth)).agg(F.array_sort(F.collect_set(_place(F.col("pos")))).alias(gone))
     counted = F.size(F.filter(F.split(F.col("text").cast("string"), "\n"), lambda x: F.ltrim(x, F.lit(" \t\x0b\x0c\r")) != ""))
-    base = docs.drop("n_lines", "n_removed", "removed").withColumn("n_lines", F.coalesce(counted, F.lit(0)).cast("long"))
-    joined = base.join(lost, base["doc_id"].cast("long") == F.col(doc), "left")
+    joined = numbered.withColumn("n_lines", F.coalesce(counted, F.lit(0)).cast("long")).join(lost, [doc, nth], "left")
+    joined = joined.withColumn(gone, F.when(F.col("text").isNotNull(), F.col(gone)))
     lines = F.split(F.col("text").cast("string"), "\n")
-    left = F.filter(lines, lambda x, i: ~F.array_contains(F.col(gone), i))
+    left = F.transform(F.array(lines), lambda x: F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col(gone)), lambda i: F.get(x, i)))[0]
     return joined.withColumns(
         {
             "n_removed": F.coalesce(F.size(gone), F.lit(0)).cast("long"),
             "removed": F.coalesce(F.col(gone), F.array().cast("array<int>")),
             "text": F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(left, "\n")),
         }
-    ).drop(doc, gone)
+    ).drop(doc, nth, gone)

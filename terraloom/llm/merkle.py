@@ -6,10 +6,10 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraloom.llm.shared import drop, saved
+from terraloom.llm.shared import drop, ranked, saved
 
 FAN = 16  # children of a node
 BLOCK = 2  # levels that one task builds at once: FAN ** BLOCK leaves
@@ -160,25 +160,6 @@ def _witnessed(nodes: DataFrame, above: DataFrame | None) -> DataFrame:
     return _dealt(rows).mapInArrow(run, schema)
 
 
-def _ranked(rows: DataFrame, order: list[str]) -> DataFrame:
-    """``rows`` with ``rank`` (place within its tree by ``order``) and ``total`` (rows of the tree).
-
-    Rows are sorted over ranges of (tree, order), so a tree of any size spreads over tasks; a tree's rows before each range come
-    from one row a range and tree.
-    """
-    keys = [F.col(c).asc_nulls_first() for c in ["tree", *order]]
-    line = saved(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("line", F.monotonically_increasing_id()), "line")
-    part = F.shiftright("line", 33)
-    sizes = line.groupBy("tree", part.alias("part")).agg(F.min("line").alias("first"), F.count("*").alias("n"))
-    whole = Window.partitionBy("tree")
-    before = F.coalesce(F.sum("n").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
-    sizes = sizes.select("tree", "part", "first", before.alias("before"), F.sum("n").over(whole).alias("total"))
-    out = line.withColumn("part", part).join(sizes, ["tree", "part"])
-    ranked = saved(out.select(*rows.columns, (F.col("before") + F.col("line") - F.col("first")).alias("rank"), "total"), "ranked")
-    drop(line)
-    return ranked
-
-
 def _grown(nodes: DataFrame) -> list[DataFrame]:
     """Rounds of appends: the roots of all blocks, the roots of blocks of these, and so on, until each tree is one node."""
     rounds = [nodes]
@@ -207,23 +188,20 @@ def merkle_manifest(rows: DataFrame, leaf: str, tree: str, order: str) -> DataFr
         F.struct(*(F.col(c) for c in other.columns)).alias("row"),
     )
     first = saved(packed, "leaves")
-    ranked = _ranked(first, ["place", "digest"]).drop("place")
+    leaves = ranked(first, "tree", ["place", "digest"]).drop("place", "line")
     drop(first)
-    rounds = _grown(ranked)
+    rounds = _grown(leaves)
     tips = rounds[-1].select("tree", "digest")
     if len(rounds) == 1:  # every tree is a lone leaf
-        tips = ranked.select("tree", "digest")
-    crowns = _grown(_ranked(tips.select(F.lit("").alias("tree"), F.col("tree").alias("name"), "digest"), ["name"]))
+        tips = leaves.select("tree", "digest")
+    crowns = _grown(ranked(tips.select(F.lit("").alias("tree"), F.col("tree").alias("name"), "digest"), "tree", ["name"]).drop("line"))
     top = None
     for nodes in reversed(crowns):
         top = saved(_witnessed(nodes, top), "crown")
     above = top.select(F.col("name").alias("tree"), F.lit(0).cast("long").alias("rank"), "root", "witness", F.col("digest").alias("subroot"))
-    for nodes in reversed(rounds[1:]):
-        # nodes of the last round are the tips themselves: their witness is the crown's
-        if nodes is rounds[-1]:
-            continue
+    for nodes in reversed(rounds[1:-1]):  # those of the last round are the tips themselves: their witness is the crown's
         above = saved(_below(nodes, above), "above")
-    return _below(ranked, above).select("row.*", "subroot", "root", "witness")
+    return _below(leaves, above).select("row.*", "subroot", "root", "witness")
 
 
 def _below(nodes: DataFrame, above: DataFrame) -> DataFrame:

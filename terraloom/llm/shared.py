@@ -10,7 +10,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Word caches of a task are emptied beyond so many entries; the results do not depend on it.
@@ -80,6 +80,71 @@ def workspace(spark: SparkSession) -> Iterator[None]:
         remove(spark, path)
 
 
+def ranked(rows: DataFrame, by: str, order: list[str]) -> DataFrame:
+    """``rows`` with ``line`` (a number that ascends by ``by``, then ``order``), ``rank`` (place within its value of ``by``) and ``total`` (rows of the value).
+
+    Rows are sorted over ranges of (by, order), nulls first, so a value of any number of rows spreads over tasks; what stands before a range comes
+    from one row a range and value. ``by`` has no nulls.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in [by, *order]]
+    line = saved(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("line", F.monotonically_increasing_id()), "line")
+    part = F.shiftright("line", 33)
+    sizes = line.groupBy(by, part.alias("part")).agg(F.min("line").alias("first"), F.count("*").alias("n"))
+    whole = Window.partitionBy(by)
+    before = F.coalesce(F.sum("n").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    sizes = sizes.select(by, "part", "first", before.alias("before"), F.sum("n").over(whole).alias("total"))
+    out = line.withColumn("part", part).join(sizes, [by, "part"])
+    numbered = saved(out.select(*rows.columns, "line", (F.col("before") + F.col("line") - F.col("first")).alias("rank"), "total"), "ranked")
+    drop(line)
+    return numbered
+
+
+def texts_by_id(docs: DataFrame, id_: Column, text: Column) -> DataFrame | None:
+    """The different texts (id, print, line, rank) of each id that repeats; None if none does.
+
+    ``print`` is ``text_print`` of the text, ``rank`` numbers the texts of an id from 0, ``line`` ascends over all of them.
+    """
+    seen = docs.select(id_.alias("id"), text_print(text).alias("print"))
+    ids = saved(seen.groupBy("id").count().where("count > 1").select("id"), "ids")
+    if ids.isEmpty():
+        drop(ids)
+        return None
+    return ranked(seen.join(ids, "id", "left_semi").distinct(), "id", ["print"])
+
+
+def row_keys(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each pair of id (a whole number or null) and text, with a whole number of its own in the column ``key``.
+
+    Where no id repeats and none is null that is the id. The others get numbers below all ids (above, where there is no room below): those of null ids and of
+    ids that repeat. Of rows with equal id and text one stays. Only those ids are joined and shuffled.
+    """
+    id_, text = F.col(id_col).cast("long"), F.col(text_col)
+    known = F.coalesce(id_, F.lit((1 << 63) - 1))
+    texts = texts_by_id(docs, known, text)
+    if texts is None and docs.where(id_.isNull()).isEmpty():
+        return docs.withColumn(key, id_)
+    low, high = docs.agg(F.min(id_), F.max(id_)).first()
+    low, high = low or 0, high or 0
+    span = (texts.agg(F.max("line")).first()[0] if texts is not None else 0) + 2
+    first = low - span if low > -(1 << 63) + span else high + 1
+    if first + span >= 1 << 63:
+        raise ValueError("ids leave no room for the keys of those that repeat")
+    if texts is None:  # a single row without an id
+        return docs.withColumn(key, F.coalesce(id_, F.lit(first).cast("long")))
+    again = texts.select("id").distinct()
+    rows = docs.withColumns({key: known, f"{key}_print": text_print(text)})
+    same = F.col(key) == F.col("id")
+    plain = rows.join(again, same, "left_anti").withColumn(key, F.coalesce(id_, F.lit(first).cast("long"))).drop(f"{key}_print")
+    once = rows.join(again, same, "left_semi").dropDuplicates([key, f"{key}_print"])
+    odd = once.join(texts.select("id", "print", "line"), same & (F.col(f"{key}_print") == F.col("print")))
+    return plain.unionByName(odd.withColumn(key, F.col("line") + F.lit(first + 1).cast("long")).select(*plain.columns))
+
+
+def text_print(text: Column) -> Column:
+    """A 64-bit hash of a text; that of an empty one for null."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 class WordHashes(dict):
     """64-bit hash by word (bytes), filled as words come."""
 
