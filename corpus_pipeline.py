@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraloom.llm.bpe import bpe_encode
@@ -19,7 +19,7 @@ from terraloom.llm.line_dedup import line_dedup
 from terraloom.llm.minhash import near_duplicates
 from terraloom.llm.mixing import emitted, mixed
 from terraloom.llm.quality import fit_crf, good_documents
-from terraloom.llm.shared import drop, fresh_path, saved, workspace
+from terraloom.llm.shared import drop, fresh_path, row_keys, saved, workspace
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,18 +37,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, Jaccard of 0.8 or more), and equal rows of an id once.
 
-    An id that stands for several different texts is left alone: each of its texts stays, once.
+    Different texts of one id, and texts of null ids, are documents of their own: they are compared like all others.
     """
-    found = saved(near_duplicates(docs, k=5, percent=80), "near")
-    print_ = F.xxhash64(F.col("text"))
-    several = docs.select("doc_id", print_.alias("print")).groupBy("doc_id").agg(F.min("print").alias("low"), F.max("print").alias("high")).where("low != high")
-    kept = found.where("kept").select("doc_id").unionByName(several.select("doc_id")).where("doc_id is not null").distinct()
-    left = docs.join(kept.hint("merge"), "doc_id", "left_semi")
-    by_text = Window.partitionBy("doc_id").orderBy("text")
-    again = (F.row_number().over(by_text) > 1) & F.lag("text").over(by_text).eqNullSafe(F.col("text"))
-    name = f"again_{uuid.uuid4().hex}"  # that no column of the input has
-    one = left.withColumn(name, again).where(f"not `{name}`").select(*docs.columns)
-    return one.unionByName(docs.where("doc_id is null"))
+    key = f"key_{uuid.uuid4().hex}"  # that no column of the input has
+    keyed = row_keys(docs, key)
+    found = saved(near_duplicates(keyed, k=5, percent=80, id_col=key), "near")
+    return keyed.join(found.where("kept").select(F.col("doc_id").alias(key)).hint("merge"), key, "left_semi").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
