@@ -68,16 +68,64 @@ def polygon(*corners: tuple[float, float]) -> Column:
     return F.array(*(F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in corners))
 
 
-def with_cell(points: DataFrame, size: float, x: str = "x", y: str = "y") -> DataFrame:
-    """Points with the key of their cell in ``_cx``, ``_cy``."""
-    return points.withColumn("_cx", F.floor(F.col(x) / size)).withColumn("_cy", F.floor(F.col(y) / size))
+def with_cell(points: DataFrame, size: float, x: str = "x", y: str = "y", levels: list[int] | None = None) -> DataFrame:
+    """Points with the key of their cell in ``_lv``, ``_cx``, ``_cy``: one row for each of the levels (the finest alone if none are given)."""
+    level = F.lit(0) if not levels else F.lit(levels[0]) if len(levels) == 1 else F.explode(F.array(*map(F.lit, levels)))
+    edge = size * F.pow(F.lit(4.0), F.col("_lv"))
+    return points.withColumn("_lv", level).withColumn("_cx", F.floor(F.col(x) / edge)).withColumn("_cy", F.floor(F.col(y) / edge))
 
 
-def covering_cells(boxes: DataFrame, size: float, bounds: tuple[Column, Column, Column, Column]) -> DataFrame:
-    """A row for each cell that a box touches, so that one equi join on the key finds every box near a point."""
-    x0, y0, x1, y1 = (F.floor(b / size) for b in bounds)
+def box_level(size: float, bounds: tuple[Column, Column, Column, Column]) -> Column:
+    """The level whose cells, of edge ``size`` times a power of four, are the smallest that are no smaller than a box."""
+    span = F.greatest(bounds[2] - bounds[0], bounds[3] - bounds[1])
+    return F.when(span > size, F.ceil(F.log2(span / size) / 2)).otherwise(0).cast("int")
+
+
+def covering_cells(boxes: DataFrame, size: float, bounds: tuple[Column, Column, Column, Column], least: Column | None = None) -> DataFrame:
+    """A row for each cell that a box touches on the level of its own size (or on the level ``least``, if that is higher).
+
+    Four cells at most, however large the box: so an equi join on the key finds every box near a point without a row for each fine cell.
+    """
+    level = box_level(size, bounds)
+    boxes = boxes.withColumn("_lv", level if least is None else F.greatest(level, least))
+    edge = size * F.pow(F.lit(4.0), F.col("_lv"))
+    x0, y0, x1, y1 = (F.floor(b / edge) for b in bounds)
     return boxes.withColumn("_cx", F.explode(F.sequence(x0, x1))).withColumn("_cy", F.explode(F.sequence(y0, y1)))
 
 
+def levels_of(boxes: DataFrame, size: float, bounds: tuple[Column, Column, Column, Column]) -> list[int]:
+    """The levels that boxes have: a few small numbers, found when called."""
+    found = boxes.select(box_level(size, bounds).alias("level")).where("level is not null").distinct().collect()
+    return sorted(r.level for r in found)
+
+
 def same_cell(a: str = "a", b: str = "b") -> Column:
-    return (F.col(f"{a}._cx") == F.col(f"{b}._cx")) & (F.col(f"{a}._cy") == F.col(f"{b}._cy"))
+    return (F.col(f"{a}._lv") == F.col(f"{b}._lv")) & (F.col(f"{a}._cx") == F.col(f"{b}._cx")) & (F.col(f"{a}._cy") == F.col(f"{b}._cy"))
+
+
+def outside(points: DataFrame, boxes: DataFrame, size: float, bounds: tuple[Column, Column, Column, Column], hit: Column) -> DataFrame:
+    """Points (alias a) that no box (alias b) hits: an anti join on cells for each level that boxes have, the largest boxes first."""
+    for level in reversed(levels_of(boxes, size, bounds)):
+        here = covering_cells(boxes.where(box_level(size, bounds) == level), size, bounds).alias("b")
+        points = with_cell(points, size, levels=[level]).alias("a").join(here, same_cell() & hit, "left_anti").drop("_lv", "_cx", "_cy")
+    return points
+
+
+def meeting_boxes(left: DataFrame, right: DataFrame, size: float, own: tuple[str, str, str, str], other: tuple[str, str, str, str], how: str = "inner") -> DataFrame:
+    """Left (alias a) and right rows (alias b) whose boxes meet, each pair once; or the left rows that meet any, for ``how`` left_semi.
+
+    Two boxes meet on the level of the larger one, so each takes part on its own level and on those above that some box has. ``own`` and ``other`` name the
+    bounds (xmin, ymin, xmax, ymax) of either side; all eight names differ.
+    """
+    mine, theirs = (tuple(F.col(c) for c in names) for names in (own, other))
+    levels = sorted({*levels_of(left, size, mine), *levels_of(right, size, theirs)}) or [0]
+    sides = []
+    for boxes, bounds in ((left, mine), (right, theirs)):
+        up = boxes.withColumn("_own", box_level(size, bounds)).withColumn("_up", F.explode(F.array(*map(F.lit, levels)))).where("_up >= _own")
+        sides.append(covering_cells(up, size, bounds, F.col("_up")))
+    a, b = sides[0].alias("a"), sides[1].alias("b")
+    on = same_cell() & (F.col("a._up") == F.greatest("a._own", "b._own")) & bounds_overlap(mine, theirs)
+    if how == "inner":  # a pair that shares several cells counts in the one that holds the corner of its overlap
+        edge = size * F.pow(F.lit(4.0), F.col("a._lv"))
+        on = on & (F.col("a._cx") == F.floor(F.greatest(own[0], other[0]) / edge)) & (F.col("a._cy") == F.floor(F.greatest(own[1], other[1]) / edge))
+    return a.join(b, on, how)

@@ -7,7 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraloom.operators.geometry import along_segment, bounds_overlap, covering_cells, in_polygon, ring_bounds, rings_cross, same_cell, segment_distance, with_cell
+from terraloom.operators.geometry import along_segment, bounds_overlap, in_polygon, outside, ring_bounds, rings_cross, segment_distance
+from terraloom.operators.roads import in_joint, next_of
 from terraloom.operators.sampling import in_brackets
 
 
@@ -54,31 +55,44 @@ def quadkey_tiles(boxes: DataFrame, index: DataFrame, zoom: int) -> tuple[DataFr
 def exclude_zones(points: DataFrame, zones: DataFrame, cell: float) -> DataFrame:
     """Points that meet no zone; boundaries count as inside.
 
-    zones: (kind, cx, cy, r, w, h, ring), kind circle, box or polygon; cell: an edge near the usual zone size.
+    zones: (kind, cx, cy, r, w, h, ring), kind circle, box or polygon; cell: an edge near that of the small ones. Zones of any size take a few
+    cells each, on the level of their size.
     """
     r, w, h = (F.coalesce(c, F.lit(0.0)) for c in ("r", "w", "h"))
     ringed = F.col("kind") == "polygon"
     rx0, ry0, rx1, ry1 = ring_bounds(F.col("ring"))
     ex, ey = F.greatest(r, w / 2), F.greatest(r, h / 2)
     bounds = tuple(F.when(ringed, a).otherwise(b) for a, b in ((rx0, F.col("cx") - ex), (ry0, F.col("cy") - ey), (rx1, F.col("cx") + ex), (ry1, F.col("cy") + ey)))
-    z = covering_cells(zones, cell, bounds).alias("b")
     px, py = F.col("a.x"), F.col("a.y")
     circle = (px - F.col("b.cx")) ** 2 + (py - F.col("b.cy")) ** 2 <= F.col("b.r") ** 2
     box = (F.abs(px - F.col("b.cx")) <= F.col("b.w") / 2) & (F.abs(py - F.col("b.cy")) <= F.col("b.h") / 2)
     hit = F.when(F.col("b.kind") == "circle", circle).when(F.col("b.kind") == "box", box).otherwise(in_polygon(px, py, F.col("b.ring")))
-    return with_cell(points, cell).alias("a").join(z, same_cell() & hit, "left_anti").drop("_cx", "_cy")
+    return outside(points, zones, cell, bounds, hit)
+
+
+def zones_in_scene(zones: DataFrame, projection) -> DataFrame:  # noqa: ANN001
+    """Zones (as for ``exclude_zones``, with ``coord_type``) in scene metres: centres and corners of those that are ``geographic`` (x is
+    longitude, y latitude) are projected by ``projection``; radii, widths and heights are metres already."""
+    geographic = F.col("coord_type") == "geographic"
+    cx, cy = projection.forward(F.col("cy"), F.col("cx"))
+
+    def corner(p: Column) -> Column:
+        x, y = projection.forward(p["y"], p["x"])
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    ring = F.when(geographic, F.transform("ring", corner)).otherwise(F.col("ring"))
+    return zones.withColumns({"cx": F.when(geographic, cx).otherwise(F.col("cx")), "cy": F.when(geographic, cy).otherwise(F.col("cy")), "ring": ring}).drop("coord_type")
 
 
 def exclude_roads(points: DataFrame, segments: DataFrame, buffer_m: float, cell: float, enabled: bool = True) -> DataFrame:
     """Points off every road widened by ``buffer_m``: the road itself ends flat, the buffer about it is round.
 
-    segments: (x1, y1, x2, y2, width_m).
+    segments: (x1, y1, x2, y2, width_m), of lines with bends after ``with_next``: the outside of a bend is rounded.
     """
     if not enabled:
         return points
     reach = F.col("width_m") / 2 + buffer_m
     bounds = (F.least("x1", "x2") - reach, F.least("y1", "y2") - reach, F.greatest("x1", "x2") + reach, F.greatest("y1", "y2") + reach)
-    s = covering_cells(segments, cell, bounds).alias("b")
     ends = tuple(F.col(f"b.{c}") for c in ("x1", "y1", "x2", "y2"))
     px, py = F.col("a.x"), F.col("a.y")
     half = F.col("b.width_m") / 2
@@ -89,7 +103,8 @@ def exclude_roads(points: DataFrame, segments: DataFrame, buffer_m: float, cell:
     past = F.greatest(F.lit(0.0), -t * length, (t - 1) * length)
     out = F.greatest(F.lit(0.0), side - half)
     hit = F.coalesce(F.hypot(past, out) <= buffer_m, segment_distance(px, py, *ends) <= half + buffer_m)
-    return with_cell(points, cell).alias("a").join(s, same_cell() & hit, "left_anti").drop("_cx", "_cy")
+    joint = in_joint(px - ends[2], py - ends[3], ends, *next_of(segments, "b")) & (F.hypot(px - ends[2], py - ends[3]) <= half + buffer_m)
+    return outside(points, segments, cell, bounds, hit | joint)
 
 
 def species_for_pixels(pixels: DataFrame, mapping: DataFrame) -> DataFrame:

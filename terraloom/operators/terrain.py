@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraloom.operators.geometry import along_segment, covering_cells, in_polygon, same_cell, segment_distance, with_cell
+from terraloom.operators.geometry import along_segment, covering_cells, in_polygon, levels_of, meeting_boxes, same_cell, segment_distance, with_cell
+from terraloom.operators.roads import in_joint, next_of
 from terraloom.session import cut
 
 
@@ -32,9 +33,10 @@ def split_roads(lines: DataFrame, box: tuple[float, float, float, float], key: s
 
 
 def rasterize_roads(segments: DataFrame, nx: int, ny: int) -> DataFrame:
-    """Pixels (unit cells) that a road's flat-ended rectangle touches: (ix, iy, layer), the last layer of each.
+    """Pixels (unit cells) that a road's flat-ended footprint touches: (ix, iy, layer), the last layer of each.
 
-    Only the cells of a segment's bounding box are tried, by the separating axes of cell and rectangle. segments: (x1, y1, x2, y2, width_m, layer).
+    Only the cells of a segment's bounding box are tried, by the separating axes of cell and rectangle. segments: (x1, y1, x2, y2, width_m, layer), of lines
+    with bends after ``with_next``: then the cells about a bend are tried as well, by the place of the cell nearest to the bend.
     """
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     n = F.hypot(dx, dy)
@@ -49,7 +51,17 @@ def rasterize_roads(segments: DataFrame, nx: int, ny: int) -> DataFrame:
     qx, qy = F.col("ix") + 0.5 - F.col("_mx"), F.col("iy") + 0.5 - F.col("_my")
     cell = 0.5 * (F.abs("_ux") + F.abs("_uy"))
     touch = (F.abs(qx * F.col("_ux") + qy * F.col("_uy")) <= F.col("_l") + cell) & (F.abs(qy * F.col("_ux") - qx * F.col("_uy")) <= F.col("_h") + cell)
-    return c.where(touch & (F.abs(qx) <= F.col("_ex") + 0.5) & (F.abs(qy) <= F.col("_ey") + 0.5)).groupBy("ix", "iy").agg(F.max("layer").alias("layer"))
+    painted = c.where(touch & (F.abs(qx) <= F.col("_ex") + 0.5) & (F.abs(qy) <= F.col("_ey") + 0.5)).select("ix", "iy", "layer")
+    if "next_x" in segments.columns:
+        ends = tuple(F.col(e) for e in ("x1", "y1", "x2", "y2"))
+        bends = segments.where("next_x is not null and (x1 != x2 or y1 != y2)").withColumn("_h", F.col("width_m") / 2)
+        bends = bends.withColumns({"_x0": low("x2", "_h"), "_x1": high("x2", "_h", nx), "_y0": low("y2", "_h"), "_y1": high("y2", "_h", ny)}).where("_x0 <= _x1 and _y0 <= _y1")
+        near = bends.withColumn("ix", F.explode(F.sequence("_x0", "_x1"))).withColumn("iy", F.explode(F.sequence("_y0", "_y1")))
+        # a cell that meets the wedge but neither rectangle meets it at its place nearest to the bend: else it crosses an end of a rectangle
+        gap = lambda c, i: F.greatest(F.lit(0.0), F.col(i) - F.col(c)) - F.greatest(F.lit(0.0), F.col(c) - F.col(i) - 1)
+        gx, gy = gap("x2", "ix"), gap("y2", "iy")
+        painted = painted.unionByName(near.where((F.hypot(gx, gy) <= F.col("_h")) & in_joint(gx, gy, ends, *next_of(segments))).select("ix", "iy", "layer"))
+    return painted.groupBy("ix", "iy").agg(F.max("layer").alias("layer"))
 
 
 def apply_regions(grid: DataFrame, regions: DataFrame) -> DataFrame:
@@ -67,18 +79,23 @@ def apply_regions(grid: DataFrame, regions: DataFrame) -> DataFrame:
 def flatten_under_roads(points: DataFrame, roads: DataFrame, half: Column, buffer_m: float, reference: Column, cell: float, key: str = "pid") -> DataFrame:
     """Points with z blended toward the road's elevation: fully within half the width, linearly over the buffer, road after road.
 
-    roads: (pos, x1, y1, x2, y2, and what ``half`` and ``reference`` name, with ``t`` the place along the centreline). Zones end flat.
+    roads: segments (pos of the road, x1, y1, x2, y2, and what ``half`` and ``reference`` name, with ``t`` the place along the segment), of lines with bends
+    after ``with_next``. A road acts once on a point: from the nearest place of its whole centreline. Zones end flat and are round outside a bend.
     """
     reach = half + buffer_m
     bounds = (F.least("x1", "x2") - reach, F.least("y1", "y2") - reach, F.greatest("x1", "x2") + reach, F.greatest("y1", "y2") + reach)
     r = covering_cells(roads, cell, bounds).alias("b")
     ends = tuple(F.col(f"b.{c}") for c in ("x1", "y1", "x2", "y2"))
-    t = along_segment(F.col("a.x"), F.col("a.y"), *ends)
-    d = segment_distance(F.col("a.x"), F.col("a.y"), *ends)
-    j = with_cell(points.select(key, "x", "y"), cell).alias("a").join(r, same_cell() & t.between(0, 1) & (d <= reach))
-    j = j.withColumns({"t": t, "_d": d})
+    px, py = F.col("a.x"), F.col("a.y")
+    t = along_segment(px, py, *ends)
+    d = segment_distance(px, py, *ends)
+    held = t.between(0, 1) | in_joint(px - ends[2], py - ends[3], ends, *next_of(roads, "b"))
+    j = with_cell(points.select(key, "x", "y"), cell, levels=levels_of(roads, cell, bounds)).alias("a").join(r, same_cell() & (d <= reach))
+    j = j.withColumns({"t": F.greatest(F.lit(0.0), F.least(F.lit(1.0), t)), "_d": d, "_held": held})
     alpha = F.when(F.col("_d") <= half, 1.0).otherwise(1 - (F.col("_d") - half) / buffer_m if buffer_m > 0 else 0.0)
-    ops = j.select(F.col(f"a.{key}").alias(key), F.struct(F.col("pos"), alpha.alias("a"), reference.alias("z")).alias("op")).groupBy(key).agg(F.sort_array(F.collect_list("op")).alias("ops"))
+    each = j.select(F.col(f"a.{key}").alias(key), "pos", "_d", "_held", F.struct(alpha.alias("a"), reference.alias("z")).alias("op"))
+    ops = each.groupBy(key, "pos").agg(F.min_by("op", "_d").alias("op"), F.max("_held").alias("_held")).where("_held")
+    ops = ops.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "op.a", "op.z"))).alias("ops"))
     blend = F.aggregate("ops", F.col("z"), lambda z, o: o["a"] * o["z"] + (1 - o["a"]) * z)
     return points.join(ops, key, "left").withColumn("z", F.when(F.col("ops").isNull(), F.col("z")).otherwise(blend)).drop("ops")
 
@@ -109,10 +126,8 @@ def meeting_zones(size: float, zones: DataFrame, cell: float):  # noqa: ANN201
     def rule(cells: DataFrame) -> DataFrame:
         x0, y0, x1, y1 = cell_box(size)
         c = cells.withColumns({"_x0": x0, "_y0": y0, "_x1": x1, "_y1": y1})
-        a = covering_cells(c, cell, tuple(F.col(k) for k in ("_x0", "_y0", "_x1", "_y1"))).alias("a")
-        b = covering_cells(zones, cell, tuple(F.col(k) for k in ("xmin", "ymin", "xmax", "ymax"))).alias("b")
-        meets = (F.col("_x0") <= F.col("xmax")) & (F.col("xmin") <= F.col("_x1")) & (F.col("_y0") <= F.col("ymax")) & (F.col("ymin") <= F.col("_y1"))
-        return a.join(b, same_cell() & meets, "left_semi")
+        found = meeting_boxes(c, zones, cell, ("_x0", "_y0", "_x1", "_y1"), ("xmin", "ymin", "xmax", "ymax"), "left_semi")
+        return found.select("level", "i", "j").distinct()  # a cell takes part on several levels
 
     return rule
 

@@ -226,23 +226,18 @@ def set3(spark: SparkSession, d: str) -> DataFrame:
     return A.overlay_names(named, n.where("n_nationkey % 2 = 0").select(F.col("n_name").alias("name")))
 
 
-_SERIES = "SELECT sensor_id AS series, w, round(avg(radiance), 5) AS radiance, cx AS zenith FROM v_radiance JOIN v_zones ON zone_id = sensor_id WHERE sensor_id % 3 <> 0 GROUP BY 1, 2, 4"
+_SERIES = "SELECT sensor_id AS series, w, round(avg(radiance), 5) AS radiance, cx AS zenith FROM v_radiance JOIN v_zones ON zone_id = sensor_id GROUP BY 1, 2, 4"
 
 
 @query("set4_combine_series", duckdb("v_radiance", "v_zones", then=_SERIES))
-def set4(spark: SparkSession, d: str, residues: tuple[int, ...] = (1, 2)) -> DataFrame:
+def set4(spark: SparkSession, d: str) -> DataFrame:
+    """Every series, simulated in three parts."""
     r = view(spark, d, "v_radiance").withColumnRenamed("sensor_id", "series")
-    parts = [A.spatial_mean(r.where(f"series % 3 = {k}"), ["series", "w"], "radiance") for k in residues]
+    parts = [A.spatial_mean(r.where(f"series % 3 = {k}"), ["series", "w"], "radiance") for k in range(3)]
     ref = view(spark, d, "v_zones").select(F.col("zone_id").alias("series"), F.col("cx").alias("zenith"))
     return combine_series(parts, ref)[0].select("series", "w", F.round("radiance", 5).alias("radiance"), "zenith")
 
 
-@query("set4_combine_series_whole", duckdb("v_radiance", "v_zones", then=_SERIES.replace(" WHERE sensor_id % 3 <> 0", "")))
-def set4_whole(spark: SparkSession, d: str) -> DataFrame:
-    """Every series."""
-    return set4(spark, d, (0, 1, 2))
-
-
 @query("set5_zones_union", duckdb("v_landcover", then="""SELECT 'target' AS zone, ix, iy, CASE WHEN ix % 5 = 0 THEN 'road' WHEN iy < 8 THEN 'snow' ELSE 'base' END AS material FROM v_landcover WHERE ix BETWEEN 24 AND 39 AND iy BETWEEN 24 AND 39
 UNION ALL SELECT 'buffer', ix, iy, CASE WHEN iy < 8 THEN 'snow' ELSE 'base' END FROM v_landcover WHERE NOT (ix BETWEEN 24 AND 39 AND iy BETWEEN 24 AND 39) UNION ALL SELECT DISTINCT 'background', ix // 8, iy // 8, 'base' FROM v_landcover"""))
 def set5(spark: SparkSession, d: str) -> DataFrame:

@@ -56,14 +56,9 @@ def flt3(spark: SparkSession, d: str) -> DataFrame:
 
 @query("flt4_bounds_overlap", duckdb("v_zones", "v_ways", then=f"WITH {_BOXES} SELECT zone_id, count(*) AS ways FROM b, v_ways WHERE x1 <= xmax AND xmin <= x2 AND y1 <= ymax AND ymin <= y2 GROUP BY zone_id"))
 def flt4(spark: SparkSession, d: str) -> DataFrame:
-    size = 4.0
-    z = G.covering_cells(boxes(spark, d), size, tuple(F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))).alias("b")
-    w = view(spark, d, "v_ways").select("way_id", "x1", "y1", "x2", "y2")
-    w = G.covering_cells(w, size, tuple(F.col(c) for c in ("x1", "y1", "x2", "y2"))).alias("a")
-    meets = G.bounds_overlap(tuple(F.col(c) for c in ("x1", "y1", "x2", "y2")), tuple(F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")))
-    # a pair that shares several cells counts in the one that holds the corner of its overlap
-    first = (F.col("a._cx") == F.floor(F.greatest("x1", "xmin") / size)) & (F.col("a._cy") == F.floor(F.greatest("y1", "ymin") / size))
-    return w.join(z, G.same_cell() & meets & first).groupBy("zone_id").agg(F.count("*").alias("ways"))
+    ways = view(spark, d, "v_ways").select("way_id", "x1", "y1", "x2", "y2")
+    found = G.meeting_boxes(ways, boxes(spark, d), 4.0, ("x1", "y1", "x2", "y2"), ("xmin", "ymin", "xmax", "ymax"))
+    return found.groupBy("zone_id").agg(F.count("*").alias("ways"))
 
 
 @query("flt5_in_scene_limit", duckdb("v_points", then="SELECT pid, sqrt((x - 32) * 1000 * ((x - 32) * 1000) + (y - 32) * 1000 * ((y - 32) * 1000)) <= 30003 AS in_limit FROM v_points"))
@@ -109,19 +104,14 @@ def flt10(spark: SparkSession, d: str) -> DataFrame:
     return good.agg(F.count("*").alias("kept")).join(bad)
 
 
-_FOV = "SELECT sensor_id, w, x_index, y_index, CASE WHEN sqrt((x_index - 3.5) ** 2 + (y_index - 3.5) ** 2) <= 4 THEN radiance END AS radiance FROM v_radiance WHERE sensor_id <= 20"
+_FOV = "SELECT sensor_id, w, x_index, y_index, CASE WHEN sqrt((x_index - 3.5) ** 2 + (y_index - 3.5) ** 2) <= 4 THEN radiance END AS radiance FROM v_radiance"
 
 
 @query("flt11_circular_fov", duckdb("v_radiance", then=_FOV))
-def flt11(spark: SparkSession, d: str, rows: str = "sensor_id <= 20") -> DataFrame:
-    r = view(spark, d, "v_radiance").where(rows).withColumn("film", F.lit(1))
-    return O.circular_fov(r, ["film"]).select("sensor_id", "w", "x_index", "y_index", "radiance")
-
-
-@query("flt11_circular_fov_whole", duckdb("v_radiance", then=_FOV.replace(" WHERE sensor_id <= 20", "")))
-def flt11_whole(spark: SparkSession, d: str) -> DataFrame:
+def flt11(spark: SparkSession, d: str) -> DataFrame:
     """The films of every sensor."""
-    return flt11(spark, d, "true")
+    r = view(spark, d, "v_radiance").withColumn("film", F.lit(1))
+    return O.circular_fov(r, ["film"]).select("sensor_id", "w", "x_index", "y_index", "radiance")
 
 
 @query("flt12_cover_filter", duckdb("v_landcover", then="SELECT ix, iy, class FROM v_landcover WHERE class IN (10, 30)"))

@@ -9,6 +9,7 @@ from terraloom.operators import generate as N
 from terraloom.operators import matching as M
 from terraloom.operators import terrain as T
 from terraloom.operators import vegetation as V
+from terraloom.operators.roads import with_next
 from terraloom.plans.q_filters import DIAMOND, _DIAMOND, boxes, centres, dem_at, r6
 from terraloom.plans.q_functions import _U
 from terraloom.plans.registry import query
@@ -90,21 +91,33 @@ def gen7(spark: SparkSession, d: str) -> DataFrame:
     return out.select("way_id", "piece", "seg", *r6(**{c: F.col(c) for c in ("cx1", "cy1", "cx2", "cy2")}))
 
 
-_ROADS = """WITH r AS (SELECT way_id % 5 AS layer, x1, y1, x2, y2, sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS n, 0.1501 AS h FROM v_ways WHERE way_id % 11 = 0),
+_ROADS = """WITH r AS (SELECT way_id % 5 AS layer, x1, y1, x2, y2, sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS n, 0.1501 AS h FROM v_ways),
 s AS (SELECT *, (x2 - x1) / n AS ux, (y2 - y1) / n AS uy, n / 2 AS l, (x1 + x2) / 2 AS mx, (y1 + y2) / 2 AS my FROM r), p AS (SELECT *, i + 0.5 - mx AS qx, j + 0.5 - my AS qy FROM s, range(64) a(i), range(64) b(j))
 SELECT i AS ix, j AS iy, max(layer) AS layer FROM p WHERE abs(qx * ux + qy * uy) <= l + 0.5 * (abs(ux) + abs(uy)) AND abs(qy * ux - qx * uy) <= h + 0.5 * (abs(ux) + abs(uy)) AND abs(qx) <= l * abs(ux) + h * abs(uy) + 0.5 AND abs(qy) <= l * abs(uy) + h * abs(ux) + 0.5 GROUP BY 1, 2"""
 
 
 @query("gen8_rasterize_roads", duckdb("v_ways", then=_ROADS))
-def gen8(spark: SparkSession, d: str, rows: str = "way_id % 11 = 0") -> DataFrame:
-    w = view(spark, d, "v_ways").where(rows).select("x1", "y1", "x2", "y2", F.lit(0.3002).alias("width_m"), (F.col("way_id") % 5).alias("layer"))
+def gen8(spark: SparkSession, d: str) -> DataFrame:
+    w = view(spark, d, "v_ways").select("x1", "y1", "x2", "y2", F.lit(0.3002).alias("width_m"), (F.col("way_id") % 5).alias("layer"))
     return T.rasterize_roads(w, 64, 64).select("ix", "iy", "layer")
 
 
-@query("gen8_rasterize_roads_whole", duckdb("v_ways", then=_ROADS.replace(" WHERE way_id % 11 = 0", "")))
-def gen8_whole(spark: SparkSession, d: str) -> DataFrame:
-    """Every road."""
-    return gen8(spark, d, "true")
+def bent(spark: SparkSession, d: str) -> DataFrame:
+    """Segments of roads with two bends each, with the direction in which the road goes on."""
+    return with_next(view(spark, d, "v_bends"), "way_id")
+
+
+_TURNS = """b AS (SELECT way_id, seg, x1, y1, x2, y2, sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS n, lead(x2 - x1) OVER w AS nx, lead(y2 - y1) OVER w AS ny FROM v_bends WINDOW w AS (PARTITION BY way_id ORDER BY seg))"""
+
+
+@query("gen8_rasterize_roads_bends", duckdb("v_bends", then=f"""WITH {_TURNS}, s AS (SELECT *, way_id % 5 AS layer, 0.6301 AS h, (x2 - x1) / n AS ux, (y2 - y1) / n AS uy, n / 2 AS l, (x1 + x2) / 2 AS mx, (y1 + y2) / 2 AS my FROM b),
+p AS (SELECT *, i + 0.5 - mx AS qx, j + 0.5 - my AS qy, greatest(i, least(i + 1, x2)) - x2 AS gx, greatest(j, least(j + 1, y2)) - y2 AS gy FROM s, range(64) a(i), range(64) c(j) WHERE i + 1 >= least(x1, x2) - 1 AND i <= greatest(x1, x2) + 1 AND j + 1 >= least(y1, y2) - 1 AND j <= greatest(y1, y2) + 1)
+SELECT i AS ix, j AS iy, max(layer) AS layer FROM p WHERE (abs(qx * ux + qy * uy) <= l + 0.5 * (abs(ux) + abs(uy)) AND abs(qy * ux - qx * uy) <= h + 0.5 * (abs(ux) + abs(uy)) AND abs(qx) <= l * abs(ux) + h * abs(uy) + 0.5 AND abs(qy) <= l * abs(uy) + h * abs(ux) + 0.5)
+  OR (nx IS NOT NULL AND gx * gx + gy * gy <= h * h AND gx * ux + gy * uy >= 0 AND gx * nx + gy * ny <= 0) GROUP BY 1, 2"""))
+def gen8_bends(spark: SparkSession, d: str) -> DataFrame:
+    """Roads with bends, rounded outside them."""
+    w = bent(spark, d).withColumns({"width_m": F.lit(1.2602), "layer": F.col("way_id") % 5})
+    return T.rasterize_roads(w, 64, 64).select("ix", "iy", "layer")
 
 
 @query("gen9_apply_regions", duckdb("v_landcover", then=f"SELECT ix, iy, CASE WHEN {_DIAMOND.format(x='(ix + 0.5)', y='(iy + 0.5)')} AND class IN (10, 30) THEN 'park' WHEN sqrt((ix + 0.5 - 10) ** 2 + (iy + 0.5 - 10) ** 2) <= 8.01 THEN 'pond' WHEN ix + 0.5 BETWEEN 5 AND 40 AND iy + 0.5 BETWEEN 5 AND 12 THEN 'field' END AS region FROM v_landcover"))
@@ -136,7 +149,7 @@ def gen10(spark: SparkSession, d: str) -> DataFrame:
     return M.diversify(r, [10, 30], lib, base, BANDS, 3, 11, 20.0)[0].select("pixel_id", "class", "idx")
 
 
-_BOX = "b AS (SELECT cx - radius / 8 AS xmin, cy - radius / 8 AS ymin, cx + radius / 8 AS xmax, cy + radius / 8 AS ymax FROM v_zones WHERE zone_id % 10 = 0)"
+_BOX = "b AS (SELECT cx - radius / 8 AS xmin, cy - radius / 8 AS ymin, cx + radius / 8 AS xmax, cy + radius / 8 AS ymax FROM v_zones)"
 
 
 _CELLS = f"""WITH {_BOX}, c AS (SELECT l, i, j, 64.0 / (1 << l) AS e FROM range(6) a(l), range(32) p(i), range(32) q(j) WHERE i < (1 << l) AND j < (1 << l)),
@@ -144,21 +157,16 @@ h AS (SELECT l, i, j, EXISTS (SELECT 1 FROM b WHERE i * e <= xmax AND xmin <= (i
 SELECT h.l AS level, h.i, h.j FROM h LEFT JOIN h p ON p.l = h.l - 1 AND p.i = h.i // 2 AND p.j = h.j // 2 WHERE coalesce(p.hit, true) AND (h.l = 5 OR NOT h.hit)"""
 
 
-def refined(spark: SparkSession, d: str, rows: str = "true") -> DataFrame:
+def refined(spark: SparkSession, d: str) -> DataFrame:
+    """Cells about every zone."""
     r = F.col("radius") / 8
-    zones = view(spark, d, "v_zones").where(rows).select((F.col("cx") - r).alias("xmin"), (F.col("cy") - r).alias("ymin"), (F.col("cx") + r).alias("xmax"), (F.col("cy") + r).alias("ymax"))
+    zones = view(spark, d, "v_zones").select((F.col("cx") - r).alias("xmin"), (F.col("cy") - r).alias("ymin"), (F.col("cx") + r).alias("xmax"), (F.col("cy") + r).alias("ymax"))
     root = spark.createDataFrame([(0, 0, 0)], "level long, i long, j long")
     return T.refine_cells(root, T.meeting_zones(64.0, zones, 4.0), 5)
 
 
 @query("gen11_refine_cells", duckdb("v_zones", then=_CELLS))
 def gen11(spark: SparkSession, d: str) -> DataFrame:
-    return refined(spark, d, "zone_id % 10 = 0").select("level", "i", "j")
-
-
-@query("gen11_refine_cells_whole", duckdb("v_zones", then=_CELLS.replace(" WHERE zone_id % 10 = 0", "")))
-def gen11_whole(spark: SparkSession, d: str) -> DataFrame:
-    """Cells about every zone."""
     return refined(spark, d).select("level", "i", "j")
 
 
@@ -178,7 +186,7 @@ def gen13(spark: SparkSession, d: str) -> DataFrame:
     return V.vegetation(pixels, dem_at(spark, d), dense, zones, segments, 1.0, 0.3, 5, [("a.xml", 1.0), ("b.xml", 1.0)], {k: SPILL for _, k, _ in SPECIES}, 1.5).select("pid", "species", "asset", "x", "y", "z", "rotation", "scale")
 
 
-_OPS = """r AS (SELECT way_id AS pos, x1, y1, x2, y2, 100.0 + way_id % 50 AS z1, 120.0 - way_id % 30 AS z2 FROM v_ways WHERE way_id % 9 = 0),
+_OPS = """r AS (SELECT way_id AS pos, x1, y1, x2, y2, 100.0 + way_id % 50 AS z1, 120.0 - way_id % 30 AS z2 FROM v_ways),
 p AS (SELECT pid, x, y, elevation AS z FROM v_points JOIN v_dem ON ix = floor(x) AND iy = floor(y)),
 t AS (SELECT *, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / ((x2 - x1) ** 2 + (y2 - y1) ** 2) AS t FROM p, r),
 u AS (SELECT *, sqrt((x - x1 - t * (x2 - x1)) ** 2 + (y - y1 - t * (y2 - y1)) ** 2) AS dist FROM t WHERE t BETWEEN 0 AND 1),
@@ -189,18 +197,33 @@ _FLAT = f"""WITH {_OPS} SELECT pid, round(CASE WHEN ops IS NULL THEN z ELSE list
 
 
 @query("prj25_flatten_under_roads", duckdb("v_points", "v_ways", "v_dem", then=_FLAT))
-def prj25(spark: SparkSession, d: str, rows: str = "way_id % 9 = 0") -> DataFrame:
+def prj25(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("way_id")
-    roads = view(spark, d, "v_ways").where(rows).select(k.alias("pos"), "x1", "y1", "x2", "y2", (100.0 + k % 50).alias("z1"), (120.0 - k % 30).alias("z2"))
+    roads = view(spark, d, "v_ways").select(k.alias("pos"), "x1", "y1", "x2", "y2", (100.0 + k % 50).alias("z1"), (120.0 - k % 30).alias("z2"))
+    return flattened(spark, d, roads)
+
+
+def flattened(spark: SparkSession, d: str, roads: DataFrame) -> DataFrame:
     pts = view(spark, d, "v_points").withColumns({"ix": F.floor("x"), "iy": F.floor("y")}).join(dem_at(spark, d), ["ix", "iy"]).select("pid", "x", "y", F.col("elevation").alias("z"))
     out = T.flatten_under_roads(pts, roads, F.lit(0.2501), 0.5, F.col("z1") + F.col("t") * (F.col("z2") - F.col("z1")), 2.0)
     return out.select("pid", *r6(z=F.col("z")))
 
 
-@query("prj25_flatten_under_roads_whole", duckdb("v_points", "v_ways", "v_dem", then=_FLAT.replace(" WHERE way_id % 9 = 0", "")))
-def prj25_whole(spark: SparkSession, d: str) -> DataFrame:
-    """Under every road."""
-    return prj25(spark, d, "true")
+_BENT_OPS = f"""{_TURNS}, r AS (SELECT *, 100.0 + (way_id + 7 * seg) % 50 AS z1, 100.0 + (way_id + 7 * seg + 7) % 50 AS z2 FROM b),
+p AS (SELECT pid, x, y, elevation AS z FROM v_points JOIN v_dem ON ix = floor(x) AND iy = floor(y)),
+t AS (SELECT *, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / (n * n) AS t FROM p JOIN r ON x BETWEEN least(x1, x2) - 1 AND greatest(x1, x2) + 1 AND y BETWEEN least(y1, y2) - 1 AND greatest(y1, y2) + 1),
+u AS (SELECT *, greatest(0, least(1, t)) AS c, (t BETWEEN 0 AND 1) OR coalesce(t >= 1 AND (x - x2) * nx + (y - y2) * ny <= 0, false) AS held FROM t),
+v AS (SELECT *, sqrt((x - x1 - c * (x2 - x1)) ** 2 + (y - y1 - c * (y2 - y1)) ** 2) AS dist FROM u),
+m AS (SELECT pid, way_id AS pos, min(dist) AS dist, arg_min(z1 + c * (z2 - z1), dist) AS z, bool_or(held) AS held FROM v WHERE dist <= 0.7501 GROUP BY 1, 2),
+o AS (SELECT pid, list({{'a': CASE WHEN dist <= 0.2501 THEN 1.0 ELSE 1 - (dist - 0.2501) / 0.5 END, 'z': z}} ORDER BY pos) AS ops FROM m WHERE held GROUP BY pid)"""
+
+
+@query("prj25_flatten_under_roads_bends", duckdb("v_points", "v_bends", "v_dem", then=_FLAT.replace(_OPS, _BENT_OPS)))
+def prj25_bends(spark: SparkSession, d: str) -> DataFrame:
+    """Under roads with bends: each road blends a point once, from the nearest place of its whole centreline."""
+    k = F.col("way_id") + 7 * F.col("seg")
+    roads = bent(spark, d).withColumns({"pos": F.col("way_id"), "z1": 100.0 + k % 50, "z2": 100.0 + (k + 7) % 50})
+    return flattened(spark, d, roads)
 
 
 # sources and sinks: what is written is read again

@@ -10,7 +10,9 @@ from terraloom.operators import geometry as G
 from terraloom.operators import joins as J
 from terraloom.operators import sampling as SM
 from terraloom.operators import spectra as X
+from terraloom.operators.roads import with_next
 from terraloom.plans.q_filters import _BILINEAR, _CORNERS, DIAMOND, boxes, dem_at, r6
+from terraloom.plans.q_functions import _FORWARD, _HOTINE, CENTRE
 from terraloom.plans.registry import query
 from terraloom.plans.views import duckdb, table, view
 
@@ -73,6 +75,32 @@ def jon4(spark: SparkSession, d: str) -> DataFrame:
     return J.exclude_roads(view(spark, d, "v_points"), w, 0.0513, 2.0).select("pid")
 
 
+_WEDGE = "nx IS NOT NULL AND (px - x2) * (x2 - x1) + (py - y2) * (y2 - y1) >= 0 AND (px - x2) * nx + (py - y2) * ny <= 0 AND sqrt((px - x2) ** 2 + (py - y2) ** 2) <= 0.3613"
+
+
+@query("jon4_exclude_roads_bends", duckdb("v_points", "v_bends", then=f"""WITH b AS (SELECT *, lead(x2 - x1) OVER w AS nx, lead(y2 - y1) OVER w AS ny FROM v_bends WINDOW w AS (PARTITION BY way_id ORDER BY seg))
+SELECT pid FROM (SELECT pid, x AS px, y AS py FROM v_points) WHERE NOT EXISTS (SELECT 1 FROM b WHERE
+ sqrt(greatest(0, -{_T} * {_LEN}, ({_T} - 1) * {_LEN}) ** 2 + greatest(0, abs((px - x1) * (y2 - y1) - (py - y1) * (x2 - x1)) / {_LEN} - 0.3601) ** 2) <= 0.0012 OR ({_WEDGE}))"""))
+def jon4_bends(spark: SparkSession, d: str) -> DataFrame:
+    """Off roads with bends, which are rounded outside them."""
+    w = with_next(view(spark, d, "v_bends"), "way_id").withColumn("width_m", F.lit(0.7202))
+    return J.exclude_roads(view(spark, d, "v_points"), w, 0.0012, 2.0).select("pid")
+
+
+@query("jon3_exclude_zones_geographic", duckdb("v_points", "v_zones", then=f"""WITH p AS (SELECT zone_id AS pid, 44.9 + cy / 320.0 AS lat, 7.9 + cx / 320.0 AS lon FROM v_zones), {_HOTINE}, {_FORWARD},
+z AS (SELECT zone_id, x AS zx, y AS zy, radius * 250 + 0.137 AS r FROM v_zones JOIN g ON pid = zone_id)
+SELECT pid FROM (SELECT pid, x * 250 - 8000 AS px, y * 250 - 8000 AS py FROM v_points) WHERE NOT EXISTS (SELECT 1 FROM z WHERE CASE WHEN zone_id % 3 = 0 THEN abs(px - zx) <= r AND abs(py - zy) <= r / 2 ELSE (px - zx) ** 2 + (py - zy) ** 2 <= r * r END)"""))
+def jon3_geographic(spark: SparkSession, d: str) -> DataFrame:
+    """Zones given by longitude and latitude."""
+    k, r = F.col("zone_id"), F.col("radius") * 250 + 0.137
+    z = view(spark, d, "v_zones").select(
+        F.when(k % 3 == 0, "box").otherwise("circle").alias("kind"), F.lit("geographic").alias("coord_type"), (7.9 + F.col("cx") / 320.0).alias("cx"), (44.9 + F.col("cy") / 320.0).alias("cy"),
+        r.alias("r"), (r * 2).alias("w"), r.alias("h"), F.lit(None).cast("array<struct<x:double,y:double>>").alias("ring"),
+    )
+    points = view(spark, d, "v_points").withColumns({"x": F.col("x") * 250 - 8000, "y": F.col("y") * 250 - 8000})
+    return J.exclude_zones(points, J.zones_in_scene(z, P.SceneProjection(*CENTRE)), 500.0).select("pid")
+
+
 _SPECIES = "m(class, species) AS (VALUES (10, 'oak'), (10, 'pine'), (30, 'grass'), (20, 'juniper'), (20, 'oak'))"
 
 
@@ -139,24 +167,19 @@ def jon9(spark: SparkSession, d: str) -> DataFrame:
     return J.nearest_by(obs, series, "t", "value", ["user_id"], "nearest").select("event_id", "nearest")
 
 
-_NEAREST = """WITH a AS (SELECT DISTINCT ix FROM v_dem WHERE ix % 4 = 0), b AS (SELECT DISTINCT iy FROM v_dem WHERE iy % 4 = 0),
+_NEAREST = """WITH a AS (SELECT DISTINCT ix FROM v_dem), b AS (SELECT DISTINCT iy FROM v_dem),
 p AS (SELECT pid, (SELECT arg_min(ix, (abs(ix - x), ix)) FROM a) AS cx, (SELECT arg_min(iy, (abs(iy - y), iy)) FROM b) AS cy FROM v_points) SELECT pid, cx, cy, elevation FROM p JOIN v_dem ON ix = cx AND iy = cy"""
 
 
 @query("jon10_nearest_cell", duckdb("v_points", "v_dem", then=_NEAREST))
-def jon10(spark: SparkSession, d: str, rows: str = "ix % 4 = 0 and iy % 4 = 0") -> DataFrame:
-    p, grid = view(spark, d, "v_points").select("pid", "x", "y"), dem_at(spark, d).where(rows)
+def jon10(spark: SparkSession, d: str) -> DataFrame:
+    """Over every cell of the grid."""
+    p, grid = view(spark, d, "v_points").select("pid", "x", "y"), dem_at(spark, d)
     near = p.join(J.nearest_axis(p, grid, "x", "ix"), "x").join(J.nearest_axis(p, grid, "y", "iy"), "y")
     g = grid.select(F.col("ix").alias("x_cell"), F.col("iy").alias("y_cell"), "elevation")
     return near.join(g, ["x_cell", "y_cell"]).select("pid", F.col("x_cell").alias("cx"), F.col("y_cell").alias("cy"), "elevation")
 
 
-@query("jon10_nearest_cell_whole", duckdb("v_points", "v_dem", then=_NEAREST.replace(" WHERE ix % 4 = 0", "").replace(" WHERE iy % 4 = 0", "")))
-def jon10_whole(spark: SparkSession, d: str) -> DataFrame:
-    """Over every cell of the grid."""
-    return jon10(spark, d, "true")
-
-
 @query("jon10_nearest_cell_month", duckdb("v_points", "v_dem", then="""WITH a AS (SELECT DISTINCT ix FROM v_dem), b AS (SELECT DISTINCT iy FROM v_dem),
 p AS (SELECT pid, month(ts) AS m, (SELECT arg_min(ix, (abs(ix - x), ix)) FROM a) AS cx, (SELECT arg_min(iy, (abs(iy - y), iy)) FROM b) AS cy FROM v_points JOIN events ON event_id = pid) SELECT pid, cx, cy, m AS month, round(elevation + m, 6) AS elevation FROM p LEFT JOIN v_dem ON ix = cx AND iy = cy"""))
 def jon10_month(spark: SparkSession, d: str) -> DataFrame:

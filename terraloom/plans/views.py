@@ -32,6 +32,9 @@ SELECT CAST(p_partkey % 20 AS BIGINT) AS material_id, 400 + 10 * CAST(floor(p_pa
 """,
     "v_ways": """
 SELECT c_custkey AS way_id, CASE c_mktsegment WHEN 'BUILDING' THEN 'residential' WHEN 'AUTOMOBILE' THEN 'motorway' WHEN 'MACHINERY' THEN 'track' WHEN 'HOUSEHOLD' THEN 'service' ELSE 'unknown_type' END AS highway, CASE CAST(c_custkey % 5 AS INT) WHEN 0 THEN '5.5' WHEN 1 THEN '5 m' WHEN 2 THEN 'wide' WHEN 3 THEN '' ELSE NULL END AS width, CASE CAST(c_custkey % 4 AS INT) WHEN 0 THEN '2' WHEN 1 THEN 'abc' ELSE NULL END AS lanes, CASE CAST(c_custkey % 6 AS INT) WHEN 0 THEN 'gravel' WHEN 1 THEN 'dirt' WHEN 2 THEN 'moonrock' ELSE NULL END AS surface, CASE WHEN c_custkey % 3 = 0 THEN 'yes' ELSE NULL END AS oneway, CAST((c_custkey * 613) % 6400 AS DOUBLE) / 100 AS x1, CAST((c_custkey * 977) % 6400 AS DOUBLE) / 100 AS y1, CAST((c_custkey * 613) % 6400 AS DOUBLE) / 100 + 8 AS x2, CAST((c_custkey * 977) % 6400 AS DOUBLE) / 100 + CAST(c_custkey % 7 AS DOUBLE) AS y2 FROM customer
+""",
+    "v_bends": """
+SELECT way_id, CAST(seg AS BIGINT) AS seg, CASE seg WHEN 0 THEN x WHEN 1 THEN x + 5 ELSE x + 3 END AS x1, CASE seg WHEN 0 THEN y WHEN 1 THEN y + k ELSE y + k + 4 END AS y1, CASE seg WHEN 0 THEN x + 5 WHEN 1 THEN x + 3 ELSE x + 8 END AS x2, CASE seg WHEN 0 THEN y + k WHEN 1 THEN y + k + 4 ELSE y + k + 5 END AS y2 FROM (SELECT c_custkey AS way_id, CAST((c_custkey * 613) % 5600 AS DOUBLE) / 100 AS x, CAST((c_custkey * 977) % 5200 AS DOUBLE) / 100 AS y, CAST(c_custkey % 7 AS DOUBLE) / 2 AS k FROM customer) w CROSS JOIN (SELECT 0 AS seg UNION ALL SELECT 1 UNION ALL SELECT 2) s
 """,
     "v_zones": """
 SELECT s_suppkey AS zone_id, CAST((s_suppkey * 1301) % 6400 AS DOUBLE) / 100 AS cx, CAST((s_suppkey * 2477) % 6400 AS DOUBLE) / 100 AS cy, CAST(s_suppkey % 5 + 1 AS DOUBLE) / 4 AS radius FROM supplier
