@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terraloom.session import cut, discard
+
+BINS = 1024  # ranges that one round of a selection tells apart
+
 
 def zscore(df: DataFrame, bands: list[str]) -> DataFrame:
     """Bands as standard scores with the population deviation; a deviation of 0 counts as 1."""
@@ -40,11 +45,43 @@ def histogram(df: DataFrame, value: str, low: float, high: float, bins: int = 50
     return df.where(F.col(value).between(low, high)).groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
 
 
+def exact_quantile(df: DataFrame, by: list[str], value: str, q: float, out: str = "quantile") -> DataFrame:
+    """Linear quantile of each group (finite values, nulls left out), exactly, with no task that holds a group.
+
+    A selection in rounds: each counts the values between two bounds in BINS ranges of equal width, and goes down into the range that holds the two
+    wanted ranks, or ends where they fall in different ranges or on one value. Only counts leave the tasks: some log of the number of
+    different values to the base BINS rounds, and only the question whether all groups are done reaches the driver. Groups may be null.
+    """
+    keys, names = [f"_g{i}" for i in range(len(by))], [f"_k{i}" for i in range(len(by))]
+    same = reduce(lambda x, y: x & y, (F.col(g).eqNullSafe(F.col(k)) for g, k in zip(keys, names, strict=True)), F.lit(True))
+    rows = df.where(F.col(value).isNotNull()).select(*(F.col(c).alias(g) for c, g in zip(by, keys, strict=True)), F.col(value).cast("double").alias("_v"))
+    ends = rows.groupBy(*(F.col(g).alias(k) for g, k in zip(keys, names, strict=True))).agg(F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    place = (F.col("_n") - 1) * q
+    known = F.when(F.col("_low") == F.col("_high"), F.col("_low"))
+    ends = ends.withColumns({"_rank": F.floor(place), "_next": F.least(F.floor(place) + 1, F.col("_n") - 1), "_share": place - F.floor(place), "_below": F.lit(0).cast("long"), "_a": known, "_b": known})
+    state = cut(ends, "quantile")
+    while not state.where("_a is null").isEmpty():
+        near = rows.join(state.where("_a is null"), same).where("_v between _low and _high")
+        at = F.least(F.floor((F.col("_v") - F.col("_low")) / ((F.col("_high") - F.col("_low")) / BINS)), F.lit(BINS - 1))
+        bins = near.groupBy(*keys, "_rank", "_next", "_below", at.alias("_bin")).agg(F.count("*").alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+        upto = F.col("_below") + F.sum("_c").over(Window.partitionBy(*keys).orderBy("_bin"))  # BINS rows a group
+        bins = bins.withColumns({"_to": upto, "_from": upto - F.col("_c")}).where("(_rank >= _from and _rank < _to) or (_next >= _from and _next < _to)")
+        found = bins.groupBy(*keys).agg(F.min(F.struct("_from", "_min", "_max")).alias("_f"), F.max(F.struct("_from", "_min", "_max")).alias("_l"))
+        apart = F.col("_f._from") != F.col("_l._from")  # then the ranks are the last of one range and the first of the next
+        done = apart | (F.col("_f._min") == F.col("_f._max"))
+        found = found.select(*keys, F.struct(F.col("_f._from").alias("_below"), F.col("_f._min").alias("_low"), F.col("_f._max").alias("_high"), F.when(done, F.col("_f._max")).alias("_a"), F.when(done, F.col("_l._min")).alias("_b")).alias("_new"))
+        before = state
+        moved = state.join(found, same, "left")
+        state = cut(moved.select(*names, "_n", "_rank", "_next", "_share", *(F.when(F.col("_new").isNull(), F.col(c)).otherwise(F.col(f"_new.{c}")).alias(c) for c in ("_below", "_low", "_high", "_a", "_b"))), "quantile")
+        discard(before)
+    return state.select(*(F.col(k).alias(c) for c, k in zip(by, names, strict=True)), (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_share")).alias(out))
+
+
 def display_limit(df: DataFrame, by: list[str], size: int, value: str = "radiance", q: float = 0.99) -> DataFrame:
     """Quantile (linear) of the inner pixels without the first wavelength; nulls count as 0."""
     first = df.agg(F.min("w").alias("_w0"))
     inner = df.join(F.broadcast(first)).where((F.col("w") > F.col("_w0")) & F.col("x_index").between(1, size - 2) & F.col("y_index").between(1, size - 2))
-    return inner.groupBy(*by).agg(F.percentile(F.coalesce(value, F.lit(0.0)), q).alias("limit"))
+    return exact_quantile(inner.withColumn(value, F.coalesce(value, F.lit(0.0))), by, value, q, "limit")
 
 
 def class_histogram(df: DataFrame, cover: str = "class") -> DataFrame:
@@ -80,20 +117,27 @@ def error_level(dem: DataFrame, k: int, nx: int, ny: int, value: str = "elevatio
 
 
 def error_pyramid(dem: DataFrame, depth: int, nx: int, ny: int, value: str = "elevation") -> DataFrame:
-    """(level, i, j, error) for levels 0 to depth with blocks of 2^(depth - level); parents are at least their worst child."""
-    levels: list[DataFrame] = []
-    below = None
-    for level in range(depth, -1, -1):
-        own = error_level(dem, 1 << (depth - level), nx, ny, value)
-        if below is not None:
-            up = below.groupBy(F.floor(F.col("i") / 2).alias("i"), F.floor(F.col("j") / 2).alias("j")).agg(F.max("error").alias("_child"))
-            own = own.join(up, ["i", "j"], "left").select("i", "j", F.greatest("error", F.coalesce("_child", F.lit(0.0))).alias("error"))
-        below = own
-        levels.append(own.select(F.lit(level).cast("long").alias("level"), "i", "j", "error"))
-    out = levels[0]
-    for part in levels[1:]:
-        out = out.unionByName(part)
-    return out
+    """(level, i, j, error) for levels 0 to depth with blocks of 2^(depth - level); parents are at least their worst child.
+
+    One pass sums the planes of all levels, one takes the residuals of all levels, and one aggregate carries each error to all blocks above it.
+    """
+    sizes = F.array(*(F.struct(F.lit(depth - e).cast("long").alias("level"), F.lit(1 << e).cast("long").alias("k")) for e in range(depth + 1)))
+    whole = lambda n: F.floor(F.lit(n) / F.col("k")) * F.col("k")
+    at = lambda c: F.floor(F.col(c) / F.col("k"))
+    each = dem.select("ix", "iy", F.col(value).cast("double").alias("_z"), F.explode(sizes).alias("_s")).select("ix", "iy", "_z", "_s.*")
+    each = each.where((F.col("ix") < whole(nx)) & (F.col("iy") < whole(ny))).withColumns({"i": at("ix"), "j": at("iy")})
+    mid = (F.col("k") - 1) / 2
+    each = each.select("level", "k", "i", "j", "_z", (F.col("ix") - F.col("i") * F.col("k") - mid).alias("_u"), (F.col("iy") - F.col("j") * F.col("k") - mid).alias("_v"))
+    spread = F.col("k") * F.col("k") * (F.col("k") * F.col("k") - 1) / 12.0
+    fits = each.where("k > 1").groupBy("level", "k", "i", "j").agg(F.avg("_z").alias("_c"), F.sum(F.col("_u") * F.col("_z")).alias("_su"), F.sum(F.col("_v") * F.col("_z")).alias("_sv"))
+    fits = fits.select("level", "i", "j", "_c", (F.col("_su") / spread).alias("_a"), (F.col("_sv") / spread).alias("_b"))
+    far = F.abs(F.col("_z") - F.col("_c") - F.col("_a") * F.col("_u") - F.col("_b") * F.col("_v"))
+    own = each.join(fits, ["level", "i", "j"], "left").groupBy("level", "i", "j").agg(F.coalesce(F.max(far), F.lit(0.0)).alias("error"))  # the finest have no plane
+    up = own.withColumn("_up", F.explode(F.sequence(F.lit(0).cast("long"), "level")))
+    shift = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("_up")))
+    carried = up.select((F.col("level") - F.col("_up")).alias("level"), shift("i").alias("i"), shift("j").alias("j"), "error", (F.col("_up") == 0).alias("_own"))
+    # a ragged block that is no block of its level takes no error from below
+    return carried.groupBy("level", "i", "j").agg(F.max("error").alias("error"), F.max("_own").alias("_own")).where("_own").drop("_own")
 
 
 def layer_height(layers: DataFrame, by: str, share: float = 0.92, fallback: float = 2000.0) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from terraloom.operators.geometry import along_segment, bounds_overlap, in_polygon, outside, ring_bounds, rings_cross, segment_distance
 from terraloom.operators.roads import in_joint, next_of
-from terraloom.operators.sampling import in_brackets
+from terraloom.operators.sampling import in_brackets, in_ranges
 
 
 def select_tiles(index: DataFrame, aoi: Column, ring: str = "ring", must_hit: bool = False) -> DataFrame:
@@ -115,15 +115,22 @@ def species_for_pixels(pixels: DataFrame, mapping: DataFrame) -> DataFrame:
 def nearest_by(left: DataFrame, right: DataFrame, at: str, value: str, by: list[str] | None = None, out: str = "value") -> DataFrame:
     """Left rows with the right value nearest along ``at`` (the earlier on ties), null right values left out: an as-of join both ways.
 
-    Without ``by`` the order is total and one task sorts all: give the key along which series are kept.
+    With ``by`` each series is the rows of one window. Without it the rows are sorted over ranges, and what is known at the end of one range is carried
+    into the next, a row a range.
     """
     by = by or []
     l = left.withColumn("_row", F.struct(*left.columns)).select(*by, F.col(at).alias("_at"), "_row", F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.lit(1).alias("_k"))
     r = right.where(F.col(value).isNotNull()).select(*by, F.col(at).alias("_at"), F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), F.col(value).alias("_v"), F.lit(0).alias("_k"))
-    w = Window.partitionBy(*by).orderBy("_at", "_k")
     found = F.when(F.col("_v").isNotNull(), F.struct(F.col("_at").alias("t"), F.col("_v").alias("v")))
-    both = l.unionByName(r).withColumn("_p", F.last(found, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    both = both.withColumn("_n", F.first(found, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    both = l.unionByName(r).withColumn("_f", found)
+    w = Window.partitionBy(*by).orderBy("_at", "_k")
+    if not by:
+        both, carry = in_ranges(both, ["_at", "_k"], F.last("_f", ignorenulls=True), F.first("_f", ignorenulls=True))
+        w = Window.partitionBy("_part").orderBy("_line")
+    both = both.withColumn("_p", F.last("_f", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    both = both.withColumn("_n", F.first("_f", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    if not by:
+        both = both.join(carry, "_part").withColumns({"_p": F.coalesce("_p", "_before"), "_n": F.coalesce("_n", "_after")})
     gap = lambda c: F.abs(F.col(c)["t"].cast("double") - F.col("_at").cast("double"))
     best = F.when(F.col("_n").isNull() | (gap("_p") <= gap("_n")), F.col("_p")["v"]).otherwise(F.col("_n")["v"])
     return both.where("_k = 1").select("_row.*", best.alias(out))
@@ -177,6 +184,35 @@ def check_references(rows: DataFrame, known: DataFrame, id_col: str, ref_col: st
     return twice.unionByName(lost)
 
 
+#: (measurement types, reference column, what it must be, type it must have there): sensors with a field of view are cameras.
+REFERENCES: tuple[tuple[tuple[str, ...], str, str, str | None], ...] = (
+    (("hdrf", "hcrf", "brf"), "radiance_sensor_id", "sensor", None),
+    (("hcrf",), "radiance_sensor_id", "sensor", "camera"),
+    (("pixel_brf", "pixel_hdrf"), "satellite_sensor_id", "sensor", "satellite"),
+    (("hdrf", "hcrf", "brf", "bhr"), "irradiance_measurement_id", "measurement", "irradiance"),
+)
+
+
+def check_simulation(sensors: DataFrame, measurements: DataFrame) -> DataFrame:
+    """Violations (id, rule, reference) of a simulation's ids and references.
+
+    sensors: (id, type, fov or null); measurements: (id, type, radiance_sensor_id, satellite_sensor_id, irradiance_measurement_id). Ids come once; a reference
+    that is given must be there, of the type that REFERENCES asks; the satellite sensor of a pixel measurement must be given. The references of all columns
+    are rows of one table, joined once with the known ids.
+    """
+    twice = lambda rows, what: rows.where("id is not null").groupBy("id").count().where("count > 1").select("id", F.lit(f"duplicate {what}").alias("rule"), F.lit(None).cast("string").alias("reference"))
+    must = F.array(*(F.struct(F.array(*map(F.lit, types)).alias("types"), F.lit(column).alias("column"), F.col(column).cast("string").alias("to"), F.lit(what).alias("what"), F.lit(kind).cast("string").alias("kind")) for types, column, what, kind in REFERENCES))
+    asked = measurements.select("id", "type", F.explode(F.filter(must, lambda r: F.array_contains(r["types"], F.col("type")))).alias("r")).select("id", "r.column", "r.to", "r.what", "r.kind")
+    missing = asked.where("to is null and column = 'satellite_sensor_id'").select("id", F.lit("no sensor given").alias("rule"), F.lit(None).cast("string").alias("reference"))
+    is_a = F.when(F.col("fov").isNotNull(), F.array("type", F.lit("camera"))).otherwise(F.array("type"))
+    known = sensors.select(F.lit("sensor").alias("what"), F.col("id").cast("string").alias("to"), is_a.alias("is_a")).unionByName(measurements.select(F.lit("measurement").alias("what"), F.col("id").cast("string").alias("to"), F.array("type").alias("is_a")))
+    known = known.groupBy("what", "to").agg(F.array_distinct(F.flatten(F.collect_list("is_a"))).alias("is_a"))
+    found = asked.where("to is not null").join(known, ["what", "to"], "left")
+    rule = F.when(F.col("is_a").isNull(), F.concat(F.lit("unknown "), "what")).when(F.col("kind").isNotNull() & ~F.array_contains("is_a", F.col("kind")), F.concat("what", F.lit(" is no "), "kind"))
+    dangling = found.select("id", rule.alias("rule"), F.col("to").alias("reference")).where("rule is not null").distinct()
+    return twice(sensors, "sensor").unionByName(twice(measurements, "measurement")).unionByName(missing).unionByName(dangling)
+
+
 def merge_libraries(*libraries: DataFrame, key: str = "material_id") -> DataFrame:
     """Union of material tables; where ids clash the later library wins."""
     union = None

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraloom.functions.projection import SceneProjection, utm_forward
+from terraloom.session import cut
 
 
 def corner_table(grid: DataFrame, value: str = "elevation") -> DataFrame:
@@ -82,18 +83,41 @@ def upsample_nearest(grid: DataFrame, scale: int) -> DataFrame:
     return split.withColumn("ix", F.col("ix") * scale + F.col("_a")).withColumn("iy", F.col("iy") * scale + F.col("_b")).drop("_a", "_b")
 
 
+def in_ranges(rows: DataFrame, order: list[str], last: Column, first: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows sorted over ranges, with ``_part`` (the range) and ``_line`` (ascends over all), and a row a range with what its neighbours hold.
+
+    That row has ``_before``, the last known ``last`` of the ranges before, and ``_after``, the next known ``first`` of those after; both
+    aggregates of a range in order. So an order without a key needs no task that sees all rows. The rows are written once.
+    """
+    line = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_line", F.monotonically_increasing_id())
+    line = cut(line.withColumn("_part", F.shiftright("_line", 33)), "ranges")
+    own = Window.partitionBy("_part").orderBy("_line")
+    whole = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = line.withColumns({"_last": last.over(whole), "_first": first.over(whole)}).groupBy("_part").agg(F.first("_last").alias("_last"), F.first("_first").alias("_first"))
+    over = Window.orderBy("_part")  # a row a range
+    before = F.last("_last", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.first("_first", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing))
+    return line, ends.select("_part", before.alias("_before"), after.alias("_after"))
+
+
 def brackets(profile: DataFrame, at: str, value: str, by: list[str] | None = None) -> DataFrame:
-    """Neighbouring rows of a profile side by side: (lo, hi, vlo, vhi), one for each interval of each group."""
-    w = Window.partitionBy(*(by or [])).orderBy(at)
-    nxt = profile.select(*(by or []), F.col(at).alias("lo"), F.col(value).alias("vlo"), F.lead(at).over(w).alias("hi"), F.lead(value).over(w).alias("vhi"))
-    return nxt.where("hi is not null")
+    """Neighbouring rows of a profile side by side: (lo, hi, vlo, vhi), one for each interval of each group; without groups over ranges of all rows."""
+    if by:
+        w = Window.partitionBy(*by).orderBy(at)
+        nxt = profile.select(*by, F.col(at).alias("lo"), F.col(value).alias("vlo"), F.lead(at).over(w).alias("hi"), F.lead(value).over(w).alias("vhi"))
+        return nxt.where("hi is not null")
+    here = F.struct(F.col(at).alias("at"), F.col(value).alias("v"))
+    line, carry = in_ranges(profile.select(at, value), [at], F.last(here), F.first(here))
+    nxt = line.withColumn("_next", F.lead(here).over(Window.partitionBy("_part").orderBy("_line"))).join(carry, "_part")
+    nxt = nxt.withColumn("_next", F.coalesce("_next", "_after")).where("_next is not null")
+    return nxt.select(F.col(at).alias("lo"), F.col(value).alias("vlo"), F.col("_next.at").alias("hi"), F.col("_next.v").alias("vhi"))
 
 
 def in_brackets(rows: DataFrame, profile: DataFrame, x: Column, at: str, value: str) -> DataFrame:
     """Rows with ``_x`` (``x`` held within the profile), its ``_first`` and ``_last`` row, and the interval about it: lo, hi, vlo, vhi.
 
     An equi join on bins as wide as the mean interval: an interval stands in each bin that it touches, some two a level,
-    and a row looks into one. The profile is put in order in one task, a row a level.
+    and a row looks into one.
     """
     ends = profile.agg(F.min(F.struct(at, value)).alias("_first"), F.max(F.struct(at, value)).alias("_last"), F.count("*").alias("_levels"))
     ends = F.broadcast(ends.withColumn("_step", (F.col(f"_last.{at}") - F.col(f"_first.{at}")).cast("double") / F.greatest("_levels", F.lit(1))))  # one row

@@ -13,7 +13,7 @@ def to_nanometres(spectra: DataFrame, key: str = "material_id", w: str = "w") ->
 
 
 def align_wavelengths(radiance: DataFrame, reference: DataFrame, by: str, value: str, fill: float | None = None, w: str = "w") -> DataFrame:
-    """Distinct (by, w) of the radiance with the reference interpolated there; out of range the fill, or null, which callers report.
+    """Distinct (by, w) of the radiance with the reference interpolated there; out of its range the fill. Without one such a row fails the query.
 
     An as-of join both ways over each series: the neighbours of a wavelength come from one ordered window.
     """
@@ -26,7 +26,8 @@ def align_wavelengths(radiance: DataFrame, reference: DataFrame, by: str, value:
     lo, hi = F.col("_lo"), F.col("_hi")
     line = lo["v"] + (F.col(w) - lo["w"]) * F.coalesce(F.try_divide(hi["v"] - lo["v"], hi["w"] - lo["w"]), F.lit(0.0))
     inside = lo.isNotNull() & hi.isNotNull()
-    return both.where("_want").select(by, w, F.when(inside, line).otherwise(F.lit(fill).cast("double")).alias(value))
+    lost = F.raise_error(F.concat(F.lit("outside the reference of "), F.coalesce(F.col(by).cast("string"), F.lit("null")), F.lit(": wavelength "), F.col(w).cast("string"))).cast("double")
+    return both.where("_want").select(by, w, F.when(inside, line).otherwise(lost if fill is None else F.lit(fill).cast("double")).alias(value))
 
 
 #: Centres in nanometres of the four 10 m bands.
@@ -116,3 +117,37 @@ def check_spectra(spectra: DataFrame) -> DataFrame:
     rows = s.select("material_id", F.explode(rules).alias("rule"))
     short = spectra.groupBy("material_id").count().where("count < 2").select("material_id", F.lit("fewer than two points").alias("rule"))
     return rows.unionByName(short).distinct()
+
+
+#: Parameters whose values lie in 0..1.
+UNIT = ("reflectance", "transmittance", "rho_0", "rho_c")
+#: (rule, parameters it holds for or None for all, violation) over rows of one parameter; RGB is a uniform value of several components.
+RULES: tuple[tuple[str, tuple[str, ...] | None, str], ...] = (
+    ("unknown kind", None, "kind is null or kind not in ('uniform', 'interpolated', 'file')"),
+    ("no value", None, "kind = 'uniform' and value is null and rgb is null"),
+    ("value outside 0..1", UNIT, "kind = 'uniform' and (value < 0 or value > 1 or exists(rgb, c -> c < 0 or c > 1))"),
+    ("rgb without three components", None, "kind = 'uniform' and size(rgb) <> 3 and rgb is not null"),
+    ("wavelengths or values missing", None, "kind = 'interpolated' and (wavelengths is null or values is null)"),
+    ("wavelengths and values differ in number", None, "kind = 'interpolated' and size(wavelengths) <> size(values) and wavelengths is not null and values is not null"),
+    ("fewer than two points", None, "kind = 'interpolated' and size(wavelengths) < 2 and wavelengths is not null"),
+    ("wavelength not positive", None, "kind = 'interpolated' and exists(wavelengths, w -> w <= 0)"),
+    ("wavelengths not rising", None, "kind = 'interpolated' and exists(zip_with(wavelengths, slice(wavelengths, 2, greatest(size(wavelengths), 1)), (a, b) -> b <= a), x -> x)"),
+    ("interpolated value outside 0..1", UNIT, "kind = 'interpolated' and exists(values, v -> v < 0 or v > 1)"),
+    ("file without path or variable", None, "kind = 'file' and (path is null or variable is null)"),
+    ("k below 0", ("k",), "kind = 'uniform' and value < 0"),
+    ("Theta outside -1..1", ("Theta",), "kind = 'uniform' and not value between -1 and 1"),
+)
+
+
+def check_parameters(parameters: DataFrame) -> DataFrame:
+    """Violations (material_id, parameter, rule) of RULES, and of energy conservation: uniform reflectance and transmittance of one material above 1.
+
+    parameters: (material_id, parameter, kind uniform or interpolated or file, value, rgb, wavelengths, values, path, variable), a row a parameter; what a kind
+    does not use is null. One pass for the rules and one aggregate for the pairs; a null never counts as out of range.
+    """
+    held = lambda names: F.lit(True) if names is None else F.col("parameter").isin(*names)
+    broken = F.array_compact(F.array(*(F.when(held(names) & F.coalesce(F.expr(test), F.lit(False)), F.lit(rule)) for rule, names, test in RULES)))
+    rows = parameters.select("material_id", "parameter", F.explode(broken).alias("rule"))
+    scalar = lambda name: F.max(F.when((F.col("parameter") == name) & (F.col("kind") == "uniform"), F.col("value")))
+    pairs = parameters.groupBy("material_id").agg(scalar("reflectance").alias("_r"), scalar("transmittance").alias("_t")).where("_r + _t > 1")
+    return rows.unionByName(pairs.select("material_id", F.lit("transmittance").alias("parameter"), F.lit("reflectance and transmittance above 1").alias("rule")))

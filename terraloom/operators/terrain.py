@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from terraloom.operators.geometry import along_segment, covering_cells, in_polygon, levels_of, meeting_boxes, same_cell, segment_distance, with_cell
 from terraloom.operators.roads import in_joint, next_of
-from terraloom.session import cut
+from terraloom.session import cut, discard
 
 
 def split_roads(lines: DataFrame, box: tuple[float, float, float, float], key: str = "way_id") -> DataFrame:
@@ -145,6 +145,7 @@ def balance_cells(leaves: DataFrame) -> DataFrame:
     """
     quad = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, 1) for b in (0, 1)))
     sides = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ((-1, 0), (1, 0), (0, -1), (0, 1))))
+    own = None  # the last round's table, which the next one replaces
     while True:
         # a neighbour at the leaf's own level, and the ancestors of it that would be too coarse
         beside = leaves.withColumn("s", F.explode(sides)).select("level", (F.col("i") + F.col("s.a")).alias("i"), (F.col("j") + F.col("s.b")).alias("j")).where("i >= 0 and j >= 0 and level >= 2").distinct()
@@ -152,7 +153,10 @@ def balance_cells(leaves: DataFrame) -> DataFrame:
         coarse = up.select((F.col("level") - F.col("k")).alias("level"), F.expr("shiftright(i, k)").alias("i"), F.expr("shiftright(j, k)").alias("j")).distinct()
         split = cut(leaves.join(coarse, ["level", "i", "j"], "left_semi"), "balance")
         if split.isEmpty():
+            discard(split)
             return leaves
         children = split.withColumn("q", F.explode(quad)).select((F.col("level") + 1).alias("level"), (F.col("i") * 2 + F.col("q.a")).alias("i"), (F.col("j") * 2 + F.col("q.b")).alias("j"))
         leaves = cut(leaves.join(split, ["level", "i", "j"], "left_anti").unionByName(children), "balance")
+        discard(split, *([own] if own is not None else []))
+        own = leaves
 

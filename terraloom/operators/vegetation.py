@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraloom.functions.keyed import draw
 from terraloom.functions.projection import max_per_pixel
 from terraloom.operators.sampling import sample_bilinear
-from terraloom.session import cut
+from terraloom.session import cut, discard
 
 
 def plants_per_pixel(pixels: DataFrame, species: DataFrame, resolution: float, spacing: float, variation: float, seed: int | str) -> DataFrame:
@@ -44,7 +41,7 @@ def spillover(pixels: DataFrame, primary: int, compatibility: dict[int, float],
     The nearest primary pixel comes from an equi join on cells as wide as the reach, so a pixel meets those of nine cells alone.
     """
     reach = max_m / resolution
-    cell = max(1, int(np.ceil(reach)))
+    cell = max(1, math.ceil(reach))
     own = lambda c: F.floor(F.col(c) / cell)
     near = F.array(*(F.lit(k) for k in (-1, 0, 1)))
     src = pixels.where(F.col("class") == primary).select(F.col("ix").alias("px"), F.col("iy").alias("py"), F.explode(near).alias("_a")).withColumn("_b", F.explode(near))
@@ -61,28 +58,24 @@ def spillover(pixels: DataFrame, primary: int, compatibility: dict[int, float],
 
 def place_in_pixel(counts: DataFrame, resolution: float, spacing: float, seed: int | str, assets: list[tuple[str, float]]) -> DataFrame:
     """Up to ``n`` points in each pixel (ix, iy, x, y, species, n) by rejection: at most min(5 n, 100) tries, each kept point at least
-    ``spacing`` from the earlier ones; assets by weight. The draws hang on the pixel and species alone."""
-    names, weights = [a for a, _ in assets], np.array([w for _, w in assets], float)
-    bounds = np.cumsum(weights / weights.sum())
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for r in f.itertuples(index=False):
-                key = int.from_bytes(hashlib.md5(f"{seed}:{r.ix}:{r.iy}:{r.species}".encode()).digest()[:8], "little")
-                u = np.random.default_rng(key).random((min(5 * int(r.n), 100), 3))
-                kept = np.empty((0, 2))
-                for a, b, c in u:
-                    if len(kept) >= r.n:
-                        break
-                    p = np.array([r.x + (a - 0.5) * resolution, r.y + (b - 0.5) * resolution])
-                    if spacing > 0 and len(kept) and (((kept - p) ** 2).sum(1) < spacing * spacing).any():
-                        continue
-                    kept = np.vstack([kept, p])
-                    rows.append((r.ix, r.iy, r.species, len(kept) - 1, p[0], p[1], names[min(int(np.searchsorted(bounds, c, "right")), len(names) - 1)]))
-            yield pd.DataFrame(rows, columns=["ix", "iy", "species", "k", "x", "y", "asset"])
-
-    return counts.where("n > 0").select("ix", "iy", "x", "y", "species", "n").mapInPandas(run, "ix long, iy long, species string, k long, x double, y double, asset string")
+    ``spacing`` from the earlier ones; assets by weight. The draws hang on the pixel, the species and the number of the try alone."""
+    total, run, bounds = sum(w for _, w in assets), 0.0, []
+    for _, w in assets[:-1]:
+        run += w
+        bounds.append(run / total)
+    part = lambda h, i: F.conv(F.substring(h, i, 8), 16, 10).cast("double") / float(1 << 32)
+    key = F.concat_ws(":", F.lit(str(seed)), "ix", "iy", "species")
+    prints = F.transform(F.sequence(F.lit(1), F.least(5 * F.col("n"), F.lit(100)).cast("int")), lambda i: F.md5(F.concat_ws(":", key, i.cast("string")).cast("binary")))
+    tries = F.transform(prints, lambda h: F.struct((F.col("x") + (part(h, 1) - 0.5) * resolution).alias("x"), (F.col("y") + (part(h, 9) - 0.5) * resolution).alias("y"), part(h, 17).alias("u")))
+
+    def add(kept: Column, p: Column) -> Column:
+        near = F.exists(kept, lambda q: (q["x"] - p["x"]) ** 2 + (q["y"] - p["y"]) ** 2 < spacing * spacing) if spacing > 0 else F.lit(False)
+        return F.when((F.size(kept) < F.col("n")) & ~near, F.concat(kept, F.array(p))).otherwise(kept)
+
+    kept = F.aggregate("_tries", F.array().cast("array<struct<x:double,y:double,u:double>>"), add)
+    held = counts.where("n > 0").select("ix", "iy", "species", "n", tries.alias("_tries")).select("ix", "iy", "species", F.posexplode(kept).alias("k", "p"))
+    asset = F.element_at(F.array(*(F.lit(a) for a, _ in assets)), F.lit(1) + sum(((F.col("p.u") >= b).cast("int") for b in bounds), F.lit(0)))
+    return held.select("ix", "iy", "species", F.col("k").cast("long").alias("k"), "p.x", "p.y", asset.alias("asset"))
 
 
 def instance_attributes(df: DataFrame, seed: int | str, *key: str, turn: float = 360.0, low: float = 0.8, high: float = 1.2, tilt: float = 5.0) -> DataFrame:
@@ -116,10 +109,12 @@ def min_spacing(points: DataFrame, spacing: float, seed: int | str, key: str = "
         stay = open_.select(F.col("_q").alias("_k")).distinct().join(waiting, F.col("_k") == F.col("_p"), "left_anti")
         new = cut(open_.join(stay, F.col("_q") == F.col("_k"), "left_semi").select(F.col("_p").alias("_g")).distinct(), "spacing")
         if new.isEmpty():
+            discard(new, open_)
             break
         gone = new if gone is None else gone.unionByName(new)
         rest = open_.join(new, F.col("_p") == F.col("_g"), "left_anti").join(new, F.col("_q") == F.col("_g"), "left_anti")
-        open_ = cut(rest.join(stay, F.col("_q") == F.col("_k"), "left_anti"), "spacing")
+        before, open_ = open_, cut(rest.join(stay, F.col("_q") == F.col("_k"), "left_anti"), "spacing")
+        discard(before)
     return points if gone is None else points.join(gone, F.col(key) == F.col("_g"), "left_anti")
 
 

@@ -47,9 +47,16 @@ def placed(spark: SparkSession, d: str) -> DataFrame:
     return V.place_in_pixel(counts, 20.0, 3.0, 9, [("a.xml", 3.0), ("b.xml", 1.0)])
 
 
-@query("gen3_place_in_pixel")
+_HEX = "CAST(CAST('0x' || substr(h, {at}, 8) AS UBIGINT) AS DOUBLE) / 4294967296"
+_PLACED = f"""{_COUNT}, h AS (SELECT ix, iy, species, n, t, md5('9:' || ix || ':' || iy || ':' || species || ':' || t) AS h FROM n, range(1, 101) r(t) WHERE n > 0 AND t <= 5 * n),
+p AS (SELECT ix, iy, species, n, list([{{'x': ix * 20.0 + 10 + ({_HEX.format(at=1)} - 0.5) * 20, 'y': iy * 20.0 + 10 + ({_HEX.format(at=9)} - 0.5) * 20, 'u': {_HEX.format(at=17)}}}] ORDER BY t) AS tries FROM h GROUP BY 1, 2, 3, 4),
+k AS (SELECT ix, iy, species, list_reduce(list_prepend(tries[1][1:0], tries), lambda s, o: CASE WHEN len(s) < n AND len(list_filter(s, lambda q: (q.x - o[1].x) ** 2 + (q.y - o[1].y) ** 2 < 9)) = 0 THEN list_concat(s, o) ELSE s END) AS kept FROM p)"""
+
+
+@query("gen3_place_in_pixel", duckdb("v_landcover", then=f"""WITH {_PLACED}, e AS (SELECT ix, iy, species, unnest(range(len(kept))) AS k, unnest(kept) AS q FROM k)
+SELECT ix, iy, species, k, round(q.x, 6) AS x, round(q.y, 6) AS y, CASE WHEN q.u >= 0.75 THEN 'b.xml' ELSE 'a.xml' END AS asset FROM e"""))
 def gen3(spark: SparkSession, d: str) -> DataFrame:
-    return placed(spark, d)
+    return placed(spark, d).select("ix", "iy", "species", "k", *r6(x=F.col("x"), y=F.col("y")), "asset")
 
 
 @query("gen4_spillover", duckdb("v_landcover", then=f"""WITH t AS (SELECT ix, iy, class, CASE class WHEN 30 THEN 0.8 ELSE 0.4 END::DOUBLE AS score FROM v_landcover WHERE class IN (30, 60)),

@@ -157,6 +157,29 @@ def jon8(spark: SparkSession, d: str) -> DataFrame:
     return out.where("irradiance is not null").select("sensor_id", "w", *r6(irradiance=F.col("irradiance")))
 
 
+@query("jon8_align_wavelengths_fill", duckdb("v_radiance", "v_irradiance", then="""WITH q AS (SELECT DISTINCT sensor_id, w FROM v_radiance), e AS (SELECT irradiance_id AS sensor_id, w + 15 AS w, irradiance FROM v_irradiance)
+SELECT sensor_id, q.w, coalesce(round(a.irradiance + (q.w - a.w) * CASE WHEN b.w > a.w THEN (b.irradiance - a.irradiance) / (b.w - a.w) ELSE 0 END, 6), 0.25) AS irradiance
+FROM q LEFT JOIN e a ON a.sensor_id = q.sensor_id AND a.w = (SELECT max(w) FROM e x WHERE x.sensor_id = q.sensor_id AND x.w <= q.w)
+LEFT JOIN e b ON b.sensor_id = q.sensor_id AND b.w = (SELECT min(w) FROM e x WHERE x.sensor_id = q.sensor_id AND x.w >= q.w)""".replace("SELECT sensor_id, q.w", "SELECT q.sensor_id, q.w")))
+def jon8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """References that begin above the first wavelength: the fill stands there."""
+    e = view(spark, d, "v_irradiance").withColumnRenamed("irradiance_id", "sensor_id").withColumn("w", F.col("w") + 15)
+    return X.align_wavelengths(view(spark, d, "v_radiance"), e, "sensor_id", "irradiance", 0.25).select("sensor_id", "w", *r6(irradiance=F.col("irradiance")))
+
+
+_GAPS = """WITH e AS (SELECT event_id, value, epoch_us(ts) AS t FROM events), o AS (SELECT event_id, t FROM e WHERE event_id % 5 = 0), s AS (SELECT t, max(value) AS value FROM e WHERE event_id % 5 <> 0 GROUP BY 1),
+b AS (SELECT o.event_id, o.t, s.t AS st, s.value FROM o ASOF LEFT JOIN s ON o.t >= s.t), a AS (SELECT o.event_id, s.t AS st, s.value FROM o ASOF LEFT JOIN s ON o.t <= s.t)
+SELECT b.event_id, CASE WHEN a.st IS NULL OR (b.st IS NOT NULL AND b.t - b.st <= a.st - b.t) THEN b.value ELSE a.value END AS nearest FROM b JOIN a USING (event_id)"""
+
+
+@query("jon9_nearest_in_time_of_all", _GAPS)
+def jon9_all(spark: SparkSession, d: str) -> DataFrame:
+    """One series for all observations: an order without a key, over ranges."""
+    e = table(spark, d, "events").withColumn("t", F.unix_micros(F.col("ts").cast("timestamp")))
+    series = e.where("event_id % 5 <> 0").groupBy("t").agg(F.max("value").alias("value"))
+    return J.nearest_by(e.where("event_id % 5 = 0").select("event_id", "t"), series, "t", "value", None, "nearest").select("event_id", "nearest")
+
+
 @query("jon9_nearest_in_time", """WITH o AS (SELECT event_id, user_id, epoch_us(ts) AS t FROM events WHERE event_id % 5 = 0), s AS (SELECT user_id, epoch_us(ts) AS t, max(value) AS value FROM events WHERE event_id % 5 <> 0 GROUP BY 1, 2),
 p AS (SELECT event_id, o.t, s.t AS st, s.value, abs(o.t - s.t) AS gap FROM o JOIN s USING (user_id))
 SELECT event_id, arg_min(value, (gap, st)) AS nearest FROM p GROUP BY event_id UNION ALL SELECT event_id, NULL FROM o WHERE user_id NOT IN (SELECT user_id FROM s)""")
@@ -216,6 +239,26 @@ def jon13(spark: SparkSession, d: str) -> DataFrame:
     return J.check_references(s, table(spark, d, "nation").where("n_regionkey <> 2"), "id", "id", "n_nationkey")
 
 
+_SENSORS = "SELECT CASE WHEN s_suppkey % 19 = 0 THEN 's1' ELSE 's' || s_suppkey END AS id, CASE s_suppkey % 3 WHEN 0 THEN 'satellite' WHEN 1 THEN 'uav' ELSE 'ground' END AS type, CASE WHEN s_suppkey % 3 = 1 THEN 30.0 END AS fov FROM supplier"
+_TYPE = "CASE c_custkey % 7 WHEN 0 THEN 'irradiance' WHEN 1 THEN 'hdrf' WHEN 2 THEN 'hcrf' WHEN 3 THEN 'brf' WHEN 4 THEN 'pixel_brf' WHEN 5 THEN 'pixel_hdrf' ELSE 'bhr' END"
+_MEASURES = f"SELECT CASE WHEN c_custkey % 101 = 0 THEN 'm7' ELSE 'm' || c_custkey END AS id, {_TYPE} AS type, CASE WHEN c_custkey % 4 <> 0 THEN 's' || (c_custkey % 13) END AS radiance_sensor_id, CASE WHEN c_custkey % 9 <> 0 THEN 's' || (c_custkey % 11) END AS satellite_sensor_id, CASE WHEN c_custkey % 5 <> 0 THEN 'm' || (c_custkey - c_custkey % 3) END AS irradiance_measurement_id FROM customer"
+
+
+@query("jon13_check_simulation", f"""WITH s AS ({_SENSORS}), m AS ({_MEASURES}), one AS (SELECT id, type, fov FROM s),
+r AS (SELECT id, radiance_sensor_id AS t, NULL AS kind, 'sensor' AS what FROM m WHERE type IN ('hdrf', 'hcrf', 'brf') UNION ALL SELECT id, radiance_sensor_id, 'camera', 'sensor' FROM m WHERE type = 'hcrf'
+ UNION ALL SELECT id, satellite_sensor_id, 'satellite', 'sensor' FROM m WHERE type IN ('pixel_brf', 'pixel_hdrf') UNION ALL SELECT id, irradiance_measurement_id, 'irradiance', 'measurement' FROM m WHERE type IN ('hdrf', 'hcrf', 'brf', 'bhr')),
+x AS (SELECT *, CASE what WHEN 'sensor' THEN EXISTS (SELECT 1 FROM s WHERE s.id = t) ELSE EXISTS (SELECT 1 FROM m WHERE m.id = t) END AS there,
+ CASE kind WHEN 'camera' THEN EXISTS (SELECT 1 FROM s WHERE s.id = t AND fov IS NOT NULL) WHEN 'satellite' THEN EXISTS (SELECT 1 FROM s WHERE s.id = t AND type = 'satellite') WHEN 'irradiance' THEN EXISTS (SELECT 1 FROM m WHERE m.id = t AND type = 'irradiance') ELSE true END AS fits FROM r WHERE t IS NOT NULL)
+SELECT DISTINCT id, CASE WHEN NOT there THEN 'unknown ' || what ELSE what || ' is no ' || kind END AS rule, t AS reference FROM x WHERE NOT there OR NOT fits
+UNION ALL SELECT id, 'duplicate sensor', NULL FROM s GROUP BY id HAVING count(*) > 1 UNION ALL SELECT id, 'duplicate measurement', NULL FROM m GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT id, 'no sensor given', NULL FROM m WHERE type IN ('pixel_brf', 'pixel_hdrf') AND satellite_sensor_id IS NULL""")
+def jon13_simulation(spark: SparkSession, d: str) -> DataFrame:
+    """A violation of each rule: repeated ids, unknown sensors and measurements, sensors and measurements of the wrong type."""
+    sensors = spark.sql(_SENSORS.replace("FROM supplier", "FROM {supplier}"), supplier=table(spark, d, "supplier"))
+    measures = spark.sql(_MEASURES.replace("FROM customer", "FROM {customer}"), customer=table(spark, d, "customer"))
+    return J.check_simulation(sensors, measures)
+
+
 @query("jon14_merge_libraries", "SELECT p_partkey AS material_id, CASE WHEN p_partkey % 3 = 0 THEN 'late' ELSE 'early' END AS source, p_size::BIGINT AS size FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0")
 def jon14(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part").select(F.col("p_partkey").alias("material_id"), F.col("p_size").cast("long").alias("size"))
@@ -259,6 +302,33 @@ def prj26(spark: SparkSession, d: str) -> DataFrame:
     return X.check_spectra(s)
 
 
+_BY = "p_partkey % 16"
+_KIND = f"CASE WHEN {_BY} = 0 THEN 'gradient' WHEN {_BY} IN (4, 5, 6, 7, 8, 9) THEN 'interpolated' WHEN {_BY} = 10 THEN 'file' ELSE 'uniform' END"
+_NAME = f"CASE WHEN {_BY} = 11 THEN 'k' WHEN {_BY} = 12 THEN 'Theta' WHEN p_partkey % 2 = 0 THEN 'reflectance' ELSE 'transmittance' END"
+
+
+@query("prj26_check_parameters", f"""WITH a AS (SELECT p_partkey AS id, {_BY} AS c, p_size / 50.0 AS u, {_NAME} AS parameter FROM part),
+v AS (SELECT id, parameter, unnest([CASE WHEN c = 0 THEN 'unknown kind' END, CASE WHEN c = 1 THEN 'no value' END, CASE WHEN c IN (2, 13) AND u * 1.5 > 1 THEN 'value outside 0..1' END, CASE WHEN c = 3 THEN 'rgb without three components' END,
+ CASE WHEN c = 4 THEN 'wavelengths or values missing' END, CASE WHEN c = 5 THEN 'wavelengths and values differ in number' END, CASE WHEN c = 6 THEN 'fewer than two points' END, CASE WHEN c = 7 THEN 'wavelength not positive' END,
+ CASE WHEN c = 8 THEN 'wavelengths not rising' END, CASE WHEN c = 9 AND u * 1.2 > 1 THEN 'interpolated value outside 0..1' END, CASE WHEN c = 10 THEN 'file without path or variable' END, CASE WHEN c = 11 THEN 'k below 0' END, CASE WHEN c = 12 AND u * 1.5 > 1 THEN 'Theta outside -1..1' END]) AS rule FROM a)
+SELECT id AS material_id, parameter, rule FROM v WHERE rule IS NOT NULL UNION ALL SELECT id, 'transmittance', 'reflectance and transmittance above 1' FROM a WHERE c IN (14, 15) AND u + 0.45 > 1""")
+def prj26_parameters(spark: SparkSession, d: str) -> DataFrame:
+    """A violation of each rule by turns, and pairs of reflectance and transmittance."""
+    c, u = F.expr(_BY), F.col("p_size") / 50.0
+    none = lambda kind: F.lit(None).cast(kind)
+    list_of = lambda *v: F.array(*(x if hasattr(x, "cast") else F.lit(float(x)) for x in v))
+    value = F.when(c.isin(2, 12, 13), u * 1.5).when(c == 11, -u).when(c.isin(14, 15), u)
+    points = {5: (list_of(400, 500, 600), list_of(0.1, 0.2)), 6: (list_of(400), list_of(0.1)), 7: (list_of(-1, 500), list_of(0.1, 0.2)), 8: (list_of(500, 500), list_of(0.1, 0.2)), 9: (list_of(400, 500), F.array(F.lit(0.1), u * 1.2))}
+    pick = lambda i: F.coalesce(*(F.when(c == k, v[i]) for k, v in points.items()))
+    own = table(spark, d, "part").select(
+        F.col("p_partkey").alias("material_id"), F.expr(_NAME).alias("parameter"), F.expr(_KIND).alias("kind"), value.alias("value"), F.when(c == 3, list_of(0.1, 0.2)).alias("rgb"),
+        pick(0).alias("wavelengths"), F.when(c == 4, list_of(0.1, 0.2)).otherwise(pick(1)).alias("values"), F.when(c == 10, "a.nc").alias("path"), none("string").alias("variable"),
+    )
+    other = F.when(F.col("parameter") == "reflectance", "transmittance").otherwise("reflectance")
+    more = own.where(F.col("material_id") % 16 >= 14).withColumns({"parameter": other, "value": F.lit(0.45)})
+    return X.check_parameters(own.unionByName(more))
+
+
 @query("agg10_gaussian_srf", duckdb("v_radiance", then="""WITH o(w_out, fwhm) AS (VALUES (420.0::DOUBLE, 8.0::DOUBLE), (450.0, 12.0)), j AS (SELECT *, exp(-0.5 * ((w - w_out) / (fwhm / 2.3548200450309493)) ** 2) * 10 AS g FROM v_radiance JOIN o ON abs(w - w_out) <= 3 * fwhm)
 SELECT sensor_id, x_index, y_index, w_out, round(sum(g * radiance) / sum(g), 5) AS radiance FROM j GROUP BY 1, 2, 3, 4"""))
 def agg10(spark: SparkSession, d: str) -> DataFrame:

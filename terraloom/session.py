@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,3 +40,13 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``cut`` that nothing reads any more; others stay."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {name.rpartition("/")[0] for name in table.inputFiles()}:
+            if re.search(r"/[a-z-]+-[0-9a-f]{32}$", folder):
+                at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
