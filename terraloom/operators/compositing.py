@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraloom.operators.geometry import bounds_overlap
+from terraloom.operators.geometry import bounds_overlap, rings_meet
 from terraloom.session import cut
 
 
@@ -64,12 +64,23 @@ def checked_composite(composite: DataFrame, value: str, least: float = 0.99) ->
     return kept, covered, covered < least
 
 
-def catalog_search(catalog: DataFrame, anchor: Column, days: int, cloud_below: float, n: int = 100, aoi: tuple[float, float, float, float] | None = None) -> DataFrame:
-    """Scenes of a date window with cloud cover strictly below the limit whose box (xmin, ymin, xmax, ymax) meets ``aoi``; the first n by id."""
-    window = F.col("acq_date").between(F.date_sub(anchor, days), F.date_add(anchor, days))
-    if aoi is not None:
-        window &= bounds_overlap(tuple(F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")), tuple(F.lit(v) for v in aoi))
-    return catalog.where(window & (F.col("cloud_cover") < cloud_below)).orderBy("scene_id").limit(n)
+def catalog_search(catalog: DataFrame, anchor: Column, days: int, cloud_below: float, n: int = 100, aoi: tuple[float, float, float, float] | Column | None = None, collection: str | None = None, must_hit: bool = False) -> DataFrame:
+    """Scenes of a date window with cloud cover strictly below the limit that meet ``aoi``, of one ``collection`` if given; the first n by id.
+
+    ``aoi`` is a box, met by a scene's box (xmin, ymin, xmax, ymax), or a ring, met by a scene's ``ring``: bounds first, then corners and edges. With
+    ``must_hit`` a search that finds nothing is a ValueError; to know that, it runs once when called.
+    """
+    found = F.col("acq_date").between(F.date_sub(anchor, days), F.date_add(anchor, days)) & (F.col("cloud_cover") < cloud_below)
+    if collection is not None:
+        found &= F.col("collection") == collection
+    if isinstance(aoi, Column):
+        found &= rings_meet(F.col("ring"), aoi)
+    elif aoi is not None:
+        found &= bounds_overlap(tuple(F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")), tuple(F.lit(v) for v in aoi))
+    scenes = catalog.where(found).orderBy("scene_id").limit(n)
+    if must_hit and scenes.isEmpty():
+        raise ValueError("no scene of the window meets the area of interest")
+    return scenes
 
 
 def paint(layers: DataFrame, keys: list[str], value: str = "material", pos: str = "layer") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraloom.operators.geometry import bounds_overlap, in_polygon, ring_bounds
+from terraloom.operators.geometry import bounds_overlap, covering_cells, in_polygon, levels_of, ring_bounds, same_cell, segment_distance, with_cell
 
 Box = tuple[float, float, float, float]
 
@@ -22,6 +22,36 @@ def clip_to_aoi(df: DataFrame, corners: list[tuple[float, float]], x: str = "x",
     return bbox_prefilter(df, (min(xs), min(ys), max(xs), max(ys)), x, y).where(in_polygon(F.col(x), F.col(y), ring))
 
 
+def in_areas(points: DataFrame, areas: DataFrame, band: float, x: str = "x", y: str = "y") -> DataFrame:
+    """Places and areas (x, y, area) of the points that lie in an area; on its edge counts.
+
+    areas: (area, ring array<struct<x, y>>), a row a ring, open or closed: the parts and holes of an area are rings of it (even-odd rule). Edges stand in
+    bands of rows, on the level of their height, ``band`` that of a short one; a place meets the edges of its band alone, and the parity
+    of those to its right tells. So a ring of many corners is not tried in full for each place.
+    """
+    ring = F.transform("ring", lambda p, i: F.struct(p.alias("a"), F.get("ring", F.pmod(i + 1, F.size("ring"))).alias("b")))
+    edges = areas.select("area", F.explode(ring).alias("e")).select("area", *(F.col(f"e.{p}.{c}").alias(f"{c}{n}") for n, p in ((1, "a"), (2, "b")) for c in ("x", "y")))
+    edges = edges.where("not (x1 = x2 and y1 = y2)")
+    bounds = F.lit(0.0), F.least("y1", "y2"), F.lit(0.0), F.greatest("y1", "y2")
+    box = edges.agg(F.min(F.least("x1", "x2")).alias("_x0"), F.max(F.greatest("x1", "x2")).alias("_x1"))  # one row
+    places = points.select(F.col(x).alias("x"), F.col(y).alias("y")).distinct().join(F.broadcast(box)).where("x between _x0 and _x1").drop("_x0", "_x1")
+    at = with_cell(places.withColumn("_zero", F.lit(0.0)), band, "_zero", "y", levels_of(edges, band, bounds)).alias("a")
+    px, py = F.col("a.x"), F.col("a.y")
+    reach = py.between(F.least("y1", "y2"), F.greatest("y1", "y2")) & (px <= F.greatest("x1", "x2"))
+    j = at.join(covering_cells(edges, band, bounds).alias("b"), same_cell() & reach)
+    ends = tuple(F.col(c) for c in ("x1", "y1", "x2", "y2"))
+    crosses = ((F.col("y1") > py) != (F.col("y2") > py)) & (px < (ends[2] - ends[0]) * (py - ends[1]) / F.nullif(ends[3] - ends[1], F.lit(0.0)) + ends[0])
+    on = segment_distance(px, py, *ends) == 0
+    found = j.groupBy(px.alias("x"), py.alias("y"), "area").agg(F.count_if(F.coalesce(crosses, F.lit(False))).alias("_n"), F.max(on).alias("_on"))
+    return found.where("_n % 2 = 1 or _on").select("x", "y", "area")
+
+
+def clip_to_areas(df: DataFrame, areas: DataFrame, band: float, x: str = "x", y: str = "y") -> DataFrame:
+    """Rows within any area of a table (see ``in_areas``): polygons of any number of corners, with parts and holes."""
+    inside = in_areas(df, areas, band, x, y).select(F.col("x").alias("_px"), F.col("y").alias("_py"))
+    return df.join(inside, (F.col(x) == F.col("_px")) & (F.col(y) == F.col("_py")), "left_semi")
+
+
 def extent(df: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     """One row of bounds; nulls where there is nothing."""
     return df.agg(F.min(x).alias("xmin"), F.min(y).alias("ymin"), F.max(x).alias("xmax"), F.max(y).alias("ymax"))

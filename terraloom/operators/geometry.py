@@ -64,6 +64,13 @@ def ring_bounds(ring: Column) -> tuple[Column, Column, Column, Column]:
     return F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)
 
 
+def rings_meet(one: Column, other: Column) -> Column:
+    """Whether two polygons meet: bounds first, then corners of either within the other, then edges."""
+    close = bounds_overlap(ring_bounds(one), ring_bounds(other))
+    holds = F.exists(one, lambda p: in_polygon(p["x"], p["y"], other)) | F.exists(other, lambda p: in_polygon(p["x"], p["y"], one))
+    return close & (holds | rings_cross(one, other))
+
+
 def polygon(*corners: tuple[float, float]) -> Column:
     return F.array(*(F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in corners))
 

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraloom.operators.geometry import along_segment, bounds_overlap, in_polygon, outside, ring_bounds, rings_cross, segment_distance
+from terraloom.operators.geometry import along_segment, covering_cells, in_polygon, levels_of, outside, ring_bounds, rings_meet, same_cell, segment_distance, with_cell
 from terraloom.operators.roads import in_joint, next_of
 from terraloom.operators.sampling import in_brackets, in_ranges
 
@@ -17,10 +17,7 @@ def select_tiles(index: DataFrame, aoi: Column, ring: str = "ring", must_hit: bo
 
     With ``must_hit`` an area that no tile meets raises a ValueError; to know that, the search runs once when called.
     """
-    area = aoi
-    close = bounds_overlap(ring_bounds(F.col(ring)), ring_bounds(area))
-    holds = F.exists(F.col(ring), lambda p: in_polygon(p["x"], p["y"], area)) | F.exists(area, lambda p: in_polygon(p["x"], p["y"], F.col(ring)))
-    found = index.where(close & (holds | rings_cross(F.col(ring), area))).select("path").distinct()
+    found = index.where(rings_meet(F.col(ring), aoi)).select("path").distinct()
     if must_hit and found.isEmpty():
         raise ValueError("no tile meets the area of interest")
     return found
@@ -169,11 +166,18 @@ def reflectance_inputs(measures: DataFrame, radiance: DataFrame, irradiance: Dat
 
 
 def fwhm_for(df: DataFrame, regions: DataFrame, w: str = "w") -> DataFrame:
-    """Rows with the FWHM of the region (wmin <= w < wmax); below all of them the first one's, else the last one's."""
-    ends = regions.agg(F.min(F.struct("wmin", "fwhm")).alias("_first"), F.max(F.struct("wmin", "fwhm")).alias("_last"))
-    j = df.join(F.broadcast(regions), (F.col(w) >= F.col("wmin")) & (F.col(w) < F.col("wmax")), "left").join(F.broadcast(ends))
+    """Rows with the FWHM of the region (wmin <= w < wmax); below all of them the first one's, else the last one's.
+
+    Different wavelengths meet the regions by an equi join on cells of an axis, whatever their number; the rows then take theirs by wavelength.
+    """
+    ends = regions.agg(F.min(F.struct("wmin", "fwhm")).alias("_first"), F.max(F.struct("wmin", "fwhm")).alias("_last"))  # one row
+    bounds = F.col("wmin"), F.lit(0.0), F.col("wmax"), F.lit(0.0)
+    axis = df.where(F.col(w).isNotNull()).select(F.col(w).alias("_w"), F.lit(0.0).alias("_y")).distinct()
+    cells = with_cell(axis, 10.0, "_w", "_y", levels_of(regions, 10.0, bounds)).alias("a")
+    found = cells.join(covering_cells(regions, 10.0, bounds).alias("b"), same_cell() & (F.col("_w") >= F.col("wmin")) & (F.col("_w") < F.col("wmax"))).select("_w", "fwhm").distinct()
+    j = df.join(found, F.col(w) == F.col("_w"), "left").join(F.broadcast(ends))
     held = F.when(F.col(w) < F.col("_first.wmin"), F.col("_first.fwhm")).otherwise(F.col("_last.fwhm"))
-    return j.withColumn("fwhm", F.coalesce("fwhm", held)).drop("wmin", "wmax", "_first", "_last")
+    return j.withColumn("fwhm", F.coalesce("fwhm", held)).drop("_w", "_first", "_last")
 
 
 def check_references(rows: DataFrame, known: DataFrame, id_col: str, ref_col: str, known_col: str) -> DataFrame:
@@ -224,6 +228,9 @@ def merge_libraries(*libraries: DataFrame, key: str = "material_id") -> DataFram
     return best.select(key, *(F.col("_m")[c].alias(c) for c in rest if c != "_lib"))
 
 
+MOST_PATTERNS = 10_000  # every different name is tried with each
+
+
 def glob_to_regex(pattern: Column) -> Column:
     quoted = F.regexp_replace(pattern, r"([.+^$(){}|\\\[\]])", r"\\$1")
     return F.concat(F.lit("^"), F.replace(F.replace(quoted, F.lit("*"), F.lit(".*")), F.lit("?"), F.lit(".")), F.lit("$"))
@@ -232,8 +239,10 @@ def glob_to_regex(pattern: Column) -> Column:
 def assign_materials(meshes: DataFrame, patterns: DataFrame, fallback: str = "concrete") -> DataFrame:
     """Meshes (name, own_material) with the material of the first pattern (pos, pattern, is_regex, material) that matches.
 
-    Otherwise their own cleaned material, else the fallback. Patterns are a short ordered list of a configuration.
+    Otherwise their own cleaned material, else the fallback. Patterns are an ordered list of a configuration, MOST_PATTERNS at most: they are broadcast.
     """
+    if patterns.limit(MOST_PATTERNS + 1).count() > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} patterns")
     p = patterns.withColumn("_re", F.when(F.col("is_regex"), F.col("pattern")).otherwise(glob_to_regex(F.col("pattern"))))
     names = meshes.select("name").distinct().join(F.broadcast(p.select("_re", "pos", F.col("material").alias("_m"))), F.expr("name rlike _re"))
     first = names.groupBy("name").agg(F.min_by("_m", "pos").alias("_m"))

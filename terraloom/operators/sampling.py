@@ -141,12 +141,12 @@ def interp_profile(rows: DataFrame, profile: DataFrame, x: Column, at: str, valu
 def slope(grid: DataFrame, value: str = "elevation", step: float = 1.0) -> DataFrame:
     """Gradient magnitude by central differences, one-sided at the edges of each row and column of the grid.
 
-    Neighbours come by an equi join on the index rather than a window, so that a long row is not one task.
+    Each cell hands its value to its four neighbours and itself in one explode and one aggregate, so that a long row is not one task.
     """
-    g = grid.select("ix", "iy", F.col(value).alias("v"))
-    near = g
-    for name, a, b in (("e", -1, 0), ("w", 1, 0), ("n", 0, -1), ("s", 0, 1)):
-        near = near.join(g.select((F.col("ix") + a).alias("ix"), (F.col("iy") + b).alias("iy"), F.col("v").alias(name)), ["ix", "iy"], "left")
+    places = F.array(*(F.struct(F.lit(n).alias("n"), F.lit(a).alias("a"), F.lit(b).alias("b")) for n, a, b in (("o", 0, 0), ("e", -1, 0), ("w", 1, 0), ("n", 0, -1), ("s", 0, 1))))
+    each = grid.select("ix", "iy", F.col(value).alias("v"), F.explode(places).alias("p")).select((F.col("ix") + F.col("p.a")).alias("ix"), (F.col("iy") + F.col("p.b")).alias("iy"), "p.n", "v")
+    held = lambda n: F.max(F.when(F.col("n") == n, F.col("v")))
+    near = each.groupBy("ix", "iy").agg(F.max(F.col("n") == "o").alias("_own"), held("o").alias("v"), *(held(n).alias(n) for n in "ewns")).where("_own")
 
     def gradient(after: str, before: str) -> Column:
         span = F.when(F.col(after).isNotNull(), 1).otherwise(0) + F.when(F.col(before).isNotNull(), 1).otherwise(0)

@@ -54,17 +54,25 @@ def interp_to_bands(spectra: DataFrame, key: str = "material_id", w: str = "w",
 def match_sam(clusters: DataFrame, library: DataFrame, max_degrees: float) -> DataFrame:
     """Clusters (cluster, vector) with the library material (lib_pos, material_id, vector) of the smallest spectral angle.
 
-    Ties go to the first of the library; null beyond the limit. Clusters are a few a class; every one meets every material, in
-    parallel over the library, and the least is kept by an aggregate.
+    Ties go to the first of the library; null beyond the limit. Angles are a metric: two vectors within the limit differ by no more in their angles to
+    any third one. So clusters and materials meet by an equi join on their angles to the first two axes, in steps of the limit, each cluster in
+    nine of them, and not all with all.
     """
     from terraloom.functions.projection import spectral_angle
 
-    few = clusters.select("cluster", F.col("vector").alias("_c"))
-    pairs = library.join(few).withColumn("angle", F.degrees(spectral_angle(F.col("_c"), F.col("vector"))))
-    best = pairs.where(~F.isnan("angle")).groupBy("cluster").agg(F.min(F.struct("angle", "lib_pos", "material_id")).alias("m"))
-    out = clusters.select("cluster").join(best, "cluster", "left")
-    near = F.col("m.angle") <= max_degrees
-    return out.select("cluster", F.when(near, F.col("m.material_id")).alias("material_id"), F.when(near, F.col("m.angle")).alias("angle"))
+    step = max(float(max_degrees), 1e-3) + 1e-6
+
+    def with_bins(rows: DataFrame) -> DataFrame:
+        norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
+        angle = lambda i: F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.coalesce(F.get("vector", F.lit(i)), F.lit(0.0)) / F.nullif(norm, F.lit(0.0))))))
+        return rows.withColumns({f"_b{i}": F.floor(angle(i) / step) for i in (0, 1)})
+
+    near = F.array(*(F.lit(i) for i in (-1, 0, 1)))
+    few = with_bins(clusters).select("cluster", F.col("vector").alias("_c"), F.explode(F.transform(near, lambda i: F.col("_b0") + i)).alias("_b0"), "_b1")
+    few = few.withColumn("_b1", F.explode(F.transform(near, lambda i: F.col("_b1") + i)))
+    pairs = with_bins(library).join(few, ["_b0", "_b1"]).withColumn("angle", F.degrees(spectral_angle(F.col("_c"), F.col("vector"))))
+    best = pairs.where(~F.isnan("angle") & (F.col("angle") <= max_degrees)).groupBy("cluster").agg(F.min(F.struct("angle", "lib_pos", "material_id")).alias("m"))
+    return clusters.select("cluster").join(best, "cluster", "left").select("cluster", F.col("m.material_id").alias("material_id"), F.col("m.angle").alias("angle"))
 
 
 def gaussian_srf(radiance: DataFrame, outputs: DataFrame, keys: list[str], value: str = "radiance", w: str = "w") -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraloom.operators.geometry import along_segment, covering_cells, in_polygon, levels_of, meeting_boxes, same_cell, segment_distance, with_cell
+from terraloom.operators.geometry import along_segment, covering_cells, in_polygon, levels_of, meeting_boxes, ring_bounds, same_cell, segment_distance, with_cell
 from terraloom.operators.roads import in_joint, next_of
 from terraloom.session import cut, discard
 
@@ -67,12 +67,18 @@ def rasterize_roads(segments: DataFrame, nx: int, ny: int) -> DataFrame:
 def apply_regions(grid: DataFrame, regions: DataFrame) -> DataFrame:
     """Pixels (centres x, y) with the material of the last region that holds them, if any.
 
-    regions: (pos, kind rectangle or circle or polygon, x0, y0, x1, y1, cx, cy, r, ring, classes or null, material), a short configured list.
+    regions: (pos, kind rectangle or circle or polygon, x0, y0, x1, y1, cx, cy, r, ring, classes or null, material). Pixels meet the regions about them by
+    an equi join on cells, whatever the regions' number and size.
     """
-    x, y = F.col("x"), F.col("y")
-    hit = F.when(F.col("kind") == "rectangle", x.between(F.col("x0"), F.col("x1")) & y.between(F.col("y0"), F.col("y1"))).when(F.col("kind") == "circle", F.hypot(x - F.col("cx"), y - F.col("cy")) <= F.col("r")).otherwise(in_polygon(x, y, F.col("ring")))
+    x, y = F.col("a.x"), F.col("a.y")
+    ringed, round_ = F.col("kind") == "polygon", F.col("kind") == "circle"
+    edges = zip(("x0", "y0", "x1", "y1"), ring_bounds(F.col("ring")), (F.col("cx") - F.col("r"), F.col("cy") - F.col("r"), F.col("cx") + F.col("r"), F.col("cy") + F.col("r")), strict=True)
+    bounds = tuple(F.when(ringed, of_ring).when(round_, of_circle).otherwise(F.col(own)) for own, of_ring, of_circle in edges)
+    near = covering_cells(regions, 8.0, bounds).drop("x", "y").alias("b")
+    hit = F.when(F.col("kind") == "rectangle", x.between(F.col("x0"), F.col("x1")) & y.between(F.col("y0"), F.col("y1"))).when(round_, F.hypot(x - F.col("cx"), y - F.col("cy")) <= F.col("r")).otherwise(in_polygon(x, y, F.col("ring")))
     held = F.col("classes").isNull() | F.array_contains("classes", F.col("class"))
-    painted = grid.join(F.broadcast(regions), hit & held).groupBy("ix", "iy").agg(F.max_by("material", "pos").alias("region"))
+    cells = with_cell(grid.select("ix", "iy", "x", "y", "class"), 8.0, levels=levels_of(regions, 8.0, bounds)).alias("a")
+    painted = cells.join(near, same_cell() & hit & held).groupBy("ix", "iy").agg(F.max_by("material", "pos").alias("region"))
     return grid.join(painted, ["ix", "iy"], "left")
 
 

@@ -11,8 +11,9 @@ from terraloom.functions.keyed import draw
 from terraloom.operators import aggregates as A
 from terraloom.operators import compositing as C
 from terraloom.operators.generate import scene_grid
+from terraloom.operators.geometry import polygon
 from terraloom.operators.scene import cap_per_pixel, combine_series
-from terraloom.plans.q_filters import dem_at, r6
+from terraloom.plans.q_filters import DIAMOND, dem_at, r6
 from terraloom.plans.q_functions import _U
 from terraloom.plans.registry import query
 from terraloom.plans.views import duckdb, table, view
@@ -203,6 +204,16 @@ def src9_aoi(spark: SparkSession, d: str) -> DataFrame:
     return C.catalog_search(boxed, F.lit(ANCHOR).cast("date"), 10, 30.0, aoi=(20.0, 10.0, 40.0, 30.0)).select("scene_id", "acq_date")
 
 
+@query("src9_catalog_search_ring", duckdb("v_scenes", then=f"""WITH c AS (SELECT *, tile_id % 64 AS x, tile_id * 7 % 64 AS y FROM v_scenes) SELECT scene_id, acq_date FROM c WHERE scene_id % 5 <> 0 AND acq_date BETWEEN DATE '{ANCHOR}' - 10 AND DATE '{ANCHOR}' + 10 AND cloud_cover < 90
+  AND abs(greatest(x, least(32, x + 4)) - 32) + abs(greatest(y, least(32, y + 4)) - 32) <= 20.005 ORDER BY scene_id LIMIT 100"""))
+def src9_ring(spark: SparkSession, d: str) -> DataFrame:
+    """Scenes of one collection whose tile meets an area with slanting edges."""
+    at = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    x, y = F.col("tile_id") % 64, F.col("tile_id") * 7 % 64
+    ringed = scenes(spark, d).withColumns({"ring": F.array(at(x, y), at(x + 4, y), at(x + 4, y + 4), at(x, y + 4)), "collection": F.when(F.col("scene_id") % 5 == 0, "other").otherwise("main")})
+    return C.catalog_search(ringed, F.lit(ANCHOR).cast("date"), 10, 90.0, aoi=polygon(*DIAMOND), collection="main", must_hit=True).select("scene_id", "acq_date")
+
+
 @query("top3_argmin", duckdb("v_points", "v_zones", then="SELECT floor(y)::BIGINT AS row_id, arg_min(pid, (x, pid)) AS pid FROM v_points GROUP BY 1"))
 def top3(spark: SparkSession, d: str) -> DataFrame:
     return view(spark, d, "v_points").groupBy(F.floor("y").alias("row_id")).agg(F.min_by("pid", F.struct("x", "pid")).alias("pid"))

@@ -46,6 +46,19 @@ def flt2(spark: SparkSession, d: str) -> DataFrame:
     return O.clip_to_aoi(view(spark, d, "v_points"), DIAMOND).select("pid")
 
 
+_HOLED = "((abs(x - 32) + abs(y - 32) <= 20.005) AND NOT (abs(x - 30) + abs(y - 30) < 7.003)) OR (x BETWEEN 2.001 AND 9.003 AND y BETWEEN 50.001 AND 60.007)"
+
+
+@query("flt2_clip_to_areas", duckdb("v_points", then=f"SELECT pid FROM v_points WHERE {_HOLED}"))
+def flt2_areas(spark: SparkSession, d: str) -> DataFrame:
+    """An area of two parts, one with a hole, as rings of a table."""
+    hole = [(30.0, 22.997), (37.003, 30.0), (30.0, 37.003), (22.997, 30.0)]
+    part = [(2.001, 50.001), (9.003, 50.001), (9.003, 60.007), (2.001, 60.007)]
+    rows = [(1, [{"x": x, "y": y} for x, y in ring]) for ring in (DIAMOND, hole, part)]
+    areas = spark.createDataFrame(rows, "area int, ring array<struct<x:double,y:double>>")
+    return O.clip_to_areas(view(spark, d, "v_points"), areas, 1.0).select("pid")
+
+
 @query("flt3_extent_overlaps", duckdb("v_zones", "v_dem", then=f"WITH {_BOXES}, e AS (SELECT min(ix) AS x0, max(ix) AS x1, min(iy) AS y0, max(iy) AS y1 FROM v_dem WHERE ix < 30 AND iy < 30) SELECT zone_id, xmin <= x1 AND xmax >= x0 AND ymin <= y1 AND ymax >= y0 AS overlaps FROM b, e"))
 def flt3(spark: SparkSession, d: str) -> DataFrame:
     b = boxes(spark, d)

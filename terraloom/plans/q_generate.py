@@ -143,12 +143,44 @@ def reflectances(spark: SparkSession, d: str) -> DataFrame:
 BANDS = ["b02", "b03", "b04", "b08"]
 
 
-@query("agg6_cluster_class")
+def _kmeans(k: int, seed: int, rounds: int, classes: str) -> str:
+    """CTEs of k-means by class: scores ``s``, starts ``p0`` on, centres ``c0`` on, and ``lab`` (pixel_id, class, cluster, bands)."""
+    f = [f"f_{b}" for b in BANDS]
+    away = lambda c: " + ".join(f"(s.{x} - {c}.{x}) ** 2" for x in f)
+    own = ", ".join(f"s.{x}" for x in f)
+    out = [
+        f"m AS (SELECT pixel_id, CASE WHEN label % 2 = 0 THEN 10 ELSE 30 END AS class, {', '.join(f'{b}::DOUBLE AS {b}' for b in BANDS)} FROM v_refl), mm AS (SELECT * FROM m WHERE class IN ({classes}))",
+        f"st AS (SELECT class, {', '.join(f'avg({b}) AS a_{b}, stddev_pop({b}) AS d_{b}' for b in BANDS)} FROM mm GROUP BY class)",
+        f"s AS (SELECT pixel_id, class, {', '.join(BANDS)}, {', '.join(f'({b} - a_{b}) / CASE WHEN d_{b} > 0 THEN d_{b} ELSE 1 END AS f_{b}' for b in BANDS)} FROM mm JOIN st USING (class))",
+    ]
+    pack = ", ".join(f"'{x}': {x}" for x in f)
+    for j in range(k):
+        u = f"ln({_U.format(seed=f'{seed}:{j}', key='pixel_id')} + pow(2.0, -33))"
+        rows = f"(SELECT s.*, 1.0 AS w FROM s)" if j == 0 else f"(SELECT * FROM (SELECT s.pixel_id, s.class, {own}, min({away('p')}) AS w FROM s JOIN p{j - 1} p ON p.class = s.class GROUP BY s.pixel_id, s.class, {own}) WHERE w > 0)"
+        before = "" if j == 0 else f"SELECT * FROM p{j - 1} UNION ALL "
+        out.append(f"p{j} AS ({before}SELECT class, {j} AS cluster, {', '.join(f'q.{x} AS {x}' for x in f)} FROM (SELECT class, arg_max({{{pack}}}, ({u} / w, pixel_id)) AS q FROM {rows} r GROUP BY class))")
+    label = lambda c: f"SELECT s.pixel_id, s.class, arg_min(c.cluster, ({away('c')}, c.cluster)) AS cluster FROM s JOIN {c} c ON c.class = s.class GROUP BY s.pixel_id, s.class"
+    for r in range(rounds):
+        last = f"p{k - 1}" if r == 0 else f"c{r - 1}"
+        out.append(f"l{r} AS ({label(last)}), n{r} AS (SELECT s.class, cluster, {', '.join(f'avg({x}) AS {x}' for x in f)} FROM s JOIN l{r} USING (pixel_id) GROUP BY s.class, cluster)")
+        out.append(f"c{r} AS (SELECT o.class, o.cluster, {', '.join(f'coalesce(n.{x}, o.{x}) AS {x}' for x in f)} FROM {last} o LEFT JOIN n{r} n ON n.class = o.class AND n.cluster = o.cluster)")
+    out.append(f"lab AS ({label(f'c{rounds - 1}')})")
+    return ", ".join(out)
+
+
+@query("agg6_cluster_class", duckdb("v_refl", then=f"WITH {_kmeans(4, 11, 10, '10')} SELECT m.pixel_id, coalesce(cluster, -1) AS cluster FROM m LEFT JOIN lab USING (pixel_id)"))
 def agg6(spark: SparkSession, d: str) -> DataFrame:
     return M.cluster_class(reflectances(spark, d), 10, BANDS, 4, 11)[0]
 
 
-@query("gen10_diversify")
+_ANGLE = "degrees(acos(greatest(-1.0, least(1.0, (c.b02 * l.b02 + c.b03 * l.b03 + c.b04 * l.b04 + c.b08 * l.b08) / (sqrt(c.b02 ** 2 + c.b03 ** 2 + c.b04 ** 2 + c.b08 ** 2) * sqrt(l.b02 ** 2 + l.b03 ** 2 + l.b04 ** 2 + l.b08 ** 2))))))"
+_MEANS = ", ".join(f"avg({b}) AS {b}" for b in BANDS)
+
+
+@query("gen10_diversify", duckdb("v_refl", then=f"""WITH {_kmeans(3, 11, 10, '10, 30')}, c AS (SELECT m.class, cluster, {_MEANS} FROM m JOIN lab USING (pixel_id) GROUP BY m.class, cluster), lib AS (SELECT pixel_id % 12 AS lib_pos, {_MEANS} FROM m GROUP BY 1),
+a AS (SELECT c.class, cluster, lib_pos, {_ANGLE} AS angle FROM c, lib l), b AS (SELECT class, cluster, arg_min(lib_pos, (angle, lib_pos)) AS lib_pos FROM a WHERE angle <= 20 GROUP BY 1, 2),
+f AS (SELECT pixel_id, 'm' || lib_pos AS name FROM lab JOIN b USING (class, cluster)), i AS (SELECT name, 1 + row_number() OVER (ORDER BY name) AS idx FROM (SELECT DISTINCT name FROM f))
+SELECT m.pixel_id, m.class, coalesce(i.idx, 0)::BIGINT AS idx FROM m LEFT JOIN f USING (pixel_id) LEFT JOIN i USING (name)"""))
 def gen10(spark: SparkSession, d: str) -> DataFrame:
     r = reflectances(spark, d)
     lib = r.groupBy((F.col("pixel_id") % 12).alias("lib_pos")).agg(F.array(*(F.avg(F.col(b).cast("double")) for b in BANDS)).alias("vector")).withColumn("material_id", F.concat(F.lit("m"), F.col("lib_pos")))
@@ -253,6 +285,23 @@ def src2(spark: SparkSession, d: str) -> DataFrame:
     return S.tile_scan(spark, path, tiles, "long").select(F.col("tile_id").cast("long").alias("tile_id"), "lon", "lat", "value")
 
 
+@query("src2_tile_scan_box", duckdb("v_landcover", then="SELECT (ix // 16) * 4 + iy // 16 AS tile_id, ix AS lon, iy AS lat, class::BIGINT AS value FROM v_landcover WHERE ix BETWEEN 5 AND 40 AND iy BETWEEN 30 AND 33"))
+def src2_box(spark: SparkSession, d: str) -> DataFrame:
+    """Pixels within an area, whatever tile they lie in."""
+    path = shared_path(spark, "pixels")
+    tile = (F.floor(F.col("ix") / 16) * 4 + F.floor(F.col("iy") / 16)).alias("tile_id")
+    view(spark, d, "v_landcover").select(tile, F.col("ix").alias("lon"), F.col("iy").alias("lat"), F.col("class").cast("double").alias("value")).write.partitionBy("tile_id").parquet(path)
+    return S.tile_scan(spark, path, None, "long", (5.0, 30.0, 40.0, 33.0)).select(F.col("tile_id").cast("long").alias("tile_id"), "lon", "lat", "value")
+
+
+@query("snk1_grid_area", duckdb("v_dem", then="SELECT ix, iy, elevation FROM v_dem WHERE ix BETWEEN 10 AND 40 AND iy BETWEEN 20 AND 21"))
+def snk1_area(spark: SparkSession, d: str) -> DataFrame:
+    """An area of a written grid: folders off it are not read."""
+    path = shared_path(spark, "grid")
+    S.write_grid(dem_at(spark, d), path, 16)
+    return S.grid_area(spark, path, (10, 20, 40, 21), 16).select("ix", "iy", "elevation")
+
+
 @query("src3_grid_scan", duckdb("v_dem", then="SELECT ix, iy, elevation AS value FROM v_dem"))
 def src3(spark: SparkSession, d: str) -> DataFrame:
     path = shared_path(spark, "grid")

@@ -9,6 +9,13 @@ INSTANCES = "x double, y double, z double, rotation float, scale float, tilt_x f
 VERSION = 1
 
 
+def there(spark: SparkSession, path: str) -> bool:
+    """Whether a path (or a pattern) of any file system that Spark knows has files."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    return found is not None and len(found) > 0
+
+
 def tile_index(spark: SparkSession, path: str, path_column: str | None = None) -> DataFrame:
     """(tile_id, footprint columns, rel_path): the path column is the first whose name holds ``path``, unless given."""
     index = spark.read.parquet(path)
@@ -18,9 +25,13 @@ def tile_index(spark: SparkSession, path: str, path_column: str | None = None) -
     return index.withColumnRenamed(column, "rel_path")
 
 
-def tile_scan(spark: SparkSession, path: str, tiles: DataFrame | None = None, kind: str = "double") -> DataFrame:
-    """Pixels (tile_id, lon, lat, value) of a table partitioned by tile; with ``tiles``, of those alone, pruned at run time."""
-    pixels = spark.read.parquet(path).withColumn("value", F.col("value").cast(kind))
+def tile_scan(spark: SparkSession, path: str, tiles: DataFrame | None = None, kind: str = "double", box: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """Pixels (tile_id, lon, lat, value) of a table partitioned by tile; with ``tiles``, of those alone, pruned at run time; with ``box`` (west, south,
+    east, north) those within it, by comparisons that reach the scan and skip row groups."""
+    pixels = spark.read.parquet(path)
+    if box is not None:
+        pixels = pixels.where(F.col("lon").between(box[0], box[2]) & F.col("lat").between(box[1], box[3]))
+    pixels = pixels.withColumn("value", F.col("value").cast(kind))
     return pixels if tiles is None else pixels.join(tiles.select("tile_id").distinct(), "tile_id", "left_semi")
 
 
@@ -28,6 +39,13 @@ def grid_scan(spark: SparkSession, path: str, variable: str = "value") -> DataFr
     return spark.read.parquet(path).select("iy", "ix", F.col(variable).alias("value"))
 
 
+def grid_area(spark: SparkSession, path: str, box: tuple[int, int, int, int], chunk: int = 512) -> DataFrame:
+    """The cells of a grid of ``write_grid`` with ix, iy within a closed box (ix0, iy0, ix1, iy1); only folders of chunks that meet it are read."""
+    part = lambda i: F.split("chunk", "_")[i].cast("int")
+    near = part(0).between(box[1] // chunk, box[3] // chunk) & part(1).between(box[0] // chunk, box[2] // chunk)
+    return spark.read.parquet(path).where(near & F.col("ix").between(box[0], box[2]) & F.col("iy").between(box[1], box[3])).drop("chunk")
+
+
 def spectra_scan(spark: SparkSession, path: str, variable: str = "value") -> DataFrame:
     """(material_id, w, value) from parquet, or from csv with a header."""
     raw = spark.read.csv(path, header=True, inferSchema=True) if path.endswith(".csv") else spark.read.parquet(path)
@@ -46,8 +64,10 @@ def material_library_scan(spark: SparkSession, path: str) -> tuple[DataFrame, Da
 def ways_scan(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """(way_id, tags, geometry) of a road dump's ``elements``; what is malformed gives no rows.
 
-    A dump is one JSON object and is parsed by one task a file; with ``lines`` each line is an element, and Spark splits the files.
+    A dump is one JSON object and is parsed by one task a file; with ``lines`` each line is an element, and Spark splits the files. A missing path gives none.
     """
+    if not there(spark, path):
+        return spark.createDataFrame([], "way_id bigint, tags map<string,string>, geometry array<struct<lat:double,lon:double>>")
     element = "type string, id bigint, tags map<string,string>, geometry array<struct<lat:double,lon:double>>"
     if lines:
         e = spark.read.schema(element).json(path, mode="PERMISSIVE")
@@ -57,8 +77,16 @@ def ways_scan(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     return e.where("type = 'way'").select(F.col("id").alias("way_id"), "tags", "geometry")
 
 
-def footprints_scan(spark: SparkSession, paths: list[str], box: tuple[float, float, float, float]) -> DataFrame:
-    """Footprints of all files whose bounds meet the box; the comparison reaches the scan."""
+def footprints_scan(spark: SparkSession, paths: list[str], box: tuple[float, float, float, float], epsg: int = 4326) -> DataFrame:
+    """Footprints of all files whose bounds meet the box; the comparison reaches the scan. Missing files are left out; none at all gives no rows.
+
+    The box is in degrees, so footprints of a projected system (EPSG codes outside those of the geographic ones) are an error.
+    """
+    if not 4000 < epsg < 5000:
+        raise ValueError(f"footprints must be in degrees, not in EPSG:{epsg}")
+    paths = [p for p in paths if there(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], "building_id bigint, xmin double, ymin double, xmax double, ymax double")
     return spark.read.parquet(*paths).where((F.col("xmin") <= box[2]) & (F.col("xmax") >= box[0]) & (F.col("ymin") <= box[3]) & (F.col("ymax") >= box[1]))
 
 
@@ -83,6 +111,9 @@ def write_instances(df: DataFrame, path: str) -> None:
 
 
 def read_instances(spark: SparkSession, path: str) -> DataFrame:
+    """Instances again; a missing path has none."""
+    if not there(spark, path):
+        return spark.createDataFrame([], INSTANCES)
     return spark.read.schema(INSTANCES).parquet(path)
 
 
@@ -98,8 +129,10 @@ def write_roads(segments: DataFrame, path: str) -> None:
 
 
 def read_roads(spark: SparkSession, path: str) -> DataFrame:
-    """Segments again; another version gives no rows. Files of a JSON line a material with its nested segments are read as well."""
+    """Segments again; another version or a missing path gives no rows. Files of a JSON line a material with its nested segments are read as well."""
     one = "road_id bigint, seg int, x1 double, y1 double, x2 double, y2 double, width double"
+    if not there(spark, path):
+        return spark.createDataFrame([], f"{one}, material string")
     nested = f"segments array<struct<{one.replace(' ', ':').replace(',:', ', ')}>>"
     rows = spark.read.schema(f"material string, version int, {one}, {nested}").json(path).where(F.col("version") == VERSION)
     own = F.array(F.struct("road_id", "seg", "x1", "y1", "x2", "y2", "width"))
