@@ -108,6 +108,44 @@ FROM p LEFT JOIN f USING (payload_digest)
 """
 
 
+def _tree(name: str, by: str, levels: int) -> tuple[str, str, str]:
+    """SQL of a tree of 16 over rows ``name`` (tree, rank, total, x: the digest to fold): CTEs, joins of its levels to ``t``, and of each level
+    the pieces (before, after) of a witness."""
+    ctes = [f"{name}0 AS (SELECT tree, rank AS i, total AS c, {by} AS digest FROM {name})"]
+    joins = []
+    for k in range(levels):
+        ctes.append(f"{name}g{k} AS (SELECT tree, i // 16 AS p, any_value(c) AS c, list(digest ORDER BY i) AS ds FROM {name}{k} GROUP BY 1, 2)")
+        ctes.append(f"{name}{k + 1} AS (SELECT tree, p AS i, (c + 15) // 16 AS c, CASE WHEN c = 1 THEN ds[1] ELSE sha256(array_to_string(ds, '')) END AS digest FROM {name}g{k})")
+        joins.append(f"JOIN {name}g{k} ON {name}g{k}.tree = t.{name}_tree AND {name}g{k}.p = t.{name}_rank // {16 ** (k + 1)}")
+    return ", ".join(ctes), " ".join(joins), f"{name}{levels}"
+
+
+def _op12_sql(levels: int = 6, crowns: int = 3) -> str:
+    """Levels of a source's tree and of the tree of sources: for up to 16 ** levels rows a source."""
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR END"
+    leaf = lambda text: "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+    crc = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(doc_id::VARCHAR) + 1), lambda i: ascii(substr(CAST(doc_id AS VARCHAR), i, 1))::BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda s, z: xor(s >> 1, CASE WHEN s % 2 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))), 4294967295::BIGINT)"
+    own, own_joins, tip = _tree("a", "leaf", levels)
+    top, top_joins, root = _tree("r", "digest", crowns)
+    steps, folded = [], "x"
+    for name, n in (("a", levels), ("r", crowns)):
+        for k in range(n):
+            g, at = f"{name}g{k}", f"(t.{name}_rank // {16**k}) % 16"
+            before, after = (f"CASE WHEN {g}.c = 1 THEN '' ELSE array_to_string({g}.ds[{span}], '') END" for span in (f"1:({at})", f"({at}) + 2:16"))
+            steps.append((f"{before} AS b{len(steps)}", f"{after} AS e{len(steps)}", f"{g}.c AS c{len(steps)}"))
+    n = len(steps)
+    chain = []
+    for k in range(n):
+        chain.append(f"f{k + 1} AS (SELECT *, CASE WHEN c{k} = 1 THEN y{k} ELSE sha256(b{k} || y{k} || e{k}) END AS y{k + 1} FROM f{k})")
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""WITH d AS (SELECT *, coalesce('=' || source, '-') AS tree, {leaf("text")} AS leaf, coalesce({crc} % 5 = 0, false) AS hit FROM documents),
+a AS (SELECT *, CASE WHEN hit THEN {leaf(lower)} ELSE leaf END AS x, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, count(*) OVER (PARTITION BY tree) AS total FROM d),
+{own}, r AS (SELECT '' AS tree, tree AS name, digest, row_number() OVER (ORDER BY tree) - 1 AS rank, count(*) OVER () AS total FROM {tip}), {top},
+t AS (SELECT a.doc_id, a.leaf, a.x, a.tree AS a_tree, a.rank AS a_rank, r.tree AS r_tree, r.rank AS r_rank, r.digest AS subroot, (SELECT digest FROM {root}) AS root FROM a JOIN r ON r.name = a.tree),
+f0 AS (SELECT t.doc_id, t.leaf, t.subroot, t.root, t.x AS y0, {', '.join(c for step in steps for c in step)} FROM t {own_joins} {top_joins}), {', '.join(chain)}
+SELECT doc_id, leaf, subroot, root, sha256({' || '.join(f'b{k} || e{k}' for k in range(n))}) AS proof_sha256, y{n} AS folded_root, y{n} = root AS verified FROM f{n}"""
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
 
@@ -166,4 +204,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_quality_votes": op13_quality_votes,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL, "op7_warc": OP7_SQL}
+ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL, "op7_warc": OP7_SQL, "op12_merkle": _op12_sql()}
