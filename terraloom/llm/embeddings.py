@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terraloom.llm.minhash import _groups, _roots
-from terraloom.llm.shared import connected, mix, saved
+from terraloom.llm.shared import connected, drop, mix, saved
 
 TABLES = 3
 PROBES = 6  # neighbouring cells in which a vector looks, by how near their facets are
@@ -109,6 +109,44 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield pa.record_batch({"rep": pa.array(own_rep), "tab": pa.array(np.full(len(cell), t, np.int32)), "cell": pa.array(cell), "lives": pa.array(lives)})
 
 
+def _coarse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Unit vectors in a byte a component, with the step and the length of what the rounding leaves out."""
+    for batch in batches:
+        for rep, unit in _by_length(batch.column(0).to_numpy(), batch.column(1).to_pylist()):
+            step = np.abs(unit).max(1) / 127
+            bytes_ = np.rint(unit / step[:, None]).astype(np.int8)
+            rest = np.sqrt(((unit - bytes_ * step[:, None]) ** 2).sum(1))
+            yield pa.record_batch({"rep": pa.array(rep), "coarse": pa.array([r.tobytes() for r in bytes_], pa.binary()), "step": pa.array(step), "rest": pa.array(rest)})
+
+
+def may_reach(q: np.ndarray, rest: np.ndarray, left: np.ndarray, held: np.ndarray, least: float) -> np.ndarray:
+    """Whether rounded vectors may have a cosine of ``least``: what the rounding leaves out adds as much as its lengths allow."""
+    size = np.sqrt((q * q).sum(1))
+    slack = size[left][:, None] * rest[held] + rest[left][:, None] * size[held] + rest[left][:, None] * rest[held]
+    return q[left] @ q[held].T + slack >= least - 1e-9
+
+
+def _candidates(least: float):
+    """Rows of units that may have a link in their unit, by rounded vectors; no link is lost."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in _groups(batches, ["unit"]):
+            unit = piece.column("unit").to_numpy()
+            for at in np.split(np.arange(len(unit)), np.flatnonzero(np.diff(unit)) + 1):
+                part = piece.slice(int(at[0]), len(at))
+                right, rep = part.column("right").to_numpy(), part.column("rep").to_numpy()
+                left, held = np.flatnonzero(~right), np.flatnonzero(right)
+                if not len(left) or not len(held):
+                    continue
+                q = np.frombuffer(b"".join(part.column("coarse").to_pylist()), np.int8).reshape(len(at), -1) * part.column("step").to_numpy()[:, None]
+                near = may_reach(q, part.column("rest").to_numpy(), left, held, least) & (rep[left][:, None] != rep[held])
+                some = np.r_[left[near.any(1)], held[near.any(0)]]
+                if len(some):
+                    yield from part.select(["rep", "tab", "lives", "right", "unit"]).take(pa.array(np.sort(some))).combine_chunks().to_batches()
+
+    return run
+
+
 def _linked(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in _groups(batches, ["unit"]):
@@ -194,8 +232,14 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_id",
         place = (F.col("other"), F.col("own")) if right else (F.col("own"), F.col("other"))
         return side.select("rep", "tab", "lives", F.lit(right).alias("right"), F.xxhash64("tab", "cell", *place).alias("unit"))
 
-    both = dealt(placed, False).unionByName(dealt(placed.where("lives"), True)).join(reps.select("rep", "weight", "vec"), "rep")
+    # a byte a component goes to every unit; whole vectors only to units where these leave a link possible
+    coarse = saved(reps.select("rep", "vec").mapInArrow(_coarse, "rep long, coarse binary, step double, rest double"), "coarse")
+    each = dealt(placed, False).unionByName(dealt(placed.where("lives"), True)).join(coarse, "rep")
+    likely = saved(each.repartition("unit").sortWithinPartitions("unit").mapInArrow(_candidates(least), "rep long, tab int, lives boolean, right boolean, unit long"), "likely")
+    drop(cell, coarse)
+    both = likely.join(reps.select("rep", "weight", "vec"), "rep")
     found = saved(both.repartition("unit").sortWithinPartitions("unit").mapInArrow(_linked(least), "rep long, links long, root long"), "found")
+    drop(likely)
     degree = found.groupBy("rep").agg(F.sum("links").alias("links"))
     labels = connected(found.where("rep != root").select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnsRenamed({"node": "rep"})
     known = reps.select("mark", "rep", "weight").join(degree, "rep", "left").join(labels, "rep", "left")
