@@ -13,11 +13,51 @@ from pyspark.sql import functions as F
 
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"(?<=[.!?;])\s+")
+#: Spellings that count as one.
+VARIANTS: dict[str, str] = {
+    "acknowledgement": "acknowledgment",
+    "analogue": "analog",
+    "authorisation": "authorization",
+    "authorised": "authorized",
+    "favour": "favor",
+    "fulfil": "fulfill",
+    "judgement": "judgment",
+    "labelled": "labeled",
+    "licence": "license",
+    "licenced": "licensed",
+    "licences": "licenses",
+    "modelled": "modeled",
+    "organisation": "organization",
+    "organisations": "organizations",
+    "programme": "program",
+    "recognise": "recognize",
+    "sublicence": "sublicense",
+    "unauthorised": "unauthorized",
+    "utilisation": "utilization",
+}
+_STEMS = tuple(sorted({k[:6] for k in VARIANTS}))
+_VARIANT = re.compile(rf"\b(?:{'|'.join(sorted(VARIANTS, key=len, reverse=True))})\b")
+# what begins a line and says nothing: marks of comments and of lists, and then a copyright statement with the line it takes
+_LEAD = re.compile(r"^[ \t]*(?:[*#/;%>|\u2022-]+[ \t]*)*(?:\(?(?:[0-9]{1,2}|[a-z]|[ivx]{2,4})[.)][ \t]+)?(?:(?:copyright\b[ \t]*(?:\(c\)|\xa9|[0-9<\[{])|\(c\)[ \t]*[0-9<\[{]|\xa9)[^\n]*)?", re.M)
+_RIGHTS = re.compile(r"^[ \t]*all rights reserved\.?[ \t]*$", re.M)
+
+
+def normalised(text: str) -> str:
+    """Lower case, spellings made one, without copyright statements and the marks of comments and lists at line starts. Lines stay in place."""
+    low = text.lower()
+    if any(stem in low for stem in _STEMS):
+        low = _VARIANT.sub(lambda m: VARIANTS[m[0]], low)
+    low = _LEAD.sub("", low)
+    return _RIGHTS.sub("", low) if "all rights reserved" in low else low
+
 
 #: Short notices by which works name their licence, by SPDX identifier. Callers may give templates of their own.
 NOTICES: dict[str, tuple[str, ...]] = {
     "AGPL-3.0": ("This work is licensed under the GNU Affero General Public License, version 3.", "Licensed under the GNU AGPL, version 3."),
     "Apache-2.0": ("Licensed under the Apache License, Version 2.0.", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
+    "0BSD": ("Released under the Zero-Clause BSD License.",),
+    "Artistic-2.0": ("Released under the Artistic License 2.0.",),
+    "BSL-1.0": ("Distributed under the Boost Software License, Version 1.0.",),
     "BSD-2-Clause": ("Released under the BSD 2-Clause License.", "Licensed under the Simplified BSD License."),
     "BSD-3-Clause": ("Released under the BSD 3-Clause License.", "Licensed under the New BSD License."),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -30,13 +70,15 @@ NOTICES: dict[str, tuple[str, ...]] = {
     "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",),
     "MIT": ("Released under the MIT License.", "Licensed under the MIT License."),
     "MPL-2.0": ("Released under the Mozilla Public License, version 2.0.", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    "PSF-2.0": ("Released under the Python Software Foundation License Version 2.",),
+    "Zlib": ("Released under the zlib License.",),
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
 }
 
 
 def bigrams(text: str) -> frozenset[tuple[str, str]]:
-    """Word bigrams of normalised text (lower case, letters and digits); a single word stands with an empty partner."""
-    words = _WORD.findall(text.lower())
+    """Word bigrams of a normalised text (letters and digits); a single word stands with an empty partner."""
+    words = _WORD.findall(text)
     return frozenset(zip(words, words[1:])) if len(words) > 1 else frozenset((w, "") for w in words)
 
 
@@ -51,7 +93,7 @@ def full_texts() -> dict[str, tuple[str, ...]]:
 
 class Templates:
     def __init__(self, templates: dict[str, tuple[str, ...]], least: float):
-        self.sets = [(name, bigrams(t)) for name, texts in sorted(templates.items()) for t in texts]
+        self.sets = [(name, bigrams(normalised(t))) for name, texts in sorted(templates.items()) for t in texts]
         self.least, self.holders = least, {}
         for i, (_, grams) in enumerate(self.sets):
             for g in grams:
@@ -63,7 +105,7 @@ class Templates:
         self.single = any(not g[1] for g in self.holders)
 
     def best(self, text: str) -> tuple[float, str] | None:
-        """The likest template within the size bounds, if it reaches the limit; of equals, the first by name."""
+        """The likest template for a normalised text within the size bounds, if it reaches the limit; of equals, the first by name."""
         grams = bigrams(text)
         n = len(grams)
         if not self.low <= n <= self.high:
@@ -134,7 +176,8 @@ class Templates:
 
     def scan(self, text: str) -> list[dict]:
         """Licences of the whole text, of its lines, of the sentences of lines that are none themselves, and of runs of words elsewhere."""
-        words = _WORD.findall(text.lower())
+        text = normalised(text)
+        words = _WORD.findall(text)
         likely = self.likely(words)
         if not likely:
             return []
@@ -149,12 +192,12 @@ class Templates:
             take(-1, hit[1], -hit[0], 0, len(words))
         for i, line in enumerate(text.split("\n")):
             at = len(line_of)
-            line_of += [i] * len(_WORD.findall(line.lower()))
+            line_of += [i] * len(_WORD.findall(line))
             if hit := self.best(line):
                 take(i, hit[1], -hit[0], at, len(line_of))
             elif any(c in line for c in ".!?;"):
                 for s in _SENTENCE.split(line):
-                    n = len(_WORD.findall(s.lower()))
+                    n = len(_WORD.findall(s))
                     if hit := self.best(s):
                         take(i, hit[1], -hit[0], at, at + n)
                     at += n
@@ -170,7 +213,7 @@ class Templates:
 def licences(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Licence notices in every whole text: ``(doc_id, matches array<struct<line, licence, dice>>)``, one row for each input row.
 
-    A segment (the whole text: line -1; a line; a sentence of a line that is none itself) matches the template of the highest Dice coefficient
+    Texts and templates are compared as ``normalised``: without copyright statements and list marks, spelling variants as one. A segment (the whole text: line -1; a line; a sentence of a line that is none itself) matches the template of the highest Dice coefficient
     over word bigrams if that is at least ``least``. Any other run of words that reaches the limit (full texts in longer ones, notices wrapped over
     lines or inside a line) counts with its first line, unless a match of like or larger size overlaps it; templates of a single word match
     segments alone. Texts are passed over if they hold too few distinct bigrams of every template. The default templates are ``NOTICES`` and the

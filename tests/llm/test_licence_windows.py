@@ -59,3 +59,46 @@ def test_windows_equal_brute_force(noise):
     best = max(dice(a, b) for a in range(len(pairs)) for b in range(a + 1, len(pairs) + 1))
     got = [d for *_, d in t.windows(pairs, 0)]
     assert bool(got) == (best >= 0.8) and (not got or abs(max(got) - best) < 0.1)
+
+
+def test_spelling_marks_and_copyright_lines_do_not_count(spark):
+    mit = TEXTS["MIT"][0]
+    british = mit.replace("license", "licence").replace("sublicense", "sublicence")
+    marked = "Copyright (c) 2021-2024 A Person and Others\nCopyright © 2019 Somebody Else\nAll rights reserved.\n\n" + "\n".join(f"// {x}" for x in mit.split("\n"))
+    bsd = TEXTS["BSD-3-Clause"][0]
+    letters = bsd.replace("1. ", "(a) ").replace("2. ", "(b) ").replace("3. ", "(c) ")
+    got = found(spark, [british, marked, letters, "This licence is granted.\n1. Copyright law applies to it in every country of the world."])
+    assert {x for _, x in got[0]} == {x for _, x in got[1]} == {"MIT"} and {x for _, x in got[2]} == {"BSD-3-Clause"} and got[3] == []
+    assert L.normalised("a. Licence\n* Copyright (c) 2020 X\nAll rights reserved.\nThe copyright notice") == "license\n\n\nthe copyright notice"
+
+
+def test_segments_of_the_query_equal_brute_force(spark):
+    """Every document of the query: whole texts, lines and sentences against all templates, pair by pair."""
+    from terraloom.llm.registry import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    full = L.full_texts()
+    sets = [(name, L.bigrams(L.normalised(t))) for name in sorted(L.NOTICES.keys() | full.keys()) for t in L.NOTICES.get(name, ()) + full.get(name, ())]
+
+    def best(segment):
+        grams = L.bigrams(segment)
+        dice = [(2 * len(grams & s) / (len(grams) + len(s)), name) for name, s in sets if grams]
+        top = max((d for d, _ in dice), default=0)
+        return (min(n for d, n in dice if d == top), top) if top >= 0.8 else None
+
+    got = {r.doc_id: r for r in QUERIES["op2_licences"](spark, folder).collect()}
+    some = 0
+    for r in spark.read.parquet(f"{folder}/documents.parquet").collect():
+        text, want = L.normalised(r.text or ""), []
+        want += [best(text)]
+        for line in text.split("\n"):
+            hit = best(line)
+            want += [hit] if hit or not any(c in line for c in ".!?;") else [best(s) for s in L._SENTENCE.split(line)]
+        want = [w for w in want if w]
+        some += bool(want)
+        names = set(got[r.doc_id].licences.split(",")) - {""}
+        assert {n for n, _ in want} <= names and got[r.doc_id].n_matches >= len(want)
+        assert not want or abs(got[r.doc_id].best_dice - max(d for _, d in want)) < 1e-12 or got[r.doc_id].best_dice > max(d for _, d in want)
+        if got[r.doc_id].n_matches == len(want):
+            assert names == {n for n, _ in want}
+    assert some >= 3
