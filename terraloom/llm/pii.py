@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from importlib.resources import files
 from itertools import accumulate
 
 import numpy as np
@@ -12,14 +13,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KINDS = ("email", "ip", "card", "phone", "secret")
-#: Words that stand before credentials, and before contact data.
-SECRET_WORDS = ("password", "passwd", "pwd", "token", "secret", "apikey", "api_key", "access_key", "credential")
-CONTACT_WORDS = ("mail", "call", "phone", "tel", "fax", "contact", "card", "visa", "account", "address", "host", "server")
-#: Heads of well-known credential formats, first digits of payment cards, and country calling codes of one and two digits.
+KINDS = ("email", "ip", "card", "phone", "secret", "address")
+SECRET, ADDRESS = 4, 5
+
+
+def gazetteer(name: str) -> tuple[str, ...]:
+    """The entries of one of the package's lists, a line each."""
+    return tuple(files("terraloom.llm").joinpath("gazetteers", f"{name}.txt").read_text(encoding="utf-8").split("\n")[:-1])
+
+
+#: Words that stand before credentials, and before contact data, in English, German, French and Spanish; words of streets; cities.
+SECRET_WORDS, CONTACT_WORDS, STREETS, PLACES = map(gazetteer, ("secret_words", "contact_words", "street_words", "places"))
+#: Heads of well-known credential formats, first digits of payment cards, country calling codes of one and two digits, and the
+#: zones in which codes have three.
 CREDENTIALS = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "npm_", "pypi-", "sk_live_", "rk_live_", "xoxb-", "xoxp-", "eyJ")
 ISSUERS = ("2", "3", "4", "5", "6")
 CALLING = tuple("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+CALLING += tuple("21 22 23 24 25 26 29 35 37 38 42 50 59 67 68 80 85 87 88 96 97 99".split())
 CONTEXT = 24  # characters before a span that the context labeler reads
 SHAPES = 4  # buckets of each shape feature
 LABELERS = 4
@@ -30,6 +40,20 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SECRET = re.compile(r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*+[0-9])(?=[0-9_/+-]*+[A-Za-z])[A-Za-z0-9_/+-]{12,}+")
+_UP, _LOW = "A-ZÀ-ÖØ-Þ", "a-zà-öø-ÿß"
+_BEFORE = "|".join(w for w in STREETS if w in ("avenida", "avenue", "boulevard", "calle", "camino", "carretera", "chemin", "impasse", "paseo", "place", "plaza", "quai", "route", "rue"))
+_AFTER = "|".join(sorted((f"{w.capitalize()}" for w in STREETS), key=len, reverse=True))
+_TAIL = "|".join(w for w in STREETS if w in ("allee", "damm", "gasse", "platz", "ring", "straße", "strasse", "ufer", "weg"))
+_STREET = rf"(?i:{_BEFORE})(?: (?:de|del|des|du|la|las|le|les|los|d'|l'))*(?: [{_UP}][{_LOW}'’-]+){{1,3}}"
+#: 12 High Street; rue de la Paix 5 and 5, rue de la Paix; Lindenstraße 7
+_ADDRESSES = (
+    re.compile(rf"(?<![0-9.,])[0-9]{{1,4}}[a-z]?,? (?:[{_UP}][{_LOW}'’-]+ ){{1,3}}(?:{_AFTER})\b"),
+    re.compile(rf"(?<![0-9.,])[0-9]{{1,4}}(?: bis| ter)?,? {_STREET}"),
+    re.compile(rf"\b{_STREET},? (?:n[.º°]{{1,2}} ?)?[0-9]{{1,4}}(?![0-9])"),
+    re.compile(rf"\b[{_UP}][{_LOW}-]*(?:{_TAIL}) [0-9]{{1,4}}[a-z]?(?![0-9A-Za-z])"),
+)
+_STREET_SIGNS = tuple(w for w in STREETS if w != "st")
+_POSTCODE = re.compile("(?<![0-9])[0-9]{4,5}(?![0-9])")
 _NOT_DIGIT = re.compile("[^0-9]+")
 _DIGITS = re.compile("[0-9]+")
 _SPANS = "array<struct<kind:int,start:int,end:int,base:boolean,code:int>>"
@@ -99,7 +123,14 @@ def raw_matches(text: str) -> list[tuple[int, int, int, bool]]:
         for m in _PHONE.finditer(text):
             found.append((3, *m.span(), 10 <= len(_NOT_DIGIT.sub("", m[0])) <= 15))
     for m in _SECRET.finditer(text):
-        found.append((4, *m.span(), False))
+        found.append((SECRET, *m.span(), False))
+    if _DIGITS.search(text) and (any(w in (low := text.lower()) for w in _STREET_SIGNS) or " St" in text):
+        spans = sorted((m.span() for p in _ADDRESSES for m in p.finditer(text) if any(c.isdigit() for c in m[0])), key=lambda x: (x[0], -x[1]))
+        last = 0
+        for a, b in spans:
+            if a >= last:
+                found.append((ADDRESS, a, b, False))
+                last = b
     return found
 
 
@@ -115,6 +146,12 @@ def votes(text: str, kind: int, start: int, end: int, passes: bool) -> tuple[int
     """Labelers' votes: 0 against, 1 for, 2 abstains. The gazetteers are words before the span, heads of credential formats,
     card issuers and calling codes; the context labeler reads what stands at either end."""
     span, before = text[start:end], text[max(0, start - CONTEXT) : start].lower()
+    if kind == ADDRESS:
+        after = text[end : end + 2 * CONTEXT]
+        named = [w for w in span.split() if w[:1].isupper()]
+        listed = any(p in after for p in PLACES)
+        cued = any(w in before for w in CONTACT_WORDS) or _POSTCODE.search(after) is not None
+        return int(bool(named)), 1 if listed else 2, int(cued or listed), int(2 <= len(span.split()) <= 8)
     words = SECRET_WORDS if kind == 4 else CONTACT_WORDS
     pattern = int(passes) if kind < 4 else int(re.fullmatch("[0-9a-f]{16,64}|[A-Za-z0-9_/+-]{20,}", span) is not None)
     listed = span.startswith(ISSUERS) if kind == 2 else span[1:].startswith(CALLING) if kind == 3 else kind == 4 and span.startswith(CREDENTIALS)
@@ -218,15 +255,15 @@ def train_classifier(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: i
 
 
 def accepted_codes(candidates: DataFrame, threshold: float = 0.9) -> list[int]:
-    """Codes of candidates that the trained span classifiers, one for credentials and one for contact data, take for personal data.
+    """Codes of candidates that the trained span classifiers, for credentials, street addresses and contact data, take for personal data.
 
-    Every candidate is counted; what reaches the driver is a row a code, and the codes are at most 5 * 3^4 * 4 * 4.
+    Every candidate is counted; what reaches the driver is a row a code, and the codes are at most 6 * 3^4 * 4 * 4.
     """
     seen = candidates.select(F.explode("spans").alias("s")).groupBy("s.code").count().collect()
     seen = sorted((int(r["code"]), int(r["count"])) for r in seen)
     good = []
-    for secret in (True, False):  # they have labelers of their own
-        mine = [(c, n, unpack(c)) for c, n in seen if (unpack(c)[0] == 4) == secret]
+    for own in ((SECRET,), (ADDRESS,), (0, 1, 2, 3)):  # they have labelers of their own
+        mine = [(c, n, unpack(c)) for c, n in seen if unpack(c)[0] in own]
         if not mine:
             continue
         count = np.array([n for _, n, _ in mine], float)
@@ -234,8 +271,9 @@ def accepted_codes(candidates: DataFrame, threshold: float = 0.9) -> list[int]:
         x = np.array([span_features(*p) for _, _, p in mine])
         score = 1 / (1 + np.exp(-np.clip(x @ train_classifier(x, post, count), -30, 30)))
         for (code, _, (_, vote, _, _)), p in zip(mine, score, strict=True):
-            # a credential must be named as one or assigned, as shape alone marks clean words too; contact data must pass the check of its kind
-            if p >= threshold and (vote[1] == 1 or vote[2] == 1 if secret else vote[0] == 1):
+            # a credential must be named as one or assigned, as shape alone marks clean words too, and an address have a place, a postcode or
+            # a word of contact beside it; contact data must pass the check of its kind
+            if p >= threshold and (vote[0] == 1 if own[0] == 0 else vote[1] == 1 or vote[2] == 1):
                 good.append(code)
     return good
 
@@ -248,7 +286,7 @@ def joined(spans: Column) -> Column:
 def personal_data(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Spans of personal data in every whole text: ``(doc_id, spans array<struct<kind, start, end, base>>)``, a row for each input row.
 
-    Base patterns (e-mail, IP, card, phone) always stand. Credentials, and phone and card numbers inside failing base matches (a phone
+    Base patterns (e-mail, IP, card, phone) always stand. Credentials, street addresses (English, French, Spanish and German forms), and phone and card numbers inside failing base matches (a phone
     number that a card number follows), are added where the classifier, trained on labels that expectation-maximisation draws
     from the votes of pattern, gazetteer, context and shape labelers, takes them. Offsets are code points.
     Null or empty texts have no spans. Ids may be null or repeat; other columns are ignored; an empty table gives no rows.

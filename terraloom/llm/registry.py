@@ -18,7 +18,7 @@ from terraloom.llm.merkle import folded, leaf_digest, merkle_manifest, siblings
 from terraloom.llm.minhash import near_duplicates
 from terraloom.llm.mixing import mixed
 from terraloom.llm.neighbours import fit_votes, vote_scores
-from terraloom.llm.pii import KINDS, joined, personal_data
+from terraloom.llm.pii import ADDRESS, KINDS, SECRET, joined, personal_data
 from terraloom.llm.quality import fit_crf, quality_rules
 from terraloom.llm.runs import highest, looped, periodic_runs
 from terraloom.llm.shared import fresh_path
@@ -79,8 +79,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["base"])
     counts = [F.size(F.array_compact(F.transform(base, lambda s: F.nullif(s["kind"] == F.lit(kind), F.lit(False))))) for kind in range(4)]
     counts = [n.cast("long").alias(f"n_{KINDS[kind]}") for kind, n in enumerate(counts)]
-    secret = F.size(F.filter("spans", lambda s: s["kind"] == 4)).cast("long").alias("n_secret")
-    return found.select("doc_id", *counts, secret, F.size("spans").cast("long").alias("n_spans"), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    added = [F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}") for kind in (SECRET, ADDRESS)]
+    return found.select("doc_id", *counts, *added, F.size("spans").cast("long").alias("n_spans"), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
 OP6_SQL = r"""
