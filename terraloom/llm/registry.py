@@ -21,7 +21,7 @@ from terraloom.llm.neighbours import fit_votes, vote_scores
 from terraloom.llm.pii import ADDRESS, KINDS, SECRET, joined, personal_data
 from terraloom.llm.quality import fit_crf, quality_rules
 from terraloom.llm.runs import highest, looped, periodic_runs
-from terraloom.llm.shared import fresh_path
+from terraloom.llm.shared import drop, fresh_path, remove
 from terraloom.llm.token_files import read_token_files, write_token_files
 from terraloom.llm.warc import normalise, read_records, revisits, write_archives
 
@@ -66,8 +66,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = write_archives(revisits(table(spark, sf_dir, "pages")), fresh_path(spark, "warc-raw"))
-    return read_records(normalise(raw, fresh_path(spark, "warc")))
+    at = fresh_path(spark, "warc-raw")
+    raw = write_archives(revisits(table(spark, sf_dir, "pages")), at)
+    members = normalise(raw, fresh_path(spark, "warc"))
+    drop(raw)
+    remove(spark, at)  # the members hold all of it
+    return read_records(members)
 
 
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,19 +113,28 @@ def manifest(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def spread(files: DataFrame) -> DataFrame:
-    """A manifest dealt one file a partition: the work is in the files that the rows name."""
-    return files.repartition(max(1, files.count()), "path")
+    """A manifest dealt by ranges of paths, about one file a partition: the work is in the files that the rows name."""
+    return files.repartitionByRange(max(1, files.count()), "path")
 
 
-def records_of(stream: io.RawIOBase | pa.NativeFile) -> Iterator[bytes]:
-    """Records of a gzip file, inflated once in a running window, whatever its members are."""
-    unpack, held = zlib.decompressobj(31), bytearray()
+def inflated(stream: io.RawIOBase | pa.NativeFile) -> Iterator[bytes]:
+    """What the members of a gzip file hold, in pieces of _CHUNK bytes at most, however far a few bytes inflate."""
+    unpack = zlib.decompressobj(31)
     while chunk := stream.read(_CHUNK):
         while chunk:
-            held += unpack.decompress(chunk)
-            chunk = unpack.unused_data
+            yield unpack.decompress(chunk, _CHUNK)
+            chunk = unpack.unconsumed_tail
             if unpack.eof:
-                unpack = zlib.decompressobj(31)
+                chunk, unpack = unpack.unused_data, zlib.decompressobj(31)
+        while not unpack.eof and (rest := unpack.decompress(b"", _CHUNK)):
+            yield rest
+
+
+def records_of(stream: io.RawIOBase | pa.NativeFile) -> Iterator[bytes]:
+    """Records of a gzip file, inflated once in a running window, whatever its members are."""
+    held = bytearray()
+    for piece in inflated(stream):
+        held += piece
         at = 0
         while (end := held.find(b"\r\n\r\n", at)) >= 0:
             head = bytes(held[at:end])

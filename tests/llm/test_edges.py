@@ -328,3 +328,17 @@ def test_credentials_of_known_formats_need_no_name(spark):
     found = {r.doc_id: r.spans for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string"), fresh_path(spark, "pii")).collect()}
     assert [(s.kind, s.start, s.end) for s in found[40]] == [(4, 3, 23)]
     assert all(len(found[i]) == 1 for i in range(30)) and not found[41] and not found[42]
+
+
+def test_a_few_bytes_that_inflate_to_many_come_in_pieces():
+    import io
+    import zlib
+
+    big = b"a" * (9 * warc._CHUNK) + b"end"
+    pack = zlib.compressobj(9, zlib.DEFLATED, 31)
+    member = pack.compress(big) + pack.flush()
+    small = zlib.compressobj(4, zlib.DEFLATED, 31)
+    data = member + small.compress(b"tail") + small.flush() + member
+    pieces = list(warc.inflated(io.BytesIO(data)))
+    assert max(map(len, pieces)) <= warc._CHUNK and b"".join(pieces) == big + b"tail" + big
+    assert list(warc.inflated(io.BytesIO(b""))) == []
