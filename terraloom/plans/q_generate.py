@@ -209,7 +209,18 @@ def gen11(spark: SparkSession, d: str) -> DataFrame:
     return refined(spark, d).select("level", "i", "j")
 
 
-@query("gen12_balance_cells")
+def _balanced(depth: int = 5) -> str:
+    """Cells of every level, from the finest up: a cell asks for itself and its four neighbours one level up, and cells come in fours."""
+    out = [f"o AS (SELECT h.l, h.i, h.j FROM h LEFT JOIN h p ON p.l = h.l - 1 AND p.i = h.i // 2 AND p.j = h.j // 2 WHERE coalesce(p.hit, true))", f"n{depth} AS (SELECT i, j FROM o WHERE l = {depth})"]
+    for m in range(depth, 0, -1):
+        asked = f"SELECT DISTINCT (i + a) // 2 AS i, (j + b) // 2 AS j FROM n{m}, (VALUES (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)) s(a, b) WHERE i + a BETWEEN 0 AND {(1 << m) - 1} AND j + b BETWEEN 0 AND {(1 << m) - 1}"
+        fours = f"SELECT i // 2 * 2 + a AS i, j // 2 * 2 + b AS j FROM ({asked}) q, (VALUES (0, 0), (1, 0), (0, 1), (1, 1)) f(a, b)" if m > 1 else asked
+        out.append(f"n{m - 1} AS (SELECT i, j FROM o WHERE l = {m - 1} UNION {fours})")
+    leaves = " UNION ALL ".join(f"SELECT {m} AS level, n.i, n.j FROM n{m} n" + (f" WHERE NOT EXISTS (SELECT 1 FROM n{m + 1} c WHERE c.i // 2 = n.i AND c.j // 2 = n.j)" if m < depth else "") for m in range(depth + 1))
+    return _CELLS[: _CELLS.rindex("SELECT h.l AS level")].rstrip() + f", {', '.join(out)} {leaves}"
+
+
+@query("gen12_balance_cells", duckdb("v_zones", then=_balanced()))
 def gen12(spark: SparkSession, d: str) -> DataFrame:
     return T.balance_cells(refined(spark, d)).select("level", "i", "j")
 

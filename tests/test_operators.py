@@ -90,7 +90,18 @@ def test_clusters_have_distinct_palettes(spark):
 
 
 def test_vegetation_avoids_zones(spark):
-    assert QUERIES["gen13_vegetation"](spark, FOLDER).count() > 0
+    from terraloom.plans.views import view
+
+    plants = QUERIES["gen13_vegetation"](spark, FOLDER).toPandas()
+    zones = view(spark, FOLDER, "v_zones").where("radius > 0").collect()
+    assert len(plants) > 0 and len(zones) > 3
+    for z in zones:
+        assert ((plants.x - z.cx) ** 2 + (plants.y - z.cy) ** 2 > z.radius**2).all()
+    free = view(spark, FOLDER, "v_landcover").where("class in (10, 20, 30)").count()
+    assert plants[["x", "y"]].drop_duplicates().shape[0] > free / 10  # the zones leave most of the scene to them
+
+
+def test_diversified_pixels_take_new_indices(spark):
     painted = QUERIES["gen10_diversify"](spark, FOLDER)
     assert painted.where("idx > 1").count() > 0
 
