@@ -204,9 +204,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     # groups grow with the corpus: their texts come by a shuffle at every size, never by a broadcast that only small inputs allow
     text = one.withColumnRenamed("doc_id", "rep").hint("merge").join(group, "rep").select("rep", "grp", "text")
     sets = saved(text.mapInArrow(_sets(k), "rep long, grp long, shingles binary"), "sets")
-    links = saved(_compared(sets, group, percent), "links")
-    drop(sets, group)
-    labels = connected(links).withColumnsRenamed({"node": "rep", "component": "component_id"})
+    links = _compared(sets, group, percent)
+    labels = saved(connected(links), "labels")
+    drop(sets, group, links)
+    labels = labels.withColumnsRenamed({"node": "rep", "component": "component_id"})
     return (
         sig.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("f1")).alias("f1"), F.when(F.col("n") > 0, F.col("f2")).alias("f2"))
         .join(classes, ["f1", "f2"], "left")
@@ -217,16 +218,39 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
 
 def _compared(sets: DataFrame, group: DataFrame, percent: int) -> DataFrame:
-    """Exact links within candidate groups, each group cut in blocks and every two blocks compared in a unit of their own."""
-    blocks = group.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = sets.join(blocks, "grp").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-    # block x meets every other block y in unit (min, max); the pairs within x are taken in the unit (x, x)
-    dealt = placed.select("rep", "grp", "shingles", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    """Exact links within candidate groups, enough of them to connect what all links connect.
+
+    A group is cut in blocks, and each block is compared within itself and with one member of the group, its pivot. Whatever that links to the pivot, the
+    core, is connected; so only the rest is compared with all others, in units of two blocks. A group of copies near one text thus costs some passes over it,
+    not the square of its size. Sets are fetched once for each unit that they take part in.
+    """
+    sizes = group.groupBy("grp").agg(F.count("*").alias("n"), F.min("rep").alias("pivot"))
+    placed = group.join(sizes, "grp").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    all_ = F.sequence(F.lit(0), F.col("blocks") - 1)
+    block = F.explode(F.when(F.col("rep") == F.col("pivot"), all_).otherwise(F.array(F.pmod(F.xxhash64("rep"), "blocks").cast("int")))).alias("block")
+    own = placed.select("rep", "grp", "pivot", block).select("rep", F.xxhash64("grp", "block").alias("unit"), F.lit(0).alias("side"), (F.col("rep") != F.col("pivot")).alias("turn"))
+    first = saved(_linked_units(own, sets, percent), "links")
+    large = placed.where(f"n > {BLOCK}")
+    if large.isEmpty():
+        return first
+    core = first.join(large.select(F.col("pivot").alias("b")).distinct(), "b", "left_semi").select(F.col("a").alias("rep"), F.lit(True).alias("core")).distinct()
+    marked = saved(large.where("rep != pivot").select("rep", "grp").join(core, "rep", "left").withColumn("core", F.coalesce("core", F.lit(False))), "marked")
+    parts = marked.groupBy("grp").agg(F.ceil(F.count_if("core") / BLOCK).cast("int").alias("cb"), F.ceil(F.count_if(~F.col("core")) / BLOCK).cast("int").alias("rb")).where("rb > 0")
+    dealt = marked.join(parts, "grp").withColumn("block", F.pmod(F.xxhash64("rep", F.lit(1)), F.when(F.col("core"), F.col("cb")).otherwise(F.col("rb"))).cast("int"))
+    upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+    # a block of the rest meets every block of the core, and every block of the rest that is no smaller, itself among them
+    across = dealt.select("rep", "grp", "core", "block", F.explode(F.when(F.col("core"), upto("rb")).otherwise(upto("cb"))).alias("other"))
+    low, high = (F.when(F.col("core"), x).otherwise(y) for x, y in ((F.col("block"), F.col("other")), (F.col("other"), F.col("block"))))
+    across = across.select("rep", F.xxhash64("grp", F.lit("core"), low, high).alias("unit"), F.when(F.col("core"), 1).otherwise(2).alias("side"))
+    within = dealt.where("not core").select("rep", "grp", "block", F.explode(upto("rb")).alias("other"))
     low, high = F.least("block", "other"), F.greatest("block", "other")
-    units = dealt.select(
-        F.xxhash64("grp", low, high).alias("unit"),
-        "rep",
-        F.when(low == high, 0).when(F.col("block") == low, 1).otherwise(2).cast("int").alias("side"),
-        "shingles",
-    )
-    return units.repartitionByRange("unit").sortWithinPartitions("unit").mapInArrow(_exact_links(percent), "a long, b long").distinct()
+    within = within.select("rep", F.xxhash64("grp", F.lit("rest"), low, high).alias("unit"), F.when(low == high, 0).when(F.col("block") == low, 1).otherwise(2).alias("side"))
+    second = saved(_linked_units(across.unionByName(within).withColumn("turn", F.lit(True)), sets, percent), "links")
+    drop(marked)
+    return first.unionByName(second)
+
+
+def _linked_units(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of rows (rep, unit, side, turn) whose full sets reach the limit, as a spanning forest of each unit from its first row on."""
+    rows = units.join(sets.select("rep", "shingles"), "rep").select("unit", "rep", "side", "shingles", "turn")
+    return rows.repartitionByRange("unit").sortWithinPartitions("unit", "turn").mapInArrow(_exact_links(percent), "a long, b long").distinct()

@@ -33,3 +33,43 @@ def test_links_equal_those_of_whole_vectors(spark):
     got = {r.vec_id: r.n_links for r in embeddings.near_vectors(frame).collect()}
     total = int(near.sum())
     assert all(got[i] <= near[i].sum() for i in got) and sum(got.values()) >= 0.95 * total > 50
+
+
+def test_large_groups_through_pivots_equal_brute_force(spark, monkeypatch):
+    """Groups of several blocks: copies near one text, chains that reach far from it, and texts that one bucket throws together."""
+    from terraloom.llm import minhash
+
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "SMALL_BUCKET", 3)
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(60):  # near the first
+        words = list(base)
+        for k in rng.choice(60, rng.integers(0, 3), replace=False):
+            words[k] = f"x{rng.integers(1e9)}"
+        texts.append(words)
+    words = list(base)
+    for i in range(40):  # a chain: each near the one before, the last far from the first
+        words = list(words)
+        words[i] = f"c{i}"
+        texts.append(words)
+    for i in range(40):  # far from all, but for a shared half
+        texts.append(base[:30] + [f"f{i}_{k}" for k in range(30)])
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = [{tuple(t[j : j + 2]) for j in range(len(t) - 1)} for t in texts]
+    label = list(range(len(rows)))
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                label[b] = a
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=2).collect()}
+    want = {i: root(i) for i in range(len(rows))}
+    assert got == want and len(set(want.values())) > 30
