@@ -236,13 +236,6 @@ def smp5(spark: SparkSession, d: str) -> DataFrame:
     return found.select("gx", "gy", *r6(v=F.col("v")))
 
 
-@query("smp5_reproject_utm")
-def smp5_utm(spark: SparkSession, d: str) -> DataFrame:
-    """A UTM composite of 10 m pixels (the elevation grid) on a scene grid of the same step, through both projections."""
-    cells = scene_grid(spark, 64, 10.0).select(F.col("ix").alias("gx"), F.col("iy").alias("gy"), "x", "y")
-    return SM.reproject_bilinear(dem_at(spark, d), cells, P.SceneProjection(-23.6, 15.1), 32733, (509_887.0, 7_389_739.0), 10.0, "elevation").select("gx", "gy", *r6(v=F.col("elevation")))
-
-
 @query("smp6_upsample", duckdb("v_landcover", then="SELECT ix * 3 + a AS ix, iy * 3 + b AS iy, class FROM v_landcover, range(3) t(a), range(3) u(b)"))
 def smp6(spark: SparkSession, d: str) -> DataFrame:
     return SM.upsample_nearest(view(spark, d, "v_landcover"), 3).select("ix", "iy", "class")

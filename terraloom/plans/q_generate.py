@@ -73,7 +73,15 @@ def gen5(spark: SparkSession, d: str) -> DataFrame:
     return V.instance_attributes(view(spark, d, "v_points"), 3, "pid").select("pid", *r6(rotation=F.col("rotation"), scale=F.col("scale"), tilt_x=F.col("tilt_x")))
 
 
-@query("gen6_min_spacing")
+_SPACED = f"""WITH RECURSIVE p AS (SELECT pid, x, y, {_U.format(seed=6, key='pid')} AS u, floor(x / 0.4) AS cx, floor(y / 0.4) AS cy FROM v_points),
+e AS (SELECT a.pid AS p, b.pid AS q FROM p a JOIN p b ON b.cx BETWEEN a.cx - 1 AND a.cx + 1 AND b.cy BETWEEN a.cy - 1 AND a.cy + 1 WHERE (a.x - b.x) ** 2 + (a.y - b.y) ** 2 < 0.4 ** 2 AND (b.u, b.pid) < (a.u, a.pid)),
+n AS (SELECT p, count(*) AS n FROM e GROUP BY p),
+s(pid, kept) USING KEY (pid) AS (SELECT pid, true AS kept FROM p WHERE pid NOT IN (SELECT p FROM e)
+ UNION ALL SELECT e.p, NOT bool_or(r.kept) FROM e JOIN recurring.s r ON r.pid = e.q JOIN n ON n.p = e.p WHERE e.p NOT IN (SELECT pid FROM recurring.s) GROUP BY e.p, n.n HAVING count(*) = n.n)
+SELECT pid, x, y FROM p JOIN s USING (pid) WHERE kept"""
+
+
+@query("gen6_min_spacing", duckdb("v_points", then=_SPACED))
 def gen6(spark: SparkSession, d: str) -> DataFrame:
     return V.min_spacing(view(spark, d, "v_points"), 0.4, 6).select("pid", "x", "y")
 

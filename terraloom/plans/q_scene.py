@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from terraloom.functions import projection as P
 from terraloom.operators import aggregates as A
 from terraloom.operators import compositing as C
+from terraloom.operators import sampling as SM
 from terraloom.operators import scene as Z
 from terraloom.operators import terrain as T
+from terraloom.operators.generate import scene_grid
 from terraloom.plans.q_aggregates import _FULL, _plane, agg4
-from terraloom.plans.q_filters import dem_at, r6
+from terraloom.plans.q_filters import _BILINEAR, _CORNERS, dem_at, r6
 from terraloom.plans.q_functions import _FORWARD, _HOTINE, CENTRE
 from terraloom.plans.registry import ORACLES, query
 from terraloom.plans.views import duckdb, view
@@ -46,6 +48,28 @@ def smp1_nearest(spark: SparkSession, d: str) -> DataFrame:
     return regridded(spark, d, "nearest", -1.0)
 
 
+_SOUTH = _HOTINE.replace("radians(45.0", "radians(-23.6").replace("radians(8.0", "radians(15.1").replace("(d + sqrt", "(d - sqrt").replace("a / b * atan2", "-a / b * atan2")
+_F = 1 / 298.257223563
+_N = _F / (2 - _F)
+_ALPHA = (_N / 2 - 2 * _N**2 / 3 + 5 * _N**3 / 16 + 41 * _N**4 / 180, 13 * _N**2 / 48 - 3 * _N**3 / 5 + 557 * _N**4 / 1440, 61 * _N**3 / 240 - 103 * _N**4 / 140, 49561 * _N**4 / 161280)
+_SCALE = 0.9996 * 6378137.0 / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
+_ECC = 2 * _N**0.5 / (1 + _N)
+_EAST = "eta" + "".join(f" + cos(xi * {2 * j}) * sinh(eta * {2 * j}) * {a!r}::DOUBLE" for j, a in enumerate(_ALPHA, 1))
+_NORTH = "xi" + "".join(f" + sin(xi * {2 * j}) * cosh(eta * {2 * j}) * {a!r}::DOUBLE" for j, a in enumerate(_ALPHA, 1))
+
+
+@query("smp5_reproject_utm", duckdb("v_dem", then=f"""WITH {_SOUTH}, c AS (SELECT i, j, (i + 0.5) * 10 - 320 AS x, (j + 0.5) * 10 - 320 AS y FROM range(64) p(i), range(64) q(j)), {_INVERSE}, {_CORNERS},
+u AS (SELECT i, j, sinh(atanh(sin(radians(lat))) - atanh(sin(radians(lat)) * {_ECC!r}::DOUBLE) * {_ECC!r}::DOUBLE) AS t, radians(lon - 15) AS turn FROM deg), v AS (SELECT i, j, atan2(t, cos(turn)) AS xi, atanh(sin(turn) / sqrt(1 + t * t)) AS eta FROM u),
+g AS (SELECT i, j, (({_EAST}) * {_SCALE!r}::DOUBLE + 500000.0 - 509887.0) / 10 AS fx, (({_NORTH}) * {_SCALE!r}::DOUBLE + 10000000.0 - 7389739.0) / 10 AS fy FROM v),
+q AS (SELECT *, least(floor(fx), mx - 1) AS cx, least(floor(fy), my - 1) AS cy FROM g, ext)
+SELECT i AS gx, j AS gy, CASE WHEN fx <= mx AND fy <= my AND fx >= 0 AND fy >= 0 THEN round({_BILINEAR}, 4) END AS v FROM q LEFT JOIN cor ON ix = cx AND iy = cy"""))
+def smp5_utm(spark: SparkSession, d: str) -> DataFrame:
+    """A UTM composite of 10 m pixels (the elevation grid) on a scene grid of the same step, through both projections."""
+    cells = scene_grid(spark, 64, 10.0).select(F.col("ix").alias("gx"), F.col("iy").alias("gy"), "x", "y")
+    found = SM.reproject_bilinear(dem_at(spark, d), cells, P.SceneProjection(-23.6, 15.1), 32733, (509_887.0, 7_389_739.0), 10.0, "elevation")
+    return found.select("gx", "gy", F.round("elevation", 4).alias("v"))
+
+
 @query("prj23_place_objects_geographic", duckdb("v_zones", "v_dem", then=f"""WITH p AS (SELECT zone_id AS pid, 44.9 + cy / 320.0 AS lat, 7.9 + cx / 320.0 AS lon FROM v_zones), {_HOTINE}, {_FORWARD},
 o AS (SELECT zone_id, CASE WHEN zone_id % 2 = 0 THEN x ELSE cx * 250 - 8000 END AS x, CASE WHEN zone_id % 2 = 0 THEN y ELSE cy * 250 - 8000 END AS y, zone_id % 3 + 0.5 AS up FROM v_zones JOIN g ON pid = zone_id), ext AS (SELECT max(ix) AS mx, max(iy) AS my FROM v_dem)
 SELECT zone_id, round(x, 3) AS x, round(o.y, 3) AS y, round(elevation + up, 6) AS z FROM o CROSS JOIN ext LEFT JOIN v_dem ON ix = greatest(0, least(floor((x + 7875) / 250 + 0.5), mx)) AND iy = greatest(0, least(floor((y + 7875) / 250 + 0.5), my))"""))

@@ -77,6 +77,8 @@ def duckdb(*views: str, then: str) -> str:
     """DuckDB text with the named views in front of it."""
     heads = ", ".join(f"{v} AS ({DUCKDB_VIEWS.get(v, VIEWS[v]).strip()})" for v in views)
     rest = then.strip()
+    if rest.startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {heads}, {rest[15:]}"
     if rest.upper().startswith("WITH "):
         return f"WITH {heads}, {rest[5:]}"
     return f"WITH {heads} {rest}"
