@@ -18,7 +18,7 @@ from terraloom.session import shared_path
 from terraloom.sources import tables as S
 
 SPECIES = [(10, "oak", 400.0), (10, "pine", 250.0), (30, "grass", 900.0), (20, "juniper", 120.0)]
-SPILL = {20: 0.8, 30: 0.7, 40: 0.3, 90: 0.4, 60: 0.1}  # the reference's scores by class
+SPILL = {20: 0.8, 30: 0.7, 40: 0.3, 90: 0.4, 60: 0.1}  # fixed values: scores by class
 _SPECIES = "m(class, species, dens) AS (VALUES (10, 'oak', 400.0::DOUBLE), (10, 'pine', 250.0), (30, 'grass', 900.0), (20, 'juniper', 120.0))"
 
 
