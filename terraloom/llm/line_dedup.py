@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +13,10 @@ from terraloom.llm.shared import drop, saved, text_print, texts_by_id
 
 BUCKETS = 1 << 18  # of the word counts that order tokens; a table of fixed size, one byte each
 COMMON = 18  # rarity level from which a prefix token is too common to be a key alone: some 512 words in its bucket
+FAST_MAP = "spark.sql.codegen.aggregate.fastHashMap.capacityBit"
+CELLS = 3  # pairs of neighbouring prefix tokens by which a line meets the earliest lines, on average
 LAST = (1 << 63) - 1  # stands for a null id: such documents come after all others
 PLACE = 32  # bits of a line's number that count the lines of one text; those above count the texts of one id
-LONG = 32  # sets of more words have 128 parity bits instead of 64
 
 
 def _spaced(text: Column, marks: str = "\t\x0b\x0c\r") -> Column:
@@ -24,16 +25,26 @@ def _spaced(text: Column, marks: str = "\t\x0b\x0c\r") -> Column:
     return F.when(some, reduce(lambda x, mark: F.replace(x, F.lit(mark), F.lit(" ")), marks, text)).otherwise(text)
 
 
-def _levels(docs: DataFrame) -> Column:
-    """A constant array: for every hash bucket the logarithm of the count of its words over all texts, in halves of a doubling."""
-    line = docs.select(F.explode(F.split(_spaced(F.col("text")), "\n")).alias("line"))
-    seen = line.select(F.explode(F.split("line", " ")).alias("w")).groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("bucket")).count()
+def _levels(docs: DataFrame) -> tuple[Column, int]:
+    """A constant array: for every hash bucket the logarithm of the count of its words over all texts, in halves of a doubling; and the level
+    that splits these words in halves."""
+    words = docs.select(F.explode(F.split(F.replace(_spaced(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
+    seen = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("bucket")).count()
     level = F.least(F.lit(126), F.floor(2 * F.log2(F.col("count") + 1))).cast("tinyint")
-    rows = seen.groupBy().agg(F.sort_array(F.collect_list(F.struct("bucket", level.alias("level")))).alias("rows")).select("rows.bucket", "rows.level").first()
-    table = [0] * BUCKETS  # of fixed size, whatever the corpus
+    all_ = seen.groupBy().agg(F.sort_array(F.collect_list(F.struct("bucket", level.alias("level")))).alias("rows")).select("rows.bucket", "rows.level")
+    spark = docs.sparkSession
+    before = spark.conf.get(FAST_MAP, None)
+    spark.conf.set(FAST_MAP, "19")  # all buckets fit Spark's fast map of an aggregate, which else takes 65,536 keys
+    try:
+        rows = all_.first()
+    finally:
+        spark.conf.unset(FAST_MAP) if before is None else spark.conf.set(FAST_MAP, before)
+    table, mass = [0] * BUCKETS, [0.0] * 127  # of fixed size, whatever the corpus
     for bucket, value in zip(rows["bucket"], rows["level"], strict=True):
         table[bucket] = value
-    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<tinyint>")  # folded to a constant before it runs
+        mass[value] += 2.0 ** (value / 2)
+    middle = next(i for i, below in enumerate(accumulate(mass)) if 2 * below >= sum(mass))
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<tinyint>"), middle  # folded to a constant before it runs
 
 
 def _need(n: Column, percent: int) -> Column:
@@ -42,38 +53,46 @@ def _need(n: Column, percent: int) -> Column:
 
 
 def _words(line: Column) -> Column:
-    """Hashes of the words of a line whose white space is blanks."""
-    return F.array_remove(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
+    """Different hashes of the words of a line whose white space is blanks."""
+    return F.array_except(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)), F.array(F.xxhash64(F.lit(""))))
 
 
-def _parity(s: Column, one: Callable[[Column], Column]) -> Column:
-    """Parities by 64 hash cells of the tokens for which ``one`` is 1."""
-    return F.aggregate(s, F.lit(0).cast("long"), lambda x, t: x.bitwiseXOR(F.call_function("shiftleft", one(t), t.bitwiseAND(F.lit(63)).cast("int"))))
+def _parity(s: Column) -> Column:
+    """Parities of tokens by 64 hash cells."""
+    one = F.lit(1).cast("long")
+    return F.aggregate(s, F.lit(0).cast("long"), lambda x, t: x.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))))
 
 
-def _lines(docs: DataFrame, levels: Column, percent: int) -> DataFrame:
+def _lines(docs: DataFrame, levels: Column, middle: int, percent: int) -> DataFrame:
     """A row for each line with words: place, fingerprint of its set, size, parity bits, and prefix tokens with one more.
 
-    A token's key has its rarity level above and 56 bits of the word's hash below; the prefix holds the least keys.
+    A token's key has its rarity level above and 56 bits of the word's hash below; the prefix holds the least keys. Rare tokens and common ones, below
+    the level ``middle`` and from it on, have 64 parity bits each. A mark sorted in among them tells where the common ones begin, so each token is taken once.
     """
+    mark = F.lit(middle << 56)
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 31  # smaller sets reach the limit with no other set
 
     def key(h: Column) -> Column:
         level = F.coalesce(F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long"), F.lit(0))  # never null: so keys sort as primitives
         return F.shiftleft(level, 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
 
+    # array functions inside a lambda function's argument are interpreted: so they stand outside, or in a select of their own
     each = docs.select("doc_id", "nth", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("at", "line")).where("trim(line) != ''")
-    sets = each.select("doc_id", _pos(F.col("nth"), F.col("at")).alias("pos"), F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), key))).alias("s"))
-    n = F.size("s")
+    keys = F.array_except(F.transform(F.transform(F.split("line", " "), lambda w: F.xxhash64(w)), key), F.array(key(F.xxhash64(F.lit("")))))
+    sets = each.select("doc_id", _pos(F.col("nth"), F.col("at")).alias("pos"), F.sort_array(F.concat(keys, F.array(mark))).alias("s"))
+    m = F.array_position("s", mark).cast("int")
+    sets = sets.select("doc_id", "pos", "s", F.slice("s", F.lit(1), m - 1).alias("rare"), F.slice("s", m + 1, F.size("s")).alias("common"))
+    n = F.size("rare") + F.size("common")
+    least_keys = F.slice("s", F.lit(1), n - _need(n, percent) + 3)
     return sets.select(
         "doc_id",
         "pos",
         F.xxhash64("s").alias("f1"),
         F.xxhash64(F.lit(1), "s").alias("f2"),
         n.alias("n"),
-        _parity(F.col("s"), lambda t: F.lit(1).cast("long")).alias("bits"),
-        F.when(n > LONG, _parity(F.col("s"), lambda t: F.shiftright(t, 6).bitwiseAND(F.lit(1).cast("long")))).otherwise(F.lit(0).cast("long")).alias("half"),
-        F.when(n >= least, F.slice("s", F.lit(1), n - _need(n, percent) + 2)).alias("prefix"),
+        _parity(F.col("rare")).alias("rare"),
+        _parity(F.col("common")).alias("common"),
+        F.when(n >= least, F.slice(F.array_remove(least_keys, mark), F.lit(1), n - _need(n, percent) + 2)).alias("prefix"),
     )
 
 
@@ -113,16 +132,16 @@ def _numbered(docs: DataFrame, doc: str, nth: str) -> tuple[DataFrame, DataFrame
     return all_, documents(all_).dropDuplicates(["doc_id", "nth"])
 
 
-def _differ(na: Column, nb: Column) -> Column:
-    """Parity bits in which lines a and b differ: never more than the words that one of them lacks. 128 bits count where both have them."""
-    all_, half = (F.col(f"a.{x}").bitwiseXOR(F.col(f"b.{x}")) for x in ("bits", "half"))
-    return F.when((na > LONG) & (nb > LONG), F.bit_count(half) + F.bit_count(all_.bitwiseXOR(half))).otherwise(F.bit_count(all_))
+def _differ() -> Column:
+    """Parity bits in which lines a and b differ: never more than the words that one of them lacks."""
+    rare, common = (F.bit_count(F.col(f"a.{x}").bitwiseXOR(F.col(f"b.{x}"))) for x in ("rare", "common"))
+    return rare + common
 
 
 def _alike(na: Column, nb: Column, percent: int, shared: Column | None = None) -> Column:
     """Whether lines a and b of such sizes may reach the limit, b being the earlier: by parity bits, length and the places of a shared token."""
     # a Jaccard similarity of p/100 needs an overlap of p / (100 + p) of both sizes
-    fits = _differ(na, nb) * (100 + percent) <= (na + nb) * (100 - percent)
+    fits = _differ() * (100 + percent) <= (na + nb) * (100 - percent)
     fits = fits & (na * 100 >= nb * percent) & (nb * 100 >= na * percent)
     if shared is not None:
         fits = fits & (shared * (100 + percent) >= (na + nb) * percent)
@@ -136,14 +155,18 @@ def _pair() -> list[Column]:
 def _firsts(sets: DataFrame, percent: int) -> DataFrame:
     """For each line the likeliest match: of the earliest lines that share two neighbours in the rarity order of their prefixes.
 
-    Half of the pairs of neighbours serve, chosen by their hash, so that like lines choose alike wherever the pairs stand.
+    Some CELLS pairs of neighbours of a line serve, chosen by their hash, so that like lines choose alike wherever the pairs stand.
     """
-    neighbours = sets.where("prefix is not null").select("doc_id", "pos", "n", "bits", "half", "prefix", F.posexplode(F.slice("prefix", F.lit(1), F.size("prefix") - 1)).alias("i", "tok"))
-    cells = neighbours.select("doc_id", "pos", "n", "bits", "half", F.xxhash64("tok", F.get("prefix", F.col("i") + 1)).alias("key")).where("key % 2 = 0")
-    # all by the least id in one hash aggregate; of one document's lines any serves
-    heads = cells.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("doc_id"), *(F.min_by(c, "doc_id").alias(c) for c in ("pos", "n", "bits", "half"))).where("size > 1")
-    sizes = F.col("a.n"), F.col("b.n")
-    pairs = cells.alias("a").join(heads.alias("b"), (F.col("a.key") == F.col("b.key")) & _alike(*sizes, percent)).select(*_pair(), _differ(*sizes).alias("differ"))
+    size = F.size("prefix") - 1
+    neighbours = sets.where("prefix is not null").select("doc_id", "pos", "n", "rare", "common", "prefix", F.posexplode(F.slice("prefix", F.lit(1), size)).alias("i", "tok"))
+    zero = F.lit(0).cast("long")
+    plain = [F.coalesce(c, zero).alias(c) for c in ("doc_id", "pos", "rare", "common")]
+    cells = neighbours.select(*plain, F.coalesce("n", F.lit(0)).alias("n"), F.xxhash64("tok", F.get("prefix", F.col("i") + 1)).alias("key"), size.alias("of"))
+    # what both sides of the join read is the same and never null: so one shuffle serves both
+    cells = cells.where(F.col("key").bitwiseAND(F.lit(1023)) * F.col("of") < CELLS * 1024).drop("of").repartition("key")
+    heads = cells.groupBy("key").agg(F.min(F.struct("doc_id", "pos", "n", "rare", "common")).alias("head"), F.count("*").alias("size")).where("size > 1").select("key", "head.*")
+    on = (F.col("a.key") == F.col("b.key")) & _alike(F.col("a.n"), F.col("b.n"), percent)
+    pairs = cells.alias("a").join(heads.alias("b").hint("shuffle_hash"), on).select(*_pair(), _differ().alias("differ"))
     return pairs.groupBy("doc_id", "pos").agg(F.min(F.struct("differ", "doc_b", "pos_b")).alias("b")).select("doc_id", "pos", "b.doc_b", "b.pos_b")
 
 
@@ -154,23 +177,24 @@ def _candidates(sets: DataFrame, percent: int) -> DataFrame:
     share lies in the prefix with one more token: so the key is the common token and any later one.
     """
     size = F.size("prefix")
-    tokens = sets.where("prefix is not null").select("doc_id", "pos", "n", "bits", "half", "open", "prefix", F.posexplode(F.slice("prefix", F.lit(1), size - 1)).alias("i", "tok"))
+    tokens = sets.where("prefix is not null").select("doc_id", "pos", "n", "rare", "common", "open", "prefix", F.posexplode(F.slice("prefix", F.lit(1), size - 1)).alias("i", "tok"))
     common = F.call_function("shiftrightunsigned", F.col("tok"), F.lit(56)) >= COMMON
     rest = F.when(common, F.slice("prefix", F.col("i") + 2, size)).otherwise(F.array(F.lit(0).cast("long")))
-    cells = tokens.select("doc_id", "pos", "n", "bits", "half", "open", "prefix", "i", "tok", F.posexplode(rest).alias("j", "next"))
-    before = F.when(F.col("i") > 0, F.get("prefix", F.col("i") - 1))
-    between = F.when(F.col("j") > 0, F.get("prefix", F.col("i") + F.col("j")))
-    # what both sides of the join read is the same (the state rides in the size) and never null: so one shuffle serves both
-    size = F.shiftleft(F.col("n").cast("long"), 1).bitwiseOR(F.col("open").cast("long"))
+    cells = tokens.select("doc_id", "pos", "n", "rare", "common", "open", "prefix", "i", "tok", F.posexplode(rest).alias("j", "next"))
+    # the token before the later one of a pair, or before the earlier one where they are neighbours; tokens before and after another never agree
+    beside = F.when(F.col("i") + F.col("j") > 0, F.get("prefix", F.when(F.col("j") > 0, F.col("i") + F.col("j")).otherwise(F.col("i") - 1)))
+    # what both sides of the join read is the same (size, place and state ride in one number) and never null: so one shuffle serves both
+    size = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft((F.col("i") + 1).cast("long"), 1)).bitwiseOR(F.col("open").cast("long"))
     zero = F.lit(0).cast("long")
-    cells = cells.select(F.xxhash64("tok", "next").alias("key"), F.coalesce("doc_id", zero).alias("doc_id"), F.coalesce("pos", zero).alias("pos"), F.coalesce("bits", zero).alias("bits"), F.coalesce("half", zero).alias("half"), F.coalesce(size, zero).alias("size"), (F.col("i") + 1).alias("i"), F.coalesce(before, zero).alias("before"), F.coalesce(between, zero).alias("between"))
+    plain = {"doc_id": F.col("doc_id"), "pos": F.col("pos"), "rare": F.col("rare"), "common": F.col("common"), "size": size, "beside": beside}
+    cells = cells.select(F.xxhash64("tok", "next").alias("key"), *(F.coalesce(c, zero).alias(x) for x, c in plain.items()))
     a, b = cells.alias("a"), cells.alias("b")
-    na, nb = (F.shiftright(f"{x}.size", 1) for x in "ab")
-    most = F.least("a.i", "b.i") + F.least(na - F.col("a.i"), nb - F.col("b.i"))  # i tokens lie up to and with the shared one
+    na, nb = (F.shiftright(f"{x}.size", 32) for x in "ab")
+    ia, ib = (F.shiftright(f"{x}.size", 1).bitwiseAND(F.lit((1 << 31) - 1)) for x in "ab")
+    most = F.least(ia, ib) + F.least(na - ia, nb - ib)  # i tokens lie up to and with the shared one
     on = (F.col("a.key") == F.col("b.key")) & ((F.col("a.size") % 2) * F.col("b.size") > 0) & _alike(na, nb, percent, most)
-    # lines that share the token before as well meet by that one; so a pair shows up a few times, not once a shared key
-    for c in ("before", "between"):
-        on = on & ((F.col(f"a.{c}") != F.col(f"b.{c}")) | (F.col(f"a.{c}") == 0))
+    # lines that share the token beside as well meet by that one; so a pair shows up a few times, not once a shared key
+    on = on & ((F.col("a.beside") != F.col("b.beside")) | (F.col("a.beside") == 0))
     return a.join(b, on).select(*_pair()).distinct()
 
 
@@ -179,10 +203,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     ends = pairs.select("doc_id", "pos").unionByName(pairs.select(F.col("doc_b").alias("doc_id"), F.col("pos_b").alias("pos")))
     wanted = ends.groupBy("doc_id", F.shiftright("pos", PLACE).alias("nth")).agg(F.collect_set(_place(F.col("pos"))).alias("places"))  # at most the lines of one document
     # the texts meet their places by a shuffle at every size: what is wanted grows with the corpus
-    text = docs.hint("merge").join(wanted, ["doc_id", "nth"])
+    text = docs.join(wanted.hint("shuffle_hash"), ["doc_id", "nth"])
     lines = F.arrays_zip(F.col("places").alias("at"), _picked(F.split(_spaced(F.col("text")), "\n"), F.col("places")).alias("line"))
     found = text.select("doc_id", "nth", F.explode(lines).alias("l")).select("doc_id", _pos(F.col("nth"), F.col("l.at")).alias("pos"), "l.line")
-    sets = saved(found.select("doc_id", "pos", F.array_distinct(_words(F.col("line"))).alias("s")), "linesets")
+    sets = saved(found.select("doc_id", "pos", _words(F.col("line")).alias("s")), "linesets")
     first = pairs.join(sets.withColumnRenamed("s", "s_a"), ["doc_id", "pos"])
     both = first.join(sets.select(F.col("doc_id").alias("doc_b"), F.col("pos").alias("pos_b"), F.col("s").alias("s_b")), ["doc_b", "pos_b"])
     common = F.size(F.array_intersect("s_a", "s_b"))
@@ -209,19 +233,22 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 def _repeated(one: DataFrame, percent: int) -> DataFrame:
     """Repeated lines ``(doc_id, pos)`` of numbered documents."""
-    rows = saved(_lines(one, _levels(one), percent), "lines")
-    at = F.min(F.struct("doc_id", "pos")).alias("at")
-    classes = rows.groupBy("f1", "f2").agg(at, F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("half").alias("half"), F.first("prefix").alias("prefix"), F.count("*").alias("size"))
-    sets = saved(classes.select("f1", "f2", "at.doc_id", "at.pos", "n", "bits", "half", "prefix", "size"), "sets")
-    firsts = sets.where("size > 1").select("f1", "f2", F.col("doc_id").alias("doc_1"), F.col("pos").alias("pos_1"))
-    copies = saved(rows.select("doc_id", "pos", "f1", "f2").join(firsts, ["f1", "f2"]).where("not (doc_id = doc_1 and pos = pos_1)").select("doc_id", "pos"), "copies")
-    drop(rows)
-    sets = sets.select("doc_id", "pos", "n", "bits", "half", "prefix")
+    rows = saved(_lines(one, *_levels(one), percent), "lines")
+    # in two steps: of one document's lines the first counts
+    each = rows.groupBy("f1", "f2", "doc_id").agg(F.min("pos").alias("pos"), F.count("*").alias("size"))
+    classes = each.groupBy("f1", "f2").agg(F.min("doc_id").alias("doc_1"), F.min_by("pos", "doc_id").alias("pos_1"), F.sum("size").alias("size")).where("size > 1")
+    firsts = saved(classes.drop("size"), "firsts")
+    found = rows.join(firsts.hint("shuffle_hash"), ["f1", "f2"], "left")
+    found = found.withColumn("copy", F.col("doc_1").isNotNull() & ((F.col("doc_id") != F.col("doc_1")) | (F.col("pos") != F.col("pos_1"))))
+    told = saved(found.select("doc_id", "pos", "n", "rare", "common", F.when(~F.col("copy"), F.col("prefix")).alias("prefix"), "copy"), "sets")
+    drop(rows, firsts)
+    sets, copies = told.where("not copy").drop("copy"), told.where("copy").select("doc_id", "pos")
     near = saved(_firsts(sets, percent), "near")
     done = _verified(near, one, percent)
     settled = done.withColumn("open", F.lit(0))
-    left = saved(sets.join(settled, ["doc_id", "pos"], "left").withColumn("open", F.coalesce("open", F.lit(1))), "open")
-    drop(near, sets)
+    left = saved(sets.join(settled.hint("shuffle_hash"), ["doc_id", "pos"], "left").withColumn("open", F.coalesce("open", F.lit(1))), "open")
+    copies = saved(copies, "copies")
+    drop(near, told)
     pairs = saved(_candidates(left, percent), "pairs")
     drop(left)
     later = _verified(pairs, one, percent)
@@ -246,8 +273,9 @@ def line_dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
     found = _repeated(one, percent)
     lost = found.groupBy(F.col("doc_id").alias(doc), F.shiftright("pos", PLACE).alias(nth)).agg(F.array_sort(F.collect_set(_place(F.col("pos")))).alias(gone))
     counted = F.size(F.filter(F.split(F.col("text").cast("string"), "\n"), lambda x: F.ltrim(x, F.lit(" \t\x0b\x0c\r")) != ""))
-    joined = numbered.withColumn("n_lines", F.coalesce(counted, F.lit(0)).cast("long")).join(lost, [doc, nth], "left")
-    joined = joined.withColumn(gone, F.when(F.col("text").isNotNull(), F.col(gone)))
+    # a null text has no lines: so nothing else asks for the text, and callers that drop it don't have it shuffled
+    joined = numbered.withColumn("n_lines", F.coalesce(counted, F.lit(-1)).cast("long")).join(lost.hint("shuffle_hash"), [doc, nth], "left")
+    joined = joined.withColumn(gone, F.when(F.col("n_lines") >= 0, F.col(gone))).withColumn("n_lines", F.greatest("n_lines", F.lit(0).cast("long")))
     lines = F.split(F.col("text").cast("string"), "\n")
     left = F.transform(F.array(lines), lambda x: F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col(gone)), lambda i: F.get(x, i)))[0]
     return joined.withColumns(

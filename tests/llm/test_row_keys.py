@@ -1,5 +1,8 @@
 """Repeated and null ids in line dedup and the pipeline's near stage, against brute force."""
 
+import random
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -80,3 +83,33 @@ def test_ranked(spark):
         own = sorted((r["rank"], r.at, r.total) for r in got if r.by == k)
         assert [x[0] for x in own] == list(range(len(own))) and {x[2] for x in own} == {len(own)}
         assert [x[1] for x in own] == sorted((a for b, a in rows if b == k), key=lambda a: (a is not None, a))
+
+
+def test_line_dedup_moves_the_text_only_for_those_who_want_it(spark):
+    rows = [(1, "a b c d e f g h i j\nk l m n o p"), (2, "a b c d e f g h i j\nq"), (3, None), (4, "")]
+    out = line_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.removed, r.text) for r in out.collect()}
+    assert got == {1: (2, 0, [], rows[0][1]), 2: (2, 1, [0], "q"), 3: (0, 0, [], None), 4: (0, 0, [], "")}
+    plan = out.drop("text")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "Join LeftOuter" in line)
+    assert not re.search(r"[\[ ]text#\d+[,\]]", plan[at + 1])  # the side of the documents
+
+
+def test_line_dedup_finds_near_lines_of_rare_and_of_common_words(spark):
+    """Against brute force where all words are common, where none is, and where they mix."""
+    draw = random.Random(5)
+    words = [[f"c{i}" for i in range(60)], [f"r{i}" for i in range(4000)]]
+    lines = []
+    for share in (0, 0.5, 1):
+        for _ in range(40):
+            first = [draw.choice(words[draw.random() < share]) for _ in range(draw.choice((4, 9, 20, 45, 90)))]
+            lines.append(first)
+            for _ in range(2):
+                lines.append([draw.choice(words[1]) if draw.random() < 0.08 else w for w in first])
+    draw.shuffle(lines)
+    sets, want = [set(x) for x in lines], {}
+    for i, s in enumerate(sets):
+        want[i] = [0] if any(len(s & o) * 100 >= 80 * len(s | o) for o in sets[:i]) else []
+    frame = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id long, text string")
+    assert sum(map(len, want.values())) > 40
+    assert {r.doc_id: r.removed for r in line_dedup(frame).collect()} == want
