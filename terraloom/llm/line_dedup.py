@@ -14,7 +14,6 @@ from terraloom.llm.shared import drop, saved, text_print, texts_by_id
 BUCKETS = 1 << 18  # of the word counts that order tokens; a table of fixed size, one byte each
 COMMON = 18  # rarity level from which a prefix token is too common to be a key alone: some 512 words in its bucket
 FAST_MAP = "spark.sql.codegen.aggregate.fastHashMap.capacityBit"
-CELLS = 3  # pairs of neighbouring prefix tokens by which a line meets the earliest lines, on average
 LAST = (1 << 63) - 1  # stands for a null id: such documents come after all others
 PLACE = 32  # bits of a line's number that count the lines of one text; those above count the texts of one id
 
@@ -155,15 +154,15 @@ def _pair() -> list[Column]:
 def _firsts(sets: DataFrame, percent: int) -> DataFrame:
     """For each line the likeliest match: of the earliest lines that share two neighbours in the rarity order of their prefixes.
 
-    Some CELLS pairs of neighbours of a line serve, chosen by their hash, so that like lines choose alike wherever the pairs stand.
+    Half of the pairs of neighbours serve, chosen by their hash, so that like lines choose alike wherever the pairs stand.
     """
     size = F.size("prefix") - 1
     neighbours = sets.where("prefix is not null").select("doc_id", "pos", "n", "rare", "common", "prefix", F.posexplode(F.slice("prefix", F.lit(1), size)).alias("i", "tok"))
     zero = F.lit(0).cast("long")
     plain = [F.coalesce(c, zero).alias(c) for c in ("doc_id", "pos", "rare", "common")]
-    cells = neighbours.select(*plain, F.coalesce("n", F.lit(0)).alias("n"), F.xxhash64("tok", F.get("prefix", F.col("i") + 1)).alias("key"), size.alias("of"))
+    cells = neighbours.select(*plain, F.coalesce("n", F.lit(0)).alias("n"), F.xxhash64("tok", F.get("prefix", F.col("i") + 1)).alias("key"))
     # what both sides of the join read is the same and never null: so one shuffle serves both
-    cells = cells.where(F.col("key").bitwiseAND(F.lit(1023)) * F.col("of") < CELLS * 1024).drop("of").repartition("key")
+    cells = cells.where("key % 2 = 0").repartition("key")
     heads = cells.groupBy("key").agg(F.min(F.struct("doc_id", "pos", "n", "rare", "common")).alias("head"), F.count("*").alias("size")).where("size > 1").select("key", "head.*")
     on = (F.col("a.key") == F.col("b.key")) & _alike(F.col("a.n"), F.col("b.n"), percent)
     pairs = cells.alias("a").join(heads.alias("b").hint("shuffle_hash"), on).select(*_pair(), _differ().alias("differ"))
@@ -181,20 +180,21 @@ def _candidates(sets: DataFrame, percent: int) -> DataFrame:
     common = F.call_function("shiftrightunsigned", F.col("tok"), F.lit(56)) >= COMMON
     rest = F.when(common, F.slice("prefix", F.col("i") + 2, size)).otherwise(F.array(F.lit(0).cast("long")))
     cells = tokens.select("doc_id", "pos", "n", "rare", "common", "open", "prefix", "i", "tok", F.posexplode(rest).alias("j", "next"))
-    # the token before the later one of a pair, or before the earlier one where they are neighbours; tokens before and after another never agree
-    beside = F.when(F.col("i") + F.col("j") > 0, F.get("prefix", F.when(F.col("j") > 0, F.col("i") + F.col("j")).otherwise(F.col("i") - 1)))
+    before = F.when(F.col("i") > 0, F.get("prefix", F.col("i") - 1))
+    between = F.when(F.col("j") > 0, F.get("prefix", F.col("i") + F.col("j")))
     # what both sides of the join read is the same (size, place and state ride in one number) and never null: so one shuffle serves both
     size = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft((F.col("i") + 1).cast("long"), 1)).bitwiseOR(F.col("open").cast("long"))
     zero = F.lit(0).cast("long")
-    plain = {"doc_id": F.col("doc_id"), "pos": F.col("pos"), "rare": F.col("rare"), "common": F.col("common"), "size": size, "beside": beside}
+    plain = {"doc_id": F.col("doc_id"), "pos": F.col("pos"), "rare": F.col("rare"), "common": F.col("common"), "size": size, "before": before, "between": between}
     cells = cells.select(F.xxhash64("tok", "next").alias("key"), *(F.coalesce(c, zero).alias(x) for x, c in plain.items()))
     a, b = cells.alias("a"), cells.alias("b")
     na, nb = (F.shiftright(f"{x}.size", 32) for x in "ab")
     ia, ib = (F.shiftright(f"{x}.size", 1).bitwiseAND(F.lit((1 << 31) - 1)) for x in "ab")
     most = F.least(ia, ib) + F.least(na - ia, nb - ib)  # i tokens lie up to and with the shared one
     on = (F.col("a.key") == F.col("b.key")) & ((F.col("a.size") % 2) * F.col("b.size") > 0) & _alike(na, nb, percent, most)
-    # lines that share the token beside as well meet by that one; so a pair shows up a few times, not once a shared key
-    on = on & ((F.col("a.beside") != F.col("b.beside")) | (F.col("a.beside") == 0))
+    # lines that share the token before as well meet by that one; so a pair shows up a few times, not once a shared key
+    for c in ("before", "between"):
+        on = on & ((F.col(f"a.{c}") != F.col(f"b.{c}")) | (F.col(f"a.{c}") == 0))
     return a.join(b, on).select(*_pair()).distinct()
 
 
