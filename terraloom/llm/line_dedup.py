@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from functools import reduce
 from itertools import accumulate
@@ -13,6 +14,7 @@ from terraloom.llm.shared import drop, saved, text_print, texts_by_id
 
 BUCKETS = 1 << 18  # of the word counts that order tokens; a table of fixed size, one byte each
 COMMON = 18  # rarity level from which a prefix token is too common to be a key alone: some 512 words in its bucket
+CELLS = 10  # a line, that one round of the candidate join shuffles at most, as far as the words deal them evenly
 FAST_MAP = "spark.sql.codegen.aggregate.fastHashMap.capacityBit"
 LAST = (1 << 63) - 1  # stands for a null id: such documents come after all others
 PLACE = 32  # bits of a line's number that count the lines of one text; those above count the texts of one id
@@ -169,14 +171,28 @@ def _firsts(sets: DataFrame, percent: int) -> DataFrame:
     return pairs.groupBy("doc_id", "pos").agg(F.min(F.struct("differ", "doc_b", "pos_b")).alias("b")).select("doc_id", "pos", "b.doc_b", "b.pos_b")
 
 
-def _candidates(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (later, earlier) with a shared prefix key, for lines that are still ``open``.
+def _rounds(sets: DataFrame) -> int:
+    """In how many rounds the candidates of open lines are looked for, so that the cells of one are no more than CELLS a line.
+
+    The larger the corpus, the more words are common, and a line of common words has a cell for each two of its prefix. Rounds bound what is shuffled at once.
+    """
+    size = F.size("prefix")
+    rare = F.size(F.filter("prefix", lambda t: t < COMMON << 56))
+    pairs = (size - rare) * (size - rare - 1) / 2
+    cells, lines = sets.where("prefix is not null").agg(F.sum(F.least(rare, size - 1) + pairs), F.count("*")).first()
+    return max(1, math.ceil((cells or 0) / (CELLS * max(lines, 1))))
+
+
+def _candidates(sets: DataFrame, percent: int, part: int = 0, rounds: int = 1) -> DataFrame:
+    """Pairs (later, earlier) with a shared prefix key, for lines that are still ``open``; of all ``rounds`` of keys those of round ``part``.
 
     A rare prefix token is a key. With a common one as the first token that two lines share, the second that they
-    share lies in the prefix with one more token: so the key is the common token and any later one.
+    share lies in the prefix with one more token: so the key is the common token and any later one. The token tells the round.
     """
     size = F.size("prefix")
     tokens = sets.where("prefix is not null").select("doc_id", "pos", "n", "rare", "common", "open", "prefix", F.posexplode(F.slice("prefix", F.lit(1), size - 1)).alias("i", "tok"))
+    if rounds > 1:
+        tokens = tokens.where(F.pmod(F.col("tok"), F.lit(rounds)) == part)
     common = F.call_function("shiftrightunsigned", F.col("tok"), F.lit(56)) >= COMMON
     rest = F.when(common, F.slice("prefix", F.col("i") + 2, size)).otherwise(F.array(F.lit(0).cast("long")))
     cells = tokens.select("doc_id", "pos", "n", "rare", "common", "open", "prefix", "i", "tok", F.posexplode(rest).alias("j", "next"))
@@ -249,8 +265,13 @@ def _repeated(one: DataFrame, percent: int) -> DataFrame:
     left = saved(sets.join(settled.hint("shuffle_hash"), ["doc_id", "pos"], "left").withColumn("open", F.coalesce("open", F.lit(1))), "open")
     copies = saved(copies, "copies")
     drop(near, told)
-    pairs = saved(_candidates(left, percent), "pairs")
+    rounds = _rounds(left)
+    found = [saved(_candidates(left, percent, part, rounds), "pairs") for part in range(rounds)]
     drop(left)
+    pairs = found[0]
+    if rounds > 1:  # a pair may share keys of several rounds
+        pairs = saved(reduce(DataFrame.unionByName, found).distinct(), "pairs")
+        drop(*found)
     later = _verified(pairs, one, percent)
     drop(pairs)
     removed = saved(copies.unionByName(done).unionByName(later), "removed")  # each line once: copies are no firsts, later ones were open
