@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,35 +88,39 @@ def instance_attributes(df: DataFrame, seed: int | str, *key: str, turn: float =
 def min_spacing(points: DataFrame, spacing: float, seed: int | str, key: str = "pid") -> DataFrame:
     """Points kept in the order of their draws: each one unless a kept one is nearer than the spacing.
 
-    The greedy result is unique, so it can be found in rounds: a point whose earlier neighbours are all decided is decided. Neighbours come from
-    an equi join on cells as wide as the spacing; each round drops the decided rows and is written before the next.
+    The greedy result is unique, so it can be found in rounds: the first open point of a cell that comes before all other open ones within two
+    cells stays, and what it is too near to goes. Of points at one place the first alone takes part: what removes it removes the others as well. So no pairs
+    are written, however dense the points; each round writes the points that it leaves open.
     """
     if spacing <= 0:
         return points
-    p = points.select(key, "x", "y", draw(seed, key).alias("_u"))
-    near = F.array(*(F.lit(k) for k in (-1, 0, 1)))
-    a = p.withColumn("_cx", F.floor(F.col("x") / spacing)).withColumn("_cy", F.floor(F.col("y") / spacing)).alias("a")
-    b = p.withColumn("_i", F.explode(near)).withColumn("_j", F.explode(near))
-    b = b.withColumn("_cx", F.floor(F.col("x") / spacing) + F.col("_i")).withColumn("_cy", F.floor(F.col("y") / spacing) + F.col("_j")).alias("b")
-    close = (F.col("a.x") - F.col("b.x")) ** 2 + (F.col("a.y") - F.col("b.y")) ** 2 < spacing**2
-    earlier = (F.col("b._u") < F.col("a._u")) | ((F.col("b._u") == F.col("a._u")) & (F.col(f"b.{key}") < F.col(f"a.{key}")))
-    same = (F.col("a._cx") == F.col("b._cx")) & (F.col("a._cy") == F.col("b._cy"))
-    edges = cut(a.join(b, same & close & earlier).select(F.col(f"a.{key}").alias("_p"), F.col(f"b.{key}").alias("_q")), "spacing")
-    gone = None
-    open_ = edges
-    while True:
-        # what has no open edge to an earlier point and is not gone stays; its later neighbours go
-        waiting = open_.select("_p").distinct()
-        stay = open_.select(F.col("_q").alias("_k")).distinct().join(waiting, F.col("_k") == F.col("_p"), "left_anti")
-        new = cut(open_.join(stay, F.col("_q") == F.col("_k"), "left_semi").select(F.col("_p").alias("_g")).distinct(), "spacing")
-        if new.isEmpty():
-            discard(new, open_)
-            break
-        gone = new if gone is None else gone.unionByName(new)
-        rest = open_.join(new, F.col("_p") == F.col("_g"), "left_anti").join(new, F.col("_q") == F.col("_g"), "left_anti")
-        before, open_ = open_, cut(rest.join(stay, F.col("_q") == F.col("_k"), "left_anti"), "spacing")
-        discard(before)
-    return points if gone is None else points.join(gone, F.col(key) == F.col("_g"), "left_anti")
+    edge = 0.7 * spacing  # points of one cell are all too near to each other, and what is too near to a point lies within two cells
+    known = points.where("abs(x) < double('Infinity') and abs(y) < double('Infinity')")
+    first = known.select(key, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), draw(seed, key).alias("_u")).groupBy("x", "y").agg(F.min(F.struct("_u", F.col(key).alias("_k"))).alias("_f"))
+    open_ = cut(first.select("x", "y", "_f", F.floor(F.col("x") / edge).alias("_cx"), F.floor(F.col("y") / edge).alias("_cy")), "spacing")
+    two = F.array(*(F.lit(k) for k in range(-2, 3)))
+
+    def around(rows: DataFrame) -> DataFrame:
+        out = rows.withColumn("_i", F.explode(two)).withColumn("_j", F.explode(two))
+        return out.withColumns({"_cx": F.col("_cx") + F.col("_i"), "_cy": F.col("_cy") + F.col("_j")}).drop("_i", "_j")
+
+    kept = []
+    while not open_.isEmpty():
+        lead = open_.groupBy("_cx", "_cy").agg(F.min(F.struct("_f", "x", "y")).alias("_l")).select("_cx", "_cy", "_l.*")
+        before = around(lead).groupBy("_cx", "_cy").agg(F.min("_f").alias("_before"))
+        new = cut(lead.join(before, ["_cx", "_cy"]).where("_f = _before").drop("_before"), "spacing")
+        kept.append(new)
+        near = around(new).alias("b")
+        close = (F.col("a.x") - F.col("b.x")) ** 2 + (F.col("a.y") - F.col("b.y")) ** 2 < spacing**2
+        same = (F.col("a._cx") == F.col("b._cx")) & (F.col("a._cy") == F.col("b._cy"))
+        last, open_ = open_, cut(open_.alias("a").join(near, same & close, "left_anti"), "spacing")
+        discard(last)
+    discard(open_)
+    if not kept:
+        return points
+    stay = reduce(DataFrame.unionByName, kept).select(F.col("_f._k").alias("_k"))
+    lost = known.select(F.col(key).alias("_p")).join(stay, F.col("_p") == F.col("_k"), "left_anti")
+    return points.join(lost, F.col(key) == F.col("_p"), "left_anti")
 
 
 def spilled(pixels: DataFrame, species: DataFrame, spill: dict[str, dict[int, float]], resolution: float, spacing: float, max_m: float, most: int, seed: int | str, assets: list[tuple[str, float]]) -> DataFrame:
