@@ -120,12 +120,13 @@ def nearest_by(left: DataFrame, right: DataFrame, at: str, value: str, by: list[
     r = right.where(F.col(value).isNotNull()).select(*by, F.col(at).alias("_at"), F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), F.col(value).alias("_v"), F.lit(0).alias("_k"))
     found = F.when(F.col("_v").isNotNull(), F.struct(F.col("_at").alias("t"), F.col("_v").alias("v")))
     both = l.unionByName(r).withColumn("_f", found)
-    w = Window.partitionBy(*by).orderBy("_at", "_k")
+    part, order = by, ["_at", "_k"]
     if not by:
         both, carry = in_ranges(both, ["_at", "_k"], F.last("_f", ignorenulls=True), F.first("_f", ignorenulls=True))
-        w = Window.partitionBy("_part").orderBy("_line")
-    both = both.withColumn("_p", F.last("_f", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    both = both.withColumn("_n", F.first("_f", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+        part, order = ["_part"], ["_line"]
+    # what comes next is what came last in the opposite order: a frame that ends with the window is read anew for each row
+    ahead, back = (Window.partitionBy(*part).orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0) for keys in (order, [F.desc(c) for c in order]))
+    both = both.withColumn("_p", F.last("_f", ignorenulls=True).over(ahead)).withColumn("_n", F.last("_f", ignorenulls=True).over(back))
     if not by:
         both = both.join(carry, "_part").withColumns({"_p": F.coalesce("_p", "_before"), "_n": F.coalesce("_n", "_after")})
     gap = lambda c: F.abs(F.col(c)["t"].cast("double") - F.col("_at").cast("double"))

@@ -34,3 +34,19 @@ def test_spacing_of_dense_points_writes_no_pairs(spark):
             kept.append((pid, x, y))
     assert got == {k[0] for k in kept} | {5000, 5001} and 10 < len(kept) < 100
     assert written <= 2100  # pairs that are too near are 164,694
+
+
+def test_nearest_of_one_long_series_reads_each_row_once(spark):
+    from terraloom.operators.joins import nearest_by
+
+    rng = np.random.default_rng(9)
+    at = [int(t) for t in rng.choice(4000, 900, replace=False)]
+    left = spark.createDataFrame([(i, int(t)) for i, t in enumerate(rng.integers(0, 4000, 600))], "id long, t long")
+    right = spark.createDataFrame([(t, float(i) if i % 7 else None) for i, t in enumerate(at)], "t long, v double")
+    known = sorted((t, float(i)) for i, t in enumerate(at) if i % 7)
+    for by in (None, ["g"]):
+        a, b = (x.withColumn("g", F.lit(1)) for x in (left, right))
+        out = nearest_by(a, b, "t", "v", by)
+        assert {r.id: r.value for r in out.collect()} == {r.id: min(known, key=lambda k: (abs(k[0] - r.t), k[0]))[1] for r in left.collect()}
+        frames = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "currentrow$(), unboundedfollowing$()" not in frames  # such a frame is read anew for each row
