@@ -106,6 +106,35 @@ def levels_of(boxes: DataFrame, size: float, bounds: tuple[Column, Column, Colum
     return sorted(r.level for r in found)
 
 
+def strip_level(size: float, bounds: tuple[Column, Column, Column, Column]) -> Column:
+    """The level on which a segment with such bounds takes nine cells a side at most."""
+    return box_level(size, tuple(b / 8 for b in bounds))
+
+
+def strip_cells(segments: DataFrame, size: float, ends: tuple[Column, Column, Column, Column], reach: Column, level: int) -> DataFrame:
+    """A row for each cell of ``level`` that may hold a place within ``reach`` of a segment that has this level.
+
+    The cells follow the segment: those of its box that lie apart from it are left out.
+    """
+    bounds = strip_bounds(ends, reach)
+    edge = size * 4.0**level
+    x0, y0, x1, y1 = (F.floor(b / edge) for b in bounds)
+    here = segments.where(strip_level(size, bounds) == level).withColumn("_lv", F.lit(level))
+    here = here.withColumn("_cx", F.explode(F.sequence(x0, x1))).withColumn("_cy", F.explode(F.sequence(y0, y1)))
+    return here.where(segment_distance((F.col("_cx") + 0.5) * edge, (F.col("_cy") + 0.5) * edge, *ends) <= reach + 0.7072 * edge)  # half the diagonal of a cell
+
+
+def strip_bounds(ends: tuple[Column, Column, Column, Column], reach: Column) -> tuple[Column, Column, Column, Column]:
+    x1, y1, x2, y2 = ends
+    return F.least(x1, x2) - reach, F.least(y1, y2) - reach, F.greatest(x1, x2) + reach, F.greatest(y1, y2) + reach
+
+
+def strip_levels(segments: DataFrame, size: float, ends: tuple[Column, Column, Column, Column], reach: Column) -> list[int]:
+    """The levels that segments have: a few small numbers, found when called."""
+    found = segments.select(strip_level(size, strip_bounds(ends, reach)).alias("level")).where("level is not null").distinct().collect()
+    return sorted(r.level for r in found)
+
+
 def same_cell(a: str = "a", b: str = "b") -> Column:
     return (F.col(f"{a}._lv") == F.col(f"{b}._lv")) & (F.col(f"{a}._cx") == F.col(f"{b}._cx")) & (F.col(f"{a}._cy") == F.col(f"{b}._cy"))
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraloom.operators.geometry import along_segment, covering_cells, in_polygon, levels_of, meeting_boxes, ring_bounds, same_cell, segment_distance, with_cell
+from terraloom.operators.geometry import along_segment, covering_cells, in_polygon, levels_of, meeting_boxes, ring_bounds, same_cell, segment_distance, strip_cells, strip_levels, with_cell
 from terraloom.operators.roads import in_joint, next_of
 from terraloom.session import cut, discard
 
@@ -89,21 +89,31 @@ def flatten_under_roads(points: DataFrame, roads: DataFrame, half: Column, buffe
     after ``with_next``. A road acts once on a point: from the nearest place of its whole centreline. Zones end flat and are round outside a bend.
     """
     reach = half + buffer_m
-    bounds = (F.least("x1", "x2") - reach, F.least("y1", "y2") - reach, F.greatest("x1", "x2") + reach, F.greatest("y1", "y2") + reach)
-    r = covering_cells(roads, cell, bounds).alias("b")
+    own = tuple(F.col(c) for c in ("x1", "y1", "x2", "y2"))
     ends = tuple(F.col(f"b.{c}") for c in ("x1", "y1", "x2", "y2"))
     px, py = F.col("a.x"), F.col("a.y")
     t = along_segment(px, py, *ends)
     d = segment_distance(px, py, *ends)
     held = t.between(0, 1) | in_joint(px - ends[2], py - ends[3], ends, *next_of(roads, "b"))
-    j = with_cell(points.select(key, "x", "y"), cell, levels=levels_of(roads, cell, bounds)).alias("a").join(r, same_cell() & (d <= reach))
-    j = j.withColumns({"t": F.greatest(F.lit(0.0), F.least(F.lit(1.0), t)), "_d": d, "_held": held})
-    alpha = F.when(F.col("_d") <= half, 1.0).otherwise(1 - (F.col("_d") - half) / buffer_m if buffer_m > 0 else 0.0)
-    each = j.select(F.col(f"a.{key}").alias(key), "pos", "_d", "_held", F.struct(alpha.alias("a"), reference.alias("z")).alias("op"))
-    ops = each.groupBy(key, "pos").agg(F.min_by("op", "_d").alias("op"), F.max("_held").alias("_held")).where("_held")
-    ops = ops.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "op.a", "op.z"))).alias("ops"))
-    blend = F.aggregate("ops", F.col("z"), lambda z, o: o["a"] * o["z"] + (1 - o["a"]) * z)
-    return points.join(ops, key, "left").withColumn("z", F.when(F.col("ops").isNull(), F.col("z")).otherwise(blend)).drop("ops")
+    # points at one place are blended once: roads meet places, and the blended places meet the points
+    places = points.select("x", "y").distinct()
+    found = None
+    for level in strip_levels(roads, cell, own, reach):
+        part = with_cell(places, cell, levels=[level]).alias("a").join(strip_cells(roads, cell, own, reach, level).alias("b"), same_cell() & (d <= reach))
+        part = part.withColumns({"t": F.greatest(F.lit(0.0), F.least(F.lit(1.0), t)), "_d": d, "_held": held})
+        alpha = F.when(F.col("_d") <= half, 1.0).otherwise(1 - (F.col("_d") - half) / buffer_m if buffer_m > 0 else 0.0)
+        part = part.select(F.col("a.x").alias("_x"), F.col("a.y").alias("_y"), "pos", "_d", "_held", F.struct(alpha.alias("a"), reference.alias("z")).alias("op"))
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return points.select(key, *(c for c in points.columns if c != key))
+    ops = found.groupBy("_x", "_y", "pos").agg(F.min_by("op", "_d").alias("op"), F.max("_held").alias("_held")).where("_held")
+    ops = ops.groupBy("_x", "_y").agg(F.sort_array(F.collect_list(F.struct("pos", "op.a", "op.z"))).alias("ops"))
+    blend = F.aggregate("ops", F.col("_z"), lambda z, o: o["a"] * o["z"] + (1 - o["a"]) * z)
+    heights = points.select(F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("z").alias("_z")).distinct()
+    heights = heights.join(ops, ["_x", "_y"]).select("_x", "_y", "_z", blend.alias("_to"), F.lit(True).alias("_on"))
+    same = (F.col("x") == F.col("_x")) & (F.col("y") == F.col("_y")) & F.col("z").eqNullSafe(F.col("_z"))
+    out = points.join(heights, same, "left").withColumn("z", F.when(F.col("_on"), F.col("_to")).otherwise(F.col("z")))
+    return out.select(key, *(c for c in points.columns if c != key))
 
 
 def cell_box(size: float) -> tuple[Column, Column, Column, Column]:

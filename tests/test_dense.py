@@ -50,3 +50,29 @@ def test_nearest_of_one_long_series_reads_each_row_once(spark):
         assert {r.id: r.value for r in out.collect()} == {r.id: min(known, key=lambda k: (abs(k[0] - r.t), k[0]))[1] for r in left.collect()}
         frames = out._jdf.queryExecution().optimizedPlan().toString()
         assert "currentrow$(), unboundedfollowing$()" not in frames  # such a frame is read anew for each row
+
+
+def test_points_at_one_place_are_flattened_once(spark):
+    from terraloom.operators.terrain import flatten_under_roads
+
+    rng = np.random.default_rng(7)
+    roads = [(k, *map(float, rng.uniform(0, 20, 4)), float(rng.uniform(0, 9))) for k in range(200)]
+    places = [tuple(map(float, p)) for p in rng.uniform(0, 20, (20, 2))]
+    rows = [(i, *places[i % 20], 50.0 if i % 3 else None) for i in range(2000)] + [(9000, None, 1.0, 7.0)]
+    pts, on = spark.createDataFrame(rows, "pid long, x double, y double, z double"), spark.createDataFrame(roads, "pos long, x1 double, y1 double, x2 double, y2 double, z0 double")
+    sent, got = most(spark, "shuffleWriteRecords", lambda: {r.pid: r.z for r in flatten_under_roads(pts, on, F.lit(3.0), 2.0, F.col("z0"), 2.0).collect()})
+
+    def blended(x, y, z):
+        for _, x1, y1, x2, y2, z0 in roads:
+            n = (x2 - x1) ** 2 + (y2 - y1) ** 2
+            t = ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / n
+            d = np.hypot(x - x1 - t * (x2 - x1), y - y1 - t * (y2 - y1))
+            if 0 <= t <= 1 and d <= 5:
+                a = 1.0 if d <= 3 else 1 - (d - 3) / 2
+                z = a * z0 + (1 - a) * z
+        return z
+
+    for pid, x, y, z in rows:
+        want = z if x is None or z is None else blended(x, y, z)
+        assert got[pid] == want or abs(got[pid] - want) < 1e-9
+    assert sent < 20_000  # a pair of point and road each would be over 60,000
