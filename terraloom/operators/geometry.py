@@ -165,3 +165,13 @@ def meeting_boxes(left: DataFrame, right: DataFrame, size: float, own: tuple[str
         edge = size * F.pow(F.lit(4.0), F.col("a._lv"))
         on = on & (F.col("a._cx") == F.floor(F.greatest(own[0], other[0]) / edge)) & (F.col("a._cy") == F.floor(F.greatest(own[1], other[1]) / edge))
     return a.join(b, on, how)
+
+
+def count_meeting(left: DataFrame, right: DataFrame, size: float, own: tuple[str, str, str, str], other: tuple[str, str, str, str], out: str) -> DataFrame:
+    """Left rows that meet any right box, with the number of right rows they meet as ``out``.
+
+    Equal boxes of either side meet as one, with their number, so pairs of copies are never made. A missing bound meets nothing.
+    """
+    kinds, many = left.select(*own).distinct(), right.groupBy(*other).agg(F.count("*").alias("_many"))
+    found = meeting_boxes(many, kinds, size, other, own).groupBy(*own).agg(F.sum("_many").alias(out))
+    return left.join(found, list(own)).select(*left.columns, out)

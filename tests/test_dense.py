@@ -76,3 +76,17 @@ def test_points_at_one_place_are_flattened_once(spark):
         want = z if x is None or z is None else blended(x, y, z)
         assert got[pid] == want or abs(got[pid] - want) < 1e-9
     assert sent < 20_000  # a pair of point and road each would be over 60,000
+
+
+def test_equal_boxes_are_counted_as_one(spark):
+    from terraloom.operators.geometry import count_meeting
+
+    rng = np.random.default_rng(3)
+    box = lambda: (lambda p, s: (*map(float, p), *map(float, p + s)))(rng.integers(0, 30, 2), rng.integers(0, 9, 2))
+    few, many = [box() for _ in range(12)], [box() for _ in range(40)]
+    zones, ways = [(i, *few[i % 12]) for i in range(400)], [(i, *many[i % 40]) for i in range(800)] + [(900, None, 0.0, 5.0, 5.0)]
+    a = spark.createDataFrame(zones, "zone long, xmin double, ymin double, xmax double, ymax double")
+    b = spark.createDataFrame(ways, "way long, x1 double, y1 double, x2 double, y2 double")
+    sent, got = most(spark, "shuffleWriteRecords", lambda: {r.zone: r.n for r in count_meeting(a, b, 4.0, ("xmin", "ymin", "xmax", "ymax"), ("x1", "y1", "x2", "y2"), "n").collect()})
+    want = {z: sum(w[1] is not None and w[1] <= x1 and x0 <= w[3] and w[2] <= y1 and y0 <= w[4] for w in ways) for z, x0, y0, x1, y1 in zones}
+    assert got == {k: n for k, n in want.items() if n} and sent < 2000
