@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraloom.operators.geometry import along_segment, covering_cells, in_polygon, levels_of, outside, ring_bounds, rings_meet, same_cell, segment_distance, with_cell
+from terraloom.operators.geometry import along_segment, covering_cells, in_polygon, levels_of, outside, ring_bounds, rings_meet, same_cell, segment_distance, strip_cells, strip_levels, with_cell
 from terraloom.operators.roads import in_joint, next_of
 from terraloom.operators.sampling import in_brackets, in_ranges
 
@@ -89,7 +89,7 @@ def exclude_roads(points: DataFrame, segments: DataFrame, buffer_m: float, cell:
     if not enabled:
         return points
     reach = F.col("width_m") / 2 + buffer_m
-    bounds = (F.least("x1", "x2") - reach, F.least("y1", "y2") - reach, F.greatest("x1", "x2") + reach, F.greatest("y1", "y2") + reach)
+    own = tuple(F.col(c) for c in ("x1", "y1", "x2", "y2"))
     ends = tuple(F.col(f"b.{c}") for c in ("x1", "y1", "x2", "y2"))
     px, py = F.col("a.x"), F.col("a.y")
     half = F.col("b.width_m") / 2
@@ -99,9 +99,18 @@ def exclude_roads(points: DataFrame, segments: DataFrame, buffer_m: float, cell:
     # distance to the flat-ended rectangle: past the ends by so much, beyond the side by so much
     past = F.greatest(F.lit(0.0), -t * length, (t - 1) * length)
     out = F.greatest(F.lit(0.0), side - half)
-    hit = F.coalesce(F.hypot(past, out) <= buffer_m, segment_distance(px, py, *ends) <= half + buffer_m)
+    hit = F.when(length > 0, F.hypot(past, out) <= buffer_m).otherwise(segment_distance(px, py, *ends) <= half + buffer_m)
     joint = in_joint(px - ends[2], py - ends[3], ends, *next_of(segments, "b")) & (F.hypot(px - ends[2], py - ends[3]) <= half + buffer_m)
-    return outside(points, segments, cell, bounds, hit | joint)
+    # different places meet different segments, on cells along these; the points then take what holds of their place
+    roads = segments.select(*(c for c in ("x1", "y1", "x2", "y2", "width_m", "next_x", "next_y") if c in segments.columns)).distinct()
+    places = points.select("x", "y").distinct()
+    levels = strip_levels(roads, cell, own, reach)
+    off = places
+    for level in reversed(levels):
+        here = strip_cells(roads, cell, own, reach, level).alias("b")
+        off = with_cell(off, cell, levels=[level]).alias("a").join(here, same_cell() & (hit | joint), "left_anti").drop("_lv", "_cx", "_cy")
+    off = off.select(F.col("x").alias("_x"), F.col("y").alias("_y"))
+    return points.join(off, F.col("x").eqNullSafe(F.col("_x")) & F.col("y").eqNullSafe(F.col("_y")), "left_semi") if levels else points
 
 
 def species_for_pixels(pixels: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -78,6 +78,38 @@ def test_points_at_one_place_are_flattened_once(spark):
     assert sent < 20_000  # a pair of point and road each would be over 60,000
 
 
+def test_road_cells_follow_the_road_and_miss_no_point(spark):
+    from terraloom.operators.geometry import strip_cells, strip_levels
+    from terraloom.operators.joins import exclude_roads
+
+    rng = np.random.default_rng(8)
+    lines = [(*a, *(a + rng.uniform(-1, 1, 2) * s), w) for a, s, w in zip(rng.uniform(-30, 30, (60, 2)), [0.5, 8, 60] * 20, rng.uniform(0.05, 0.6, 60), strict=True)] + [(3.0, 3.0, 3.0, 3.0, 0.5), (0.0, 0.0, 8.0, 6.0, 0.1)]
+    lines = [tuple(map(float, line)) for line in lines]
+    roads = spark.createDataFrame(lines * 3, "x1 double, y1 double, x2 double, y2 double, width_m double")
+    ends, reach = tuple(F.col(c) for c in ("x1", "y1", "x2", "y2")), F.col("width_m") / 2 + 0.3
+    one = roads.where("x2 = 8 and y2 = 6").distinct()
+    assert strip_levels(one, 2.0, ends, reach) == [0] and strip_cells(one, 2.0, ends, reach, 0).count() <= 14
+    pts = [(i, *map(float, p)) for i, p in enumerate(rng.uniform(-40, 40, (1500, 2)))]
+    pts += [(i + 1500, x, y) for i, x, y in pts[:500]] + [(5000, None, 0.0), (5001, 3.0, 3.1)]
+    got = {r.pid for r in exclude_roads(spark.createDataFrame(pts, "pid long, x double, y double"), roads, 0.3, 2.0).collect()}
+
+    def off(x, y):
+        for x1, y1, x2, y2, w in lines:
+            n = np.hypot(x2 - x1, y2 - y1)
+            if n == 0:
+                if np.hypot(x - x1, y - y1) <= w / 2 + 0.3:
+                    return False
+                continue
+            t = ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / (n * n)
+            side = abs((x - x1) * (y2 - y1) - (y - y1) * (x2 - x1)) / n
+            if np.hypot(max(0, -t * n, (t - 1) * n), max(0, side - w / 2)) <= 0.3:
+                return False
+        return True
+
+    want = {i for i, x, y in pts if x is None or off(x, y)}
+    assert got == want and 100 < len(want) < len(pts) - 100
+
+
 def test_equal_boxes_are_counted_as_one(spark):
     from terraloom.operators.geometry import count_meeting
 
